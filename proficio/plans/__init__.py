@@ -1,5 +1,5 @@
 """Dataset pipelines: staging views, marts, report queries, snapshots."""
 
-from proficio.plans.build import Pipeline
+from proficio.plans.build import Models
 
-__all__ = ["Pipeline"]
+__all__ = ["Models"]

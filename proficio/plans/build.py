@@ -1,4 +1,4 @@
-"""Pipeline: the dependency order of the models as plain, lazy function calls."""
+"""Models: the dependency order of the models as plain, lazy function calls."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from proficio.plans import marts, staging, stories
 from proficio.sources.catalog import Catalog
 
 
-class Pipeline:
+class Models:
     """Lazily built models over one catalog and one parameter set.
 
     Each property is a DataFrame (a plan, not data); reading a model twice

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proficio.functions.metrics import (
-    composite_change, composite_mean, count_if_expr, rounded, rule_category, safe_ratio,
+    composite_change, composite_mean, rounded, rule_category, safe_ratio,
     weighted_score,
 )
+from proficio.operators.counts import updown_aggs
 from proficio.operators.endpoints import first_last_aggs
 from proficio.operators.normalize import minmax_normalize
 from proficio.operators.ranking import RankSpec, dedupe_precedence, latest_per_key, rank_columns
@@ -137,26 +138,10 @@ def improvement_summary(yoy: DataFrame, dim: DataFrame, p: Params) -> DataFrame:
     by school, so no further shuffle is needed for it.
     """
     after = F.col("school_year") > p.start_year
-
-    def n_if(cond):
-        return F.sum(count_if_expr(after & cond))
-
-    def in_range(c):
-        return F.when(after, F.col(c))
-
     s = yoy.groupBy("school_id").agg(
         *first_last_aggs("school_year", {"ela_pct": "ela", "math_pct": "math"}),
-        n_if(F.col("ela_yoy_change") > 0).alias("ela_years_improved"),
-        n_if(F.col("ela_yoy_change") < 0).alias("ela_years_declined"),
-        n_if(F.col("math_yoy_change") > 0).alias("math_years_improved"),
-        n_if(F.col("math_yoy_change") < 0).alias("math_years_declined"),
-        n_if(F.col("composite_yoy_change") > 0).alias("composite_years_improved"),
-        n_if(F.col("composite_yoy_change") < 0).alias("composite_years_declined"),
-        F.max(in_range("ela_yoy_change")).alias("ela_peak_yoy"),
-        F.max(in_range("math_yoy_change")).alias("math_peak_yoy"),
-        F.max(in_range("composite_yoy_change")).alias("composite_peak_yoy"),
-        F.count(in_range("ela_yoy_change")).alias("ela_years_measured"),
-        F.count(in_range("math_yoy_change")).alias("math_years_measured"),
+        *updown_aggs({"ela_yoy_change": "ela", "math_yoy_change": "math",
+                      "composite_yoy_change": "composite"}, rows=after, measured=("ela", "math")),
         F.count(F.when(after, F.lit(1))).alias("_rows_after"))
     s = s.filter((F.col("_rows_after") > 0) & F.col("ela_first_pct").isNotNull()
                  & F.col("math_first_pct").isNotNull() & F.col("ela_latest_pct").isNotNull()

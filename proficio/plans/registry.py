@@ -14,8 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from proficio.functions.cleaning import academic_year, clean_numeric, suppression_flag
+from proficio.operators import checks as C
+from proficio.operators.counts import consistency, updown_aggs
+from proficio.operators.endpoints import distinct_rows, first_last
+from proficio.operators.normalize import minmax_normalize
+from proficio.operators.ranking import RankSpec, latest_per_key, rank_columns, topn_per_group
 from proficio.params import TEST_PARAMS
-from proficio.plans import stories
+from proficio.plans import quality, stories
+from proficio.plans.marts import improvement_summary, school_regions
 from proficio.plans.build import Models
 from proficio.sources.catalog import test_table_catalog
 
@@ -109,5 +116,198 @@ for _name in ("story_yoy_trends", "story_consistency_top5", "story_single_group"
     query(_name)(_story)
 
 
+
+
+# ------------------------------------------------------- functions on raw text
+@query("clean_numeric")
+def _clean(spark, d):
+    """dirty proficiency text -> whole numbers; tokens and junk -> NULL."""
+    raw = models(spark, d).catalog.table("assessment")
+    return raw.select("organization_code", F.col("school_year").alias("school_year_label"),
+                      F.col("math_pct_proficient").alias("math_raw"),
+                      clean_numeric("math_pct_proficient").alias("math_clean"),
+                      F.col("ela_pct_proficient").alias("ela_raw"),
+                      clean_numeric("ela_pct_proficient").alias("ela_clean"))
+
+
+@query("suppression_flag")
+def _suppressed(spark, d):
+    """Suppression flags from the raw text (NULL, '<5', '>95')."""
+    raw = models(spark, d).catalog.table("assessment")
+    return raw.select("organization_code", F.col("school_year").alias("school_year_label"),
+                      F.col("math_pct_proficient").alias("math_raw"),
+                      suppression_flag("math_pct_proficient").alias("math_suppressed"),
+                      F.col("ela_pct_proficient").alias("ela_raw"),
+                      suppression_flag("ela_pct_proficient").alias("ela_suppressed"))
+
+
+@query("academic_year")
+def _academic_year(spark, d):
+    """distinct school-year labels of the three extracts and their start year."""
+    c = models(spark, d).catalog
+    labels = (c.table("demographic").select(F.col("accountability_year").alias("label"))
+              .unionByName(c.table("assessment").select(F.col("school_year").alias("label")))
+              .unionByName(c.table("absenteeism").select(F.col("accountability_year").alias("label")))
+              .distinct())
+    return labels.withColumn("school_year", academic_year("label"))
+
+
+# ------------------------------------------------------------ growth blocks
+@query("yoy_change")
+def _yoy(spark, d):
+    """Prior value, rounded YoY change and direction per school (composite included)."""
+    return models(spark, d).assessment_yoy
+
+
+ENDPOINTS = {"ela_pct": "ela", "math_pct": "math"}
+
+
+@query("first_last_value")
+def _first_last(spark, d):
+    """First and latest measured year and value per school (min_by / max_by)."""
+    return first_last(models(spark, d).assessment_yoy, ["school_id"], "school_year", ENDPOINTS)
+
+
+@query("distinct_endpoints")
+def _distinct_endpoints(spark, d):
+    """Distinct endpoint rows."""
+    fl = first_last(models(spark, d).assessment_yoy, ["school_id"], "school_year", ENDPOINTS)
+    return distinct_rows(fl)
+
+
+CHANGES = {"ela_yoy_change": "ela", "math_yoy_change": "math", "composite_yoy_change": "composite"}
+
+
+@query("updown_counts")
+def _updown(spark, d):
+    """A3-A5: years up / down / measured and peak change per school (years after start)."""
+    m = models(spark, d)
+    y = m.assessment_yoy.filter(F.col("school_year") > m.p.start_year)
+    return y.groupBy("school_id").agg(*updown_aggs(CHANGES))
+
+
+@query("consistency_no_flat")
+def _cons_no_flat(spark, d):
+    """Rises / (rises + falls) of the composite change (flat years ignored)."""
+    m = models(spark, d)
+    y = m.assessment_yoy.filter(F.col("school_year") > m.p.start_year)
+    return consistency(y, ["school_id"], "composite_yoy_change", include_flat=False)
+
+
+@query("consistency_with_flat")
+def _cons_flat(spark, d):
+    """Rises / measured years of the composite change (flat years count)."""
+    m = models(spark, d)
+    y = m.assessment_yoy.filter(F.col("school_year") > m.p.start_year)
+    return consistency(y, ["school_id"], "composite_yoy_change", include_flat=True)
+
+
+@query("minmax_normalize")
+def _minmax(spark, d):
+    """Overall composite change scaled by the bounds of all schools."""
+    m = models(spark, d)
+    s = improvement_summary(m.assessment_yoy, m.dim_schools, m.p)
+    return minmax_normalize(s.select("school_id", "composite_overall_change"),
+                            "composite_overall_change", "normalized_change")
+
+
+@query("enrollment_by_school_year")
+def _enr_sum(spark, d):
+    """A1: total enrollment per school and year (pre-aggregation of the scorecard)."""
+    return (models(spark, d).stg_enrollment.groupBy("school_id", "school_year")
+            .agg(F.sum("total_enrolled").alias("total_enrollment")))
+
+
+# ---------------------------------------------------------- ranking blocks
+@query("dedupe_precedence")
+def _dedupe(spark, d):
+    """One region per school, 'Transformation Network' first."""
+    return school_regions(models(spark, d).catalog.table("school_regions"))
+
+
+@query("latest_per_key")
+def _latest(spark, d):
+    """Name of the latest year per school."""
+    return latest_per_key(models(spark, d).stg_enrollment, ["school_id"], "school_year",
+                          ["school_name"], tie_break=["school_name"])
+
+
+@query("global_rank")
+def _global_rank(spark, d):
+    """rank() of every school-year by composite proficiency, desc, NULLs last."""
+    y = models(spark, d).assessment_yoy.select("school_id", "school_year", "composite_pct")
+    return rank_columns(y, [RankSpec("composite_rank", "composite_pct")])
+
+
+@query("regional_rank")
+def _regional_rank(spark, d):
+    """rank() of school-years within region by composite change, desc, NULLs last."""
+    y = models(spark, d).school_improvement_yoy.select("region", "school_id", "school_year",
+                                                        "composite_yoy_change")
+    return rank_columns(y, [RankSpec("regional_rank", "composite_yoy_change", ("region",))])
+
+
+@query("topn_per_group")
+def _topn(spark, d):
+    """Top-3 school-years per region by composite proficiency (ties kept)."""
+    y = models(spark, d).school_improvement_yoy.select("region", "school_id", "school_year",
+                                                        "composite_pct")
+    return topn_per_group(y, 3, ["region"], [F.col("composite_pct").desc_nulls_last()], "rank")
+
+
+# ------------------------------------------------------------------- checks
+@query("check_summary")
+def _check_summary(spark, d):
+    """Q1-Q4: failing-row count of every declared test (row tests fused per model)."""
+    return quality.test_summary(models(spark, d))
+
+
+@query("check_accepted_range")
+def _check_range(spark, d):
+    """Q4: enrollment rows whose school year is outside 2015-2030."""
+    return C.accepted_range(models(spark, d).stg_enrollment, "school_year", *quality.YEAR_RANGE)
+
+
+@query("check_accepted_values")
+def _check_values(spark, d):
+    """Q3: attendance rows with a tier outside the accepted labels."""
+    return C.accepted_values(models(spark, d).stg_attendance, "absenteeism_tier", quality.TIERS)
+
+
+@query("check_not_null")
+def _check_nn(spark, d):
+    """Q1: dimension rows without a school name."""
+    return C.not_null(models(spark, d).dim_schools, "school_name")
+
+
+@query("check_unique")
+def _check_unique(spark, d):
+    """Q2: duplicated school ids in the dimension."""
+    return C.unique(models(spark, d).dim_schools, "school_id")
+
+
+@query("check_unique_grain")
+def _check_grain(spark, d):
+    """Q2 on the grain: duplicated (school_id, school_year) in the assessment staging."""
+    return C.unique(models(spark, d).stg_assessment_scores, ["school_id", "school_year"])
+
+
+@query("check_orphans")
+def _check_orphans(spark, d):
+    """Q5: enrollment fact rows whose school is not in the dimension."""
+    m = models(spark, d)
+    return C.orphans(m.enrollment_trends().select("school_id", "school_year", "total_enrolled"),
+                     m.dim_schools, "school_id")
+
+
+@query("check_conditional_range")
+def _check_cond(spark, d):
+    """Unsuppressed proficiency outside 0-100."""
+    a = models(spark, d).stg_assessment_scores
+    bad = C.conditional_range(a, [("math_pct_proficient", "math_suppressed"),
+                                  ("ela_pct_proficient", "ela_suppressed")])
+    return bad.select("school_id", "school_year", "math_pct_proficient", "ela_pct_proficient")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -42,9 +42,9 @@ class Models:
         return marts.dim_schools(self.stg_enrollment, self.catalog.table("school_regions"),
                                  self.catalog.table("school_locations"), audit=self.audit)
 
-    def enrollment_trends(self, incremental: bool = False) -> DataFrame:
+    def enrollment_trends(self, incremental: bool = False, extra=()) -> DataFrame:
         return marts.enrollment_trends(self.stg_enrollment, self.dim_schools, self.p,
-                                       incremental=incremental, audit=self.audit)
+                                       incremental=incremental, audit=self.audit, extra=extra)
 
     @cached_property
     def school_performance(self) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,11 +57,13 @@ def dim_schools(enrollment: DataFrame, raw_regions: DataFrame, raw_locations: Da
 
 
 def enrollment_trends(enrollment: DataFrame, dim: DataFrame, p: Params,
-                      incremental: bool = False, audit: bool = True) -> DataFrame:
+                      incremental: bool = False, audit: bool = True,
+                      extra: Sequence[str] = ()) -> DataFrame:
     """Enrollment with demographic split, school x year.
 
     ``incremental=True`` keeps only the current school year (the slice an
-    incremental run merges, see :mod:`proficio.operators.upsert`).
+    incremental run merges, see :mod:`proficio.operators.upsert`);
+    ``extra`` adds further staging columns (a later model version).
     """
     e = enrollment
     if incremental:
@@ -67,7 +71,7 @@ def enrollment_trends(enrollment: DataFrame, dim: DataFrame, p: Params,
     s = dim.select("school_id", "school_name", "region")
     out = (e.drop("school_name").join(s, "school_id", "left")
             .select("school_id", "school_year", "school_name", "region", "total_enrolled",
-                    *ENROLLMENT_COUNTS[:15]))
+                    *ENROLLMENT_COUNTS[:15], *extra))
     return _audit(out, audit)
 
 

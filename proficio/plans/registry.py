@@ -22,7 +22,13 @@ from proficio.operators.normalize import minmax_normalize
 from proficio.operators.ranking import RankSpec, latest_per_key, rank_columns, topn_per_group
 from proficio.params import TEST_PARAMS
 from proficio.plans import quality, stories
-from proficio.plans.marts import improvement_summary, school_regions
+from proficio.operators import upsert as U
+from proficio.operators.profile import head_tail, select_filter, table_profile
+from proficio.plans.marts import AUDIT_COL, improvement_summary, school_regions
+from proficio.plans.snapshots import release_history, school_directory_snapshot
+from proficio.session import new_table_path
+from proficio.sources.seeds import LOCATIONS_SCHEMA, REGIONS_SCHEMA, read_seed, write_seed
+from proficio.sources.sinks import write_clustered, write_csv_extract
 from proficio.plans.build import Models
 from proficio.sources.catalog import test_table_catalog
 
@@ -309,5 +315,134 @@ def _check_cond(spark, d):
     return bad.select("school_id", "school_year", "math_pct_proficient", "ela_pct_proficient")
 
 
+
+
+# ------------------------------------------------- incremental loads, layout
+KEY = ["school_id", "school_year"]
+
+
+def early_cutoff() -> str:
+    """An earlier extract of the demographic source: orders before mid current year."""
+    return f"{TEST_PARAMS.current_year}-07-01"
+
+
+@query("incremental_upsert")
+def _upsert(spark, d):
+    """Build from an early extract, then MERGE the current-year slice of the full extract."""
+    path = new_table_path(spark, "enrollment_trends")
+    U.full_refresh(models(spark, d, early_cutoff()).enrollment_trends(), path, "school_year")
+    U.upsert(spark, path, models(spark, d).enrollment_trends(incremental=True), KEY, "school_year")
+    return U.read_table(spark, path)
+
+
+@query("upsert_new_column")
+def _upsert_new_col(spark, d):
+    """As S6, but the merged slice carries a new column (older rows read as NULL)."""
+    path = new_table_path(spark, "enrollment_trends")
+    U.full_refresh(models(spark, d, early_cutoff()).enrollment_trends(), path, "school_year")
+    src = models(spark, d).enrollment_trends(incremental=True, extra=("num_kindergarten",))
+    U.upsert(spark, path, src, KEY, "school_year")
+    return U.read_table(spark, path)
+
+
+@query("incremental_full_refresh")
+def _full_refresh(spark, d):
+    """An incremental table rebuilt in full (every old partition replaced)."""
+    path = new_table_path(spark, "enrollment_trends")
+    U.upsert(spark, path, models(spark, d, early_cutoff()).enrollment_trends(incremental=True),
+             KEY, "school_year")
+    U.full_refresh(models(spark, d).enrollment_trends(), path, "school_year")
+    return U.read_table(spark, path)
+
+
+@query("clustered_write_readback")
+def _clustered(spark, d):
+    """Fact written partitioned by year, sorted by school inside; read back."""
+    path = new_table_path(spark, "enrollment_trends_clustered")
+    write_clustered(models(spark, d).enrollment_trends(), path, "school_year", ["school_id"])
+    return spark.read.parquet(path)
+
+
+# ------------------------------------------------------------------ history
+def _run_at(year: int) -> str:
+    return f"{year}-07-01 00:00:00"
+
+
+@query("scd2_check_snapshot")
+def _scd2(spark, d):
+    """Yearly releases of attendance tiers applied as SCD-2 snapshot runs."""
+    m = models(spark, d)
+    years = range(m.p.start_year, m.p.current_year + 2)
+    releases = [(m.stg_attendance.filter(F.col("school_year") == y)
+                 .select("school_id", "absenteeism_tier"), _run_at(y)) for y in years]
+    path = new_table_path(spark, "attendance_tier_history")
+    return release_history(spark, path, releases, ["school_id"], ["absenteeism_tier"])
+
+
+@query("scd_school_directory")
+def _directory(spark, d):
+    """School directory history over two extracts (early, then full)."""
+    path = new_table_path(spark, "school_directory")
+    y = TEST_PARAMS.current_year
+    school_directory_snapshot(spark, path, models(spark, d, early_cutoff()).dim_schools,
+                              F.lit(_run_at(y)))
+    return school_directory_snapshot(spark, path, models(spark, d).dim_schools,
+                                     F.lit(_run_at(y + 1)))
+
+
+# ---------------------------------------------------------------- files, profile
+@query("seed_csv_roundtrip")
+def _seed_roundtrip(spark, d):
+    """Locations written as seed CSV and read back with the typed schema."""
+    path = new_table_path(spark, "school_locations_csv")
+    write_seed(models(spark, d).catalog.table("school_locations"), path)
+    return read_seed(spark, path, LOCATIONS_SCHEMA)
+
+
+@query("typed_key_load")
+def _typed_key(spark, d):
+    """Region seed read with the key typed as text (no inference)."""
+    path = new_table_path(spark, "school_regions_csv")
+    write_seed(models(spark, d).catalog.table("school_regions"), path)
+    return read_seed(spark, path, REGIONS_SCHEMA)
+
+
+@query("scorecard_extract")
+def _extract(spark, d):
+    """Scorecard published as CSV without the audit column; read back typed."""
+    m = Models(test_table_catalog(spark, d), TEST_PARAMS, audit=True)
+    df = m.school_performance
+    path = new_table_path(spark, "scorecard_extract")
+    write_csv_extract(df, path, drop=[AUDIT_COL])
+    return spark.read.schema(df.drop(AUDIT_COL).schema).option("header", "true").csv(path)
+
+
+@query("table_profile")
+def _profile(spark, d):
+    """Column types and non-NULL counts of the raw assessment extract."""
+    return table_profile(models(spark, d).catalog.table("assessment"))
+
+
+@query("head_tail")
+def _head_tail(spark, d):
+    """First and last five enrollment rows by (school_id, school_year)."""
+    return head_tail(models(spark, d).stg_enrollment, ["school_id", "school_year"], 5)
+
+
+# Fixed value: participation rate a school must meet in both subjects.
+PARTICIPATION = 0.95
+
+
+@query("ratings_prepare")
+def _ratings_prepare(spark, d):
+    """Key rating columns of schools meeting 95% participation in Math and ELA."""
+    a = models(spark, d).stg_assessment_scores
+    n = F.col("num_students_enrolled")
+    met = ((F.col("math_num_tested") >= n * PARTICIPATION)
+           & (F.col("ela_num_tested") >= n * PARTICIPATION))
+    return select_filter(a, ["school_id", "school_name", "school_year", "num_students_enrolled",
+                             "math_pct_proficient", "ela_pct_proficient"], met)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -29,6 +29,7 @@ from proficio.plans.snapshots import release_history, school_directory_snapshot
 from proficio.session import new_table_path
 from proficio.sources.seeds import LOCATIONS_SCHEMA, REGIONS_SCHEMA, read_seed, write_seed
 from proficio.sources.sinks import write_clustered, write_csv_extract
+from proficio.streaming.releases import merge_releases
 from proficio.plans.build import Models
 from proficio.sources.catalog import test_table_catalog
 
@@ -444,5 +445,32 @@ def _ratings_prepare(spark, d):
                              "math_pct_proficient", "ela_pct_proficient"], met)
 
 
+
+
+# ---------------------------------------------------------------- streaming
+@query("stream_release_upsert")
+def _stream(spark, d):
+    """S6 as a stream: two releases of the demographic extract land as files; a
+    Structured Streaming query merges the newest release of each row into the fact."""
+    from proficio.plans import marts, staging
+
+    landing = new_table_path(spark, "demographic_landing")
+    early = models(spark, d, early_cutoff()).catalog.table("demographic")
+    full_m = models(spark, d)
+    early.withColumn("release", F.lit(1)).write.parquet(f"{landing}/r1")
+    full_m.catalog.table("demographic").withColumn("release", F.lit(2)).write.parquet(f"{landing}/r2")
+    schema = spark.read.parquet(f"{landing}/r1").schema
+    dim = full_m.dim_schools
+    target = new_table_path(spark, "enrollment_trends_stream")
+
+    def to_rows(raw):
+        stg = staging.stg_enrollment(raw, full_m.p)
+        return marts.enrollment_trends(stg, dim, full_m.p, audit=False)
+
+    merge_releases(spark, f"{landing}/*", schema, to_rows, target,
+                   ["organization_code", "accountability_year"], KEY, "school_year")
+    return U.read_table(spark, target)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

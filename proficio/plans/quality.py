@@ -17,29 +17,45 @@ YEAR_RANGE = (2015, 2030)
 RATE_RANGE = (0, 100)
 
 
+# The declared row-level tests: model -> (kind, column, *args); plain data so
+# other code (docs, the oracle) can read them without a session.
+DECLARED: dict[str, list[tuple]] = {
+    "source_demographic": [("not_null", "organization_code"), ("not_null", "school_name"),
+                           ("not_null", "accountability_year")],
+    "source_assessment": [("not_null", "organization_code"), ("not_null", "school_name"),
+                          ("not_null", "school_year")],
+    "source_absenteeism": [("not_null", "organization_code"), ("not_null", "school_name"),
+                           ("not_null", "accountability_year")],
+    "stg_enrollment": [("not_null", "school_id"), ("not_null", "school_year"),
+                       ("accepted_range", "school_year", *YEAR_RANGE),
+                       ("not_null", "total_enrolled")],
+    "stg_attendance": [("not_null", "school_id"), ("not_null", "school_year"),
+                       ("accepted_range", "chronic_absenteeism_rate", *RATE_RANGE),
+                       ("accepted_values", "absenteeism_tier", TIERS)],
+    "stg_assessment_scores": [("not_null", "school_id"), ("not_null", "school_year"),
+                              ("not_null", "math_suppressed"), ("not_null", "ela_suppressed")],
+    "dim_schools": [("not_null", "school_id"), ("not_null", "school_name")],
+    "enrollment_trends": [("not_null", "school_id"), ("not_null", "school_year")],
+    "school_performance": [("not_null", "school_id"), ("not_null", "school_year")],
+    "school_improvement": [("not_null", "school_id"),
+                           ("accepted_values", "improvement_category", CATEGORIES)],
+    "school_improvement_yoy": [("not_null", "school_id"), ("not_null", "school_year"),
+                               ("accepted_values", "ela_direction", DIRECTIONS),
+                               ("accepted_values", "math_direction", DIRECTIONS)],
+}
+
+
+def _row_check(kind: str, col: str, *args) -> C.RowCheck:
+    if kind == "not_null":
+        return C.not_null_check(col)
+    if kind == "accepted_values":
+        return C.accepted_values_check(col, args[0])
+    return C.accepted_range_check(col, *args)
+
+
 def declared_row_checks() -> dict[str, list[C.RowCheck]]:
     """model -> row-level tests (not_null, accepted_values, accepted_range)."""
-    nn = C.not_null_check
-    return {
-        "source_demographic": [nn("organization_code"), nn("school_name"), nn("accountability_year")],
-        "source_assessment": [nn("organization_code"), nn("school_name"), nn("school_year")],
-        "source_absenteeism": [nn("organization_code"), nn("school_name"), nn("accountability_year")],
-        "stg_enrollment": [nn("school_id"), nn("school_year"),
-                           C.accepted_range_check("school_year", *YEAR_RANGE), nn("total_enrolled")],
-        "stg_attendance": [nn("school_id"), nn("school_year"),
-                           C.accepted_range_check("chronic_absenteeism_rate", *RATE_RANGE),
-                           C.accepted_values_check("absenteeism_tier", TIERS)],
-        "stg_assessment_scores": [nn("school_id"), nn("school_year"), nn("math_suppressed"),
-                                  nn("ela_suppressed")],
-        "dim_schools": [nn("school_id"), nn("school_name")],
-        "enrollment_trends": [nn("school_id"), nn("school_year")],
-        "school_performance": [nn("school_id"), nn("school_year")],
-        "school_improvement": [nn("school_id"),
-                               C.accepted_values_check("improvement_category", CATEGORIES)],
-        "school_improvement_yoy": [nn("school_id"), nn("school_year"),
-                                   C.accepted_values_check("ela_direction", DIRECTIONS),
-                                   C.accepted_values_check("math_direction", DIRECTIONS)],
-    }
+    return {m: [_row_check(*t) for t in tests] for m, tests in DECLARED.items()}
 
 
 def model_table(m: Models, name: str) -> DataFrame:

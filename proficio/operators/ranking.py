@@ -12,7 +12,7 @@ PARTITION BY sends every row to one task; here the work is split three ways:
    measure); per (group, bucket) totals give each bucket's offset, and a
    running sum inside a bucket gives the count of strictly better values;
 3. the ranked distinct values join back to the rows on (group, value).  The
-   ranked table is checkpointed in the shared folder, its size is counted,
+   ranked table is written once to the shared folder, its size is counted,
    and it is broadcast only under ``broadcast_rows``; above that the join is
    a shuffle join on the value (adaptive execution splits a hot value).
 
@@ -86,9 +86,9 @@ def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 64) -
 
 
 def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 64,
-                 broadcast_rows: int = 2_000_000) -> DataFrame:
+                 broadcast_rows: int = 500_000) -> DataFrame:
     """Add one ``rank()`` column per spec (BIGINT)."""
-    ranks = materialize(ranked_values(df, specs, buckets))
+    ranks = materialize(ranked_values(df, specs, buckets), "ranks")
     sizes = {r["_m"]: r["n"] for r in ranks.groupBy("_m").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for i, s in enumerate(specs):

@@ -46,9 +46,17 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def full_refresh(df: DataFrame, path: str, partition_col: str) -> None:
+def _layout(df: DataFrame, partition_col: str, keys: Sequence[str]) -> DataFrame:
+    """Range-partition on (partition value, key): a large partition value is
+    spread over many tasks (no single hot writer) and each task writes a
+    contiguous, sorted slice, so folders get few files."""
+    order = [partition_col, *[k for k in keys if k != partition_col]]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def full_refresh(df: DataFrame, path: str, partition_col: str, keys: Sequence[str] = ()) -> None:
     """Rebuild the whole table (static overwrite: every old partition is removed)."""
-    (df.repartition(partition_col).write.mode("overwrite")
+    (_layout(df, partition_col, keys).write.mode("overwrite")
        .option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(path))
 
 
@@ -59,7 +67,7 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
         raise ValueError("the partition column must be part of the key")
     assert_unique_keys(src, keys)
     if not _exists(spark, path):
-        full_refresh(src, path, partition_col)
+        full_refresh(src, path, partition_col, keys)
         return
     # the slice's partition values: one row per partition, bounded by the partition count
     touched = [r[0] for r in src.select(partition_col).distinct().collect()]
@@ -71,5 +79,5 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
     stage = new_table_path(spark, "upsert-stage")
     merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
     staged = spark.read.parquet(stage)
-    (staged.repartition(partition_col).write.mode("overwrite")
+    (_layout(staged, partition_col, keys).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))

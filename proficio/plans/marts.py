@@ -181,13 +181,13 @@ def improvement_category(consistency: str = "consistency_score",
 
 def school_improvement(yoy: DataFrame, dim: DataFrame, p: Params) -> DataFrame:
     """Summary fact, one row per school: growth, consistency, score, nine ranks."""
-    combined = improvement_summary(yoy, dim, p)
+    # one row per school, written once: the bounds, the score and the ranking
+    # passes all re-read it instead of recomputing the window and aggregation
+    combined = materialize(improvement_summary(yoy, dim, p), "improvement-summary")
     scored = minmax_normalize(combined, "composite_overall_change", "_norm")
     scored = scored.withColumn(
         "improvement_score",
         weighted_score([("consistency_score", 0.6), ("_norm", 0.4)], 3)).drop("_norm")
-    # one row per school; written once so the ranking passes re-read it
-    scored = materialize(scored)
     ranked = rank_columns(scored, IMPROVEMENT_RANKS)
     cols = combined.columns + ["improvement_score"] + [s.out for s in IMPROVEMENT_RANKS[:7]]
     return ranked.select(*cols, improvement_category().alias("improvement_category"),

@@ -331,7 +331,7 @@ def early_cutoff() -> str:
 def _upsert(spark, d):
     """Build from an early extract, then MERGE the current-year slice of the full extract."""
     path = new_table_path(spark, "enrollment_trends")
-    U.full_refresh(models(spark, d, early_cutoff()).enrollment_trends(), path, "school_year")
+    U.full_refresh(models(spark, d, early_cutoff()).enrollment_trends(), path, "school_year", KEY)
     U.upsert(spark, path, models(spark, d).enrollment_trends(incremental=True), KEY, "school_year")
     return U.read_table(spark, path)
 
@@ -340,7 +340,7 @@ def _upsert(spark, d):
 def _upsert_new_col(spark, d):
     """As S6, but the merged slice carries a new column (older rows read as NULL)."""
     path = new_table_path(spark, "enrollment_trends")
-    U.full_refresh(models(spark, d, early_cutoff()).enrollment_trends(), path, "school_year")
+    U.full_refresh(models(spark, d, early_cutoff()).enrollment_trends(), path, "school_year", KEY)
     src = models(spark, d).enrollment_trends(incremental=True, extra=("num_kindergarten",))
     U.upsert(spark, path, src, KEY, "school_year")
     return U.read_table(spark, path)
@@ -352,7 +352,7 @@ def _full_refresh(spark, d):
     path = new_table_path(spark, "enrollment_trends")
     U.upsert(spark, path, models(spark, d, early_cutoff()).enrollment_trends(incremental=True),
              KEY, "school_year")
-    U.full_refresh(models(spark, d).enrollment_trends(), path, "school_year")
+    U.full_refresh(models(spark, d).enrollment_trends(), path, "school_year", KEY)
     return U.read_table(spark, path)
 
 

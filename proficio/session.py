@@ -69,11 +69,15 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/proficio/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
-    Used where a small intermediate is read several times (ranking bounds)
-    so it is computed once and survives the loss of an executor.
+    Used where an intermediate is read several times (bounds, ranking) so it
+    is computed once; the written files survive the loss of an executor and
+    give the planner real size statistics.  (A reliable ``checkpoint()``
+    without persist would compute the input twice.)
     """
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = new_table_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proficio.operators.upsert import DuplicateKeyError, _exists
+from proficio.operators.upsert import DuplicateKeyError, table_exists
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 RUN_COL = "snapshot_run"
@@ -89,7 +89,7 @@ def assert_unique_snapshot(snapshot: DataFrame, keys: Sequence[str]) -> None:
 
 def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
     """(run number, state) of the newest run stored at ``path``."""
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         return 0, None
     t = spark.read.parquet(path)
     n = t.agg(F.max(RUN_COL)).collect()[0][0]

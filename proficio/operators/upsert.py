@@ -27,7 +27,8 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when a table folder exists at ``path`` (any Hadoop file system)."""
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -66,7 +67,7 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
     assert_unique_keys(src, keys)
-    if not _exists(spark, path):
+    if not table_exists(spark, path):
         full_refresh(src, path, partition_col, keys)
         return
     # the slice's partition values: one row per partition, bounded by the partition count

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from proficio.functions.cleaning import academic_year, clean_numeric, suppression_flag
+from proficio.functions.cleaning import academic_year, clean_numeric, suppression_flag, tier_label
+from proficio.functions.metrics import rounded
 from proficio.operators import checks as C
 from proficio.operators.counts import consistency, updown_aggs
 from proficio.operators.endpoints import distinct_rows, first_last
@@ -24,6 +25,7 @@ from proficio.params import TEST_PARAMS
 from proficio.plans import quality, stories
 from proficio.operators import upsert as U
 from proficio.operators.profile import head_tail, select_filter, table_profile
+from proficio.plans.incremental import run_enrollment_trends
 from proficio.plans.marts import AUDIT_COL, improvement_summary, school_regions
 from proficio.plans.snapshots import release_history, school_directory_snapshot
 from proficio.session import new_table_path
@@ -329,30 +331,29 @@ def early_cutoff() -> str:
 
 @query("incremental_upsert")
 def _upsert(spark, d):
-    """Build from an early extract, then MERGE the current-year slice of the full extract."""
+    """First run on an early extract (all years), then a run on the full extract
+    that MERGEs the current-year slice."""
     path = new_table_path(spark, "enrollment_trends")
-    U.full_refresh(models(spark, d, early_cutoff()).enrollment_trends(), path, "school_year", KEY)
-    U.upsert(spark, path, models(spark, d).enrollment_trends(incremental=True), KEY, "school_year")
+    run_enrollment_trends(spark, path, models(spark, d, early_cutoff()))
+    run_enrollment_trends(spark, path, models(spark, d))
     return U.read_table(spark, path)
 
 
 @query("upsert_new_column")
 def _upsert_new_col(spark, d):
-    """As S6, but the merged slice carries a new column (older rows read as NULL)."""
+    """As S6, but the second run's model has a new column (older rows read NULL)."""
     path = new_table_path(spark, "enrollment_trends")
-    U.full_refresh(models(spark, d, early_cutoff()).enrollment_trends(), path, "school_year", KEY)
-    src = models(spark, d).enrollment_trends(incremental=True, extra=("num_kindergarten",))
-    U.upsert(spark, path, src, KEY, "school_year")
+    run_enrollment_trends(spark, path, models(spark, d, early_cutoff()))
+    run_enrollment_trends(spark, path, models(spark, d), extra=("num_kindergarten",))
     return U.read_table(spark, path)
 
 
 @query("incremental_full_refresh")
 def _full_refresh(spark, d):
-    """An incremental table rebuilt in full (every old partition replaced)."""
+    """First run on an early extract, then a full refresh on the full extract."""
     path = new_table_path(spark, "enrollment_trends")
-    U.upsert(spark, path, models(spark, d, early_cutoff()).enrollment_trends(incremental=True),
-             KEY, "school_year")
-    U.full_refresh(models(spark, d).enrollment_trends(), path, "school_year", KEY)
+    run_enrollment_trends(spark, path, models(spark, d, early_cutoff()))
+    run_enrollment_trends(spark, path, models(spark, d), full_refresh=True)
     return U.read_table(spark, path)
 
 
@@ -472,5 +473,46 @@ def _stream(spark, d):
     return U.read_table(spark, target)
 
 
+
+
+# ---------------------------------------------------- filters, labels, means
+@query("filter_start_year")
+def _filter_start(spark, d):
+    """Assessment rows whose school year (from the text label) is >= the start year."""
+    m = models(spark, d)
+    raw = m.catalog.table("assessment")
+    return (raw.select("organization_code", F.col("school_year").alias("school_year_label"),
+                       academic_year("school_year").alias("school_year"))
+               .filter(F.col("school_year") >= m.p.start_year))
+
+
+@query("filter_positive_count")
+def _filter_positive(spark, d):
+    """Demographic rows whose cleaned enrollment parses and is positive."""
+    raw = models(spark, d).catalog.table("demographic")
+    n = clean_numeric("num_enrolled")
+    return (raw.select("organization_code", "accountability_year",
+                       F.col("num_enrolled").alias("num_enrolled_raw"), n.alias("total_enrolled"))
+               .filter(F.col("total_enrolled").isNotNull() & (F.col("total_enrolled") > 0)))
+
+
+@query("tier_label")
+def _tiers(spark, d):
+    """F8: absenteeism tier of every distinct cleaned rate (NULL -> Critical)."""
+    raw = models(spark, d).catalog.table("absenteeism")
+    rate = clean_numeric("chronic_absenteeism_rate")
+    return (raw.select(rate.alias("chronic_absenteeism_rate")).distinct()
+               .withColumn("absenteeism_tier", tier_label("chronic_absenteeism_rate")))
+
+
+@query("avg_change")
+def _avg_change(spark, d):
+    """Mean YoY change per region and school, rounded to one decimal."""
+    y = models(spark, d).school_improvement_yoy
+    return y.groupBy("region", "school_name").agg(
+        *[rounded(F.avg(c), 1).alias(f"avg_{c}") for c in
+          ("ela_yoy_change", "math_yoy_change", "composite_yoy_change")])
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -87,13 +87,33 @@ def assert_unique_snapshot(snapshot: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"duplicate snapshot key {dict(dup[0].asDict())}")
 
 
-def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
-    """(run number, state) of the newest run stored at ``path``."""
+def _runs(spark: SparkSession, path: str) -> list[int]:
+    """Run numbers stored at ``path`` (from the ``snapshot_run=<n>`` folder names)."""
     if not table_exists(spark, path):
+        return []
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(RUN_COL + "="):
+            out.append(int(name.split("=", 1)[1]))
+    return out
+
+
+def read_run(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The state written by run ``n`` (partition pruning on the run folder)."""
+    return spark.read.parquet(path).filter(F.col(RUN_COL) == n).drop(RUN_COL)
+
+
+def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
+    """(run number, state) of the newest committed run stored at ``path``."""
+    runs = _runs(spark, path)
+    if not runs:
         return 0, None
-    t = spark.read.parquet(path)
-    n = t.agg(F.max(RUN_COL)).collect()[0][0]
-    return int(n), t.filter(F.col(RUN_COL) == n).drop(RUN_COL)
+    n = max(runs)
+    return n, read_run(spark, path, n)
 
 
 def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequence[str],
@@ -106,4 +126,4 @@ def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequ
     state = (_first(snapshot, keys, check_cols, at) if hist is None else
              scd2_apply(hist, snapshot, keys, check_cols, at, invalidate_hard_deletes))
     state.withColumn(RUN_COL, F.lit(n + 1)).write.mode("append").partitionBy(RUN_COL).parquet(path)
-    return latest(spark, path)[1]
+    return read_run(spark, path, n + 1)

@@ -28,7 +28,7 @@ from proficio.operators.profile import head_tail, select_filter, table_profile
 from proficio.plans.incremental import run_enrollment_trends
 from proficio.plans.marts import AUDIT_COL, improvement_summary, school_regions
 from proficio.plans.snapshots import release_history, school_directory_snapshot
-from proficio.session import new_table_path
+from proficio.session import materialize, new_table_path
 from proficio.sources.seeds import LOCATIONS_SCHEMA, REGIONS_SCHEMA, read_seed, write_seed
 from proficio.sources.sinks import write_clustered, write_csv_extract
 from proficio.streaming.releases import merge_releases
@@ -375,8 +375,11 @@ def _scd2(spark, d):
     """Yearly releases of attendance tiers applied as SCD-2 snapshot runs."""
     m = models(spark, d)
     years = range(m.p.start_year, m.p.current_year + 2)
-    releases = [(m.stg_attendance.filter(F.col("school_year") == y)
-                 .select("school_id", "absenteeism_tier"), _run_at(y)) for y in years]
+    # the staged extract is written once; each yearly release is a slice of it
+    att = materialize(m.stg_attendance.select("school_id", "school_year", "absenteeism_tier"),
+                      "stg-attendance")
+    releases = [(att.filter(F.col("school_year") == y).select("school_id", "absenteeism_tier"),
+                 _run_at(y)) for y in years]
     path = new_table_path(spark, "attendance_tier_history")
     return release_history(spark, path, releases, ["school_id"], ["absenteeism_tier"])
 

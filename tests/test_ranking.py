@@ -66,3 +66,12 @@ def test_dedupe_precedence(spark):
     got = {r.school_id: r.region for r in
            school_regions(spark.createDataFrame(rows, "organization_code string, region string")).collect()}
     assert got == {"2093": "Transformation Network", "2083": "Region 2", "9": "Region 1", "7": "Charter"}
+
+
+def test_rank_columns_shuffle_join_path(spark):
+    """Above the broadcast limit the ranks join back with a shuffle join: same result."""
+    rows = [(i, float(i % 7) if i % 11 else None) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    a = rank_columns(df, [RankSpec("r", "v")], buckets=4, broadcast_rows=0)
+    b = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

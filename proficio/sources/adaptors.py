@@ -97,10 +97,18 @@ def _lineitem_by_part_year(lineitem: DataFrame, rules: dict[str, str]) -> DataFr
             .agg(F.count(F.lit(1)).alias("_n"), *[_sum_if(c, k) for k, c in rules.items()]))
 
 
-def raw_assessment(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+LINEITEM_RULES = {"_math": MATH_RULE, "_ela": ELA_RULE, **TESTED, **ASSESSMENT_BANDS,
+                  "_hi": "l_quantity > 40"}
+
+
+def lineitem_by_part_year(lineitem: DataFrame) -> DataFrame:
+    """Counts per (part, ship year) for both lineitem adaptors (one shared shuffle)."""
+    return _lineitem_by_part_year(lineitem, LINEITEM_RULES)
+
+
+def raw_assessment(lineitem: DataFrame, part: DataFrame, agg: DataFrame | None = None) -> DataFrame:
     """One row per (part, ship year): proficiency percentages as text."""
-    rules = {"_math": MATH_RULE, "_ela": ELA_RULE, **TESTED, **ASSESSMENT_BANDS}
-    agg = _lineitem_by_part_year(lineitem, rules)
+    agg = agg if agg is not None else lineitem_by_part_year(lineitem)
     j = agg.join(part.select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     n, k = F.col("_n"), F.col("l_partkey")
 
@@ -121,9 +129,9 @@ def raw_assessment(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def raw_absenteeism(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+def raw_absenteeism(lineitem: DataFrame, part: DataFrame, agg: DataFrame | None = None) -> DataFrame:
     """One row per (part, ship year): chronic absenteeism rate as text ('' when one line)."""
-    agg = _lineitem_by_part_year(lineitem, {"_hi": "l_quantity > 40"})
+    agg = agg if agg is not None else lineitem_by_part_year(lineitem)
     j = agg.join(part.select("p_partkey", "p_name", "p_brand"),
                  F.col("l_partkey") == F.col("p_partkey"))
     rate = (F.when(F.col("_n") == 1, F.lit(""))

@@ -48,13 +48,22 @@ def test_table_catalog(spark: SparkSession, sf_dir: str, cutoff: str | None = No
     """
     from proficio.sources import adaptors as A
 
+    tables: dict[str, DataFrame] = {}
+
     def t(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        if name not in tables:
+            tables[name] = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        return tables[name]
+
+    def li() -> DataFrame:
+        if "_li_agg" not in tables:
+            tables["_li_agg"] = A.lineitem_by_part_year(t("lineitem"))
+        return tables["_li_agg"]
 
     return Catalog(spark, {
         "demographic": lambda: A.raw_demographic(t("orders"), t("customer"), cutoff),
-        "assessment": lambda: A.raw_assessment(t("lineitem"), t("part")),
-        "absenteeism": lambda: A.raw_absenteeism(t("lineitem"), t("part")),
+        "assessment": lambda: A.raw_assessment(t("lineitem"), t("part"), li()),
+        "absenteeism": lambda: A.raw_absenteeism(t("lineitem"), t("part"), li()),
         "school_regions": lambda: A.raw_regions(t("part"), t("region")),
         "school_locations": lambda: A.raw_locations(t("part")),
     })

@@ -66,9 +66,28 @@ def main() -> None:
             run(qs[name](spark, sf_dir))
             samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
+    extra = {}
+    if not only and os.environ.get("BENCH_COMPARE", "1") == "1":
+        # reference point: the same global rank as one unpartitioned window (single task)
+        from pyspark.sql import Window
+        from pyspark.sql import functions as F
+        from proficio.plans.registry import models, portable
+
+        def plain(spark, d):
+            y = models(spark, d).assessment_yoy.select("school_id", "school_year", "composite_pct")
+            return portable(y.withColumn("composite_rank", F.rank().over(
+                Window.orderBy(F.col("composite_pct").desc_nulls_last()))))
+
+        run(plain(spark, sf_dir))
+        samples = []
+        for _ in range(reps):
+            t0 = time.perf_counter()
+            run(plain(spark, sf_dir))
+            samples.append(time.perf_counter() - t0)
+        extra["global_rank_single_task_window"] = round(statistics.median(samples), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times,
+                      "unit": "sec", "queries": times, "compare": extra,
                       "sf": float(m.group(1)) if m else sf_dir}))
 
 

@@ -49,7 +49,7 @@ def _stack(df: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
     return df.select(F.inline(F.array(*items)))
 
 
-def _bucket(spec_tbl: DataFrame, specs: Sequence[RankSpec], buckets: int) -> Column:
+def _bucket(specs: Sequence[RankSpec], buckets: int) -> Column:
     """Bucket id in rank order: 0 holds the best values, NULLs go last/first."""
     v = F.col("_v")
     last = F.lit(buckets + 1)
@@ -70,10 +70,13 @@ def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 64) -
     cuts = dv.groupBy("_m").agg(
         F.percentile_approx("_v", F.array(*[F.lit(f) for f in fracs]), 1000).alias("_cuts"))
     # one row of cut points per spec: bounded by len(specs)
-    dv = dv.join(F.broadcast(cuts), "_m", "left").withColumn("_b", _bucket(dv, specs, buckets))
-    asc = {i: s.ascending for i, s in enumerate(specs)}
-    # ordering inside a bucket: a sort key that is ascending in rank order
-    key = F.when(F.col("_m").isin([i for i, a in asc.items() if a] or [-1]), F.col("_v")).otherwise(-F.col("_v"))
+    dv = dv.join(F.broadcast(cuts), "_m", "left").withColumn("_b", _bucket(specs, buckets))
+    asc = [i for i, s in enumerate(specs) if s.ascending] or [-1]
+    # ordering inside a bucket: a key that is ascending in rank order (NaN is the
+    # largest double, so it comes first when descending and last when ascending)
+    v = F.col("_v")
+    key = F.when(F.col("_m").isin(asc), F.struct(F.isnan(v).alias("a"), v.alias("b"))).otherwise(
+        F.struct((~F.isnan(v)).alias("a"), (-v).alias("b")))
     dv = dv.withColumn("_k", key).drop("_cuts")
     tot = dv.groupBy("_m", "_g", "_b").agg(F.sum("_n").alias("_t"))
     w_off = Window.partitionBy("_m", "_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proficio.operators.upsert import DuplicateKeyError, table_exists
+from proficio.session import materialize
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 RUN_COL = "snapshot_run"
@@ -119,7 +120,11 @@ def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
 def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequence[str],
                  check_cols: Sequence[str], run_at: Column,
                  invalidate_hard_deletes: bool = True) -> DataFrame:
-    """Apply one snapshot run to the history stored at ``path``; return the new state."""
+    """Apply one snapshot run to the history stored at ``path``; return the new state.
+
+    The snapshot is written once and read by the key check and the comparison.
+    """
+    snapshot = materialize(snapshot.select(*keys, *check_cols), "scd2-snapshot")
     assert_unique_snapshot(snapshot, keys)
     n, hist = latest(spark, path)
     at = run_at.cast("timestamp_ntz")

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proficio.session import new_table_path
+from proficio.session import materialize
 
 
 class DuplicateKeyError(ValueError):
@@ -63,9 +63,14 @@ def full_refresh(df: DataFrame, path: str, partition_col: str, keys: Sequence[st
 
 def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
            partition_col: str) -> None:
-    """MERGE ``src`` into the table at ``path`` on ``keys`` (first run: create it)."""
+    """MERGE ``src`` into the table at ``path`` on ``keys`` (first run: create it).
+
+    ``src`` is computed once: it is written to a staging table that the key
+    check, the touched-partition list and the merge all read.
+    """
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
+    src = materialize(src, "upsert-source")
     assert_unique_keys(src, keys)
     if not table_exists(spark, path):
         full_refresh(src, path, partition_col, keys)
@@ -76,9 +81,6 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
         return
     cur = read_table(spark, path).filter(F.col(partition_col).isin(touched))
     keep = cur.join(src.select(*keys), list(keys), "left_anti")
-    merged = keep.unionByName(src, allowMissingColumns=True)
-    stage = new_table_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    staged = spark.read.parquet(stage)
-    (_layout(staged, partition_col, keys).write.mode("overwrite")
+    merged = materialize(keep.unionByName(src, allowMissingColumns=True), "upsert-merged")
+    (_layout(merged, partition_col, keys).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))

@@ -75,3 +75,13 @@ def test_rank_columns_shuffle_join_path(spark):
     a = rank_columns(df, [RankSpec("r", "v")], buckets=4, broadcast_rows=0)
     b = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_rank_columns_nan_order(spark):
+    rows = [(1, float("nan")), (2, 5.0), (3, None), (4, float("inf")), (5, 5.0)]
+    df = spark.createDataFrame(rows, "id int, v double")
+    got = rank_columns(df, [RankSpec("d", "v"), RankSpec("a", "v", ascending=True)], buckets=2)
+    exp = (df.withColumn("d", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
+             .withColumn("a", F.rank().over(Window.orderBy(F.col("v").asc_nulls_last()))))
+    assert sorted(map(tuple, got.select("id", "d", "a").collect())) == \
+        sorted(map(tuple, exp.select("id", "d", "a").collect()))

@@ -58,7 +58,9 @@ def declared_row_checks() -> dict[str, list[C.RowCheck]]:
     return {m: [_row_check(*t) for t in tests] for m, tests in DECLARED.items()}
 
 
-def model_table(m: Models, name: str) -> DataFrame:
+def model_table(m: Models, name: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+    if tables and name in tables:
+        return tables[name]
     if name.startswith("source_"):
         return m.catalog.table(name[len("source_"):])
     if name == "enrollment_trends":
@@ -66,14 +68,14 @@ def model_table(m: Models, name: str) -> DataFrame:
     return getattr(m, name)
 
 
-def test_summary(m: Models) -> DataFrame:
+def test_summary(m: Models, tables: dict[str, DataFrame] | None = None) -> DataFrame:
     """(model, test_name, column_name, failures) for every declared test.
 
     Row-level tests of a model share one aggregation pass over it.
     """
     out = None
     for model, cks in declared_row_checks().items():
-        part = C.check_summary(model_table(m, model), model, cks)
+        part = C.check_summary(model_table(m, model, tables), model, cks)
         out = part if out is None else out.unionByName(part)
     dup = (C.unique(m.dim_schools, "school_id").agg(F.count(F.lit(1)).cast("long").alias("failures"))
            .select(F.lit("dim_schools").alias("model"), F.lit("unique_school_id").alias("test_name"),

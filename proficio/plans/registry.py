@@ -517,5 +517,18 @@ def _avg_change(spark, d):
           ("ela_yoy_change", "math_yoy_change", "composite_yoy_change")])
 
 
+
+
+# ------------------------------------------------------------- full build
+@query("project_build")
+def _project_build(spark, d):
+    """Full build (dimension, four facts, snapshot) into a fresh target folder, then
+    every declared test over the written tables; returns the test summary."""
+    from proficio.plans.project import build
+    res = build(spark, test_table_catalog(spark, d), TEST_PARAMS, new_table_path(spark, "build"),
+                snapshot_at=F.lit(_run_at(TEST_PARAMS.current_year)))
+    return res.tests
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

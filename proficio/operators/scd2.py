@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from proficio.operators.upsert import DuplicateKeyError, table_exists
-from proficio.session import materialize
+from proficio.session import drop_path, stage
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 RUN_COL = "snapshot_run"
@@ -124,11 +124,14 @@ def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequ
 
     The snapshot is written once and read by the key check and the comparison.
     """
-    snapshot = materialize(snapshot.select(*keys, *check_cols), "scd2-snapshot")
-    assert_unique_snapshot(snapshot, keys)
-    n, hist = latest(spark, path)
-    at = run_at.cast("timestamp_ntz")
-    state = (_first(snapshot, keys, check_cols, at) if hist is None else
-             scd2_apply(hist, snapshot, keys, check_cols, at, invalidate_hard_deletes))
-    state.withColumn(RUN_COL, F.lit(n + 1)).write.mode("append").partitionBy(RUN_COL).parquet(path)
+    snapshot, snap_path = stage(snapshot.select(*keys, *check_cols), "scd2-snapshot")
+    try:
+        assert_unique_snapshot(snapshot, keys)
+        n, hist = latest(spark, path)
+        at = run_at.cast("timestamp_ntz")
+        state = (_first(snapshot, keys, check_cols, at) if hist is None else
+                 scd2_apply(hist, snapshot, keys, check_cols, at, invalidate_hard_deletes))
+        state.withColumn(RUN_COL, F.lit(n + 1)).write.mode("append").partitionBy(RUN_COL).parquet(path)
+    finally:
+        drop_path(spark, snap_path)
     return read_run(spark, path, n + 1)

@@ -7,10 +7,12 @@ kept (anti join), the source rows are added (new columns allowed: old rows
 get NULL), and the result replaces just those partitions (dynamic partition
 overwrite).  Rows absent from the source are never deleted.
 
-The merged slice is first written to a staging folder in the shared work
-folder and the final overwrite reads from there, so the target is never
-read and rewritten by the same job; a lost executor only reruns tasks of
-the staging job.  One writer per table at a time.
+The source slice is computed once into a staging table (read by the key
+check, the partition list and the merge); the merged slice is written to a
+second staging table and the final overwrite reads from there, so the target
+is never read and rewritten by the same job and a lost executor only reruns
+tasks of a staging job.  Staging tables are deleted after the target
+commit.  One writer per table at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proficio.session import materialize
+from proficio.session import drop_path, stage
 
 
 class DuplicateKeyError(ValueError):
@@ -70,7 +72,15 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
     """
     if partition_col not in keys:
         raise ValueError("the partition column must be part of the key")
-    src = materialize(src, "upsert-source")
+    src, src_path = stage(src, "upsert-source")
+    try:
+        _merge(spark, path, src, keys, partition_col)
+    finally:
+        drop_path(spark, src_path)
+
+
+def _merge(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
+           partition_col: str) -> None:
     assert_unique_keys(src, keys)
     if not table_exists(spark, path):
         full_refresh(src, path, partition_col, keys)
@@ -81,6 +91,9 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
         return
     cur = read_table(spark, path).filter(F.col(partition_col).isin(touched))
     keep = cur.join(src.select(*keys), list(keys), "left_anti")
-    merged = materialize(keep.unionByName(src, allowMissingColumns=True), "upsert-merged")
-    (_layout(merged, partition_col, keys).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    merged, merged_path = stage(keep.unionByName(src, allowMissingColumns=True), "upsert-merged")
+    try:
+        (_layout(merged, partition_col, keys).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    finally:
+        drop_path(spark, merged_path)

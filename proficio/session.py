@@ -69,6 +69,21 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/proficio/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a staging table folder (any Hadoop file system)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet in the shared folder; return (re-read DataFrame, path)."""
+    spark = df.sparkSession
+    path = new_table_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), path
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
@@ -77,7 +92,4 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     give the planner real size statistics.  (A reliable ``checkpoint()``
     without persist would compute the input twice.)
     """
-    spark = df.sparkSession
-    path = new_table_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return stage(df, name)[0]

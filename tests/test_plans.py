@@ -53,3 +53,20 @@ def test_scan_prunes_columns(spark):
     p = plan(models(spark, SF).stg_attendance)
     scans = [l for l in p.splitlines() if "FileScan parquet" in l and "lineitem" in l]
     assert scans and all("l_extendedprice" not in s for s in scans)
+
+
+def test_summary_aggregates_on_window_partitioning(spark):
+    """The endpoint/up-down aggregation reuses the window's hash partitioning (no exchange
+    between them), and the join to the dimension adds no exchange on the summary side."""
+    from proficio.plans.marts import improvement_summary
+    m = models(spark, SF)
+    df = improvement_summary(m.assessment_yoy, m.dim_schools, m.p)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    w = next(i for i, l in enumerate(lines) if "Window [" in l)
+    between = lines[:w]
+    join = next(i for i, l in enumerate(between) if "SortMergeJoin" in l or "BroadcastHashJoin" in l)
+    assert not any("Exchange" in l for l in between[join + 1:]), "\n".join(lines[: w + 3])

@@ -79,14 +79,26 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
         drop_path(spark, src_path)
 
 
+def touched_partitions(src: DataFrame, keys: Sequence[str], partition_col: str) -> list:
+    """Partition values present in ``src``; raises on a duplicate key.
+
+    One job: key counts (partial aggregate), then the largest count per
+    partition value -- one row per partition value reaches the driver.
+    """
+    per_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    rows = per_key.groupBy(partition_col).agg(F.max("_n").alias("_max")).collect()
+    bad = [r[0] for r in rows if r["_max"] > 1]
+    if bad:
+        raise DuplicateKeyError(f"duplicate source keys in {partition_col}={bad[0]}")
+    return [r[0] for r in rows]
+
+
 def _merge(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
            partition_col: str) -> None:
-    assert_unique_keys(src, keys)
+    touched = touched_partitions(src, keys, partition_col)
     if not table_exists(spark, path):
         full_refresh(src, path, partition_col, keys)
         return
-    # the slice's partition values: one row per partition, bounded by the partition count
-    touched = [r[0] for r in src.select(partition_col).distinct().collect()]
     if not touched:
         return
     cur = read_table(spark, path).filter(F.col(partition_col).isin(touched))

@@ -146,7 +146,12 @@ def raw_absenteeism(lineitem: DataFrame, part: DataFrame, agg: DataFrame | None
 
 
 def raw_regions(part: DataFrame, region: DataFrame) -> DataFrame:
-    """(organization_code, region) with precedence duplicates and unmapped keys."""
+    """(organization_code, region) with precedence duplicates and unmapped keys.
+
+    The ``% 97`` / ``% 50`` rules shape the seed (schools with no region,
+    special regions); they are input rules, not a sample: every part row is
+    read and every row of the result is used by the queries.
+    """
     k = F.col("p_partkey")
     plain = (part.filter(k % 97 != 0)
              .join(region, (k % 5) == F.col("r_regionkey"))
@@ -160,7 +165,10 @@ def raw_regions(part: DataFrame, region: DataFrame) -> DataFrame:
 
 
 def raw_locations(part: DataFrame) -> DataFrame:
-    """(organization_code, school_name, address, city, state, zip_code)."""
+    """(organization_code, school_name, address, city, state, zip_code).
+
+    ``% 89`` leaves some schools without a location (the left join's NULL case).
+    """
     k = F.col("p_partkey")
     return (part.filter(k % 89 != 0)
             .select(k.cast("string").alias("organization_code"),

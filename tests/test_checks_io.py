@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from proficio.operators import checks as C
 from proficio.session import new_table_path
 from proficio.sources.seeds import LOCATIONS_SCHEMA, read_seed

@@ -3,7 +3,6 @@
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from proficio.functions import (
     academic_year, clean_numeric, composite_mean, direction, rounded, safe_ratio,

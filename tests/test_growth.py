@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from proficio.operators import add_yoy, first_last
+from proficio.operators import first_last
 from proficio.params import Params
 from proficio.plans import marts
 

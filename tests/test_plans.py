@@ -1,6 +1,5 @@
 """Physical-plan properties the design relies on."""
 
-from proficio.params import TEST_PARAMS
 from proficio.plans.registry import models
 
 SF = "/root/testdata/sf0.001"
@@ -32,7 +31,6 @@ def test_topn_uses_window_group_limit(spark):
 
 
 def test_no_python_udf_anywhere(spark):
-    from proficio.plans.registry import queries
     m = models(spark, SF)
     for df in (m.school_improvement_yoy, m.school_performance, m.dim_schools):
         p = plan(df)

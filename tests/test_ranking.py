@@ -5,9 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from proficio.operators import (
-    RankSpec, dedupe_precedence, latest_per_key, rank_columns, topn_per_group,
-)
+from proficio.operators import RankSpec, latest_per_key, rank_columns, topn_per_group
 
 
 def test_rank_columns_equals_window_rank(spark):

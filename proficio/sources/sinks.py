@@ -25,9 +25,10 @@ def write_clustered(df: DataFrame, path: str, partition_col: str,
     partition value, and min/max statistics on the sort columns let
     readers skip row groups.
     """
-    n = files_per_partition
-    parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    out = df.repartitionByRange(int(n or parts), F.col(partition_col), *[F.col(c) for c in sort_cols])
+    cols = [F.col(partition_col), *[F.col(c) for c in sort_cols]]
+    # without an explicit count adaptive execution sizes the range partitions
+    out = (df.repartitionByRange(files_per_partition, *cols) if files_per_partition
+           else df.repartitionByRange(*cols))
     out = out.sortWithinPartitions(partition_col, *sort_cols)
     out.write.mode("overwrite").partitionBy(partition_col).parquet(path)
 

@@ -13,18 +13,18 @@ join, NULL-safe comparison of the checked columns):
 Only current versions take part in the join; closed history is a plain
 union.  ``snapshot_run`` stores each run's full state as a new partition
 ``snapshot_run=<n>`` (append-only, so a failed run leaves the previous state
-intact) and the latest partition is the table.
+intact) and the latest partition is the table.  A run is one job: the
+duplicate-key check is a count over PARTITION BY key evaluated inside it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from proficio.operators.upsert import DuplicateKeyError, table_exists
-from proficio.session import drop_path, stage
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 RUN_COL = "snapshot_run"
@@ -35,9 +35,24 @@ def _scd_id(keys: Sequence[str], at: Column) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
+DUP_MSG = "duplicate snapshot key"
+
+
+def _unique_marker(keys: Sequence[str]) -> Column:
+    """TRUE on every row, but stops the job when the row's key occurs twice.
+
+    A count over PARTITION BY key: same hash partitioning as the comparison's
+    join on the key, so the check adds no shuffle and no separate job.
+    """
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return F.when(n > 1, F.raise_error(F.lit(f"{DUP_MSG} ({', '.join(keys)})"))).otherwise(F.lit(True))
+
+
 def _first(snapshot: DataFrame, keys: Sequence[str], check_cols: Sequence[str], at: Column) -> DataFrame:
     """Every snapshot row opens a version (first run)."""
     cols = [*keys, *check_cols]
+    snapshot = (snapshot.withColumn("_ok", _unique_marker(keys)).filter(F.col("_ok"))
+                .drop("_ok"))
     return snapshot.select(*cols, _scd_id(keys, at).alias("scd_id"), at.alias("updated_at"),
                            at.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
 
@@ -55,7 +70,8 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: Sequence[st
     closed = hist.filter(F.col("valid_to").isNotNull())
     cur = hist.filter(F.col("valid_to").isNull())
     o = cur.select(*[F.col(c).alias(f"_o_{c}") for c in cur.columns])
-    n = snap.select(*[F.col(c).alias(f"_n_{c}") for c in cols], F.lit(True).alias("_n_here"))
+    n = snap.select(*[F.col(c).alias(f"_n_{c}") for c in cols],
+                    _unique_marker(keys).alias("_n_here"))
     on = None
     for k in keys:
         e = F.col(f"_o_{k}") == F.col(f"_n_{k}")
@@ -122,16 +138,18 @@ def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequ
                  invalidate_hard_deletes: bool = True) -> DataFrame:
     """Apply one snapshot run to the history stored at ``path``; return the new state.
 
-    The snapshot is written once and read by the key check and the comparison.
+    One job: the comparison and the duplicate-key check run inside the
+    append of the new run partition; a duplicate key aborts the job, so no
+    partial run is committed.
     """
-    snapshot, snap_path = stage(snapshot.select(*keys, *check_cols), "scd2-snapshot")
+    n, hist = latest(spark, path)
+    at = run_at.cast("timestamp_ntz")
+    state = (_first(snapshot, keys, check_cols, at) if hist is None else
+             scd2_apply(hist, snapshot, keys, check_cols, at, invalidate_hard_deletes))
     try:
-        assert_unique_snapshot(snapshot, keys)
-        n, hist = latest(spark, path)
-        at = run_at.cast("timestamp_ntz")
-        state = (_first(snapshot, keys, check_cols, at) if hist is None else
-                 scd2_apply(hist, snapshot, keys, check_cols, at, invalidate_hard_deletes))
         state.withColumn(RUN_COL, F.lit(n + 1)).write.mode("append").partitionBy(RUN_COL).parquet(path)
-    finally:
-        drop_path(spark, snap_path)
+    except Exception as e:  # the in-job key check surfaces as a job failure
+        if DUP_MSG in str(e):
+            raise DuplicateKeyError(f"{DUP_MSG} in snapshot for {path}") from e
+        raise
     return read_run(spark, path, n + 1)

@@ -71,3 +71,9 @@ def test_scd2_rejects_duplicate_keys(spark):
     path = new_table_path(spark, "t-scd2-dup")
     with pytest.raises(upsert.DuplicateKeyError):
         run(spark, path, [("1", "A"), ("1", "B")], "2020-01-01 00:00:00")
+    assert scd2.latest(spark, path)[0] == 0          # nothing committed
+    run(spark, path, [("1", "A"), ("2", "B")], "2020-01-01 00:00:00")
+    with pytest.raises(upsert.DuplicateKeyError):
+        run(spark, path, [("1", "A"), ("2", "C"), ("2", "D")], "2021-01-01 00:00:00")
+    n, state = scd2.latest(spark, path)                # the failed run left run 1 intact
+    assert n == 1 and state.count() == 2

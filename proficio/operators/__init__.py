@@ -5,7 +5,7 @@ from proficio.operators.endpoints import distinct_rows, first_last, first_last_a
 from proficio.operators.normalize import minmax_bounds, minmax_normalize
 from proficio.operators.profile import head_tail, select_filter, table_profile
 from proficio.operators.ranking import (
-    RankSpec, dedupe_precedence, latest_per_key, rank_columns, rank_within, ranked_values,
+    RankSpec, dedupe_precedence, latest_per_key, rank_columns, ranked_values,
     topn_per_group,
 )
 from proficio.operators.yoy import add_yoy
@@ -15,5 +15,5 @@ __all__ = [
     "add_yoy", "distinct_rows", "first_last", "first_last_aggs", "minmax_bounds",
     "minmax_normalize", "head_tail", "select_filter", "table_profile",
     "RankSpec", "dedupe_precedence", "latest_per_key", "rank_columns",
-    "rank_within", "ranked_values", "topn_per_group",
+    "ranked_values", "topn_per_group",
 ]

@@ -107,12 +107,6 @@ def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 64,
     return out
 
 
-def rank_within(df: DataFrame, out: str, partition_by: Sequence[str],
-                order_by: Sequence[Column]) -> DataFrame:
-    """Built-in ``rank()`` over PARTITION BY; any order keys (text allowed)."""
-    return df.withColumn(out, F.rank().over(Window.partitionBy(*partition_by).orderBy(*order_by)))
-
-
 def topn_per_group(df: DataFrame, n: int, partition_by: Sequence[str], order_by: Sequence[Column],
                    rank_col: str = "rank") -> DataFrame:
     """Rows whose ``rank()`` within the group is <= n (ties kept).

@@ -98,12 +98,6 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: Sequence[st
     return closed.unionByName(olds).unionByName(opened)
 
 
-def assert_unique_snapshot(snapshot: DataFrame, keys: Sequence[str]) -> None:
-    dup = snapshot.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise DuplicateKeyError(f"duplicate snapshot key {dict(dup[0].asDict())}")
-
-
 def _runs(spark: SparkSession, path: str) -> list[int]:
     """Run numbers stored at ``path`` (from the ``snapshot_run=<n>`` folder names)."""
     if not table_exists(spark, path):

@@ -37,13 +37,6 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise when a key occurs twice in the source (a MERGE would be ambiguous)."""
-    dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
-    if dup:
-        raise DuplicateKeyError(f"duplicate source key {dict(dup[0].asDict())}")
-
-
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a partitioned table, merging the schemas of old and new files."""
     return spark.read.option("mergeSchema", "true").parquet(path)

@@ -40,6 +40,26 @@ def parquet_catalog(spark: SparkSession, paths: Mapping[str, str]) -> Catalog:
     return Catalog(spark, {n: (lambda p=p: spark.read.parquet(p)) for n, p in paths.items()})
 
 
+def csv_catalog(spark: SparkSession, paths: Mapping[str, str]) -> Catalog:
+    """Raw tables stored as CSV with a header.
+
+    The two seeds get their typed schemas (codes stay text); the raw extracts
+    are read with every column as text (no inference pass), which is what the
+    cleaning functions expect.
+    """
+    from proficio.sources.seeds import LOCATIONS_SCHEMA, REGIONS_SCHEMA, read_seed
+
+    schemas = {"school_regions": REGIONS_SCHEMA, "school_locations": LOCATIONS_SCHEMA}
+
+    def loader(name: str, path: str):
+        if name in schemas:
+            return lambda: read_seed(spark, path, schemas[name])
+        return lambda: (spark.read.option("header", "true").option("escape", '"')
+                        .option("inferSchema", "false").csv(path))
+
+    return Catalog(spark, {n: loader(n, p) for n, p in paths.items()})
+
+
 def test_table_catalog(spark: SparkSession, sf_dir: str, cutoff: str | None = None) -> Catalog:
     """Raw school tables built from the driver's test tables in ``sf_dir``.
 

@@ -40,3 +40,15 @@ def test_seed_csv_quotes_and_text_keys(spark):
     assert got["0042"].school_name == 'Mary "Ms" Smith ES'
     assert got["0042"].address == '1735 "D" St., Apt 2' and got["0042"].zip_code == "089101"
     assert got["2511"].school_name == "Escuela Nuñez" and got["2511"].address is None
+
+
+def test_csv_catalog_reads_text(spark):
+    from proficio.sources.catalog import csv_catalog
+    d = new_table_path(spark, "raw-csv")
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, "demo.csv"), "w", encoding="utf-8") as f:
+        f.write("organization_code,school_name,accountability_year,num_enrolled\n")
+        f.write("0042,A,2023-2024,<5\n0043,B,2023-2024,120\n")
+    t = csv_catalog(spark, {"demographic": d}).table("demographic")
+    assert all(str(f.dataType) == "StringType()" for f in t.schema.fields)
+    assert sorted(r.organization_code for r in t.collect()) == ["0042", "0043"]

@@ -8,9 +8,11 @@ PARTITION BY sends every row to one task; here the work is split three ways:
    aggregate, so a value carried by a third of all rows becomes one row
    before the shuffle;
 2. the distinct values of each measure are cut into ``buckets`` ordered
-   ranges by approximate quantiles (one small row of cut points per
-   measure); per (group, bucket) totals give each bucket's offset, and a
-   running sum inside a bucket gives the count of strictly better values;
+   ranges by approximate quantiles (a single scalar subquery: spec -> cut
+   points, bounded by specs x buckets); a row finds its bucket with a
+   two-level search; per (group, bucket) totals give each bucket's offset (a window
+   over at most buckets + 2 rows per group), and a running sum inside a
+   bucket gives the count of strictly better values;
 3. the ranked distinct values join back to the rows on (group, value).  The
    ranked table is written once to the shared folder, its size is counted,
    and it is broadcast only under ``broadcast_rows``; above that the join is
@@ -22,6 +24,7 @@ Order keys must be numeric (they are cast to DOUBLE for the cut points).
 from __future__ import annotations
 
 from collections.abc import Sequence
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,35 +52,61 @@ def _stack(df: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
     return df.select(F.inline(F.array(*items)))
 
 
-def _bucket(specs: Sequence[RankSpec], buckets: int) -> Column:
-    """Bucket id in rank order: 0 holds the best values, NULLs go last/first."""
+def _stride(buckets: int) -> int:
+    return max(2, math.isqrt(max(buckets - 1, 1)) + 1)
+
+
+def _with_bucket(dv: DataFrame, per_spec: DataFrame, specs: Sequence[RankSpec],
+                 buckets: int) -> DataFrame:
+    """Add ``_b``, the bucket id in rank order (0 holds the best values).
+
+    ``per_spec`` holds each spec's ascending cut points.  The number of cut
+    points below (ascending) or at-or-below (descending) a value is a prefix
+    count, found in two levels: a coarse table (every stride-th cut point,
+    one row per spec) gives the block, a block table (one row per spec and
+    block, stride - 1 cut points) gives the count inside it -- about
+    2*sqrt(buckets) comparisons per row.  Both tables are broadcast; together
+    they hold at most len(specs) * buckets doubles.  NULLs go to the last (or
+    first) bucket.
+    """
+    stride = _stride(buckets)
+    cuts = F.col("_cuts")
+    coarse = per_spec.select(
+        "_m", F.filter(cuts, lambda x, i: (i + 1) % stride == 0).alias("_k"),
+        F.coalesce(F.size(cuts), F.lit(0)).alias("_nc"))
+    blocks = per_spec.select("_m", F.inline(F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(cuts) / stride).cast("int")),
+        lambda j: F.struct(j.alias("_j"), F.slice(cuts, j * stride + 1, stride - 1).alias("_blk")))))
+    asc = F.col("_m").isin([i for i, s in enumerate(specs) if s.ascending] or [-1])
     v = F.col("_v")
-    last = F.lit(buckets + 1)
-    by_spec = None
-    for i, s in enumerate(specs):
-        better = (lambda c: c > v) if not s.ascending else (lambda c: c < v)
-        b = F.coalesce(F.size(F.filter(F.col("_cuts"), better)), F.lit(0))
-        nb = last if s.nulls_last else F.lit(-1)
-        e = F.when(v.isNull(), nb).otherwise(b)
-        by_spec = F.when(F.col("_m") == i, e) if by_spec is None else by_spec.when(F.col("_m") == i, e)
-    return by_spec
+
+    def prefix(arr):
+        return F.coalesce(F.when(asc, F.size(F.filter(arr, lambda x: x < v))).otherwise(
+            F.size(F.filter(arr, lambda x: x <= v))), F.lit(0))
+
+    dv = dv.join(F.broadcast(coarse), "_m", "left").withColumn("_j", prefix(F.col("_k"))).drop("_k")
+    dv = dv.join(F.broadcast(blocks), ["_m", "_j"], "left")
+    lo = F.col("_j") * stride + prefix(F.col("_blk"))
+    b = F.when(asc, lo).otherwise(F.col("_nc") - lo)
+    nulls_first = F.col("_m").isin([i for i, s in enumerate(specs) if not s.nulls_last] or [-1])
+    nb = F.when(nulls_first, F.lit(-1)).otherwise(F.lit(buckets + 1))
+    return dv.withColumn("_b", F.when(v.isNull(), nb).otherwise(b)).drop("_j", "_blk", "_nc")
 
 
-def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 64) -> DataFrame:
+def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024) -> DataFrame:
     """(_m, _g, _v, _rank): SQL rank of every distinct (group, value) per spec."""
     dv = _stack(df, specs).groupBy("_m", "_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
     fracs = [i / buckets for i in range(1, buckets)]
-    cuts = dv.groupBy("_m").agg(
-        F.percentile_approx("_v", F.array(*[F.lit(f) for f in fracs]), 1000).alias("_cuts"))
-    # one row of cut points per spec: bounded by len(specs)
-    dv = dv.join(F.broadcast(cuts), "_m", "left").withColumn("_b", _bucket(specs, buckets))
+    per_spec = dv.groupBy("_m").agg(F.percentile_approx(
+        "_v", F.array(*[F.lit(f) for f in fracs]), max(10_000, 10 * buckets)).alias("_cuts"))
+    dv = _with_bucket(dv, per_spec, specs, buckets)
     asc = [i for i, s in enumerate(specs) if s.ascending] or [-1]
     # ordering inside a bucket: a key that is ascending in rank order (NaN is the
     # largest double, so it comes first when descending and last when ascending)
     v = F.col("_v")
     key = F.when(F.col("_m").isin(asc), F.struct(F.isnan(v).alias("a"), v.alias("b"))).otherwise(
         F.struct((~F.isnan(v)).alias("a"), (-v).alias("b")))
-    dv = dv.withColumn("_k", key).drop("_cuts")
+    dv = dv.withColumn("_k", key)
     tot = dv.groupBy("_m", "_g", "_b").agg(F.sum("_n").alias("_t"))
     w_off = Window.partitionBy("_m", "_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_off), F.lit(0))).drop("_t")
@@ -88,7 +117,7 @@ def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 64) -
                     .cast("long").alias("_rank")))
 
 
-def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 64,
+def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
                  broadcast_rows: int = 500_000) -> DataFrame:
     """Add one ``rank()`` column per spec (BIGINT)."""
     ranks = materialize(ranked_values(df, specs, buckets), "ranks")

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 def spark():
     s = (SparkSession.builder.master("local[4]").appName("proficio-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "4g")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")

@@ -18,7 +18,11 @@ PARTITION BY sends every row to one task; here the work is split three ways:
    and it is broadcast only under ``broadcast_rows``; above that the join is
    a shuffle join on the value (adaptive execution splits a hot value).
 
-Order keys must be numeric (they are cast to DOUBLE for the cut points).
+Order keys must be numeric; they are compared as DOUBLE (exact for doubles
+and for integers/decimals below 2**53).  Cut points are per spec, shared by
+all groups of a partitioned spec: a group whose values sit in a narrow range
+uses fewer buckets, so its in-bucket windows are larger (still bounded by
+that group's distinct values, never by its row count).
 """
 
 from __future__ import annotations

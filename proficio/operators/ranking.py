@@ -19,10 +19,10 @@ PARTITION BY sends every row to one task; here the work is split three ways:
    a shuffle join on the value (adaptive execution splits a hot value).
 
 Order keys must be numeric; they are compared as DOUBLE (exact for doubles
-and for integers/decimals below 2**53).  Cut points are per spec, shared by
-all groups of a partitioned spec: a group whose values sit in a narrow range
-uses fewer buckets, so its in-bucket windows are larger (still bounded by
-that group's distinct values, never by its row count).
+and for integers/decimals below 2**53).  Cut points are per spec; the
+largest groups of a partitioned spec (by distinct values, at most
+HOT_GROUPS per spec) get cut points of their own, so a hot group is split
+evenly even when its values sit in a narrow range.
 """
 
 from __future__ import annotations
@@ -60,25 +60,29 @@ def _stride(buckets: int) -> int:
     return max(2, math.isqrt(max(buckets - 1, 1)) + 1)
 
 
-def _with_bucket(dv: DataFrame, per_spec: DataFrame, specs: Sequence[RankSpec],
+HOT_GROUPS = 32
+
+
+def _with_bucket(dv: DataFrame, cut_tbl: DataFrame, specs: Sequence[RankSpec],
                  buckets: int) -> DataFrame:
     """Add ``_b``, the bucket id in rank order (0 holds the best values).
 
-    ``per_spec`` holds each spec's ascending cut points.  The number of cut
-    points below (ascending) or at-or-below (descending) a value is a prefix
-    count, found in two levels: a coarse table (every stride-th cut point,
-    one row per spec) gives the block, a block table (one row per spec and
-    block, stride - 1 cut points) gives the count inside it -- about
-    2*sqrt(buckets) comparisons per row.  Both tables are broadcast; together
-    they hold at most len(specs) * buckets doubles.  NULLs go to the last (or
-    first) bucket.
+    ``cut_tbl`` holds ascending cut points per (spec, cut key) (see
+    :func:`_with_cut_key`); ``dv`` already carries its cut key ``_ck``.
+    The number of cut points below (ascending) or at-or-below (descending) a
+    value is a prefix count, found in two levels: a coarse table (every
+    stride-th cut point) gives the block, a block table (stride - 1 cut
+    points per block) gives the count inside it -- about 2*sqrt(buckets)
+    comparisons per row.  Both tables are broadcast; together they hold at
+    most len(specs) * (HOT_GROUPS + 1) * buckets doubles.  NULLs go to the
+    last (or first) bucket.
     """
     stride = _stride(buckets)
     cuts = F.col("_cuts")
-    coarse = per_spec.select(
-        "_m", F.filter(cuts, lambda x, i: (i + 1) % stride == 0).alias("_k"),
+    coarse = cut_tbl.select(
+        "_m", "_ck", F.filter(cuts, lambda x, i: (i + 1) % stride == 0).alias("_k"),
         F.coalesce(F.size(cuts), F.lit(0)).alias("_nc"))
-    blocks = per_spec.select("_m", F.inline(F.transform(
+    blocks = cut_tbl.select("_m", "_ck", F.inline(F.transform(
         F.sequence(F.lit(0), F.floor(F.size(cuts) / stride).cast("int")),
         lambda j: F.struct(j.alias("_j"), F.slice(cuts, j * stride + 1, stride - 1).alias("_blk")))))
     asc = F.col("_m").isin([i for i, s in enumerate(specs) if s.ascending] or [-1])
@@ -88,22 +92,44 @@ def _with_bucket(dv: DataFrame, per_spec: DataFrame, specs: Sequence[RankSpec],
         return F.coalesce(F.when(asc, F.size(F.filter(arr, lambda x: x < v))).otherwise(
             F.size(F.filter(arr, lambda x: x <= v))), F.lit(0))
 
-    dv = dv.join(F.broadcast(coarse), "_m", "left").withColumn("_j", prefix(F.col("_k"))).drop("_k")
-    dv = dv.join(F.broadcast(blocks), ["_m", "_j"], "left")
+    dv = dv.join(F.broadcast(coarse), ["_m", "_ck"], "left").withColumn("_j", prefix(F.col("_k")))
+    dv = dv.drop("_k").join(F.broadcast(blocks), ["_m", "_ck", "_j"], "left")
     lo = F.col("_j") * stride + prefix(F.col("_blk"))
     b = F.when(asc, lo).otherwise(F.col("_nc") - lo)
     nulls_first = F.col("_m").isin([i for i, s in enumerate(specs) if not s.nulls_last] or [-1])
     nb = F.when(nulls_first, F.lit(-1)).otherwise(F.lit(buckets + 1))
-    return dv.withColumn("_b", F.when(v.isNull(), nb).otherwise(b)).drop("_j", "_blk", "_nc")
+    return dv.withColumn("_b", F.when(v.isNull(), nb).otherwise(b)).drop("_j", "_blk", "_nc", "_ck")
 
 
-def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024) -> DataFrame:
+def _with_cut_key(dv: DataFrame, hot_groups: int) -> DataFrame:
+    """Add ``_ck``: the group for the ``hot_groups`` groups of each spec with the
+    most distinct values, the empty array for every other group.
+
+    The top-k is a ``row_number() <= k`` filter, so a partial
+    WindowGroupLimit keeps at most k groups per spec in each map task; the
+    hot table (at most specs x k rows) is broadcast.
+    """
+    none = F.array().cast("array<string>")
+    if hot_groups <= 0:
+        return dv.withColumn("_ck", none)
+    sizes = dv.filter(F.size("_g") > 0).groupBy("_m", "_g").agg(F.count(F.lit(1)).alias("_d"))
+    w = Window.partitionBy("_m").orderBy(F.col("_d").desc(), F.col("_g"))
+    hot = (sizes.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= hot_groups)
+                .select("_m", "_g", F.lit(True).alias("_hot")))
+    return (dv.join(F.broadcast(hot), ["_m", "_g"], "left")
+              .withColumn("_ck", F.when(F.col("_hot"), F.col("_g")).otherwise(none)).drop("_hot"))
+
+
+def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
+                  hot_groups: int = HOT_GROUPS) -> DataFrame:
     """(_m, _g, _v, _rank): SQL rank of every distinct (group, value) per spec."""
     dv = _stack(df, specs).groupBy("_m", "_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    fracs = [i / buckets for i in range(1, buckets)]
-    per_spec = dv.groupBy("_m").agg(F.percentile_approx(
-        "_v", F.array(*[F.lit(f) for f in fracs]), max(10_000, 10 * buckets)).alias("_cuts"))
-    dv = _with_bucket(dv, per_spec, specs, buckets)
+    dv = _with_cut_key(dv, hot_groups if any(s.partition_by for s in specs) else 0)
+    # quantile cut points per (spec, cut key): at most specs x (hot_groups + 1) rows
+    fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cut_tbl = dv.groupBy("_m", "_ck").agg(
+        F.percentile_approx("_v", fracs, max(10_000, 10 * buckets)).alias("_cuts"))
+    dv = _with_bucket(dv, cut_tbl, specs, buckets)
     asc = [i for i, s in enumerate(specs) if s.ascending] or [-1]
     # ordering inside a bucket: a key that is ascending in rank order (NaN is the
     # largest double, so it comes first when descending and last when ascending)
@@ -122,14 +148,14 @@ def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024)
 
 
 def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
-                 broadcast_rows: int = 500_000) -> DataFrame:
+                 broadcast_rows: int = 500_000, hot_groups: int = HOT_GROUPS) -> DataFrame:
     """Add one ``rank()`` column per spec (BIGINT)."""
-    ranks = materialize(ranked_values(df, specs, buckets), "ranks")
+    ranks = materialize(ranked_values(df, specs, buckets, hot_groups), "ranks")
     sizes = {r["_m"]: r["n"] for r in ranks.groupBy("_m").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for i, s in enumerate(specs):
         r = ranks.filter(F.col("_m") == i).select(
-            *[F.col("_g")[j].alias(f"_p{j}") for j in range(len(s.partition_by))],
+            *[F.get(F.col("_g"), j).alias(f"_p{j}") for j in range(len(s.partition_by))],
             F.col("_v").alias("_rv"), F.col("_rank").alias(s.out))
         if sizes.get(i, 0) <= broadcast_rows:
             r = F.broadcast(r)

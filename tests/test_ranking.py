@@ -83,3 +83,21 @@ def test_rank_columns_nan_order(spark):
              .withColumn("a", F.rank().over(Window.orderBy(F.col("v").asc_nulls_last()))))
     assert sorted(map(tuple, got.select("id", "d", "a").collect())) == \
         sorted(map(tuple, exp.select("id", "d", "a").collect()))
+
+
+def test_hot_narrow_group_is_split(spark):
+    from proficio.operators import ranking as R
+    rows = [(i, "hot", 1.0 + i / 100000.0) for i in range(2000)]            # narrow range
+    rows += [(10000 + i, f"g{i % 5}", float(i)) for i in range(500)]         # wide range
+    df = spark.createDataFrame(rows, "id int, g string, v double")
+    specs = [RankSpec("r", "v", partition_by=("g",))]
+    dv = R._stack(df, specs).groupBy("_m", "_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    dv = R._with_cut_key(dv, R.HOT_GROUPS)
+    fracs = F.array(*[F.lit(i / 16) for i in range(1, 16)])
+    cut_tbl = dv.groupBy("_m", "_ck").agg(F.percentile_approx("_v", fracs, 10000).alias("_cuts"))
+    b = R._with_bucket(dv, cut_tbl, specs, 16)
+    hot_buckets = b.filter(F.get(F.col("_g"), 0) == "hot").select("_b").distinct().count()
+    assert hot_buckets >= 12                       # spread, not one bucket
+    got = rank_columns(df, specs, buckets=16)
+    exp = df.withColumn("e", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
+    assert got.join(exp, "id").filter(F.col("r") != F.col("e")).count() == 0

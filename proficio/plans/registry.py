@@ -40,7 +40,8 @@ REGISTRY: dict[str, Query] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Integers -> BIGINT, whole decimals -> BIGINT, other decimals/floats -> DOUBLE."""
+    """Integers -> BIGINT, whole decimals -> BIGINT, other decimals/floats -> DOUBLE,
+    timestamps -> 'yyyy-MM-dd HH:mm:ss' text (no time-zone or precision ambiguity)."""
     cols = []
     for f in df.schema.fields:
         t = f.dataType
@@ -51,6 +52,8 @@ def portable(df: DataFrame) -> DataFrame:
             c = c.cast("bigint") if t.scale == 0 else c.cast("double")
         elif isinstance(t, T.FloatType):
             c = c.cast("double")
+        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

@@ -120,23 +120,34 @@ def _with_cut_key(dv: DataFrame, hot_groups: int) -> DataFrame:
               .withColumn("_ck", F.when(F.col("_hot"), F.col("_g")).otherwise(none)).drop("_hot"))
 
 
-def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
-                  hot_groups: int = HOT_GROUPS) -> DataFrame:
-    """(_m, _g, _v, _rank): SQL rank of every distinct (group, value) per spec."""
-    dv = _stack(df, specs).groupBy("_m", "_g", "_v").agg(F.count(F.lit(1)).alias("_n"))
+def _order_key(specs: Sequence[RankSpec]) -> Column:
+    """A key ascending in rank order: NULLs last (or first), NaN the largest double."""
+    v = F.col("_v")
+    asc = F.col("_m").isin([i for i, s in enumerate(specs) if s.ascending] or [-1])
+    nulls_first = F.col("_m").isin([i for i, s in enumerate(specs) if not s.nulls_last] or [-1])
+    null_pos = F.when(v.isNull(), F.when(nulls_first, F.lit(-1)).otherwise(F.lit(1))).otherwise(0)
+    return F.when(asc, F.struct(null_pos.alias("p"), F.isnan(v).alias("a"), v.alias("b"))).otherwise(
+        F.struct(null_pos.alias("p"), (~F.isnan(v)).alias("a"), (-v).alias("b")))
+
+
+def _rank_direct(dv: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
+    """Ranks by one running sum per (spec, group) over the distinct values."""
+    w = (Window.partitionBy("_m", "_g").orderBy("_k")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (dv.withColumn("_k", _order_key(specs))
+              .select("_m", "_g", "_v", (F.sum("_n").over(w) - F.col("_n") + 1).cast("long")
+                      .alias("_rank")))
+
+
+def _rank_bucketed(dv: DataFrame, specs: Sequence[RankSpec], buckets: int,
+                   hot_groups: int) -> DataFrame:
+    """Ranks by bucket offsets plus a running sum inside each (spec, group, bucket)."""
     dv = _with_cut_key(dv, hot_groups if any(s.partition_by for s in specs) else 0)
     # quantile cut points per (spec, cut key): at most specs x (hot_groups + 1) rows
     fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     cut_tbl = dv.groupBy("_m", "_ck").agg(
         F.percentile_approx("_v", fracs, max(10_000, 10 * buckets)).alias("_cuts"))
-    dv = _with_bucket(dv, cut_tbl, specs, buckets)
-    asc = [i for i, s in enumerate(specs) if s.ascending] or [-1]
-    # ordering inside a bucket: a key that is ascending in rank order (NaN is the
-    # largest double, so it comes first when descending and last when ascending)
-    v = F.col("_v")
-    key = F.when(F.col("_m").isin(asc), F.struct(F.isnan(v).alias("a"), v.alias("b"))).otherwise(
-        F.struct((~F.isnan(v)).alias("a"), (-v).alias("b")))
-    dv = dv.withColumn("_k", key)
+    dv = _with_bucket(dv, cut_tbl, specs, buckets).withColumn("_k", _order_key(specs))
     tot = dv.groupBy("_m", "_g", "_b").agg(F.sum("_n").alias("_t"))
     w_off = Window.partitionBy("_m", "_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_off), F.lit(0))).drop("_t")
@@ -147,10 +158,28 @@ def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
                     .cast("long").alias("_rank")))
 
 
+def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
+                  hot_groups: int = HOT_GROUPS, direct_limit: int = 1_000_000) -> DataFrame:
+    """(_m, _g, _v, _rank): SQL rank of every distinct (group, value) per spec.
+
+    The distinct (spec, group, value) counts are written once; their largest
+    group size is checked (one small aggregate).  Up to ``direct_limit``
+    distinct values per group a single running sum per group ranks them;
+    above it the bucketed path splits every group into quantile buckets.
+    """
+    dv = materialize(_stack(df, specs).groupBy("_m", "_g", "_v")
+                     .agg(F.count(F.lit(1)).alias("_n")), "rank-values")
+    largest = dv.groupBy("_m", "_g").agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
+    if (largest or 0) <= direct_limit:
+        return _rank_direct(dv, specs)
+    return _rank_bucketed(dv, specs, buckets, hot_groups)
+
+
 def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
-                 broadcast_rows: int = 500_000, hot_groups: int = HOT_GROUPS) -> DataFrame:
+                 broadcast_rows: int = 500_000, hot_groups: int = HOT_GROUPS,
+                 direct_limit: int = 1_000_000) -> DataFrame:
     """Add one ``rank()`` column per spec (BIGINT)."""
-    ranks = materialize(ranked_values(df, specs, buckets, hot_groups), "ranks")
+    ranks = materialize(ranked_values(df, specs, buckets, hot_groups, direct_limit), "ranks")
     sizes = {r["_m"]: r["n"] for r in ranks.groupBy("_m").agg(F.count(F.lit(1)).alias("n")).collect()}
     out = df
     for i, s in enumerate(specs):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from proficio.operators import RankSpec, rank_columns, upsert
 from proficio.session import new_table_path
 
-SETTINGS = settings(max_examples=8, deadline=None,
+SETTINGS = settings(max_examples=10, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 values = st.one_of(st.none(), st.integers(-5, 5).map(float))
@@ -16,11 +16,13 @@ rows_st = st.lists(st.tuples(st.sampled_from(["a", "b", None]), values), min_siz
 
 
 @SETTINGS
-@given(rows=rows_st, buckets=st.integers(1, 6), asc=st.booleans())
-def test_rank_equals_window(spark, rows, buckets, asc):
+@given(rows=rows_st, buckets=st.integers(1, 6), asc=st.booleans(),
+       direct_limit=st.sampled_from([0, 10**6]))
+def test_rank_equals_window(spark, rows, buckets, asc, direct_limit):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id int, g string, v double")
     got = rank_columns(df, [RankSpec("r", "v", ascending=asc),
-                            RankSpec("rg", "v", partition_by=("g",), ascending=asc)], buckets=buckets)
+                            RankSpec("rg", "v", partition_by=("g",), ascending=asc)], buckets=buckets,
+                       direct_limit=direct_limit)
     o = F.col("v").asc_nulls_last() if asc else F.col("v").desc_nulls_last()
     exp = (df.withColumn("r", F.rank().over(Window.orderBy(o)))
              .withColumn("rg", F.rank().over(Window.partitionBy("g").orderBy(o))))

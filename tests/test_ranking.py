@@ -2,13 +2,15 @@
 
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from proficio.operators import RankSpec, latest_per_key, rank_columns, topn_per_group
 
 
-def test_rank_columns_equals_window_rank(spark):
+@pytest.mark.parametrize("direct_limit", [0, 10**6])
+def test_rank_columns_equals_window_rank(spark, direct_limit):
     rnd = random.Random(7)
     rows = []
     for i in range(3000):
@@ -21,7 +23,7 @@ def test_rank_columns_equals_window_rank(spark):
     specs = [RankSpec("r_desc", "v"), RankSpec("r_asc", "w", ascending=True),
              RankSpec("r_grp", "v", partition_by=("g",)),
              RankSpec("r_nf", "v", ascending=True, nulls_last=False)]
-    got = rank_columns(df, specs, buckets=8)
+    got = rank_columns(df, specs, buckets=8, direct_limit=direct_limit)
     exp = (df.withColumn("e_desc", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
              .withColumn("e_asc", F.rank().over(Window.orderBy(F.col("w").asc_nulls_last())))
              .withColumn("e_grp", F.rank().over(Window.partitionBy("g")
@@ -34,9 +36,10 @@ def test_rank_columns_equals_window_rank(spark):
     assert bad.count() == 0
 
 
-def test_rank_all_null_measure(spark):
+@pytest.mark.parametrize("direct_limit", [0, 10**6])
+def test_rank_all_null_measure(spark, direct_limit):
     df = spark.createDataFrame([(1, None), (2, None)], "id int, v double")
-    got = rank_columns(df, [RankSpec("r", "v")]).collect()
+    got = rank_columns(df, [RankSpec("r", "v")], direct_limit=direct_limit).collect()
     assert sorted(r.r for r in got) == [1, 1]
 
 
@@ -70,15 +73,17 @@ def test_rank_columns_shuffle_join_path(spark):
     """Above the broadcast limit the ranks join back with a shuffle join: same result."""
     rows = [(i, float(i % 7) if i % 11 else None) for i in range(500)]
     df = spark.createDataFrame(rows, "id int, v double")
-    a = rank_columns(df, [RankSpec("r", "v")], buckets=4, broadcast_rows=0)
+    a = rank_columns(df, [RankSpec("r", "v")], buckets=4, broadcast_rows=0, direct_limit=0)
     b = df.withColumn("r", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
-def test_rank_columns_nan_order(spark):
+@pytest.mark.parametrize("direct_limit", [0, 10**6])
+def test_rank_columns_nan_order(spark, direct_limit):
     rows = [(1, float("nan")), (2, 5.0), (3, None), (4, float("inf")), (5, 5.0)]
     df = spark.createDataFrame(rows, "id int, v double")
-    got = rank_columns(df, [RankSpec("d", "v"), RankSpec("a", "v", ascending=True)], buckets=2)
+    got = rank_columns(df, [RankSpec("d", "v"), RankSpec("a", "v", ascending=True)], buckets=2,
+                       direct_limit=direct_limit)
     exp = (df.withColumn("d", F.rank().over(Window.orderBy(F.col("v").desc_nulls_last())))
              .withColumn("a", F.rank().over(Window.orderBy(F.col("v").asc_nulls_last()))))
     assert sorted(map(tuple, got.select("id", "d", "a").collect())) == \
@@ -98,6 +103,6 @@ def test_hot_narrow_group_is_split(spark):
     b = R._with_bucket(dv, cut_tbl, specs, 16)
     hot_buckets = b.filter(F.get(F.col("_g"), 0) == "hot").select("_b").distinct().count()
     assert hot_buckets >= 12                       # spread, not one bucket
-    got = rank_columns(df, specs, buckets=16)
+    got = rank_columns(df, specs, buckets=16, direct_limit=0)
     exp = df.withColumn("e", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
     assert got.join(exp, "id").filter(F.col("r") != F.col("e")).count() == 0

@@ -6,13 +6,16 @@ PARTITION BY sends every row to one task; here the work is split three ways:
 
 1. rows collapse to distinct (group, value) pairs with a count -- a partial
    aggregate, so a value carried by a third of all rows becomes one row
-   before the shuffle;
-2. the distinct values of each measure are cut into ``buckets`` ordered
-   ranges by approximate quantiles (a single scalar subquery: spec -> cut
-   points, bounded by specs x buckets); a row finds its bucket with a
-   two-level search; per (group, bucket) totals give each bucket's offset (a window
-   over at most buckets + 2 rows per group), and a running sum inside a
-   bucket gives the count of strictly better values;
+   before the shuffle -- written once to the shared folder;
+2. the largest group's distinct count is checked.  Up to ``direct_limit``
+   a running sum per (spec, group) over its distinct values gives the count
+   of strictly better values.  Above it, the distinct values are cut into
+   ``buckets`` ordered ranges by approximate quantiles (cut points per spec,
+   and per hot group; two broadcast tables bounded by specs x (hot groups +
+   1) x buckets doubles); a row finds its bucket with a two-level search;
+   per (group, bucket) totals give each bucket's offset (a window over at
+   most buckets + 2 rows per group), and a running sum inside a bucket
+   gives the count of strictly better values;
 3. the ranked distinct values join back to the rows on (group, value).  The
    ranked table is written once to the shared folder, its size is counted,
    and it is broadcast only under ``broadcast_rows``; above that the join is

@@ -161,29 +161,44 @@ def _rank_bucketed(dv: DataFrame, specs: Sequence[RankSpec], buckets: int,
                     .cast("long").alias("_rank")))
 
 
+def _ranked(df: DataFrame, specs: Sequence[RankSpec], buckets: int, hot_groups: int,
+            direct_limit: int) -> tuple[DataFrame, dict[int, int]]:
+    """(ranked distinct values, rows per spec).
+
+    The distinct (spec, group, value) counts are written once.  One small
+    aggregate returns, per spec, its number of distinct values (the size of
+    its rank table) and its largest group (which path to take): at most
+    len(specs) rows reach the driver.
+    """
+    dv = materialize(_stack(df, specs).groupBy("_m", "_g", "_v")
+                     .agg(F.count(F.lit(1)).alias("_n")), "rank-values")
+    stats = (dv.groupBy("_m", "_g").agg(F.count(F.lit(1)).alias("_d"))
+               .groupBy("_m").agg(F.sum("_d").alias("rows"), F.max("_d").alias("largest"))
+               .collect())
+    sizes = {r["_m"]: r["rows"] for r in stats}
+    largest = max((r["largest"] for r in stats), default=0)
+    if largest <= direct_limit:
+        return _rank_direct(dv, specs), sizes
+    return _rank_bucketed(dv, specs, buckets, hot_groups), sizes
+
+
 def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
                   hot_groups: int = HOT_GROUPS, direct_limit: int = 1_000_000) -> DataFrame:
     """(_m, _g, _v, _rank): SQL rank of every distinct (group, value) per spec.
 
-    The distinct (spec, group, value) counts are written once; their largest
-    group size is checked (one small aggregate).  Up to ``direct_limit``
-    distinct values per group a single running sum per group ranks them;
-    above it the bucketed path splits every group into quantile buckets.
+    Up to ``direct_limit`` distinct values in every group, a single running
+    sum per group ranks them; above it the bucketed path splits every group
+    into quantile buckets.
     """
-    dv = materialize(_stack(df, specs).groupBy("_m", "_g", "_v")
-                     .agg(F.count(F.lit(1)).alias("_n")), "rank-values")
-    largest = dv.groupBy("_m", "_g").agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
-    if (largest or 0) <= direct_limit:
-        return _rank_direct(dv, specs)
-    return _rank_bucketed(dv, specs, buckets, hot_groups)
+    return _ranked(df, specs, buckets, hot_groups, direct_limit)[0]
 
 
 def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
                  broadcast_rows: int = 500_000, hot_groups: int = HOT_GROUPS,
                  direct_limit: int = 1_000_000) -> DataFrame:
     """Add one ``rank()`` column per spec (BIGINT)."""
-    ranks = materialize(ranked_values(df, specs, buckets, hot_groups, direct_limit), "ranks")
-    sizes = {r["_m"]: r["n"] for r in ranks.groupBy("_m").agg(F.count(F.lit(1)).alias("n")).collect()}
+    ranked, sizes = _ranked(df, specs, buckets, hot_groups, direct_limit)
+    ranks = materialize(ranked, "ranks")
     out = df
     for i, s in enumerate(specs):
         r = ranks.filter(F.col("_m") == i).select(

@@ -13,7 +13,7 @@ join, NULL-safe comparison of the checked columns):
 Only current versions take part in the join; closed history is a plain
 union.  ``snapshot_run`` stores each run's full state as a new partition
 ``snapshot_run=<n>`` (append-only, so a failed run leaves the previous state
-intact) and the latest partition is the table.  A run is one job: the
+intact) and the latest partition is the table.  A run is one write action: the
 duplicate-key check is a count over PARTITION BY key evaluated inside it.
 """
 
@@ -132,7 +132,7 @@ def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequ
                  invalidate_hard_deletes: bool = True) -> DataFrame:
     """Apply one snapshot run to the history stored at ``path``; return the new state.
 
-    One job: the comparison and the duplicate-key check run inside the
+    One write action: the comparison and the duplicate-key check run inside the
     append of the new run partition; a duplicate key aborts the job, so no
     partial run is committed.
     """

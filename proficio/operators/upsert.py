@@ -75,7 +75,7 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
 def touched_partitions(src: DataFrame, keys: Sequence[str], partition_col: str) -> list:
     """Partition values present in ``src``; raises on a duplicate key.
 
-    One job: key counts (partial aggregate), then the largest count per
+    One action: key counts (partial aggregate), then the largest count per
     partition value -- one row per partition value reaches the driver.
     """
     per_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

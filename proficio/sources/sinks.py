@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full rebuild of a table (Parquet); the job commit replaces the old files."""
+    """Full rebuild of a table (Parquet, static overwrite: the old files are removed when
+    the write starts, so readers must not read the table during a rebuild)."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -76,6 +76,30 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def clean_work(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]:
+    """Delete this library's intermediate tables older than ``older_than_hours``.
+
+    Intermediates behind a returned DataFrame (summary, rank tables, staged
+    inputs) live in ``<spark.checkpoint.dir>/proficio/``; run this between jobs
+    (never while a job may still read them).  Returns the deleted paths.
+    """
+    import time
+
+    base = shared_dir(spark).rstrip("/") + "/proficio"
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    cutoff = (time.time() - older_than_hours * 3600) * 1000
+    gone = []
+    for st in fs.listStatus(p):
+        if st.getModificationTime() < cutoff:
+            fs.delete(st.getPath(), True)
+            gone.append(st.getPath().toString())
+    return gone
+
+
 def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder; return (re-read DataFrame, path)."""
     spark = df.sparkSession

@@ -77,3 +77,10 @@ def test_scd2_rejects_duplicate_keys(spark):
         run(spark, path, [("1", "A"), ("2", "C"), ("2", "D")], "2021-01-01 00:00:00")
     n, state = scd2.latest(spark, path)                # the failed run left run 1 intact
     assert n == 1 and state.count() == 2
+
+
+def test_clean_work_removes_only_old_intermediates(spark):
+    from proficio.session import clean_work, materialize
+    df = materialize(spark.range(3), "fresh")
+    assert not any("fresh" in p for p in clean_work(spark, older_than_hours=1.0))
+    assert df.count() == 3                      # a fresh intermediate is still readable

@@ -80,7 +80,13 @@ def test_scd2_rejects_duplicate_keys(spark):
 
 
 def test_clean_work_removes_only_old_intermediates(spark):
-    from proficio.session import clean_work, materialize
-    df = materialize(spark.range(3), "fresh")
-    assert not any("fresh" in p for p in clean_work(spark, older_than_hours=1.0))
-    assert df.count() == 3                      # a fresh intermediate is still readable
+    from proficio.session import clean_work, stage
+    _, old_path = stage(spark.range(2), "clean-old")
+    fresh = stage(spark.range(3), "clean-fresh")[0]
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(old_path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(p, 0, 0)   # back-date to 1970
+    gone = clean_work(spark, older_than_hours=24.0)  # nothing of this session is a day old
+    old_name = old_path.rstrip("/").split("/")[-1]
+    assert [g.rstrip("/").split("/")[-1] for g in gone if "clean-" in g] == [old_name]
+    assert fresh.count() == 3                      # a fresh intermediate is still readable

@@ -107,3 +107,18 @@ def test_consistency_with_and_without_flat(spark):
     df = spark.createDataFrame([("s", 1.0), ("s", 0.0), ("s", -1.0)], "k string, c double")
     assert consistency(df, ["k"], "c", include_flat=False).first()[1] == 0.5
     assert consistency(df, ["k"], "c", include_flat=True).first()[1] == 0.33
+
+
+def test_one_school_per_category(spark):
+    p = Params(start_year=2019)
+    series = {"ci": [40, 50], "cf": [40, 42], "bg": [40, 70, 60], "mp": [40, 50, 45], "na": [40, 30]}
+    rows = [(k, k.upper(), 2019 + i, v, v, False, False) for k, vals in series.items()
+            for i, v in enumerate(vals)]
+    y = marts.assessment_yoy(staged(spark, rows))
+    out = {r.school_id: r for r in marts.school_improvement(y, dim(spark, list(series)), p).collect()}
+    assert {k: out[k].improvement_category for k in series} == {
+        "ci": "Consistently Improving", "cf": "Consistent but Flat", "bg": "Big Gains",
+        "mp": "Mixed Progress", "na": "Needs Attention"}
+    assert {k: out[k].composite_overall_rank for k in series} == {
+        "bg": 1, "ci": 2, "mp": 3, "cf": 4, "na": 5}
+    assert out["bg"].consistency_score == 0.5 and out["ci"].consistency_score == 1.0

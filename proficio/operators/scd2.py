@@ -10,8 +10,9 @@ join, NULL-safe comparison of the checked columns):
 * a new or re-appearing key opens a version;
 * unchanged keys and closed versions pass through untouched.
 
-Only current versions take part in the join; closed history is a plain
-union.  ``snapshot_run`` stores each run's full state as a new partition
+Only current versions take part in the join (one full outer join; each
+joined row emits the old version and the one it opens); closed history is a
+plain union.  ``snapshot_run`` stores each run's full state as a new partition
 ``snapshot_run=<n>`` (append-only, so a failed run leaves the previous state
 intact) and the latest partition is the table.  A run is one write action: the
 duplicate-key check is a count over PARTITION BY key evaluated inside it.
@@ -60,7 +61,12 @@ def _first(snapshot: DataFrame, keys: Sequence[str], check_cols: Sequence[str],
 def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: Sequence[str],
                check_cols: Sequence[str], run_at: Column,
                invalidate_hard_deletes: bool = True) -> DataFrame:
-    """New history = old history + this snapshot (pure DataFrame function)."""
+    """New history = old history + this snapshot (pure DataFrame function).
+
+    One full outer join of the current versions with the snapshot on the key;
+    each joined row emits up to two version rows (the old one, kept or
+    closed, and the one it opens), so both sides are shuffled once.
+    """
     cols = [*keys, *check_cols]
     snap = snapshot.select(*cols)
     at = run_at.cast("timestamp_ntz")
@@ -70,32 +76,37 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: Sequence[st
     closed = hist.filter(F.col("valid_to").isNotNull())
     cur = hist.filter(F.col("valid_to").isNull())
     o = cur.select(*[F.col(c).alias(f"_o_{c}") for c in cur.columns])
-    n = snap.select(*[F.col(c).alias(f"_n_{c}") for c in cols],
-                    _unique_marker(keys).alias("_n_here"))
+    n = snap.select(*[F.col(c).alias(f"_n_{c}") for c in cols])
+    # the duplicate check partitions by the join key itself: one shuffle serves both
+    n = n.withColumn("_n_here", _unique_marker([f"_n_{k}" for k in keys]))
     on = None
     for k in keys:
         e = F.col(f"_o_{k}") == F.col(f"_n_{k}")
         on = e if on is None else on & e
     j = o.join(n, on, "full_outer")
-    old_here = F.col(f"_o_{keys[0]}").isNotNull() | F.col("_o_scd_id").isNotNull()
+    old_here = F.col("_o_scd_id").isNotNull()
     new_here = F.col("_n_here").isNotNull()
     same = F.lit(True)
     for c in check_cols:
         same = same & F.col(f"_o_{c}").eqNullSafe(F.col(f"_n_{c}"))
     changed = old_here & new_here & ~same
     gone = old_here & ~new_here if invalidate_hard_deletes else F.lit(False)
-    # current versions: kept open, or closed at this run
-    olds = j.filter(old_here).select(
+    no_end = F.lit(None).cast("timestamp_ntz")
+    # the current version: kept open, or closed at this run
+    old_row = F.when(old_here, F.struct(
         *[F.col(f"_o_{c}").alias(c) for c in cols],
         F.col("_o_scd_id").alias("scd_id"), F.col("_o_updated_at").alias("updated_at"),
         F.col("_o_valid_from").alias("valid_from"),
-        F.when(changed | gone, at).otherwise(F.lit(None).cast("timestamp_ntz")).alias("valid_to"))
-    # versions opened by this run
-    opened = j.filter(new_here & (~old_here | changed)).select(
-        *[F.col(f"_n_{c}").alias(c) for c in cols])
-    opened = opened.select(*cols, _scd_id(keys, at).alias("scd_id"), at.alias("updated_at"),
-                           at.alias("valid_from"), F.lit(None).cast("timestamp_ntz").alias("valid_to"))
-    return closed.unionByName(olds).unionByName(opened)
+        F.when(changed | gone, at).otherwise(no_end).alias("valid_to")))
+    # the version this run opens (new key, re-appearing key, or changed values)
+    new_cols = [F.col(f"_n_{c}").alias(c) for c in cols]
+    new_row = F.when(new_here & (~old_here | changed), F.struct(
+        *new_cols,
+        _scd_id([f"_n_{k}" for k in keys], at).alias("scd_id"), at.alias("updated_at"),
+        at.alias("valid_from"), no_end.alias("valid_to")))
+    versions = (j.select(F.explode(F.array(old_row, new_row)).alias("_r"))
+                 .filter(F.col("_r").isNotNull()).select("_r.*"))
+    return closed.unionByName(versions)
 
 
 def _runs(spark: SparkSession, path: str) -> list[int]:

@@ -37,6 +37,22 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def partition_paths(spark: SparkSession, path: str, partition_col: str, values) -> list[str]:
+    """Folders of the listed partition values that exist under ``path``."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    wanted = {str(v) for v in values}
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(partition_col + "="):
+            if unescape(name.split("=", 1)[1]) in wanted:
+                out.append(st.getPath().toString())
+    return out
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a partitioned table, merging the schemas of old and new files."""
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -94,9 +110,16 @@ def _merge(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
         return
     if not touched:
         return
-    cur = read_table(spark, path).filter(F.col(partition_col).isin(touched))
-    keep = cur.join(src.select(*keys), list(keys), "left_anti")
-    merged, merged_path = stage(keep.unionByName(src, allowMissingColumns=True), "upsert-merged")
+    # only the touched partitions are read (their footers merged for schema drift),
+    # never the whole table
+    parts = partition_paths(spark, path, partition_col, touched)
+    if parts:
+        cur = (spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*parts))
+        keep = cur.join(src.select(*keys), list(keys), "left_anti")
+        merged = keep.unionByName(src, allowMissingColumns=True)
+    else:
+        merged = src
+    merged, merged_path = stage(merged, "upsert-merged")
     try:
         (_layout(merged, partition_col, keys).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))

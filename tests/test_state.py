@@ -90,3 +90,17 @@ def test_clean_work_removes_only_old_intermediates(spark):
     old_name = old_path.rstrip("/").split("/")[-1]
     assert [g.rstrip("/").split("/")[-1] for g in gone if "clean-" in g] == [old_name]
     assert fresh.count() == 3                      # a fresh intermediate is still readable
+
+
+def test_upsert_keeps_new_columns_of_untouched_rows(spark):
+    path = new_table_path(spark, "t-upsert-drift")
+    keys = ["school_id", "school_year"]
+    upsert.upsert(spark, path, spark.createDataFrame([("a", 2022, 1), ("c", 2023, 3)], S),
+                  keys, "school_year")
+    upsert.upsert(spark, path, spark.createDataFrame([("c", 2023, 30, 7), ("d", 2023, 4, 8)],
+                                                      S + ", new_col int"), keys, "school_year")
+    # a later slice without the new column: the untouched row d keeps its value
+    upsert.upsert(spark, path, spark.createDataFrame([("c", 2023, 31)], S), keys, "school_year")
+    got = {(r.school_id, r.school_year): (r.total, r.new_col)
+           for r in upsert.read_table(spark, path).collect()}
+    assert got == {("a", 2022): (1, None), ("c", 2023): (31, None), ("d", 2023): (4, 8)}

@@ -125,8 +125,9 @@ def _runs(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_run(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """The state written by run ``n`` (partition pruning on the run folder)."""
-    return spark.read.parquet(path).filter(F.col(RUN_COL) == n).drop(RUN_COL)
+    """The state written by run ``n``: only that run's folder is listed and read."""
+    base = path.rstrip("/")
+    return spark.read.option("basePath", base).parquet(f"{base}/{RUN_COL}={n}").drop(RUN_COL)
 
 
 def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:

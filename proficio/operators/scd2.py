@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from proficio.operators.upsert import DuplicateKeyError, table_exists
+from proficio.session import drop_path
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
 RUN_COL = "snapshot_run"
@@ -141,12 +142,13 @@ def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
 
 def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequence[str],
                  check_cols: Sequence[str], run_at: Column,
-                 invalidate_hard_deletes: bool = True) -> DataFrame:
+                 invalidate_hard_deletes: bool = True, keep_runs: int | None = None) -> DataFrame:
     """Apply one snapshot run to the history stored at ``path``; return the new state.
 
     One write action: the comparison and the duplicate-key check run inside the
     append of the new run partition; a duplicate key aborts the job, so no
-    partial run is committed.
+    partial run is committed.  ``keep_runs`` (optional) removes all but the
+    newest runs after the commit (each run holds the full history).
     """
     n, hist = latest(spark, path)
     at = run_at.cast("timestamp_ntz")
@@ -158,4 +160,7 @@ def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequ
         if DUP_MSG in str(e):
             raise DuplicateKeyError(f"{DUP_MSG} in snapshot for {path}") from e
         raise
+    if keep_runs:
+        for old in sorted(_runs(spark, path))[:-keep_runs]:
+            drop_path(spark, f"{path.rstrip('/')}/{RUN_COL}={old}")
     return read_run(spark, path, n + 1)

@@ -14,6 +14,7 @@ release order.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql.types import StructType
 
 from proficio.operators.ranking import latest_per_key
 from proficio.operators.upsert import upsert
-from proficio.session import new_table_path
+from proficio.session import shared_dir
 
 
 def newest_release(df: DataFrame, raw_keys: Sequence[str], release_col: str) -> DataFrame:
@@ -35,8 +36,15 @@ def merge_releases(spark: SparkSession, landing: str, schema: StructType,
                    raw_keys: Sequence[str], keys: Sequence[str], partition_col: str,
                    release_col: str = "release", checkpoint: str | None = None,
                    max_files_per_trigger: int | None = None) -> None:
-    """Process every release file available now under ``landing``, then stop."""
-    ckpt = checkpoint or new_table_path(spark, "release-stream-checkpoint")
+    """Process every release file available now under ``landing``, then stop.
+
+    The default checkpoint is derived from the target path, so repeated runs
+    for the same target resume where the previous one stopped.
+    """
+    if checkpoint is None:
+        digest = hashlib.sha1(target.rstrip("/").encode()).hexdigest()[:16]
+        checkpoint = f"{shared_dir(spark).rstrip('/')}/proficio/release-stream-{digest}"
+    ckpt = checkpoint
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = to_rows(newest_release(batch, raw_keys, release_col))

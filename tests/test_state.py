@@ -104,3 +104,12 @@ def test_upsert_keeps_new_columns_of_untouched_rows(spark):
     got = {(r.school_id, r.school_year): (r.total, r.new_col)
            for r in upsert.read_table(spark, path).collect()}
     assert got == {("a", 2022): (1, None), ("c", 2023): (31, None), ("d", 2023): (4, 8)}
+
+
+def test_scd2_keep_runs(spark):
+    path = new_table_path(spark, "t-scd2-keep")
+    for y in (2020, 2021, 2022):
+        st = scd2.snapshot_run(spark, path, spark.createDataFrame([("1", f"A{y}")], D), ["school_id"],
+                               ["school_name"], F.lit(f"{y}-01-01 00:00:00"), keep_runs=2)
+    assert sorted(scd2._runs(spark, path)) == [2, 3]
+    assert st.count() == 3                         # the newest state still holds the whole history

@@ -81,7 +81,8 @@ def clean_work(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]
 
     Intermediates behind a returned DataFrame (summary, rank tables, staged
     inputs) live in ``<spark.checkpoint.dir>/proficio/``; run this between jobs
-    (never while a job may still read them).  Returns the deleted paths.
+    (never while a job may still read them).  Stream checkpoints
+    (``release-stream-*``) are kept.  Returns the deleted paths.
     """
     import time
 
@@ -94,6 +95,8 @@ def clean_work(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]
     cutoff = (time.time() - older_than_hours * 3600) * 1000
     gone = []
     for st in fs.listStatus(p):
+        if st.getPath().getName().startswith("release-stream-"):
+            continue
         if st.getModificationTime() < cutoff:
             fs.delete(st.getPath(), True)
             gone.append(st.getPath().toString())

@@ -1,5 +1,6 @@
 """Command line: build / run / snapshot / test / story over configured raw tables.
 
+    python -m proficio seed     --config project.json
     python -m proficio build    --config project.json
     python -m proficio run      --config project.json --select fct_enrollment_trends [--full-refresh]
     python -m proficio snapshot --config project.json
@@ -50,7 +51,7 @@ def _models(spark, cfg: dict) -> Models:
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="proficio")
-    ap.add_argument("command", choices=["build", "run", "snapshot", "test", "story"])
+    ap.add_argument("command", choices=["seed", "build", "run", "snapshot", "test", "story"])
     ap.add_argument("--config", required=True)
     ap.add_argument("--select", default=None)
     ap.add_argument("--full-refresh", action="store_true")
@@ -61,6 +62,12 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session()
     target = cfg.get("target", "").rstrip("/")
     m = _models(spark, cfg)
+    if a.command == "seed":
+        # the two seeds as tables (codes typed as text), like loading seed CSVs
+        for name in ("school_regions", "school_locations"):
+            if name in cfg["tables"]:
+                write_table(m.catalog.table(name), f"{target}/seeds/{name}")
+        return 0
     if a.command == "build":
         res = build(spark, m.catalog, m.p, target, full_refresh=a.full_refresh)
         res.tests.show(100, truncate=False)

@@ -25,6 +25,8 @@ def test_cli_build_run_snapshot_test(spark, capsys):
     # the year range test of staging (2015-2030) fails on 1990s data: exit code 1, like a failed test
     assert main(["build", "--config", cfg]) == 1
     assert "accepted_range_school_year" in capsys.readouterr().out
+    assert main(["seed", "--config", cfg]) == 0
+    assert spark.read.parquet(f"{target}/seeds/school_regions").count() > 0
     assert main(["run", "--config", cfg, "--select", "fct_enrollment_trends"]) == 0
     assert main(["run", "--config", cfg, "--select", "fct_enrollment_trends", "--full-refresh"]) == 0
     assert main(["snapshot", "--config", cfg]) == 0

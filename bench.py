@@ -58,14 +58,18 @@ def main() -> None:
     from proficio.plans.registry import queries
     qs = queries()
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in only or HEADLINE:
-        run(qs[name](spark, sf_dir))  # warm-up
-        samples = []
-        for _ in range(reps):
-            t0 = time.perf_counter()
-            run(qs[name](spark, sf_dir))
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+        try:
+            run(qs[name](spark, sf_dir))  # warm-up
+            samples = []
+            for _ in range(reps):
+                t0 = time.perf_counter()
+                run(qs[name](spark, sf_dir))
+                samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 3)
+        except Exception as e:  # report the failure, keep measuring the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     extra = {}
     if not only and os.environ.get("BENCH_COMPARE", "1") == "1":
         # reference point: the same global rank as one unpartitioned window (single task)
@@ -86,9 +90,11 @@ def main() -> None:
             samples.append(time.perf_counter() - t0)
         extra["global_rank_single_task_window"] = round(statistics.median(samples), 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "compare": extra,
-                      "sf": float(m.group(1)) if m else sf_dir}))
+    out = {"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "compare": extra, "sf": float(m.group(1)) if m else sf_dir}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":

@@ -68,3 +68,14 @@ def test_summary_aggregates_on_window_partitioning(spark):
     between = lines[:w]
     join = next(i for i, l in enumerate(between) if "SortMergeJoin" in l or "BroadcastHashJoin" in l)
     assert not any("Exchange" in l for l in between[join + 1:]), "\n".join(lines[: w + 3])
+
+
+def test_no_cross_joins(spark):
+    """Only the one-row min/max bounds may use a nested-loop join; nothing is Cartesian."""
+    from proficio.plans import stories
+    m = models(spark, SF)
+    for df in (m.dim_schools, m.school_improvement_yoy, m.school_performance,
+               m.enrollment_trends(), stories.story_consistency_top5(m.school_improvement_yoy),
+               stories.story_breakthroughs_top3(m.school_improvement_yoy)):
+        p = plan(df)
+        assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, p

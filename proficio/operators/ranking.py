@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from proficio.session import materialize
 
@@ -49,7 +50,16 @@ class RankSpec:
     nulls_last: bool = True
 
 
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+            T.DecimalType)
+
+
 def _stack(df: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    for s in specs:
+        if not isinstance(types.get(s.order_by), _NUMERIC):
+            raise TypeError(f"rank_columns needs a numeric order key; {s.order_by!r} is "
+                            f"{types.get(s.order_by)} (use a window rank for text keys)")
     items = []
     for i, s in enumerate(specs):
         grp = (F.array(*[F.col(c).cast("string") for c in s.partition_by]) if s.partition_by

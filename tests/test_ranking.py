@@ -106,3 +106,9 @@ def test_hot_narrow_group_is_split(spark):
     got = rank_columns(df, specs, buckets=16, direct_limit=0)
     exp = df.withColumn("e", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
     assert got.join(exp, "id").filter(F.col("r") != F.col("e")).count() == 0
+
+
+def test_rank_columns_rejects_text_keys(spark):
+    df = spark.createDataFrame([(1, "a")], "id int, name string")
+    with pytest.raises(TypeError, match="numeric order key"):
+        rank_columns(df, [RankSpec("r", "name")])

@@ -113,3 +113,16 @@ def test_scd2_keep_runs(spark):
                                ["school_name"], F.lit(f"{y}-01-01 00:00:00"), keep_runs=2)
     assert sorted(scd2._runs(spark, path)) == [2, 3]
     assert st.count() == 3                         # the newest state still holds the whole history
+
+
+def test_scd2_composite_key(spark):
+    path = new_table_path(spark, "t-scd2-composite")
+    sch = "district string, school_id string, school_name string"
+
+    def go(rows, at):
+        return scd2.snapshot_run(spark, path, spark.createDataFrame(rows, sch),
+                                 ["district", "school_id"], ["school_name"], F.lit(at))
+    go([("d1", "1", "A"), ("d2", "1", "B")], "2020-01-01 00:00:00")
+    st = go([("d1", "1", "A"), ("d2", "1", "B2")], "2021-01-01 00:00:00")
+    v = sorted((r.district, r.school_name, r.valid_to is None) for r in st.collect())
+    assert v == [("d1", "A", True), ("d2", "B", False), ("d2", "B2", True)]

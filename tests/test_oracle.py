@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem".split()
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9))
+        return "nan" if math.isnan(v) else repr(v)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return repr(v)

@@ -79,3 +79,14 @@ def test_no_cross_joins(spark):
                stories.story_breakthroughs_top3(m.school_improvement_yoy)):
         p = plan(df)
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, p
+
+
+def test_yoy_single_window_exchange(spark):
+    """All lags (ELA, math, composite) and the grain check share one exchange on school_id."""
+    y = models(spark, SF).assessment_yoy
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = y._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("Exchange hashpartitioning(school_id") == 1, p

@@ -10,5 +10,8 @@ Layout:
 """
 
 from proficio.params import Params
+from proficio.plans.build import Models
+from proficio.session import get_session
+from proficio.sources.catalog import Catalog, csv_catalog, parquet_catalog
 
-__all__ = ["Params"]
+__all__ = ["Catalog", "Models", "Params", "csv_catalog", "get_session", "parquet_catalog"]

@@ -4,7 +4,7 @@
     python -m proficio build    --config project.json
     python -m proficio run      --config project.json --select fct_enrollment_trends [--full-refresh]
     python -m proficio snapshot --config project.json
-    python -m proficio test     --config project.json
+    python -m proficio test     --config project.json [--select dim_schools]
     python -m proficio story    --config project.json --select story_consistency_top5
 
 project.json:
@@ -86,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
                                   F.current_timestamp())
         return 0
     if a.command == "test":
-        t = test_summary(m)
+        t = test_summary(m, select=a.select)
         t.show(100, truncate=False)
         return 0 if t.filter(F.col("failures") > 0).isEmpty() else 1
     name = a.select or STORIES[0]

@@ -68,16 +68,23 @@ def model_table(m: Models, name: str, tables: dict[str, DataFrame] | None = None
     return getattr(m, name)
 
 
-def test_summary(m: Models, tables: dict[str, DataFrame] | None = None) -> DataFrame:
+def test_summary(m: Models, tables: dict[str, DataFrame] | None = None,
+                 select: str | None = None) -> DataFrame:
     """(model, test_name, column_name, failures) for every declared test.
 
     Row-level tests of a model share one aggregation pass over it.
     """
     out = None
     for model, cks in declared_row_checks().items():
+        if select and model != select:
+            continue
         part = C.check_summary(model_table(m, model, tables), model, cks)
         out = part if out is None else out.unionByName(part)
+    if select and select != "dim_schools":
+        if out is None:
+            raise ValueError(f"no declared tests for {select!r}; one of {sorted(DECLARED)}")
+        return out
     dup = (C.unique(m.dim_schools, "school_id").agg(F.count(F.lit(1)).cast("long").alias("failures"))
            .select(F.lit("dim_schools").alias("model"), F.lit("unique_school_id").alias("test_name"),
                    F.lit("school_id").alias("column_name"), "failures"))
-    return out.unionByName(dup)
+    return dup if out is None else out.unionByName(dup)

@@ -30,6 +30,7 @@ def test_cli_build_run_snapshot_test(spark, capsys):
     assert main(["run", "--config", cfg, "--select", "fct_enrollment_trends"]) == 0
     assert main(["run", "--config", cfg, "--select", "fct_enrollment_trends", "--full-refresh"]) == 0
     assert main(["snapshot", "--config", cfg]) == 0
+    assert main(["test", "--config", cfg, "--select", "dim_schools"]) == 0   # its tests pass
     assert main(["story", "--config", cfg, "--select", "story_needs_support", "--show", "3"]) == 0
     assert spark.read.parquet(f"{target}/dim_schools").count() > 0
     assert spark.read.parquet(f"{target}/scd_school_directory").select("snapshot_run").distinct().count() == 2

@@ -2,7 +2,7 @@
 
     python -m proficio seed     --config project.json
     python -m proficio build    --config project.json
-    python -m proficio run      --config project.json --select fct_enrollment_trends [--full-refresh]
+    python -m proficio run      --config project.json [--select fct_enrollment_trends] [--full-refresh]
     python -m proficio snapshot --config project.json
     python -m proficio test     --config project.json [--select dim_schools]
     python -m proficio story    --config project.json --select story_consistency_top5
@@ -73,13 +73,15 @@ def main(argv: list[str] | None = None) -> int:
         res.tests.show(100, truncate=False)
         return 0 if res.tests.filter(F.col("failures") > 0).isEmpty() else 1
     if a.command == "run":
-        name = a.select or "fct_enrollment_trends"
-        if name == "fct_enrollment_trends":
-            run_enrollment_trends(spark, f"{target}/{name}", m, full_refresh=a.full_refresh)
-        elif name in TABLE_MODELS:
-            write_table(getattr(m, TABLE_MODELS[name]), f"{target}/{name}")
-        else:
-            ap.error(f"unknown model {name!r}")
+        names = [a.select] if a.select else ["dim_schools", "fct_enrollment_trends",
+                                             *[n for n in TABLE_MODELS if n != "dim_schools"]]
+        for name in names:
+            if name == "fct_enrollment_trends":
+                run_enrollment_trends(spark, f"{target}/{name}", m, full_refresh=a.full_refresh)
+            elif name in TABLE_MODELS:
+                write_table(getattr(m, TABLE_MODELS[name]), f"{target}/{name}")
+            else:
+                ap.error(f"unknown model {name!r}")
         return 0
     if a.command == "snapshot":
         school_directory_snapshot(spark, f"{target}/scd_school_directory", m.dim_schools,

@@ -26,6 +26,7 @@ def test_cli_build_run_snapshot_test(spark, capsys):
     assert main(["build", "--config", cfg]) == 1
     assert "accepted_range_school_year" in capsys.readouterr().out
     assert main(["seed", "--config", cfg]) == 0
+    assert main(["run", "--config", cfg]) == 0                                  # every model
     assert spark.read.parquet(f"{target}/seeds/school_regions").count() > 0
     assert main(["run", "--config", cfg, "--select", "fct_enrollment_trends"]) == 0
     assert main(["run", "--config", cfg, "--select", "fct_enrollment_trends", "--full-refresh"]) == 0

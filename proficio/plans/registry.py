@@ -533,5 +533,13 @@ def _project_build(spark, d):
     return res.tests
 
 
+
+
+@query("incremental_slice")
+def _incremental_slice(spark, d):
+    """The rows an incremental run merges -- the current school year of the fact."""
+    return models(spark, d).enrollment_trends(incremental=True)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -21,9 +21,19 @@ from proficio.plans.staging import ENROLLMENT_COUNTS
 from proficio.session import materialize
 
 AUDIT_COL = "updated_at"
-# Fixed value: the region that wins when a school is listed twice.
+
+# Fixed values of the reference models:
+# the region that wins when a school is listed twice, and the label of a school without one
 PRIORITY_REGION = "Transformation Network"
 UNKNOWN_REGION = "Unknown"
+# improvement score = 0.6 * consistency + 0.4 * min-max normalised overall change
+SCORE_WEIGHTS = (0.6, 0.4)
+# improvement categories, first matching rule wins
+CONSISTENT = 0.75
+CONSISTENT_GAIN = 5
+BIG_GAIN = 10
+CATEGORY_LABELS = ("Consistently Improving", "Consistent but Flat", "Big Gains", "Mixed Progress",
+                   "Needs Attention")
 
 
 def _audit(df: DataFrame, audit: bool) -> DataFrame:
@@ -171,12 +181,13 @@ def improvement_summary(yoy: DataFrame, dim: DataFrame, p: Params) -> DataFrame:
 def improvement_category(consistency: str = "consistency_score",
                          change: str = "composite_overall_change"):
     c, x = F.col(consistency), F.col(change)
+    ci, cf, bg, mp, na = CATEGORY_LABELS
     return rule_category([
-        ((c >= 0.75) & (x >= 5), "Consistently Improving"),
-        (c >= 0.75, "Consistent but Flat"),
-        (x >= 10, "Big Gains"),
-        (x >= 0, "Mixed Progress"),
-    ], "Needs Attention")
+        ((c >= CONSISTENT) & (x >= CONSISTENT_GAIN), ci),
+        (c >= CONSISTENT, cf),
+        (x >= BIG_GAIN, bg),
+        (x >= 0, mp),
+    ], na)
 
 
 def school_improvement(yoy: DataFrame, dim: DataFrame, p: Params) -> DataFrame:
@@ -187,7 +198,8 @@ def school_improvement(yoy: DataFrame, dim: DataFrame, p: Params) -> DataFrame:
     scored = minmax_normalize(combined, "composite_overall_change", "_norm")
     scored = scored.withColumn(
         "improvement_score",
-        weighted_score([("consistency_score", 0.6), ("_norm", 0.4)], 3)).drop("_norm")
+        weighted_score([("consistency_score", SCORE_WEIGHTS[0]), ("_norm", SCORE_WEIGHTS[1])],
+                       3)).drop("_norm")
     ranked = rank_columns(scored, IMPROVEMENT_RANKS)
     cols = combined.columns + ["improvement_score"] + [s.out for s in IMPROVEMENT_RANKS[:7]]
     return ranked.select(*cols, improvement_category().alias("improvement_category"),

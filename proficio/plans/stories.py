@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from proficio.functions.metrics import count_if_expr, rounded, safe_ratio
 from proficio.operators.ranking import topn_per_group
 
-# Regions left out of the regional comparisons.
+# Fixed values of the reference reports: regions left out of the regional comparisons,
+# and the network the single-group report shows.
 SPECIAL_REGIONS = ("Alternative", "Charter")
 NETWORK = "Transformation Network"
 

@@ -541,5 +541,23 @@ def _incremental_slice(spark, d):
     return models(spark, d).enrollment_trends(incremental=True)
 
 
+
+
+@query("global_rank_bucketed")
+def _global_rank_bucketed(spark, d):
+    """W6, large-data path: the same ranks through quantile buckets (threshold set to 0)."""
+    y = models(spark, d).assessment_yoy.select("school_id", "school_year", "composite_pct")
+    return rank_columns(y, [RankSpec("composite_rank", "composite_pct")], direct_limit=0)
+
+
+@query("regional_rank_bucketed")
+def _regional_rank_bucketed(spark, d):
+    """W7, large-data path: ranks within region through buckets and hot-group cut points."""
+    y = models(spark, d).school_improvement_yoy.select("region", "school_id", "school_year",
+                                                        "composite_yoy_change")
+    return rank_columns(y, [RankSpec("regional_rank", "composite_yoy_change", ("region",))],
+                        direct_limit=0)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

@@ -112,3 +112,14 @@ def test_rank_columns_rejects_text_keys(spark):
     df = spark.createDataFrame([(1, "a")], "id int, name string")
     with pytest.raises(TypeError, match="numeric order key"):
         rank_columns(df, [RankSpec("r", "name")])
+
+
+@pytest.mark.parametrize("hot_groups", [0, 1, 2])
+def test_rank_non_hot_groups_share_spec_cuts(spark, hot_groups):
+    rnd = random.Random(11)
+    rows = [(i, f"g{rnd.randint(0, 5)}", float(rnd.randint(-30, 30))) for i in range(800)]
+    df = spark.createDataFrame(rows, "id int, g string, v double")
+    got = rank_columns(df, [RankSpec("r", "v", partition_by=("g",))], buckets=8,
+                       direct_limit=0, hot_groups=hot_groups)
+    exp = df.withColumn("e", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())))
+    assert got.join(exp, "id").filter(F.col("r") != F.col("e")).count() == 0

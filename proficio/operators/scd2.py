@@ -160,6 +160,9 @@ def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequ
         if DUP_MSG in str(e):
             raise DuplicateKeyError(f"{DUP_MSG} in snapshot for {path}") from e
         raise
+    if n + 1 not in _runs(spark, path):
+        # an empty state writes no run folder: the previous run stays the latest
+        return spark.createDataFrame([], state.schema)
     if keep_runs:
         for old in sorted(_runs(spark, path))[:-keep_runs]:
             drop_path(spark, f"{path.rstrip('/')}/{RUN_COL}={old}")

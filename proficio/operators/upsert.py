@@ -105,11 +105,11 @@ def touched_partitions(src: DataFrame, keys: Sequence[str], partition_col: str)
 def _merge(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
            partition_col: str) -> None:
     touched = touched_partitions(src, keys, partition_col)
+    if not touched:
+        return  # empty source: nothing to merge, and no empty table is created
     if not table_exists(spark, path):
         full_refresh(src, path, partition_col, keys)
         return
-    if not touched:
-        return
     # only the touched partitions are read (their footers merged for schema drift),
     # never the whole table
     parts = partition_paths(spark, path, partition_col, touched)

@@ -126,3 +126,16 @@ def test_scd2_composite_key(spark):
     st = go([("d1", "1", "A"), ("d2", "1", "B2")], "2021-01-01 00:00:00")
     v = sorted((r.district, r.school_name, r.valid_to is None) for r in st.collect())
     assert v == [("d1", "A", True), ("d2", "B", False), ("d2", "B2", True)]
+
+
+def test_empty_inputs(spark):
+    path = new_table_path(spark, "t-empty-upsert")
+    upsert.upsert(spark, path, spark.createDataFrame([], S), ["school_id", "school_year"], "school_year")
+    assert not upsert.table_exists(spark, path)
+    upsert.upsert(spark, path, spark.createDataFrame([("a", 2022, 1)], S),
+                  ["school_id", "school_year"], "school_year")
+    upsert.upsert(spark, path, spark.createDataFrame([], S), ["school_id", "school_year"], "school_year")
+    assert upsert.read_table(spark, path).count() == 1
+    hist = new_table_path(spark, "t-empty-scd2")
+    assert run(spark, hist, [], "2020-01-01 00:00:00").count() == 0
+    assert run(spark, hist, [("1", "A")], "2021-01-01 00:00:00").count() == 1

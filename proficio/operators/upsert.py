@@ -113,15 +113,20 @@ def _merge(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
     # only the touched partitions are read (their footers merged for schema drift),
     # never the whole table
     parts = partition_paths(spark, path, partition_col, touched)
-    if parts:
-        cur = (spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*parts))
-        keep = cur.join(src.select(*keys), list(keys), "left_anti")
-        merged = keep.unionByName(src, allowMissingColumns=True)
-    else:
-        merged = src
-    merged, merged_path = stage(merged, "upsert-merged")
+    if not parts:  # only new partitions: the staged source is the whole slice
+        _overwrite_partitions(src, path, partition_col, keys)
+        return
+    cur = (spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*parts))
+    keep = cur.join(src.select(*keys), list(keys), "left_anti")
+    merged, merged_path = stage(keep.unionByName(src, allowMissingColumns=True), "upsert-merged")
     try:
-        (_layout(merged, partition_col, keys).write.mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+        _overwrite_partitions(merged, path, partition_col, keys)
     finally:
         drop_path(spark, merged_path)
+
+
+def _overwrite_partitions(df: DataFrame, path: str, partition_col: str,
+                          keys: Sequence[str]) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite)."""
+    (_layout(df, partition_col, keys).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))

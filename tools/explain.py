@@ -41,6 +41,19 @@ def main() -> None:
             from proficio.plans.registry import models
             y = models(spark, sf).assessment_yoy.select("school_id", "school_year", "composite_pct")
             df = ranked_values(y, [RankSpec("composite_rank", "composite_pct")])
+        elif name == "scd2_pass":  # one SCD-2 comparison: history of 1997 vs the 1998 release
+            from pyspark.sql import functions as F
+            from proficio.operators import scd2
+            from proficio.plans.registry import models
+            from proficio.session import new_table_path
+            att = models(spark, sf).stg_attendance.select("school_id", "school_year",
+                                                          "absenteeism_tier")
+            path = new_table_path(spark, "explain-scd2")
+            scd2.snapshot_run(spark, path, att.filter("school_year = 1997").drop("school_year"),
+                              ["school_id"], ["absenteeism_tier"], F.lit("1997-07-01 00:00:00"))
+            hist = scd2.latest(spark, path)[1]
+            df = scd2.scd2_apply(hist, att.filter("school_year = 1998").drop("school_year"),
+                                 ["school_id"], ["absenteeism_tier"], F.lit("1998-07-01 00:00:00"))
         else:
             df = queries()[name](spark, sf)
         print(f"### {name}\n```\n{tree(df)}\n```\n")

@@ -50,3 +50,38 @@ def test_upsert_is_dict_merge(spark, batches):
     upsert.upsert(spark, path, src, ["school_id", "school_year"], "school_year")
     again = {(r.school_id, r.school_year): r.total for r in upsert.read_table(spark, path).collect()}
     assert again == model
+
+
+snap_st = st.dictionaries(st.sampled_from(["1", "2", "3"]), st.sampled_from(["A", "B", None]),
+                          max_size=3)
+
+
+def scd2_model(runs):
+    """Expected versions (key, value, first run, closing run or None) of check-strategy SCD-2."""
+    versions, current = [], {}
+    for r, snap in enumerate(runs):
+        for k, i in list(current.items()):
+            if k not in snap or versions[i][1] != snap[k]:
+                versions[i][3] = r
+                del current[k]
+        for k, v in snap.items():
+            if k not in current:
+                versions.append([k, v, r, None])
+                current[k] = len(versions) - 1
+    return sorted(map(tuple, versions), key=repr)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(runs=st.lists(snap_st, min_size=1, max_size=3))
+def test_scd2_matches_model(spark, runs):
+    from proficio.operators import scd2
+    path = new_table_path(spark, "prop-scd2")
+    state = None
+    for r, snap in enumerate(runs):
+        df = spark.createDataFrame(sorted(snap.items()), "school_id string, school_name string")
+        state = scd2.snapshot_run(spark, path, df, ["school_id"], ["school_name"],
+                                  F.lit(f"{2000 + r}-01-01 00:00:00"))
+    got = sorted(((x.school_id, x.school_name, x.valid_from.year - 2000,
+                   None if x.valid_to is None else x.valid_to.year - 2000)
+                  for x in state.collect()), key=repr)
+    assert got == scd2_model(runs)

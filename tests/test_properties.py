@@ -85,3 +85,25 @@ def test_scd2_matches_model(spark, runs):
                    None if x.valid_to is None else x.valid_to.year - 2000)
                   for x in state.collect()), key=repr)
     assert got == scd2_model(runs)
+
+
+rows_kyn = st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.integers(2019, 2022),
+                              st.sampled_from(["A", "B", "C"])), min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(rows=rows_kyn)
+def test_dedupe_operators_equal_row_number(spark, rows):
+    from proficio.operators import dedupe_precedence, latest_per_key
+    df = spark.createDataFrame(rows, "k string, y int, name string")
+    got = {r.k: r.name for r in latest_per_key(df, ["k"], "y", ["name"], ["name"]).collect()}
+    w = Window.partitionBy("k").orderBy(F.col("y").desc(), F.col("name").desc())
+    exp = {r.k: r.name for r in df.withColumn("rn", F.row_number().over(w))
+           .filter("rn = 1").collect()}
+    assert got == exp
+    prec = F.when(F.col("name") == "B", 1).otherwise(2)
+    got2 = {r.k: r.name for r in dedupe_precedence(df, ["k"], prec, ["name"]).collect()}
+    w2 = Window.partitionBy("k").orderBy(prec, F.col("name"))
+    exp2 = {r.k: r.name for r in df.withColumn("rn", F.row_number().over(w2))
+            .filter("rn = 1").collect()}
+    assert got2 == exp2

@@ -52,3 +52,23 @@ def test_csv_catalog_reads_text(spark):
     t = csv_catalog(spark, {"demographic": d}).table("demographic")
     assert all(str(f.dataType) == "StringType()" for f in t.schema.fields)
     assert sorted(r.organization_code for r in t.collect()) == ["0042", "0043"]
+
+
+def test_clustered_layout_sorted_files(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from proficio.plans.registry import models
+    from proficio.sources.sinks import write_clustered
+    path = new_table_path(spark, "clustered")
+    write_clustered(models(spark, "/root/testdata/sf0.001").enrollment_trends(), path,
+                    "school_year", ["school_id"])
+    folders = glob.glob(os.path.join(path, "school_year=*"))
+    assert folders
+    for folder in folders:
+        files = glob.glob(os.path.join(folder, "*.parquet"))
+        assert 1 <= len(files) <= 8                       # few files per year
+        for f in files:
+            ids = pq.read_table(f, columns=["school_id"]).column(0).to_pylist()
+            assert ids == sorted(ids)                     # sorted inside each file

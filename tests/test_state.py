@@ -139,3 +139,12 @@ def test_empty_inputs(spark):
     hist = new_table_path(spark, "t-empty-scd2")
     assert run(spark, hist, [], "2020-01-01 00:00:00").count() == 0
     assert run(spark, hist, [("1", "A")], "2021-01-01 00:00:00").count() == 1
+
+
+def test_work_paths_are_under_the_session_checkpoint_dir(spark):
+    from proficio.session import materialize, shared_dir
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark) == base
+    assert new_table_path(spark, "x").startswith(base.rstrip("/") + "/proficio/")
+    files = materialize(spark.range(2), "where").inputFiles()
+    assert files and all(base.rstrip("/").removeprefix("file:") in f for f in files)

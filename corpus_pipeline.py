@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from proficio.llm import exact_dedup
+from proficio.llm import exact_dedup, simhash, substring_dedup
 from proficio.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,8 +23,21 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact_dedup.drop_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component stays, the one with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs, shingle=4, max_bits=4)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in 50-word passages that a document with a smaller doc_id also has are cut; n_chars follows the text."""
+    cut = substring_dedup.drop_repeated_passages(docs, window=50)
+    return cut.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("exact_dedup", drop_exact_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("substring_dedup", cut_repeated_passages),
 ]
 
 #: Language models, fingerprints and token ids are beyond SQL; tests hold the stages against brute force.

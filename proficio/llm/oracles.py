@@ -74,6 +74,24 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN cleaned USING (doc_id)
 """
 
+OP9 = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+    SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)),
+least AS (SELECT s, min(doc_id) AS lo FROM windows GROUP BY s),
+gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM windows JOIN least USING (s) WHERE lo < doc_id),
+placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM words),
+kept AS (
+    SELECT doc_id, count(g.place) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY p.place)
+        FILTER (WHERE g.place IS NULL), '') AS kept
+    FROM placed p LEFT JOIN gone g USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 OP10 = r"""
 WITH ordered AS (
     SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id, coalesce(text, '')) AS place
@@ -116,4 +134,5 @@ FROM paired p JOIN printed a ON a.place = p.place AND a.kind = 0 JOIN printed e
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_filters": OP1, "op4_chat_formatting": OP4, "op5_exact_dedup": OP5,
-            "op8_line_dedup": OP8, "op10_fingerprints": OP10}
+            "op8_line_dedup": OP8, "op9_substring_dedup": OP9,
+            "op10_fingerprints": OP10}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proficio.llm import chat_format, exact_dedup, fingerprints, line_dedup, url_filters
+from proficio.llm import (chat_format, exact_dedup, fingerprints, line_dedup, simhash, substring_dedup,
+                          url_filters)
 from proficio.llm._util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +37,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint (4-word shingles) and component (4 bits or fewer apart) of every document."""
+    return (simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+            .select("doc_id", "fingerprint", "component_id"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without the lines that are on ten or more sites, as a digest."""
     return (line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -43,11 +50,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256")))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document before and after the removal of repeated 50-word passages."""
+    return substring_dedup.repeated_words(table(spark, sf_dir, "documents"), window=50)
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle fingerprints of every document and of its edited text, with likenesses."""
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_filters, op4_chat_formatting, op5_exact_dedup, op8_line_dedup,
-                                    op10_fingerprints)}
+    return {f.__name__: f for f in (op1_url_filters, op4_chat_formatting, op5_exact_dedup, op6_simhash,
+                                    op8_line_dedup, op9_substring_dedup, op10_fingerprints)}

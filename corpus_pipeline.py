@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proficio.llm import exact_dedup, simhash, substring_dedup
+from proficio.llm import exact_dedup, packing, simhash, substring_dedup
 from proficio.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,10 +34,16 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return cut.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of every remaining document's token pieces in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs, "word_bpe_49k.json", capacity=2048)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("exact_dedup", drop_exact_copies),
     ("simhash_near_dedup", drop_near_copies),
     ("substring_dedup", cut_repeated_passages),
+    ("best_fit_packing", pack),
 ]
 
 #: Language models, fingerprints and token ids are beyond SQL; tests hold the stages against brute force.

@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proficio.llm import (chat_format, exact_dedup, fingerprints, line_dedup, simhash, substring_dedup,
-                          url_filters)
+from proficio.llm import (
+    chat_format,
+    exact_dedup,
+    fingerprints,
+    line_dedup,
+    packing,
+    simhash,
+    substring_dedup,
+    url_filters,
+)
 from proficio.llm._util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +51,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "fingerprint", "component_id"))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token pieces with their places in sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), "word_bpe_49k.json", capacity=2048)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without the lines that are on ten or more sites, as a digest."""
     return (line_dedup.drop_boilerplate(table(spark, sf_dir, "documents"))
@@ -62,4 +75,4 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_url_filters, op4_chat_formatting, op5_exact_dedup, op6_simhash,
-                                    op8_line_dedup, op9_substring_dedup, op10_fingerprints)}
+                                    op7_packing, op8_line_dedup, op9_substring_dedup, op10_fingerprints)}

@@ -12,12 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from proficio.llm import exact_dedup, packing, simhash, substring_dedup
+from proficio.llm import exact_dedup, language_id, packing, simhash, substring_dedup
+from proficio.llm.queries import learnable
 from proficio.session import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language of the table's own labels stay; those the language models reject go."""
+    model = language_id.train_model(learnable(docs))
+    return docs.where(language_id.judged(F.col("text"), model)["accepted"])
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) only the row with the largest doc_id stays."""
     return exact_dedup.drop_duplicates(docs)
@@ -40,6 +47,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", keep_known_languages),
     ("exact_dedup", drop_exact_copies),
     ("simhash_near_dedup", drop_near_copies),
     ("substring_dedup", cut_repeated_passages),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,3 +32,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def worker_store() -> dict:
+    """Values kept between the tasks of one Python worker."""
+    return sys.modules.setdefault("proficio_worker_store", types.ModuleType("proficio_worker_store")).__dict__

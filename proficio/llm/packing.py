@@ -17,8 +17,6 @@ table gives an empty result.
 from __future__ import annotations
 
 import os
-import sys
-import types
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -30,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from proficio.llm._util import worker_store
 from proficio.session import materialize
 
 CAPACITY = 2048
@@ -38,11 +37,6 @@ VOCABULARY = "word_bpe_49k.json"
 MEMO_WORDS = 250_000
 
 
-def _worker_store() -> dict:
-    """Values kept between the tasks of one Python worker."""
-    return sys.modules.setdefault("proficio_worker_store", types.ModuleType("proficio_worker_store")).__dict__
-
-
 class WordTokenizer:
     """A tokenizer that drops white space, run once per distinct word.
 
@@ -94,7 +88,7 @@ class WordTokenizer:
 
 
 def worker_tokenizer(vocabulary: str) -> WordTokenizer:
-    store = _worker_store()
+    store = worker_store()
     if vocabulary not in store:
         store[vocabulary] = WordTokenizer(vocabulary)
     return store[vocabulary]

@@ -11,6 +11,7 @@ from proficio.llm import (
     chat_format,
     exact_dedup,
     fingerprints,
+    language_id,
     line_dedup,
     packing,
     simhash,
@@ -35,6 +36,19 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+def learnable(docs: DataFrame) -> DataFrame:
+    """The labelled documents outside the held-out quarter: crc32(doc_id as text) mod 4 is not 2."""
+    return docs.where("lang is not null and crc32(cast(doc_id as string)) % 4 <> 2").select("doc_id", "text", "lang")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned on the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    judged = language_id.identify(docs, language_id.train_model(learnable(docs)))
+    return judged.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"),
+                         "lang_pred", "score", "accepted")
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation rendered from every speaker's perspective, with loss masks."""
     return chat_format.chat_views(table(spark, sf_dir, "conversations"))
@@ -74,5 +88,5 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_filters, op4_chat_formatting, op5_exact_dedup, op6_simhash,
+    return {f.__name__: f for f in (op1_url_filters, op3_language_id, op4_chat_formatting, op5_exact_dedup, op6_simhash,
                                     op7_packing, op8_line_dedup, op9_substring_dedup, op10_fingerprints)}

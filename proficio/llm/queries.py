@@ -14,6 +14,7 @@ from proficio.llm import (
     language_id,
     line_dedup,
     packing,
+    sentencepiece_codec,
     simhash,
     substring_dedup,
     url_filters,
@@ -36,6 +37,15 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"), rule_table(spark))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count, checksum of the ids and digest of the decoded text of every document."""
+    pieces = sentencepiece_codec.read_pieces("piece_bpe_32k.model")
+    encoded = sentencepiece_codec.encode(table(spark, sf_dir, "documents"), pieces, how="merge")
+    keyed = encoded.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), "ids")
+    return (sentencepiece_codec.decode(keyed, pieces)
+            .select("doc_id", "n_tokens", "ids_crc32", F.sha2("text", 256).alias("decoded_sha256")))
+
+
 def learnable(docs: DataFrame) -> DataFrame:
     """The labelled documents outside the held-out quarter: crc32(doc_id as text) mod 4 is not 2."""
     return docs.where("lang is not null and crc32(cast(doc_id as string)) % 4 <> 2").select("doc_id", "text", "lang")
@@ -88,5 +98,5 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_url_filters, op3_language_id, op4_chat_formatting, op5_exact_dedup, op6_simhash,
+    return {f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_language_id, op4_chat_formatting, op5_exact_dedup, op6_simhash,
                                     op7_packing, op8_line_dedup, op9_substring_dedup, op10_fingerprints)}

@@ -27,6 +27,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -51,16 +52,16 @@ class Pieces:
     unknown: int
     surface: list[bytes]
 
-    @property
+    @cached_property
     def longest(self) -> int:
         return max((len(p) for p in self.normal), default=1)
 
-    @property
+    @cached_property
     def pairs(self) -> frozenset[str]:
         """Characters that stand side by side in some piece."""
         return frozenset(p[i:i + 2] for p in self.normal for i in range(len(p) - 1))
 
-    @property
+    @cached_property
     def floor(self) -> float:
         """The score of a character without a piece, below every piece's."""
         return min((s for _, s in self.normal.values()), default=0.0) - UNKNOWN_PENALTY
@@ -218,37 +219,39 @@ def _byte_ids(pieces: Pieces) -> str:
 
 
 def fold(edges: DataFrame, pieces: Pieces, how: str) -> DataFrame:
-    """(segment, parts, ids): each segment's ids by a higher-order fold over its edges."""
-    scored = "map_from_entries(transform(filter(edges, e -> e.id is not null), " \
-             "e -> named_struct('k', e.start * 4096 + e.end, 'v', e.{})))"
-    base = (edges.withColumn("n", F.length("segment"))
-            .withColumn("ids_at", F.expr(scored.format("id"))).withColumn("scores", F.expr(scored.format("score"))))
+    """(segment, parts, ids): each segment's ids by a higher-order fold over its edges.
+
+    Both folds give the array of cuts between pieces.  The maps from a
+    substring's ends to its score and id are bound as a lambda's variable, so
+    they are built once a segment.
+    """
+    by_ends = "map_from_entries(transform(filter(edges, e -> e.id is not null), " \
+              "e -> named_struct('k', e.start * 4096 + e.end, 'v', e.{})))"
     if how == "merge":
-        # the state is the array of boundaries; each step drops the one inside the best-scored pair
-        cuts = base.withColumn("cuts", F.expr("""
+        # the state is the array of cuts; each step drops the one inside the best-scored pair
+        cuts = """
             aggregate(if(n > 1, sequence(1, n - 1), array()), sequence(0, n), (b, step) ->
                 if(size(b) < 3, b, aggregate(
                     array(array_max(transform(sequence(0, size(b) - 3), i -> named_struct(
-                        's', scores[b[i] * 4096 + b[i + 2]], 'left', -i)))),
-                    b, (x, best) -> if(best.s is null, x,
-                        filter(x, (v, j) -> j <> 1 - best.left)))))"""))
+                        's', m.scores[b[i] * 4096 + b[i + 2]], 'left', -i)))),
+                    b, (x, best) -> if(best.s is null, x, filter(x, (v, j) -> j <> 1 - best.left)))))"""
     else:
-        # the state holds the best score and start of every end so far, and of equals the longest last piece
-        cuts = base.withColumn("ways", F.expr(f"""
-            aggregate(sequence(1, n), array(named_struct('s', 0.0D, 'at', 0)), (w, stop) ->
-                array_append(w, array_max(transform(
-                    filter(edges, e -> e.end = stop),
-                    e -> named_struct('s', w[e.start].s + coalesce(e.score, {pieces.floor!r}D), 'at', -e.start)))))""")) \
-            .withColumn("cuts", F.expr("""
-            reverse(aggregate(sequence(1, n), array(n), (c, step) ->
-                if(element_at(c, -1) = 0, c, array_append(c, -ways[element_at(c, -1)].at))))"""))
-    ids = F.expr(f"""
-        flatten(transform(sequence(0, size(cuts) - 2), i -> if(
-            ids_at[cuts[i] * 4096 + cuts[i + 1]] is not null, array(ids_at[cuts[i] * 4096 + cuts[i + 1]]),
-            transform(sequence(0, octet_length(substring(segment, cuts[i] + 1, 1)) - 1), k ->
-                {_byte_ids(pieces)}[cast(conv(substring(hex(encode(substring(segment, cuts[i] + 1, 1), 'UTF-8')),
-                    k * 2 + 1, 2), 16, 10) as int)]))))""")
-    return cuts.withColumn("ids", ids).select("segment", "parts", "ids")
+        # the ways hold the best score and start of every end so far, of equals the longest last piece
+        cuts = f"""
+            transform(array(aggregate(sequence(1, n), array(named_struct('s', 0.0D, 'at', 0)), (w, stop) ->
+                array_append(w, array_max(transform(filter(edges, e -> e.end = stop), e -> named_struct(
+                    's', w[e.start].s + coalesce(e.score, {pieces.floor!r}D), 'at', -e.start)))))),
+              ways -> reverse(aggregate(sequence(1, n), array(n), (c, step) -> if(element_at(c, -1) = 0, c,
+                array_append(c, -ways[element_at(c, -1)].at)))))[0]"""
+    ids = f"""
+        transform(array(named_struct('scores', {by_ends.format("score")}, 'ids', {by_ends.format("id")})), m ->
+            transform(array({cuts}), cuts -> flatten(transform(sequence(0, size(cuts) - 2), i ->
+                transform(array(m.ids[cuts[i] * 4096 + cuts[i + 1]]), id -> if(id is not null, array(id),
+                    transform(sequence(0, octet_length(substring(segment, cuts[i] + 1, 1)) - 1), k ->
+                        {_byte_ids(pieces)}[cast(conv(substring(hex(encode(substring(segment, cuts[i] + 1, 1),
+                            'UTF-8')), k * 2 + 1, 2), 16, 10) as int)])))[0])))[0])[0]"""
+    return (edges.withColumn("n", F.length("segment")).withColumn("ids", F.expr(ids))
+            .select("segment", "parts", "ids"))
 
 
 def _pack_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,10 +12,16 @@ join, NULL-safe comparison of the checked columns):
 
 Only current versions take part in the join (one full outer join; each
 joined row emits the old version and the one it opens); closed history is a
-plain union.  ``snapshot_run`` stores each run's full state as a new partition
-``snapshot_run=<n>`` (append-only, so a failed run leaves the previous state
-intact) and the latest partition is the table.  A run is one write action: the
-duplicate-key check is a count over PARTITION BY key evaluated inside it.
+plain union.
+
+``snapshot_run`` stores a run as the folder ``snapshot_run=<n>``: its open
+versions (``state=open``) and the versions that it closed (``state=closed``).
+The table is the open part of the newest run and the closed parts of all runs,
+so closed history is written once and never again: what a run writes depends
+on the open versions alone.  A run counts once its one write job has left its
+``_SUCCESS`` marker; a torn run is ignored and replaced by the next attempt.
+NULL and duplicate keys stop that job: the check is a count over PARTITION BY
+key evaluated inside it.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from proficio.operators.upsert import DuplicateKeyError, table_exists
+from proficio.operators.upsert import DuplicateKeyError, NullKeyError, _children, is_committed
 from proficio.session import drop_path
 
 META = ["scd_id", "updated_at", "valid_from", "valid_to"]
@@ -33,21 +39,28 @@ RUN_COL = "snapshot_run"
 
 
 def _scd_id(keys: Sequence[str], at: Column) -> Column:
-    parts = [F.col(k).cast("string") for k in keys] + [F.date_format(at, "yyyy-MM-dd HH:mm:ss")]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """A digest of the keys and the time, as JSON: no two keys or times read alike."""
+    return F.sha2(F.to_json(F.array(*[F.col(k).cast("string") for k in keys],
+                                    F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS"))), 256)
 
 
 DUP_MSG = "duplicate snapshot key"
+NULL_MSG = "NULL in the snapshot key"
+STATE_COL = "state"
 
 
 def _unique_marker(keys: Sequence[str]) -> Column:
-    """TRUE on every row, but stops the job when the row's key occurs twice.
+    """TRUE on every row, but stops the job when the row's key is NULL or occurs twice.
 
     A count over PARTITION BY key: same hash partitioning as the comparison's
     join on the key, so the check adds no shuffle and no separate job.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return F.when(n > 1, F.raise_error(F.lit(f"{DUP_MSG} ({', '.join(keys)})"))).otherwise(F.lit(True))
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    return (F.when(null, F.raise_error(F.lit(f"{NULL_MSG} ({', '.join(keys)})")))
+            .when(n > 1, F.raise_error(F.lit(f"{DUP_MSG} ({', '.join(keys)})"))).otherwise(F.lit(True)))
 
 
 def _first(snapshot: DataFrame, keys: Sequence[str], check_cols: Sequence[str], at: Column) -> DataFrame:
@@ -111,33 +124,38 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: Sequence[st
 
 
 def _runs(spark: SparkSession, path: str) -> list[int]:
-    """Run numbers stored at ``path`` (from the ``snapshot_run=<n>`` folder names)."""
-    if not table_exists(spark, path):
-        return []
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(RUN_COL + "="):
-            out.append(int(name.split("=", 1)[1]))
-    return out
+    """Committed run numbers at ``path``: ``snapshot_run=<n>`` folders with a ``_SUCCESS`` marker."""
+    base = path.rstrip("/")
+    runs = [int(n.split("=", 1)[1]) for n in _children(spark, base) if n.startswith(RUN_COL + "=")]
+    return sorted(n for n in runs if is_committed(spark, f"{base}/{RUN_COL}={n}"))
 
 
-def read_run(spark: SparkSession, path: str, n: int) -> DataFrame:
-    """The state written by run ``n``: only that run's folder is listed and read."""
+def _parts(spark: SparkSession, path: str, runs: Sequence[int], state: str) -> list[str]:
     base = path.rstrip("/")
-    return spark.read.option("basePath", base).parquet(f"{base}/{RUN_COL}={n}").drop(RUN_COL)
+    folders = [f"{base}/{RUN_COL}={n}" for n in runs]
+    return [f"{f}/{STATE_COL}={state}" for f in folders if f"{STATE_COL}={state}" in _children(spark, f)]
+
+
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    return spark.read.parquet(*paths) if paths else None
+
+
+def read_run(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The state after run ``n``: its open versions and all versions closed up to it."""
+    runs = [k for k in _runs(spark, path) if k <= n]
+    both = [d for d in (_read(spark, _parts(spark, path, [n], "open")),
+                        _read(spark, _parts(spark, path, runs, "closed"))) if d is not None]
+    if not both:
+        raise ValueError(f"run {n} of {path} holds no version")
+    return both[0] if len(both) == 1 else both[0].unionByName(both[1])
 
 
 def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
     """(run number, state) of the newest committed run stored at ``path``."""
     runs = _runs(spark, path)
-    if not runs:
-        return 0, None
-    n = max(runs)
-    return n, read_run(spark, path, n)
+    if not _parts(spark, path, runs, "open") and not _parts(spark, path, runs, "closed"):
+        return (runs[-1] if runs else 0), None
+    return runs[-1], read_run(spark, path, runs[-1])
 
 
 def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequence[str],
@@ -145,25 +163,32 @@ def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequ
                  invalidate_hard_deletes: bool = True, keep_runs: int | None = None) -> DataFrame:
     """Apply one snapshot run to the history stored at ``path``; return the new state.
 
-    One write action: the comparison and the duplicate-key check run inside the
-    append of the new run partition; a duplicate key aborts the job, so no
-    partial run is committed.  ``keep_runs`` (optional) removes all but the
-    newest runs after the commit (each run holds the full history).
+    One write action: the comparison and the key checks run inside it; a bad
+    key aborts the job, so the run is not committed.  ``keep_runs`` (optional)
+    removes the open versions of all but the newest runs after the commit;
+    closed history stays.
     """
-    n, hist = latest(spark, path)
+    runs = _runs(spark, path)
+    n = runs[-1] if runs else 0
     at = run_at.cast("timestamp_ntz")
-    state = (_first(snapshot, keys, check_cols, at) if hist is None else
-             scd2_apply(hist, snapshot, keys, check_cols, at, invalidate_hard_deletes))
+    open_before = _read(spark, _parts(spark, path, [n], "open")) if runs else None
+    state = (_first(snapshot, keys, check_cols, at) if open_before is None else
+             scd2_apply(open_before, snapshot, keys, check_cols, at, invalidate_hard_deletes))
+    base = path.rstrip("/")
     try:
-        state.withColumn(RUN_COL, F.lit(n + 1)).write.mode("append").partitionBy(RUN_COL).parquet(path)
-    except Exception as e:  # the in-job key check surfaces as a job failure
+        (state.withColumn(STATE_COL, F.when(F.col("valid_to").isNull(), "open").otherwise("closed"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(STATE_COL).parquet(f"{base}/{RUN_COL}={n + 1}"))
+    except Exception as e:  # the in-job key checks surface as a job failure
         if DUP_MSG in str(e):
             raise DuplicateKeyError(f"{DUP_MSG} in snapshot for {path}") from e
+        if NULL_MSG in str(e):
+            raise NullKeyError(f"{NULL_MSG} for {path}") from e
         raise
-    if n + 1 not in _runs(spark, path):
-        # an empty state writes no run folder: the previous run stays the latest
+    now = _runs(spark, path)
+    if not _parts(spark, path, now, "open") and not _parts(spark, path, now, "closed"):
         return spark.createDataFrame([], state.schema)
     if keep_runs:
-        for old in sorted(_runs(spark, path))[:-keep_runs]:
-            drop_path(spark, f"{path.rstrip('/')}/{RUN_COL}={old}")
+        for old in now[:-keep_runs]:
+            drop_path(spark, f"{base}/{RUN_COL}={old}/{STATE_COL}=open")
     return read_run(spark, path, n + 1)

@@ -13,6 +13,11 @@ second staging table and the final overwrite reads from there, so the target
 is never read and rewritten by the same job and a lost executor only reruns
 tasks of a staging job.  Staging tables are deleted after the target
 commit.  One writer per table at a time.
+
+A table counts as present only when a completed job left its ``_SUCCESS``
+marker in it: the folder that a dead first load leaves behind is loaded again
+from the start, and data without a marker stops the run.  Keys must not be
+NULL (a NULL never equals the stored NULL, so a rerun would add rows).
 """
 
 from __future__ import annotations
@@ -29,12 +34,40 @@ class DuplicateKeyError(ValueError):
     pass
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a table folder exists at ``path`` (any Hadoop file system)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+class NullKeyError(ValueError):
+    pass
+
+
+class UncommittedTableError(RuntimeError):
+    pass
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any Hadoop file system (none if it does not exist)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """True when a completed write left its ``_SUCCESS`` marker in the folder."""
+    return "_SUCCESS" in _children(spark, path)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when a committed table lies at ``path``.
+
+    Left-overs of a write that never completed (``_temporary``) are no table;
+    data files or partitions without a marker raise, they are never replaced
+    silently.
+    """
+    names = _children(spark, path)
+    if "_SUCCESS" in names:
+        return True
+    if any(not n.startswith(("_", ".")) for n in names):
+        raise UncommittedTableError(f"{path} holds data that no completed job has committed; "
+                                    "inspect it, then rebuild with a full refresh")
+    return False
 
 
 def partition_paths(spark: SparkSession, path: str, partition_col: str, values) -> list[str]:
@@ -89,13 +122,19 @@ def upsert(spark: SparkSession, path: str, src: DataFrame, keys: Sequence[str],
 
 
 def touched_partitions(src: DataFrame, keys: Sequence[str], partition_col: str) -> list:
-    """Partition values present in ``src``; raises on a duplicate key.
+    """Partition values present in ``src``; raises on a NULL or duplicate key.
 
     One action: key counts (partial aggregate), then the largest count per
     partition value -- one row per partition value reaches the driver.
     """
     per_key = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    rows = per_key.groupBy(partition_col).agg(F.max("_n").alias("_max")).collect()
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    rows = (per_key.groupBy(partition_col)
+            .agg(F.max("_n").alias("_max"), F.max(null).alias("_null")).collect())
+    if any(r["_null"] for r in rows):
+        raise NullKeyError(f"NULL in the source keys ({', '.join(keys)})")
     bad = [r[0] for r in rows if r["_max"] > 1]
     if bad:
         raise DuplicateKeyError(f"duplicate source keys in {partition_col}={bad[0]}")

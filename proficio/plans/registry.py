@@ -33,7 +33,7 @@ from proficio.session import materialize, new_table_path
 from proficio.sources.catalog import test_table_catalog
 from proficio.sources.seeds import LOCATIONS_SCHEMA, REGIONS_SCHEMA, read_seed, write_seed
 from proficio.sources.sinks import write_clustered, write_csv_extract
-from proficio.streaming.releases import merge_releases
+from proficio.streaming.releases import RELEASE_COL, merge_releases
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -457,8 +457,8 @@ def _ratings_prepare(spark, d):
 # ---------------------------------------------------------------- streaming
 @query("stream_release_upsert")
 def _stream(spark, d):
-    """S6 as a stream: two releases of the demographic extract land as files; a
-    Structured Streaming query merges the newest release of each row into the fact."""
+    """S6 as a stream: two releases of the demographic extract land as files; a Structured
+    Streaming query loads the first and MERGEs the second over it."""
     from proficio.plans import marts, staging
 
     landing = new_table_path(spark, "demographic_landing")
@@ -476,7 +476,7 @@ def _stream(spark, d):
 
     merge_releases(spark, f"{landing}/*", schema, to_rows, target,
                    ["organization_code", "accountability_year"], KEY, "school_year")
-    return U.read_table(spark, target)
+    return U.read_table(spark, target).drop(RELEASE_COL)
 
 
 

@@ -1,15 +1,16 @@
 """Yearly releases arriving as files, merged into a fact table by a stream.
 
 ``merge_releases`` runs a Structured Streaming query over a landing folder:
-every micro-batch holds the newly arrived release files; rows are reduced to
-the newest release per raw key (a partial aggregate), turned into model
+every micro-batch holds the newly arrived release files; release by release,
+rows are reduced to one per raw key (a partial aggregate), turned into model
 rows by ``to_rows`` (staging + model, plain DataFrame code) and MERGEd into
 the partitioned table with :func:`proficio.operators.upsert.upsert`.
 
 The checkpoint (in the shared folder) records which files were processed,
 so each file is merged once; a batch that fails after its write is rerun,
-and the MERGE of the same rows is idempotent.  Releases must land in
-release order.
+and the MERGE of the same rows is idempotent.  The target keeps each row's
+release in ``RELEASE_COL``; a row merges only over a row of the same or an
+older release, so releases may land in any order.
 """
 
 from __future__ import annotations
@@ -18,13 +19,32 @@ import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from proficio.operators.ranking import latest_per_key
-from proficio.operators.upsert import upsert
+from proficio.operators.upsert import partition_paths, table_exists, upsert
 from proficio.session import shared_dir
 
 
+RELEASE_COL = "_release"
+
+
+def not_older(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str],
+              partition_col: str) -> DataFrame:
+    """The rows whose release is no older than the target's row of the same key."""
+    if not table_exists(spark, target):
+        return rows
+    touched = [r[0] for r in rows.select(partition_col).distinct().collect()]
+    parts = partition_paths(spark, target, partition_col, touched)
+    if not parts:
+        return rows
+    stored = (spark.read.option("basePath", target).option("mergeSchema", "true").parquet(*parts)
+              .select(*keys, F.col(RELEASE_COL).alias("_stored")))
+    newer = stored.join(rows.select(*keys, RELEASE_COL), list(keys)).where(F.col("_stored") > F.col(RELEASE_COL))
+    return rows.join(newer.select(*keys), list(keys), "left_anti")
+
+
 def newest_release(df: DataFrame, raw_keys: Sequence[str], release_col: str) -> DataFrame:
     """The row of the highest release per raw key."""
     values = [c for c in df.columns if c not in raw_keys and c != release_col]
@@ -47,8 +67,12 @@ def merge_releases(spark: SparkSession, landing: str, schema: StructType,
     ckpt = checkpoint
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = to_rows(newest_release(batch, raw_keys, release_col))
-        upsert(batch.sparkSession, target, rows, keys, partition_col)
+        # one MERGE per release of the batch, oldest first (a batch holds few releases)
+        for r in sorted(x[0] for x in batch.select(release_col).distinct().collect()):
+            rows = to_rows(newest_release(batch.where(F.col(release_col) == F.lit(r)), raw_keys, release_col))
+            rows = rows.withColumn(RELEASE_COL, F.lit(r))
+            upsert(batch.sparkSession, target, not_older(batch.sparkSession, target, rows, keys, partition_col),
+                   keys, partition_col)
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:

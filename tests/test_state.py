@@ -116,7 +116,8 @@ def test_scd2_keep_runs(spark):
     for y in (2020, 2021, 2022):
         st = scd2.snapshot_run(spark, path, spark.createDataFrame([("1", f"A{y}")], D), ["school_id"],
                                ["school_name"], F.lit(f"{y}-01-01 00:00:00"), keep_runs=2)
-    assert sorted(scd2._runs(spark, path)) == [2, 3]
+    assert scd2._runs(spark, path) == [1, 2, 3]
+    assert len(scd2._parts(spark, path, [1, 2, 3], "open")) == 2
     assert st.count() == 3                         # the newest state still holds the whole history
 
 
@@ -153,3 +154,84 @@ def test_work_paths_are_under_the_session_checkpoint_dir(spark):
     assert new_table_path(spark, "x").startswith(base.rstrip("/") + "/proficio/")
     files = materialize(spark.range(2), "where").inputFiles()
     assert files and all(base.rstrip("/").removeprefix("file:") in f for f in files)
+
+
+def _names(spark, path):
+    return upsert._children(spark, path)
+
+
+def _mkdirs(spark, path):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def test_leftovers_of_a_dead_first_load_are_no_table(spark):
+    from proficio.params import Params
+    from proficio.plans.incremental import run_enrollment_trends
+
+    class FakeModels:
+        p = Params()
+
+        def enrollment_trends(self, incremental=False, extra=()):
+            df = spark.createDataFrame([("a", 2022, 1), ("a", 2023, 2)], S)
+            return df.where("school_year = 2023") if incremental else df
+
+    path = new_table_path(spark, "t-leftover")
+    _mkdirs(spark, f"{path}/_temporary/0")
+    assert not upsert.table_exists(spark, path)
+    run_enrollment_trends(spark, path, FakeModels())
+    assert sorted(r.school_year for r in upsert.read_table(spark, path).collect()) == [2022, 2023]
+    torn = new_table_path(spark, "t-torn")
+    spark.createDataFrame([("a", 2022, 1)], S).write.parquet(f"{torn}/school_year=2022")
+    with pytest.raises(upsert.UncommittedTableError):
+        run_enrollment_trends(spark, torn, FakeModels())
+    run_enrollment_trends(spark, torn, FakeModels(), full_refresh=True)
+    assert upsert.read_table(spark, torn).count() == 2
+
+
+def test_null_keys_are_rejected(spark):
+    path = new_table_path(spark, "t-null")
+    with pytest.raises(upsert.NullKeyError):
+        upsert.upsert(spark, path, spark.createDataFrame([(None, 2022, 1)], S), ["school_id", "school_year"],
+                      "school_year")
+    with pytest.raises(upsert.NullKeyError):
+        upsert.upsert(spark, path, spark.createDataFrame([("a", None, 1)], S), ["school_id", "school_year"],
+                      "school_year")
+    assert not upsert.table_exists(spark, path)
+    hist = new_table_path(spark, "t-null-scd2")
+    for data in ([(None, "A")], [("1", "A")], [("1", "A"), (None, "B")]):
+        if any(k is None for k, _ in data):
+            with pytest.raises(upsert.NullKeyError):
+                run(spark, hist, data, "2020-01-01 00:00:00")
+        else:
+            run(spark, hist, data, "2020-01-01 00:00:00")
+    assert scd2.latest(spark, hist)[1].count() == 1
+
+
+def test_a_torn_snapshot_run_is_ignored_and_replaced(spark):
+    path = new_table_path(spark, "t-torn-scd2")
+    run(spark, path, [("1", "A"), ("2", "B"), ("3", "C")], "2020-01-01 00:00:00")
+    spark.createDataFrame([("9", "Z")], D).write.parquet(f"{path}/snapshot_run=2/state=open")
+    n, state = scd2.latest(spark, path)
+    assert n == 1 and state.count() == 3
+    st = run(spark, path, [("1", "A2"), ("2", "B")], "2021-01-01 00:00:00")
+    assert sorted((r.school_id, r.school_name, r.valid_to is None) for r in st.collect()) == \
+        [("1", "A", False), ("1", "A2", True), ("2", "B", True), ("3", "C", False)]
+
+
+def test_a_run_does_not_write_closed_history_again(spark):
+    path = new_table_path(spark, "t-volume")
+    for i in range(5):
+        st = run(spark, path, [("1", f"A{i}"), ("2", "B")], f"{2020 + i}-01-01 00:00:00")
+    sizes = [spark.read.parquet(f"{path}/snapshot_run={n}").count() for n in scd2._runs(spark, path)]
+    assert sizes == [2, 3, 3, 3, 3] and st.count() == 6
+
+
+def test_scd_ids_tell_keys_and_times_apart(spark):
+    sch = "a string, b string, v string"
+    ids = set()
+    for data, at in (([("a|b", "c", "x"), ("a", "b|c", "x"), ("", "b", "x")], "2020-01-01 00:00:00"),
+                     ([("a|b", "c", "x")], "2020-01-01 00:00:00.5")):
+        st = scd2.scd2_apply(None, spark.createDataFrame(data, sch), ["a", "b"], ["v"], F.lit(at))
+        ids |= {r.scd_id for r in st.collect()}
+    assert len(ids) == 4

@@ -40,3 +40,19 @@ def test_release_stream(spark):
     assert table() == {("a", 2020): 10, ("b", 2020): 2, ("c", 2021): 30}
     run()  # nothing new: no change
     assert table() == {("a", 2020): 10, ("b", 2020): 2, ("c", 2021): 30}
+
+
+def test_an_older_release_that_lands_late_changes_nothing(spark):
+    landing, target = new_table_path(spark, "landing"), new_table_path(spark, "target")
+    ckpt = new_table_path(spark, "ckpt")
+
+    def land_and_run(rows, sub):
+        spark.createDataFrame(rows, RAW).write.parquet(f"{landing}/{sub}")
+        merge_releases(spark, f"{landing}/*", spark.read.parquet(f"{landing}/{sub}").schema, to_rows, target,
+                       ["code", "year_label"], ["school_id", "school_year"], "school_year", checkpoint=ckpt)
+        return {(r.school_id, r.school_year): r.total for r in upsert.read_table(spark, target).collect()}
+
+    assert land_and_run([("a", "2020-2021", "2", 2)], "r2") == {("a", 2020): 2}
+    assert land_and_run([("a", "2020-2021", "1", 1), ("b", "2020-2021", "5", 1), ("c", "2021-2022", "6", 1)], "r1") \
+        == {("a", 2020): 2, ("b", 2020): 5, ("c", 2021): 6}
+    assert land_and_run([("a", "2020-2021", "3", 3)], "r3")[("a", 2020)] == 3

@@ -56,11 +56,7 @@ def conditional_range(df: DataFrame, pairs: Sequence[tuple[str, str]], lo=0, hi=
 
     pairs: (value column, suppression flag column).
     """
-    cond = F.lit(False)
-    for value, flag in pairs:
-        v = F.col(value)
-        cond = cond | (~F.col(flag) & ((v < lo) | (v > hi)))
-    return df.filter(cond)
+    return df.filter(conditional_range_check("", pairs, lo, hi).fails)
 
 
 @dataclass(frozen=True)
@@ -89,6 +85,15 @@ def accepted_range_check(col: str, lo=None, hi=None) -> RowCheck:
     return RowCheck(f"accepted_range_{col}", col, cond)
 
 
+def conditional_range_check(name: str, pairs: Sequence[tuple[str, str]], lo=0, hi=100) -> RowCheck:
+    """:func:`conditional_range` as a row-level test of several columns."""
+    cond = F.lit(False)
+    for value, flag in pairs:
+        v = F.col(value)
+        cond = cond | (~F.col(flag) & ((v < lo) | (v > hi)))
+    return RowCheck(name, ", ".join(value for value, _ in pairs), cond)
+
+
 def check_summary(df: DataFrame, model: str, checks: Sequence[RowCheck]) -> DataFrame:
     """(model, test_name, column_name, failures) for all checks, one pass over ``df``."""
     counts = df.agg(*[F.count_if(F.coalesce(c.fails, F.lit(False))).alias(f"_c{i}")

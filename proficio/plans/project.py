@@ -9,11 +9,13 @@ the declared-test summary computed over the written tables.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from proficio.operators.upsert import is_committed, read_table
 from proficio.params import Params
 from proficio.plans import quality
 from proficio.plans.build import Models
@@ -24,6 +26,40 @@ from proficio.sources.catalog import Catalog
 from proficio.sources.sinks import write_table
 
 
+# model name -> Models attribute
+TABLE_MODELS = {
+    "dim_schools": "dim_schools",
+    "fct_school_performance": "school_performance",
+    "fct_school_improvement": "school_improvement",
+    "fct_school_improvement_yoy": "school_improvement_yoy",
+}
+TRENDS = "fct_enrollment_trends"
+SEEDS = ("school_regions", "school_locations")
+
+
+def use_seeds(m: Models, target: str) -> None:
+    """Point the catalog at the seeds loaded under ``target``, where there are any."""
+    for name in SEEDS:
+        path = f"{target.rstrip('/')}/seeds/{name}"
+        if is_committed(m.catalog.spark, path):
+            m.catalog.point(name, path)
+
+
+def use_built(m: Models, target: str, skip: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """Let the models stand for their built tables under ``target``, where these are committed.
+
+    Returns the tables that are no attribute of the models (the trends fact)
+    under the names of the declared tests.  ``skip``: models to be computed.
+    """
+    spark, base = m.catalog.spark, target.rstrip("/")
+    for name, attribute in TABLE_MODELS.items():
+        if name not in skip and is_committed(spark, f"{base}/{name}"):
+            setattr(m, attribute, spark.read.parquet(f"{base}/{name}"))
+    if TRENDS in skip or not is_committed(spark, f"{base}/{TRENDS}"):
+        return {}
+    return {"enrollment_trends": read_table(spark, f"{base}/{TRENDS}")}
+
+
 @dataclass
 class BuildResult:
     paths: dict[str, str] = field(default_factory=dict)
@@ -35,6 +71,7 @@ def build(spark: SparkSession, catalog: Catalog, params: Params, target: str,
           audit: bool = True) -> BuildResult:
     """Build dimension, facts and snapshot under ``target``; run the declared tests."""
     m = Models(catalog, params, audit=audit)
+    use_seeds(m, target)
     res = BuildResult()
     base = target.rstrip("/")
 

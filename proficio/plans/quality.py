@@ -45,6 +45,12 @@ DECLARED: dict[str, list[tuple]] = {
 }
 
 
+# The two hand-written tests: unsuppressed percentages lie in RATE_RANGE, and every
+# enrollment fact row has its school in the dimension.
+PERCENTAGES = [("math_pct_proficient", "math_suppressed"), ("ela_pct_proficient", "ela_suppressed")]
+CHILD, PARENT, CHILD_KEY = "enrollment_trends", "dim_schools", "school_id"
+
+
 def _row_check(kind: str, col: str, *args) -> C.RowCheck:
     if kind == "not_null":
         return C.not_null_check(col)
@@ -55,7 +61,10 @@ def _row_check(kind: str, col: str, *args) -> C.RowCheck:
 
 def declared_row_checks() -> dict[str, list[C.RowCheck]]:
     """model -> row-level tests (not_null, accepted_values, accepted_range)."""
-    return {m: [_row_check(*t) for t in tests] for m, tests in DECLARED.items()}
+    checks = {m: [_row_check(*t) for t in tests] for m, tests in DECLARED.items()}
+    checks["stg_assessment_scores"].append(
+        C.conditional_range_check("conditional_range_pct_proficient", PERCENTAGES, *RATE_RANGE))
+    return checks
 
 
 def model_table(m: Models, name: str, tables: dict[str, DataFrame] | None = None) -> DataFrame:
@@ -80,11 +89,18 @@ def test_summary(m: Models, tables: dict[str, DataFrame] | None = None,
             continue
         part = C.check_summary(model_table(m, model, tables), model, cks)
         out = part if out is None else out.unionByName(part)
-    if select and select != "dim_schools":
-        if out is None:
-            raise ValueError(f"no declared tests for {select!r}; one of {sorted(DECLARED)}")
-        return out
-    dup = (C.unique(m.dim_schools, "school_id").agg(F.count(F.lit(1)).cast("long").alias("failures"))
-           .select(F.lit("dim_schools").alias("model"), F.lit("unique_school_id").alias("test_name"),
-                   F.lit("school_id").alias("column_name"), "failures"))
-    return dup if out is None else out.unionByName(dup)
+    if select and out is None:
+        raise ValueError(f"no declared tests for {select!r}; one of {sorted(DECLARED)}")
+
+    def counted(bad: DataFrame, model: str, test: str, column: str) -> DataFrame:
+        return (bad.agg(F.count(F.lit(1)).cast("long").alias("failures"))
+                .select(F.lit(model).alias("model"), F.lit(test).alias("test_name"),
+                        F.lit(column).alias("column_name"), "failures"))
+
+    dim = model_table(m, PARENT, tables)
+    if select in (None, PARENT):
+        out = out.unionByName(counted(C.unique(dim, "school_id"), PARENT, "unique_school_id", "school_id"))
+    if select in (None, CHILD):
+        bad = C.orphans(model_table(m, CHILD, tables).select(CHILD_KEY), dim, CHILD_KEY)
+        out = out.unionByName(counted(bad, CHILD, f"orphans_{CHILD_KEY}", CHILD_KEY))
+    return out

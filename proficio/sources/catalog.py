@@ -31,6 +31,11 @@ class Catalog:
             self._cache[name] = self._loaders[name]()
         return self._cache[name]
 
+    def point(self, name: str, path: str) -> None:
+        """Read ``name`` from a Parquet table from now on (a loaded seed)."""
+        self._loaders[name] = lambda: self.spark.read.parquet(path)
+        self._cache.pop(name, None)
+
     def names(self) -> list[str]:
         return sorted(self._loaders)
 

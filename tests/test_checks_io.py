@@ -2,6 +2,8 @@
 
 import os
 
+from pyspark.sql import functions as F
+
 from proficio.operators import checks as C
 from proficio.session import new_table_path
 from proficio.sources.seeds import LOCATIONS_SCHEMA, read_seed
@@ -72,3 +74,25 @@ def test_clustered_layout_sorted_files(spark):
         for f in files:
             ids = pq.read_table(f, columns=["school_id"]).column(0).to_pylist()
             assert ids == sorted(ids)                     # sorted inside each file
+
+
+def test_the_hand_written_tests_run_with_the_declared_ones(spark):
+    from proficio.params import Params
+    from proficio.plans import quality
+    from proficio.plans.build import Models
+    from proficio.sources.catalog import test_table_catalog
+
+    m = Models(test_table_catalog(spark, "/root/testdata/sf0.001"),
+               Params(start_year=1997, current_school_year="2000-2001"), audit=False)
+    clean = {(r.model, r.test_name): r.failures for r in quality.test_summary(m).collect()}
+    assert len(clean) == 36
+    assert clean["enrollment_trends", "orphans_school_id"] == 0
+    assert clean["stg_assessment_scores", "conditional_range_pct_proficient"] == 0
+    a = m.stg_assessment_scores
+    high = F.when((F.col("school_id") == "45") & ~F.col("math_suppressed"), F.lit(140).cast("decimal(38,0)"))
+    tables = {"stg_assessment_scores": a.withColumn("math_pct_proficient", F.coalesce(high, "math_pct_proficient")),
+              "dim_schools": m.dim_schools.where("school_id <> '100'")}
+    bad = {(r.model, r.test_name): r.failures for r in quality.test_summary(m, tables).collect()}
+    assert bad["stg_assessment_scores", "conditional_range_pct_proficient"] == \
+        a.where("school_id = '45' and not math_suppressed").count() > 0
+    assert bad["enrollment_trends", "orphans_school_id"] == m.stg_enrollment.where("school_id = '100'").count() > 0

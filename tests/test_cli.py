@@ -35,3 +35,13 @@ def test_cli_build_run_snapshot_test(spark, capsys):
     assert main(["story", "--config", cfg, "--select", "story_needs_support", "--show", "3"]) == 0
     assert spark.read.parquet(f"{target}/dim_schools").count() > 0
     assert spark.read.parquet(f"{target}/scd_school_directory").select("snapshot_run").distinct().count() == 2
+    # the commands read what was built: altered tables are noticed
+    assert main(["extract", "--config", cfg, "--out", f"{target}/csv"]) == 0
+    rows = spark.read.option("header", "true").csv(f"{target}/csv")
+    assert rows.count() == spark.read.parquet(f"{target}/fct_school_performance").count()
+    assert main(["test", "--config", cfg, "--select", "enrollment_trends"]) == 0
+    dim = spark.read.parquet(f"{target}/dim_schools").toPandas()
+    kept = spark.createDataFrame(dim[dim.school_id != dim.school_id.min()])
+    kept.write.mode("overwrite").parquet(f"{target}/dim_schools")
+    assert main(["test", "--config", cfg, "--select", "enrollment_trends"]) == 1
+    assert "orphans_school_id" in capsys.readouterr().out

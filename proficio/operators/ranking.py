@@ -2,30 +2,22 @@
 
 ``rank_columns`` computes SQL ``rank()`` (ties share a rank, gaps follow)
 for many measures without a single-partition window.  A window with no
-PARTITION BY sends every row to one task; here the work is split three ways:
+PARTITION BY sends every row to one task; here the work is split three ways,
+in the same way at every size:
 
 1. rows collapse to distinct (group, value) pairs with a count -- a partial
    aggregate, so a value carried by a third of all rows becomes one row
    before the shuffle -- written once to the shared folder;
-2. the largest group's distinct count is checked.  Up to ``direct_limit``
-   a running sum per (spec, group) over its distinct values gives the count
-   of strictly better values.  Above it, the distinct values are cut into
-   ``buckets`` ordered ranges by approximate quantiles (cut points per spec,
-   and per hot group; two broadcast tables bounded by specs x (hot groups +
-   1) x buckets doubles); a row finds its bucket with a two-level search;
-   per (group, bucket) totals give each bucket's offset (a window over at
-   most buckets + 2 rows per group), and a running sum inside a bucket
-   gives the count of strictly better values;
-3. the ranked distinct values join back to the rows on (group, value).  The
-   ranked table is written once to the shared folder, its size is counted,
-   and it is broadcast only under ``broadcast_rows``; above that the join is
-   a shuffle join on the value (adaptive execution splits a hot value).
-
-Order keys must be numeric; they are compared as DOUBLE (exact for doubles
-and for integers/decimals below 2**53).  Cut points are per spec; the
-largest groups of a partitioned spec (by distinct values, at most
-HOT_GROUPS per spec) get cut points of their own, so a hot group is split
-evenly even when its values sit in a narrow range.
+2. the distinct values of every group are cut into ``buckets`` ordered ranges
+   by approximate quantiles of that group; per (group, bucket) totals give
+   each bucket's offset (a window over at most buckets + 2 rows per group),
+   and a running sum inside a bucket gives the count of strictly better
+   values;
+3. the ranked distinct values, written once, join back to the rows on (group,
+   value); the planner picks the join by the written table's size.
+
+Order keys must be numeric and are compared in their own type (cut points
+alone are approximate), so BIGINT and DECIMAL keys rank exactly.
 """
 
 from __future__ import annotations
@@ -54,18 +46,26 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.D
             T.DecimalType)
 
 
-def _stack(df: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    for s in specs:
-        if not isinstance(types.get(s.order_by), _NUMERIC):
-            raise TypeError(f"rank_columns needs a numeric order key; {s.order_by!r} is "
-                            f"{types.get(s.order_by)} (use a window rank for text keys)")
-    items = []
-    for i, s in enumerate(specs):
-        grp = (F.array(*[F.col(c).cast("string") for c in s.partition_by]) if s.partition_by
-               else F.array().cast("array<string>"))
-        items.append(F.struct(F.lit(i).alias("_m"), grp.alias("_g"),
-                              F.col(s.order_by).cast("double").alias("_v")))
+def _key_type(df: DataFrame, s: RankSpec) -> T.DataType:
+    """The type the order key is compared in: its own, integers as BIGINT, floats as DOUBLE."""
+    t = {f.name: f.dataType for f in df.schema.fields}.get(s.order_by)
+    if not isinstance(t, _NUMERIC):
+        raise TypeError(f"rank_columns needs a numeric order key; {s.order_by!r} is {t} "
+                        "(use a window rank for text keys)")
+    if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType)):
+        return T.LongType()
+    return T.DoubleType() if isinstance(t, T.FloatType) else t
+
+
+def _group_key(s: RankSpec) -> Column:
+    return (F.array(*[F.col(c).cast("string") for c in s.partition_by]) if s.partition_by
+            else F.array().cast("array<string>"))
+
+
+def _stack(df: DataFrame, specs: Sequence[tuple[int, RankSpec]], key: T.DataType) -> DataFrame:
+    """(_m, _g, _v): spec, group and value of every row, for specs of one key type."""
+    items = [F.struct(F.lit(i).alias("_m"), _group_key(s).alias("_g"), F.col(s.order_by).cast(key).alias("_v"))
+             for i, s in specs]
     return df.select(F.inline(F.array(*items)))
 
 
@@ -73,154 +73,80 @@ def _stride(buckets: int) -> int:
     return max(2, math.isqrt(max(buckets - 1, 1)) + 1)
 
 
-HOT_GROUPS = 32
-
+def _with_bucket(dv: DataFrame, buckets: int, ascending: bool, nulls_last: bool) -> DataFrame:
+    """Add ``_b``, the bucket in rank order (0 holds the best values).
 
-def _with_bucket(dv: DataFrame, cut_tbl: DataFrame, specs: Sequence[RankSpec],
-                 buckets: int) -> DataFrame:
-    """Add ``_b``, the bucket id in rank order (0 holds the best values).
-
-    ``cut_tbl`` holds ascending cut points per (spec, cut key) (see
-    :func:`_with_cut_key`); ``dv`` already carries its cut key ``_ck``.
-    The number of cut points below (ascending) or at-or-below (descending) a
-    value is a prefix count, found in two levels: a coarse table (every
-    stride-th cut point) gives the block, a block table (stride - 1 cut
-    points per block) gives the count inside it -- about 2*sqrt(buckets)
-    comparisons per row.  Both tables are broadcast; together they hold at
-    most len(specs) * (HOT_GROUPS + 1) * buckets doubles.  NULLs go to the
-    last (or first) bucket.
+    Every (spec, group) has cut points of its own, approximate quantiles of
+    its distinct values, so a group of any size is split evenly however
+    narrow its values are.  The number of cut points below (ascending) or
+    at-or-below (descending) a value is found in two levels, with about
+    2*sqrt(buckets) comparisons.  NULLs go to the last (or first) bucket.
     """
     stride = _stride(buckets)
-    cuts = F.col("_cuts")
-    coarse = cut_tbl.select(
-        "_m", "_ck", F.filter(cuts, lambda x, i: (i + 1) % stride == 0).alias("_k"),
-        F.coalesce(F.size(cuts), F.lit(0)).alias("_nc"))
-    blocks = cut_tbl.select("_m", "_ck", F.inline(F.transform(
-        F.sequence(F.lit(0), F.floor(F.size(cuts) / stride).cast("int")),
-        lambda j: F.struct(j.alias("_j"), F.slice(cuts, j * stride + 1, stride - 1).alias("_blk")))))
-    asc = F.col("_m").isin([i for i, s in enumerate(specs) if s.ascending] or [-1])
+    fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    cuts = (dv.groupBy("_m", "_g")
+            .agg(F.percentile_approx("_v", fracs, max(10_000, 10 * buckets)).alias("_cuts"))
+            .withColumn("_k", F.filter("_cuts", lambda x, i: (i + 1) % stride == 0)))
     v = F.col("_v")
 
-    def prefix(arr):
-        return F.coalesce(F.when(asc, F.size(F.filter(arr, lambda x: x < v))).otherwise(
-            F.size(F.filter(arr, lambda x: x <= v))), F.lit(0))
+    def prefix(points):
+        below = F.filter(points, (lambda x: x < v) if ascending else (lambda x: x <= v))
+        return F.coalesce(F.size(below), F.lit(0))
 
-    dv = dv.join(F.broadcast(coarse), ["_m", "_ck"], "left").withColumn("_j", prefix(F.col("_k")))
-    dv = dv.drop("_k").join(F.broadcast(blocks), ["_m", "_ck", "_j"], "left")
-    lo = F.col("_j") * stride + prefix(F.col("_blk"))
-    b = F.when(asc, lo).otherwise(F.col("_nc") - lo)
-    nulls_first = F.col("_m").isin([i for i, s in enumerate(specs) if not s.nulls_last] or [-1])
-    nb = F.when(nulls_first, F.lit(-1)).otherwise(F.lit(buckets + 1))
-    return dv.withColumn("_b", F.when(v.isNull(), nb).otherwise(b)).drop("_j", "_blk", "_nc", "_ck")
+    found = (dv.join(cuts, ["_m", "_g"]).withColumn("_j", prefix(F.col("_k")))
+             .withColumn("_lo", F.col("_j") * stride + prefix(F.slice("_cuts", F.col("_j") * stride + 1, stride - 1))))
+    b = F.col("_lo") if ascending else F.coalesce(F.size("_cuts"), F.lit(0)) - F.col("_lo")
+    return (found.withColumn("_b", F.when(v.isNull(), F.lit(buckets + 1 if nulls_last else -1)).otherwise(b))
+            .drop("_cuts", "_k", "_j", "_lo"))
 
 
-def _with_cut_key(dv: DataFrame, hot_groups: int) -> DataFrame:
-    """Add ``_ck``: the group for the ``hot_groups`` groups of each spec with the
-    most distinct values, the empty array for every other group.
-
-    The top-k is a ``row_number() <= k`` filter, so a partial
-    WindowGroupLimit keeps at most k groups per spec in each map task; the
-    hot table (at most specs x k rows) is broadcast.
-    """
-    none = F.array().cast("array<string>")
-    if hot_groups <= 0:
-        return dv.withColumn("_ck", none)
-    sizes = dv.filter(F.size("_g") > 0).groupBy("_m", "_g").agg(F.count(F.lit(1)).alias("_d"))
-    w = Window.partitionBy("_m").orderBy(F.col("_d").desc(), F.col("_g"))
-    hot = (sizes.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= hot_groups)
-                .select("_m", "_g", F.lit(True).alias("_hot")))
-    return (dv.join(F.broadcast(hot), ["_m", "_g"], "left")
-              .withColumn("_ck", F.when(F.col("_hot"), F.col("_g")).otherwise(none)).drop("_hot"))
-
-
-def _order_key(specs: Sequence[RankSpec]) -> Column:
-    """A key ascending in rank order: NULLs last (or first), NaN the largest double."""
+def _ranked(dv: DataFrame, buckets: int, ascending: bool, nulls_last: bool) -> DataFrame:
+    """(_m, _g, _v, _rank) by bucket offsets plus a running sum inside each (spec, group, bucket)."""
     v = F.col("_v")
-    asc = F.col("_m").isin([i for i, s in enumerate(specs) if s.ascending] or [-1])
-    nulls_first = F.col("_m").isin([i for i, s in enumerate(specs) if not s.nulls_last] or [-1])
-    null_pos = F.when(v.isNull(), F.when(nulls_first, F.lit(-1)).otherwise(F.lit(1))).otherwise(0)
-    return F.when(asc, F.struct(null_pos.alias("p"), F.isnan(v).alias("a"), v.alias("b"))).otherwise(
-        F.struct(null_pos.alias("p"), (~F.isnan(v)).alias("a"), (-v).alias("b")))
-
-
-def _rank_direct(dv: DataFrame, specs: Sequence[RankSpec]) -> DataFrame:
-    """Ranks by one running sum per (spec, group) over the distinct values."""
-    w = (Window.partitionBy("_m", "_g").orderBy("_k")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (dv.withColumn("_k", _order_key(specs))
-              .select("_m", "_g", "_v", (F.sum("_n").over(w) - F.col("_n") + 1).cast("long")
-                      .alias("_rank")))
-
-
-def _rank_bucketed(dv: DataFrame, specs: Sequence[RankSpec], buckets: int,
-                   hot_groups: int) -> DataFrame:
-    """Ranks by bucket offsets plus a running sum inside each (spec, group, bucket)."""
-    dv = _with_cut_key(dv, hot_groups if any(s.partition_by for s in specs) else 0)
-    # quantile cut points per (spec, cut key): at most specs x (hot_groups + 1) rows
-    fracs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    cut_tbl = dv.groupBy("_m", "_ck").agg(
-        F.percentile_approx("_v", fracs, max(10_000, 10 * buckets)).alias("_cuts"))
-    dv = _with_bucket(dv, cut_tbl, specs, buckets).withColumn("_k", _order_key(specs))
+    order = ((v.asc_nulls_last() if nulls_last else v.asc_nulls_first()) if ascending else
+             (v.desc_nulls_last() if nulls_last else v.desc_nulls_first()))
+    dv = _with_bucket(dv, buckets, ascending, nulls_last)
     tot = dv.groupBy("_m", "_g", "_b").agg(F.sum("_n").alias("_t"))
     w_off = Window.partitionBy("_m", "_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.withColumn("_off", F.coalesce(F.sum("_t").over(w_off), F.lit(0))).drop("_t")
-    w_in = Window.partitionBy("_m", "_g", "_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    w_in = Window.partitionBy("_m", "_g", "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     inside = dv.withColumn("_cum", F.sum("_n").over(w_in))
     return (inside.join(off, ["_m", "_g", "_b"])
-            .select("_m", "_g", "_v", (F.col("_off") + F.col("_cum") - F.col("_n") + 1)
-                    .cast("long").alias("_rank")))
+            .select("_m", "_g", "_v", (F.col("_off") + F.col("_cum") - F.col("_n") + 1).cast("long").alias("_rank")))
+
 
+def _classes(df: DataFrame, specs: Sequence[RankSpec]) -> list[tuple[T.DataType, bool, bool, list]]:
+    """Specs by key type and direction: those of one class are ranked in one pass."""
+    found: dict = {}
+    for i, s in enumerate(specs):
+        key = _key_type(df, s)
+        found.setdefault((key.simpleString(), s.ascending, s.nulls_last), (key, []))[1].append((i, s))
+    return [(key, asc, last, own) for (_, asc, last), (key, own) in found.items()]
 
-def _ranked(df: DataFrame, specs: Sequence[RankSpec], buckets: int, hot_groups: int,
-            direct_limit: int) -> tuple[DataFrame, dict[int, int]]:
-    """(ranked distinct values, rows per spec).
 
-    The distinct (spec, group, value) counts are written once.  One small
-    aggregate returns, per spec, its number of distinct values (the size of
-    its rank table) and its largest group (which path to take): at most
-    len(specs) rows reach the driver.
-    """
-    dv = materialize(_stack(df, specs).groupBy("_m", "_g", "_v")
-                     .agg(F.count(F.lit(1)).alias("_n")), "rank-values")
-    stats = (dv.groupBy("_m", "_g").agg(F.count(F.lit(1)).alias("_d"))
-               .groupBy("_m").agg(F.sum("_d").alias("rows"), F.max("_d").alias("largest"))
-               .collect())
-    sizes = {r["_m"]: r["rows"] for r in stats}
-    largest = max((r["largest"] for r in stats), default=0)
-    if largest <= direct_limit:
-        return _rank_direct(dv, specs), sizes
-    return _rank_bucketed(dv, specs, buckets, hot_groups), sizes
-
-
-def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
-                  hot_groups: int = HOT_GROUPS, direct_limit: int = 1_000_000) -> DataFrame:
-    """(_m, _g, _v, _rank): SQL rank of every distinct (group, value) per spec.
-
-    Up to ``direct_limit`` distinct values in every group, a single running
-    sum per group ranks them; above it the bucketed path splits every group
-    into quantile buckets.
+def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024) -> list[DataFrame]:
+    """(_m, _g, _v, _rank) tables, one per key type and direction: the rank of every distinct value.
+
+    The distinct (spec, group, value) counts are written once per class.
     """
-    return _ranked(df, specs, buckets, hot_groups, direct_limit)[0]
+    return [_ranked(materialize(_stack(df, own, key).groupBy("_m", "_g", "_v").agg(F.count(F.lit(1)).alias("_n")),
+                                "rank-values"), buckets, asc, last)
+            for key, asc, last, own in _classes(df, specs)]
 
 
-def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024,
-                 broadcast_rows: int = 500_000, hot_groups: int = HOT_GROUPS,
-                 direct_limit: int = 1_000_000) -> DataFrame:
+def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024) -> DataFrame:
     """Add one ``rank()`` column per spec (BIGINT)."""
-    ranked, sizes = _ranked(df, specs, buckets, hot_groups, direct_limit)
-    ranks = materialize(ranked, "ranks")
     out = df
-    for i, s in enumerate(specs):
-        r = ranks.filter(F.col("_m") == i).select(
-            *[F.get(F.col("_g"), j).alias(f"_p{j}") for j in range(len(s.partition_by))],
-            F.col("_v").alias("_rv"), F.col("_rank").alias(s.out))
-        if sizes.get(i, 0) <= broadcast_rows:
-            r = F.broadcast(r)
-        cond = F.col(s.order_by).cast("double").eqNullSafe(F.col("_rv"))
-        for j, c in enumerate(s.partition_by):
-            cond = cond & F.col(c).cast("string").eqNullSafe(F.col(f"_p{j}"))
-        out = out.join(r, cond, "left").drop("_rv", *[f"_p{j}" for j in range(len(s.partition_by))])
-    return out
+    for (key, _, _, own), ranked in zip(_classes(df, specs), ranked_values(df, specs, buckets), strict=True):
+        ranks = materialize(ranked, "ranks")
+        for i, s in own:
+            r = ranks.filter(F.col("_m") == i).select(F.col("_g").alias("_rg"), F.col("_v").alias("_rv"),
+                                                      F.col("_rank").alias(s.out))
+            cond = F.col(s.order_by).cast(key).eqNullSafe(F.col("_rv"))
+            for j, c in enumerate(s.partition_by):
+                cond = cond & F.col(c).cast("string").eqNullSafe(F.get(F.col("_rg"), j))
+            out = out.join(r, cond, "left").drop("_rv", "_rg")
+    return out.select(*df.columns, *[s.out for s in specs])
 
 
 def topn_per_group(df: DataFrame, n: int, partition_by: Sequence[str], order_by: Sequence[Column],

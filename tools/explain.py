@@ -40,7 +40,7 @@ def main() -> None:
             from proficio.operators.ranking import RankSpec, ranked_values
             from proficio.plans.registry import models
             y = models(spark, sf).assessment_yoy.select("school_id", "school_year", "composite_pct")
-            df = ranked_values(y, [RankSpec("composite_rank", "composite_pct")])
+            df = ranked_values(y, [RankSpec("composite_rank", "composite_pct")])[0]
         elif name == "scd2_pass":  # one SCD-2 comparison: history of 1997 vs the 1998 release
             from pyspark.sql import functions as F
             from proficio.operators import scd2

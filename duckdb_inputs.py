@@ -100,3 +100,11 @@ select cast(p_partkey as varchar) as organization_code, p_name as school_name,
        cast(p_size as varchar) as zip_code
 from part where p_partkey % 89 <> 0
 """
+
+#: A later release: schools renamed, closed, or without their rows of ``{year}``.
+RAW_DEMOGRAPHIC_REVISED = """
+select * replace (if(organization_code::bigint % 40 = 1, school_name || ' Academy', school_name) as school_name)
+from raw_demographic
+where organization_code::bigint % 35 <> 7
+  and not (organization_code::bigint % 25 = 3 and trim(accountability_year) like '{year}%')
+"""

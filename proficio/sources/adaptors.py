@@ -2,8 +2,8 @@
 
 They only produce input rows (text measures with suppression tokens, junk,
 blanks, padded year labels, gaps, duplicates and unmapped keys); none of the
-pipeline's work happens here.  Every rule below is also written as SQL text
-(``SQL_*``) so the DuckDB oracle builds exactly the same input.  Counts are
+pipeline's work happens here.  The DuckDB oracle spells the same rules out
+for itself (``duckdb_inputs.py``).  Counts are
 pre-aggregated on the fact table's own key before the join to the
 dimension, so the large table is reduced map-side before any shuffle.
 """
@@ -84,6 +84,16 @@ def raw_demographic(orders: DataFrame, customer: DataFrame, cutoff: str | None =
     )
 
 
+def revised_demographic(raw: DataFrame, year: int) -> DataFrame:
+    """A later release of the demographic extract: some schools are renamed, some have
+    closed (no rows at all) and some have withdrawn their rows of ``year``."""
+    k = F.col("organization_code").cast("bigint")
+    withdrawn = (k % 25 == 3) & F.trim("accountability_year").startswith(str(year))
+    return (raw.filter((k % 35 != 7) & ~withdrawn)
+            .withColumn("school_name", F.when(k % 40 == 1, F.concat("school_name", F.lit(" Academy")))
+                        .otherwise(F.col("school_name"))))
+
+
 def _pct(p, partkey):
     return (F.when(p < 5, "<5").when(p > 95, ">95")
              .when(partkey % 40 == 3, "-")
@@ -177,88 +187,3 @@ def raw_locations(part: DataFrame) -> DataFrame:
                     F.col("p_type").alias("city"),
                     F.lit("NV").alias("state"),
                     F.col("p_size").cast("string").alias("zip_code")))
-
-
-# ---------------------------------------------------------------- SQL text
-# The same adaptors as DuckDB SQL (oracle side).  {S} = varchar, {DIV} = //.
-
-def _sql_sum_if(cond: str, name: str) -> str:
-    return f"sum(case when {cond} then 1 else 0 end) as {name}"
-
-
-def sql_raw_demographic(cutoff: str | None = None) -> str:
-    rules = {**DEMOGRAPHIC_COUNTS, **GRADE_RULES}
-    where = f"where o_orderdate < timestamp '{cutoff}'" if cutoff else ""
-    sums = ",\n       ".join(_sql_sum_if(c, k) for k, c in rules.items())
-    casts = ", ".join(f"cast({k} as varchar) as {k}" for k in rules)
-    return f"""
-select cast(c_custkey as varchar) as organization_code, c_name as school_name,
-       concat(' ', cast(_y as varchar), '-', cast(_y + 1 as varchar)) as accountability_year,
-       case when _n = 1 and c_custkey % 10 = 0 then '<5'
-            when _n = 1 and c_custkey % 10 = 1 then '-'
-            else cast(_n * 100 as varchar) end as num_enrolled,
-       {casts}
-from (select o_custkey, year(o_orderdate) as _y, count(*) as _n,
-       {sums}
-      from orders {where} group by o_custkey, year(o_orderdate)) a
-join customer on o_custkey = c_custkey"""
-
-
-def _sql_pct(p: str) -> str:
-    return (f"case when {p} < 5 then '<5' when {p} > 95 then '>95' "
-            f"when l_partkey % 40 = 3 then '-' when l_partkey % 40 = 4 then null "
-            f"else concat(cast({p} as varchar), '.5') end")
-
-
-def sql_raw_assessment() -> str:
-    rules = {"_math": MATH_RULE, "_ela": ELA_RULE, **TESTED, **ASSESSMENT_BANDS}
-    sums = ",\n       ".join(_sql_sum_if(c, k) for k, c in rules.items())
-    math_bands = ", ".join(f"cast((100 * {c}) // _n as varchar) as {c}"
-                           for c in ASSESSMENT_BANDS if c.startswith("math"))
-    ela_bands = ", ".join(f"cast((100 * {c}) // _n as varchar) as {c}"
-                          for c in ASSESSMENT_BANDS if c.startswith("ela"))
-    return f"""
-select cast(l_partkey as varchar) as organization_code, p_name as school_name,
-       concat(cast(_y as varchar), '-', cast(_y + 1 as varchar), ' ') as school_year,
-       cast(_n as varchar) as num_students_enrolled,
-       cast(math_num_tested as varchar) as math_num_tested,
-       {_sql_pct('((100 * _math) // _n)')} as math_pct_proficient,
-       {math_bands},
-       cast(ela_num_tested as varchar) as ela_num_tested,
-       {_sql_pct('((100 * _ela) // _n)')} as ela_pct_proficient,
-       {ela_bands}
-from (select l_partkey, year(l_shipdate) as _y, count(*) as _n,
-       {sums}
-      from lineitem group by l_partkey, year(l_shipdate)) a
-join part on l_partkey = p_partkey"""
-
-
-def sql_raw_absenteeism() -> str:
-    return """
-select cast(l_partkey as varchar) as organization_code, p_name as school_name,
-       p_brand as district_name,
-       concat(cast(_y as varchar), '-', cast(_y + 1 as varchar)) as accountability_year,
-       case when _n = 1 then '' else cast((100 * _hi) // _n as varchar) end
-         as chronic_absenteeism_rate
-from (select l_partkey, year(l_shipdate) as _y, count(*) as _n,
-             sum(case when l_quantity > 40 then 1 else 0 end) as _hi
-      from lineitem group by l_partkey, year(l_shipdate)) a
-join part on l_partkey = p_partkey"""
-
-
-def sql_raw_regions() -> str:
-    return """
-select cast(p_partkey as varchar) as organization_code,
-       case when p_partkey % 50 = 7 then 'Alternative'
-            when p_partkey % 50 = 8 then 'Charter' else r_name end as region
-from part join region on p_partkey % 5 = r_regionkey where p_partkey % 97 <> 0
-union all
-select cast(p_partkey as varchar), 'Transformation Network' from part where p_size >= 45"""
-
-
-def sql_raw_locations() -> str:
-    return """
-select cast(p_partkey as varchar) as organization_code, p_name as school_name,
-       p_brand as address, p_type as city, 'NV' as state,
-       cast(p_size as varchar) as zip_code
-from part where p_partkey % 89 <> 0"""

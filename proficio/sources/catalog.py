@@ -65,11 +65,13 @@ def csv_catalog(spark: SparkSession, paths: Mapping[str, str]) -> Catalog:
     return Catalog(spark, {n: loader(n, p) for n, p in paths.items()})
 
 
-def test_table_catalog(spark: SparkSession, sf_dir: str, cutoff: str | None = None) -> Catalog:
+def test_table_catalog(spark: SparkSession, sf_dir: str, cutoff: str | None = None,
+                       revised: int | None = None) -> Catalog:
     """Raw school tables built from the driver's test tables in ``sf_dir``.
 
     ``cutoff`` ('YYYY-MM-DD') simulates an earlier extract of the
-    demographic source: only orders before that day are counted.
+    demographic source: only orders before that day are counted; ``revised``
+    (a school year) a later one, with renamed, closed and withdrawn schools.
     """
     from proficio.sources import adaptors as A
 
@@ -86,7 +88,8 @@ def test_table_catalog(spark: SparkSession, sf_dir: str, cutoff: str | None = No
         return tables["_li_agg"]
 
     return Catalog(spark, {
-        "demographic": lambda: A.raw_demographic(t("orders"), t("customer"), cutoff),
+        "demographic": lambda: (A.raw_demographic(t("orders"), t("customer"), cutoff) if revised is None else
+                                A.revised_demographic(A.raw_demographic(t("orders"), t("customer"), cutoff), revised)),
         "assessment": lambda: A.raw_assessment(t("lineitem"), t("part"), li()),
         "absenteeism": lambda: A.raw_absenteeism(t("lineitem"), t("part"), li()),
         "school_regions": lambda: A.raw_regions(t("part"), t("region")),

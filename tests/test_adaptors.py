@@ -3,16 +3,16 @@
 import duckdb
 import pytest
 
-from proficio.sources import adaptors as A
+import duckdb_inputs as raw
 from proficio.sources.catalog import test_table_catalog as make_catalog
 
 SF = "/root/testdata/sf0.001"
 SQL = {
-    "demographic": A.sql_raw_demographic(),
-    "assessment": A.sql_raw_assessment(),
-    "absenteeism": A.sql_raw_absenteeism(),
-    "school_regions": A.sql_raw_regions(),
-    "school_locations": A.sql_raw_locations(),
+    "demographic": raw.RAW_DEMOGRAPHIC.format(cutoff=""),
+    "assessment": raw.RAW_ASSESSMENT,
+    "absenteeism": raw.RAW_ABSENTEEISM,
+    "school_regions": raw.RAW_REGIONS,
+    "school_locations": raw.RAW_LOCATIONS,
 }
 
 
@@ -35,5 +35,6 @@ def test_adaptor_matches_sql(spark, con, name):
 
 def test_early_extract_matches_sql(spark, con):
     df = make_catalog(spark, SF, cutoff="2000-07-01").table("demographic")
-    res = con.execute(A.sql_raw_demographic(cutoff="2000-07-01"))
+    res = con.execute(raw.RAW_DEMOGRAPHIC.format(
+        cutoff="where o_orderdate < timestamp '2000-07-01'"))
     assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, res.fetchall()))

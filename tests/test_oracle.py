@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from duckdb_oracle import oracle_queries
+from proficio.plans.registry import queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem".split()
@@ -35,10 +37,10 @@ def con():
 SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle_queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
-    res = con.execute(E.oracle_sql()[name])
+    df = queries()[name](spark, SF)
+    res = con.execute(oracle_queries()[name])
     ocols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(ocols)
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in df.schema.fields}
@@ -53,4 +55,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(queries()) == set(oracle_queries())
+    assert set(queries()) <= set(E.queries()) and set(oracle_queries()) <= set(E.oracle_sql())

@@ -4,8 +4,8 @@ Prints one JSON line:
 {"metric": "headline_total", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Each query runs to completion through the no-op sink (every row computed,
-nothing collected); the value per query is the median of the timed runs
-after one warm-up run.
+nothing collected); the value per query is the median of the timed rounds
+after one warm-up round of all queries.
 """
 
 from __future__ import annotations
@@ -57,19 +57,18 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     from proficio.plans.registry import queries
     qs = queries()
-    times: dict[str, float] = {}
     errors: dict[str, str] = {}
-    for name in only or HEADLINE:
-        try:
-            run(qs[name](spark, sf_dir))  # warm-up
-            samples = []
-            for _ in range(reps):
+    samples: dict[str, list[float]] = {name: [] for name in only or HEADLINE}
+    for rep in range(reps + 1):  # round 0 warms up; rounds are interleaved, so drift hits all queries alike
+        for name in [n for n in samples if n not in errors]:
+            try:
                 t0 = time.perf_counter()
                 run(qs[name](spark, sf_dir))
-                samples.append(time.perf_counter() - t0)
-            times[name] = round(statistics.median(samples), 3)
-        except Exception as e:  # report the failure, keep measuring the others
-            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+                if rep:
+                    samples[name].append(time.perf_counter() - t0)
+            except Exception as e:  # report the failure, keep measuring the others
+                errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
+    times = {n: round(statistics.median(x), 3) for n, x in samples.items() if x and n not in errors}
     extra = {}
     if not only and os.environ.get("BENCH_COMPARE", "1") == "1":
         # reference point: the same global rank as one unpartitioned window (single task)

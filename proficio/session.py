@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SCRATCH = "scratch"
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "proficio") -> SparkSession:
@@ -64,11 +66,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared folder for a written table."""
+    """A fresh, unique path below the shared folder for a written table (kept until it is dropped)."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/proficio/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique path for an intermediate, in the folder that :func:`clean_work` empties."""
+    base = shared_dir(spark).rstrip("/")
+    return f"{base}/proficio/{SCRATCH}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a staging table folder (any Hadoop file system)."""
     jvm = spark._jvm
@@ -80,13 +88,13 @@ def clean_work(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]
     """Delete this library's intermediate tables older than ``older_than_hours``.
 
     Intermediates behind a returned DataFrame (summary, rank tables, staged
-    inputs) live in ``<spark.checkpoint.dir>/proficio/``; run this between jobs
-    (never while a job may still read them).  Stream checkpoints
-    (``release-stream-*``) are kept.  Returns the deleted paths.
+    inputs) live in ``<spark.checkpoint.dir>/proficio/scratch/``; nothing else
+    is touched.  Run this between jobs (never while a job may still read them).
+    Returns the deleted paths.
     """
     import time
 
-    base = shared_dir(spark).rstrip("/") + "/proficio"
+    base = f"{shared_dir(spark).rstrip('/')}/proficio/{SCRATCH}"
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(base)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -95,8 +103,6 @@ def clean_work(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]
     cutoff = (time.time() - older_than_hours * 3600) * 1000
     gone = []
     for st in fs.listStatus(p):
-        if st.getPath().getName().startswith("release-stream-"):
-            continue
         if st.getModificationTime() < cutoff:
             fs.delete(st.getPath(), True)
             gone.append(st.getPath().toString())
@@ -106,7 +112,7 @@ def clean_work(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]
 def stage(df: DataFrame, name: str = "stage") -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet in the shared folder; return (re-read DataFrame, path)."""
     spark = df.sparkSession
-    path = new_table_path(spark, name)
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path), path
 

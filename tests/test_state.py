@@ -87,13 +87,13 @@ def test_clean_work_removes_only_old_intermediates(spark):
     p = jvm.org.apache.hadoop.fs.Path(old_path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).setTimes(p, 0, 0)   # back-date to 1970
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    ckpt = jvm.org.apache.hadoop.fs.Path(old_path.rsplit("/", 1)[0] + "/release-stream-cleantest")
+    ckpt = jvm.org.apache.hadoop.fs.Path(new_table_path(spark, "cleantest"))
     fs.mkdirs(ckpt)
-    fs.setTimes(ckpt, 0, 0)                          # an old stream checkpoint
+    fs.setTimes(ckpt, 0, 0)                          # an old table or stream checkpoint
     gone = clean_work(spark, older_than_hours=24.0)  # nothing of this session is a day old
     old_name = old_path.rstrip("/").split("/")[-1]
     assert [g.rstrip("/").split("/")[-1] for g in gone if "clean-" in g] == [old_name]
-    assert fs.exists(ckpt)                           # stream checkpoints are kept
+    assert fs.exists(ckpt)                           # tables and stream checkpoints are kept
     assert fresh.count() == 3                      # a fresh intermediate is still readable
 
 

@@ -5,7 +5,8 @@ between two characters that stand side by side in no piece).  The distinct
 segments are numbered by the input partitions that hold them, and Spark builds
 the lattice: every substring of a segment up to the longest piece is exploded
 and joined to the piece table, the edges are grouped by segment and folded by
-a higher-order function: ``viterbi`` takes the path with the highest sum of
+a higher-order function (segments of one partition alone stay there and are
+folded by its task, by the same rule): ``viterbi`` takes the path with the highest sum of
 scores (unigram models), ``merge`` joins the best-scored neighbours until none
 is left (models whose scores are merge ranks).  The folded segments go back to
 the partitions that hold them, so texts are never shuffled.
@@ -28,6 +29,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -109,17 +111,39 @@ class Segmenter:
     def word(self, word: str) -> list[str]:
         got = self.memo.get(word)
         if got is None:
-            cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in self.pairs]
-            got = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
+            pairs = self.pairs
+            cuts = [i for i, pair in enumerate(map(add, word, word[1:]), 1) if pair not in pairs]
+            got = [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)] if cuts else [word]
             if len(self.memo) >= self.keep:
                 self.memo.clear()
             self.memo[word] = got
         return got
 
 
+def _merge_short(segment: str, pieces: Pieces) -> list[str]:
+    """The pieces of a short segment; each step looks at all neighbours."""
+    get, parts = pieces.normal.get, list(segment)
+    joined = [get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
+    while True:
+        top, at = -np.inf, -1
+        for i, got in enumerate(joined):
+            if got is not None and got[1] > top:
+                top, at = got[1], i
+        if at < 0:
+            return parts
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        del joined[at]
+        if at < len(joined):
+            joined[at] = get(parts[at] + parts[at + 1])
+        if at:
+            joined[at - 1] = get(parts[at - 1] + parts[at])
+
+
 def fold_merge(segment: str, pieces: Pieces) -> list[int]:
     """Ids of one segment: the best-scored neighbours are joined first, the leftmost of equals."""
     n = len(segment)
+    if n <= MAX_SEGMENT:
+        return [i for p in _merge_short(segment, pieces) for i in _ids_of(p, pieces)]
     after, before, size = list(range(1, n + 1)), list(range(-1, n - 1)), [1] * n
     heap: list[tuple[float, int, int]] = []
 
@@ -187,7 +211,7 @@ def _segment_batches(pairs: frozenset[str], max_segment: int):
             for text in batch.column(0):
                 words.update(_WORD.findall(marked(text.as_py())))
             new = {s for w in words for s in cut.word(w) if len(s) <= max_segment} - sent
-            sent = new if len(sent) > 500_000 else sent | new  # segments sent twice are grouped later
+            sent = new if len(sent) > 200_000 else sent | new  # segments sent twice are grouped later
             if new:
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.string()),
                                                   pa.array(np.full(len(new), part, np.int32))], ["segment", "part"])
@@ -201,15 +225,23 @@ def piece_table(spark, pieces: Pieces) -> DataFrame:
          "score": [s for _, s in pieces.normal.values()]}))
 
 
-def lattice(segments: DataFrame, pieces: Pieces) -> DataFrame:
-    """(segment, parts, edges): for each segment the (start, end, id, score) of all its substrings that are pieces."""
-    grouped = segments.groupBy("segment").agg(F.collect_set("part").alias("parts"))
+def lattice(segments: DataFrame, pieces: Pieces, how: str = "viterbi", held_by: int = 1) -> DataFrame:
+    """(segment, parts, edges): for each segment the (start, end, id, score) of all its substrings that are pieces.
+
+    Only segments that at least ``held_by`` parts hold.  Single characters
+    without a piece are edges without an id, which merging has no use for.
+    """
+    grouped = (segments.groupBy("segment").agg(F.collect_set("part").alias("parts"))
+               .where(F.size("parts") >= held_by))
     n = F.length("segment")
     exploded = (grouped.withColumn("start", F.explode(F.sequence(F.lit(0), n - 1)))
                 .withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), n - F.col("start")))))
                 .withColumn("piece", F.substring(F.col("segment"), F.col("start") + 1, F.col("size"))))
     table = piece_table(segments.sparkSession, pieces)  # at most MAX_PIECES rows
-    edges = exploded.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
+    if how == "merge":
+        edges = exploded.join(F.broadcast(table), "piece")
+    else:
+        edges = exploded.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
     edge = F.struct("start", (F.col("start") + F.col("size")).alias("end"), "id", "score")
     return edges.groupBy("segment").agg(F.first("parts").alias("parts"), F.collect_list(edge).alias("edges"))
 
@@ -230,7 +262,7 @@ def fold(edges: DataFrame, pieces: Pieces, how: str) -> DataFrame:
     if how == "merge":
         # the state is the array of cuts; each step drops the one inside the best-scored pair
         cuts = """
-            aggregate(if(n > 1, sequence(1, n - 1), array()), sequence(0, n), (b, step) ->
+            aggregate(if(n > 1, sequence(2, n), array()), sequence(0, n), (b, step) ->
                 if(size(b) < 3, b, aggregate(
                     array(array_max(transform(sequence(0, size(b) - 3), i -> named_struct(
                         's', m.scores[b[i] * 4096 + b[i + 2]], 'left', -i)))),
@@ -272,7 +304,7 @@ def _pack_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a.append(segment)
             b.append(values[offsets[i]:offsets[i + 1]].tobytes())
         rows += batch.num_rows
-        if rows > 1_000_000:
+        if rows > 200_000:
             yield flush()
             held, rows = {}, 0
     if held:
@@ -289,10 +321,15 @@ def _encode_part(pieces: Pieces, how: str):
         for block in blocks:
             known.update(zip(*marshal.loads(zlib.decompress(block)), strict=True))
         cut, words = Segmenter(pairs, keep=1), {}
+        keep = len(known) + 300_000
 
         def of_segment(s: str) -> bytes:
             got = known.get(s)
-            return got if got is not None else np.array(FOLDS[how](s, pieces), "<u4").tobytes()
+            if got is None:
+                got = np.array(FOLDS[how](s, pieces), "<u4").tobytes()
+                if len(known) < keep:
+                    known[s] = got
+            return got
         for doc_id, text in rows:
             out = []
             for w in _WORD.findall(marked(text)):
@@ -318,7 +355,7 @@ def encode(docs: DataFrame, pieces: Pieces, how: str = "merge", id_col: str = "d
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     segments = rows.select("text").mapInArrow(_segment_batches(pieces.pairs, max_segment), "segment string, part int")
-    folded = fold(lattice(segments, pieces), pieces, how)
+    folded = fold(lattice(segments, pieces, how, held_by=2), pieces, how)
     packed = (folded.select(F.explode("parts").alias("part"), "segment", "ids")
               .mapInArrow(_pack_parts, "part int, block binary"))
     texts = rows.rdd.map(tuple).mapPartitions(lambda it: [list(it)])

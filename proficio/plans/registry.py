@@ -526,14 +526,27 @@ def _avg_change(spark, d):
 # ------------------------------------------------------------- full build
 @query("project_build")
 def _project_build(spark, d):
-    """Full build (dimension, four facts, snapshot) into a fresh target folder, then
-    every declared test over the written tables; returns the test summary."""
+    """Full build (dimension, four facts, snapshot) into a fresh target folder, then every declared
+    test over it; returns what was written: model, school, year, text and measure of every row, and
+    each test's failures."""
     from proficio.plans.project import build
     res = build(spark, test_table_catalog(spark, d), TEST_PARAMS, new_table_path(spark, "build"),
                 snapshot_at=F.lit(_run_at(TEST_PARAMS.current_year)))
-    return res.tests
-
-
+    none = F.lit(None)
+    shown = {"dim_schools": (none, F.col("region"), none),
+             "fct_enrollment_trends": (F.col("school_year"), F.col("region"), F.col("total_enrolled")),
+             "fct_school_performance": (F.col("school_year"), F.col("absenteeism_tier"), F.col("total_enrollment")),
+             "fct_school_improvement": (none, F.col("improvement_category"), F.col("improvement_score")),
+             "fct_school_improvement_yoy": (F.col("school_year"), F.col("math_direction"), F.col("composite_pct"))}
+    out = res.tests.select(F.col("model").alias("model"), none.cast("string").alias("school_id"),
+                           none.cast("bigint").alias("school_year"), F.col("test_name").alias("shown"),
+                           F.col("failures").cast("double").alias("measure"))
+    for name, (year, text, measure) in shown.items():
+        rows = U.read_table(spark, res.paths[name])
+        out = out.unionByName(rows.select(
+            F.lit(name).alias("model"), "school_id", year.cast("bigint").alias("school_year"),
+            text.cast("string").alias("shown"), measure.cast("double").alias("measure")))
+    return out
 
 
 @query("incremental_slice")

@@ -112,7 +112,7 @@ LINEITEM_RULES = {"_math": MATH_RULE, "_ela": ELA_RULE, **TESTED, **ASSESSMENT_B
 
 
 def lineitem_by_part_year(lineitem: DataFrame) -> DataFrame:
-    """Counts per (part, ship year) for both lineitem adaptors (one shared shuffle)."""
+    """Counts per (part, ship year), the input of both lineitem adaptors."""
     return _lineitem_by_part_year(lineitem, LINEITEM_RULES)
 
 

@@ -43,7 +43,7 @@ CALIBRATION_SHARE = 4      # every so manieth sampled document is kept out of th
 UNKNOWN = "und"
 _BASE = 0x9E3779B97F4A7C15
 _SPACE, _PAD = 32, 1
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 _BUCKET_BITS = 18
 
 

@@ -17,6 +17,7 @@ table gives an empty result.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -34,7 +35,18 @@ from proficio.session import materialize
 CAPACITY = 2048
 SEPARATOR = 0
 VOCABULARY = "word_bpe_49k.json"
-MEMO_WORDS = 250_000
+MEMO_WORDS = 150_000
+
+
+def byte_characters() -> list[str]:
+    """The character that stands for each byte in byte-level vocabularies.
+
+    Printable Latin-1 bytes stand for themselves; the others, in order, for
+    the characters from 256 on.
+    """
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return [chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)]
 
 
 class WordTokenizer:
@@ -43,8 +55,16 @@ class WordTokenizer:
     Such a tokenizer never joins two words, so a text's ids are its words' ids
     one after the other; ids are kept for the last ``MEMO_WORDS`` to twice as
     many words.  A text with the string of a special token is encoded whole.
+
+    If the tokenizer also lower-cases and splits letters from other characters
+    at byte level (probed with a few words), a word is cut into its letters
+    and the punctuation after them, and plain letters go straight to the
+    tokenizer's model.
     """
 
+    _TAIL = b".,!?;:"
+    _PROBES = ("the", "quick", "straße", "école", "niñoé", "zqxj", "ångström", "a")
+
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -56,34 +76,68 @@ class WordTokenizer:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        new = []
-        for w in set(words):
-            if w not in self.memo:
-                ids = self.older.get(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    self.memo[w] = ids
-        for i in range(0, len(new), 1000):
-            part = new[i:i + 1000]
-            for w, e in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False),
-                            strict=True):
-                self.memo[w] = np.array(e.ids, "<u4").tobytes()
+        self.mapped = dict(enumerate(byte_characters()))
+        self.tokenize = self.tokenizer.model.tokenize
+        plain = list(self._PROBES)
+        shown = [p.upper() + self._TAIL[i % 6:i % 6 + 1].decode() for i, p in enumerate(plain) if p.isascii()]
+        self.direct = all(self._model_ids(p) == self._whole([p])[0] for p in plain) and all(
+            self._whole([w])[0] == self._whole([w[:-1].lower()])[0] + self._whole([w[-1]])[0] for w in shown)
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes()
+                for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def _model_ids(self, letters: str) -> bytes:
+        shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.mapped)
+        return struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in self.tokenize(shown)]) else b""
+
+    def _known(self, word: bytes) -> bytes | None:
+        ids = self.memo.get(word)
+        if ids is None:
+            ids = self.older.get(word)
+            if ids is not None:
+                self.memo[word] = ids
+        return ids
+
+    def _learn(self, words: set[bytes]) -> None:
+        hard = []
+        for word in words:
+            if self._known(word) is not None:
+                continue
+            core = word.lower().rstrip(self._TAIL)  # bytes: A-Z only
+            # letters below U+0180: composed already, lower-cased one by one
+            text = core.decode().lower()
+            if not (self.direct and text.isalpha() and max(text) < "\u0180"):
+                hard.append(word)
+                continue
+            ids = self._known(core)
+            if ids is None:
+                ids = self.memo[core] = self._model_ids(text)
+            if len(core) < len(word):
+                tail = word[len(core):]
+                end = self._known(tail)
+                if end is None:
+                    end = self.memo[tail] = self._whole([tail.decode()])[0]
+                ids += end
+            self.memo[word] = ids
+        for i in range(0, len(hard), 1000):
+            part = hard[i:i + 1000]
+            self.memo.update(zip(part, self._whole([w.decode() for w in part]), strict=True))
 
     def encode(self, text: str | None) -> bytes:
         """The text's ids as little-endian unsigned 32-bit numbers."""
         text = text or ""
         if any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(self.memo) > MEMO_WORDS:
+            self.older, self.memo = self.memo, {}
         words = text.encode().split()
         found = list(map(self.memo.get, words))
         if None in found:
-            if len(self.memo) > MEMO_WORDS:
-                self.older, self.memo = self.memo, {}
-            self._learn(words)
-            found = list(map(self.memo.get, words))
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            self._learn({words[i] for i in missing})
+            for i in missing:
+                found[i] = self.memo[words[i]]
         return b"".join(found)
 
 

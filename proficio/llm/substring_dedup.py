@@ -10,10 +10,10 @@
 3. Documents with recurring anchors are dealt into blocks.  Each block gets
    the passages that share an anchor with it, compiles them into Aho-Corasick
    automata (one per ``shard_words`` words) and streams its documents through
-   them.  A hit is extended word by word along its passage; a common run of a
-   window or more, owned by a smaller doc_id, is removed.
+   them.  The windows around a hit are compared with the passages' windows;
+   those owned by a smaller doc_id are removed.
 
-Only runs whose words are equal are removed, so hashes decide nothing but
+Only windows whose words are equal are removed, so hashes decide nothing but
 what is looked at.  The automata see words as single characters and hold one
 phrase for about every ``window / 2`` words of a passage: any window of a
 passage contains one of its phrases whole.
@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 
 import ahocorasick
@@ -44,9 +43,9 @@ from proficio.session import materialize
 
 WINDOW = 50
 GRAM = 20
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 150_000
 SEGMENT = 512
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 _NO_ID = (1 << 63) - 1
 _GRAM_BASE, _WINDOW_BASE, _SECOND_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _FLUSH = 200_000
@@ -139,59 +138,49 @@ def _char(code: int) -> str:
     return chr(code if code < 0xD800 else code + 0x800)  # no surrogates
 
 
-def _common(a: np.ndarray, b: np.ndarray) -> int:
-    """How many leading entries two arrays share."""
-    n = min(len(a), len(b))
-    at, step = 0, 64
-    while at < n:
-        differ = np.nonzero(a[at:min(n, at + step)] != b[at:min(n, at + step)])[0]
-        if len(differ):
-            return at + int(differ[0])
-        at, step = at + step, step * 4
-    return n
-
-
 class PassageAutomaton:
-    """An Aho-Corasick automaton over passages given as (owner, words)."""
+    """An Aho-Corasick automaton over passages given as (owner, words).
+
+    It locates where a passage may go on; the windows around a hit are then
+    confirmed, word by word, against the passages' own windows.
+    """
 
     def __init__(self, passages: list[tuple[int, list[bytes]]], window: int):
         self.window = window
         self.size = (window + 1) // 2          # words of a phrase
         stride = window - self.size + 1        # any window holds a phrase that starts at a multiple of this
         self.codes: dict[bytes, str] = {}
-        self.owners = [owner for owner, _ in passages]
-        self.coded: list[np.ndarray] = []
-        phrases: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for p, (_, words) in enumerate(passages):
-            text = "".join([self.codes.setdefault(w, _char(len(self.codes) + 1)) for w in words])
-            self.coded.append(np.frombuffer(text.encode("utf-32-le"), np.uint32))
-            for at in range(0, len(words) - self.size + 1, stride):
-                phrases[text[at:at + self.size]].append((p, at))
+        self.owners: dict[str, int] = {}       # window -> smallest owner
         self.automaton = ahocorasick.Automaton()
-        for phrase, where in phrases.items():
-            self.automaton.add_word(phrase, where)
-        if phrases:
+        for owner, words in passages:
+            text = "".join([self.codes.setdefault(w, _char(len(self.codes) + 1)) for w in words])
+            for at in range(len(text) - window + 1):
+                own = text[at:at + window]
+                self.owners[own] = min(owner, self.owners.get(own, owner))
+            for at in range(0, len(text) - self.size + 1, stride):
+                self.automaton.add_word(text[at:at + self.size], True)
+        if len(self.automaton):
             self.automaton.make_automaton()
 
     def mark(self, key: int, words: list[bytes], gone: np.ndarray) -> None:
-        """Set ``gone`` for every word in a common run of a window or more with a smaller owner's passage."""
-        if not len(self.automaton):
+        """Set ``gone`` for every word in a window that a smaller owner's passage has, too."""
+        if not len(self.automaton) or len(words) < self.window:
             return
-        get = self.codes.get
-        text = "".join([get(w, "\0") for w in words])
-        coded = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        reached: dict[tuple[int, int], int] = {}
-        for end, where in self.automaton.iter(text):
+        code, owner_of, window = self.codes.get, self.owners.get, self.window
+        text = "".join([code(w, "\0") for w in words])
+        found, looked, last = [], 0, len(words) - window
+        for end, _ in self.automaton.iter(text):
             start = end - self.size + 1
-            for p, at in where:
-                if self.owners[p] >= key or reached.get((p, start - at), -1) > end:
-                    continue
-                passage = self.coded[p]
-                left = _common(coded[:start][::-1], passage[:at][::-1])
-                right = _common(coded[start:], passage[at:])
-                reached[p, start - at] = start + right
-                if left + right >= self.window:
-                    gone[start - left:start + right] = True
+            for at in range(max(looked, end - window + 1), min(start, last) + 1):
+                owner = owner_of(text[at:at + window])
+                if owner is not None and owner < key:
+                    found.append(at)
+            looked = max(looked, start + 1)
+        if found:
+            edges = np.zeros(len(words) + 1, np.int64)
+            edges[found] += 1
+            edges[np.array(found) + window] -= 1
+            gone |= np.cumsum(edges[:-1]) > 0
 
 
 def _kept(text: str, words: list[bytes], gone: np.ndarray) -> tuple[str, str]:

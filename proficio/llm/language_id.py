@@ -2,12 +2,15 @@
 
 One interpolated Kneser-Ney model of ``order`` characters per language is
 counted on a bounded, labelled sample: at most ``train_docs`` documents of
-each of the ``max_languages`` commonest languages, none over
-``max_train_chars`` characters.  The models are merged into sorted arrays of
-n-gram hashes, one per order, with a row of log probabilities (a column per
-language) for each hash, and back-off weights by context.  A text is scored
-whole, letters lower-cased and everything else as one space; the language
-with the lowest cross-entropy per character wins.
+every language, and of a text over ``max_train_chars`` characters a span of
+that length at a place chosen by hash.  The models of ``BLOCK_LANGUAGES``
+languages at a time are merged into sorted arrays of n-gram hashes, one per
+order, with a row of log probabilities (a column per language) for each hash,
+and back-off weights by context, so the model grows in step with the number of
+languages.  Labels whose models would take over ``max_model_bytes`` stop the
+training with an error; none is left out.  A text is scored whole, letters
+lower-cased and everything else as one space; the language with the lowest
+cross-entropy per character wins.
 
 A part of the sample is kept out of the counts: on it the temperature of the
 score and the limit of rejection are fitted.  A text is rejected when its
@@ -17,7 +20,7 @@ errors for its length, than the limit.
 Defined cases: a text that is null or has no letter is ``und``, scored 0 and
 not accepted; so is every text when there is nothing to learn from; equal
 cross-entropies go to the first language in alphabetical order; repeated rows
-are judged alike; an empty table gives an empty result.
+are judged alike, and learned from once; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,17 +37,20 @@ from pyspark.sql import functions as F
 
 from proficio.llm._util import worker_store
 from proficio.llm.windows import gram_hashes
+from proficio.session import materialize
 
 ORDER = 4
 TRAIN_DOCS = 400
 MAX_TRAIN_CHARS = 20_000
-MAX_LANGUAGES = 50
+BLOCK_LANGUAGES = 8
+MAX_MODEL_BYTES = 512 << 20
 CALIBRATION_SHARE = 4      # every so manieth sampled document is kept out of the counts
 UNKNOWN = "und"
 _BASE = 0x9E3779B97F4A7C15
 _SPACE, _PAD = 32, 1
 _CHUNK = 1 << 18
 _BUCKET_BITS = 18
+_FLOOR = -20.0             # log2 of a character among about a million
 
 
 def letter_table() -> np.ndarray:
@@ -121,17 +127,20 @@ class HashRows:
 
     hashes: np.ndarray
     rows: np.ndarray
+    shift: np.uint64 = field(init=False)
     starts: np.ndarray = field(init=False)
     probes: int = field(init=False)
 
     def __post_init__(self):
-        top = (self.hashes >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)
-        self.starts = np.searchsorted(top, np.arange((1 << _BUCKET_BITS) + 1)).astype(np.int32)
+        bits = min(_BUCKET_BITS, len(self.hashes).bit_length() + 1)
+        self.shift = np.uint64(64 - bits)
+        top = (self.hashes >> self.shift).astype(np.int64)
+        self.starts = np.searchsorted(top, np.arange((1 << bits) + 1)).astype(np.int32)
         self.probes = int(np.diff(self.starts).max()) if len(self.hashes) else 0
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """The position of each hash, or -1."""
-        at = self.starts[(wanted >> np.uint64(64 - _BUCKET_BITS)).astype(np.int64)]
+        at = self.starts[(wanted >> self.shift).astype(np.int64)]
         found = np.full(len(wanted), -1, np.int32)
         for k in range(self.probes):
             here = np.minimum(at + k, len(self.hashes) - 1)
@@ -140,13 +149,42 @@ class HashRows:
 
 
 @dataclass
-class LanguageModel:
+class Block:
     """Merged Kneser-Ney models; ``grams[n-1]`` and ``backoff[n-1]`` hold log2 values per language."""
 
-    order: int
     languages: list[str]
     grams: list[HashRows]
     backoff: list[HashRows]
+
+    def nbytes(self) -> int:
+        return sum(t.hashes.nbytes + t.rows.nbytes + t.starts.nbytes for t in self.grams + self.backoff)
+
+    def log2(self, grams: list[np.ndarray], place: np.ndarray, floor: float) -> np.ndarray:
+        values = np.zeros((len(place), len(self.languages)), np.float32)
+        todo = np.arange(len(place))
+        for n in range(len(self.grams), 0, -1):
+            table = self.grams[n - 1]
+            found = table.find(grams[n - 1][place[todo]])
+            hit = found >= 0
+            values[todo[hit]] += table.rows[found[hit]]
+            todo = todo[~hit]
+            if not len(todo):
+                return values
+            if n > 1:
+                weights = self.backoff[n - 1]
+                known = weights.find(grams[n - 2][place[todo] - 1])
+                values[todo[known >= 0]] += weights.rows[known[known >= 0]]
+        values[todo] += np.float32(floor)
+        return values
+
+
+@dataclass
+class LanguageModel:
+    """The models of all languages, ``BLOCK_LANGUAGES`` in a block."""
+
+    order: int
+    languages: list[str]
+    blocks: list[Block]
     floor: float
     mean: np.ndarray | None = None       # usual bits per character of each language
     spread: tuple[float, float] = (0.0, 1.0)  # variance of documents, and of characters
@@ -170,31 +208,16 @@ class LanguageModel:
             for i in range(0, len(real), _CHUNK):  # a single text may be longer than a chunk
                 place = real[i:i + _CHUNK]
                 own = owner[place]
-                values = self._log2(grams, place)
                 length[at:end] += np.bincount(own, minlength=end - at)
-                for k in range(len(self.languages)):
-                    total[at:end, k] -= np.bincount(own, values[:, k], minlength=end - at)
+                k = 0
+                for block in self.blocks:
+                    values = block.log2(grams, place, self.floor)
+                    for column in range(values.shape[1]):
+                        total[at:end, k] -= np.bincount(own, values[:, column], minlength=end - at)
+                        k += 1
             at = end
         return total, length, letters
 
-    def _log2(self, grams: list[np.ndarray], place: np.ndarray) -> np.ndarray:
-        values = np.zeros((len(place), len(self.languages)), np.float32)
-        todo = np.arange(len(place))
-        for n in range(self.order, 0, -1):
-            table = self.grams[n - 1]
-            found = table.find(grams[n - 1][place[todo]])
-            hit = found >= 0
-            values[todo[hit]] += table.rows[found[hit]]
-            todo = todo[~hit]
-            if not len(todo):
-                return values
-            if n > 1:
-                weights = self.backoff[n - 1]
-                known = weights.find(grams[n - 2][place[todo] - 1])
-                values[todo[known >= 0]] += weights.rows[known[known >= 0]]
-        values[todo] += np.float32(self.floor)
-        return values
-
     def judge(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, accepted) of each text."""
         bits, length, letters = self.bits(texts)
@@ -209,13 +232,12 @@ class LanguageModel:
         return langs, np.where(known, score, 0.0), known & (above <= self.limit)
 
 
-def kneser_ney(counts: pd.DataFrame, order: int) -> LanguageModel:
-    """Merge the counted n-grams of all languages into one model of log2 probabilities."""
+def kneser_ney(counts: pd.DataFrame, order: int) -> Block:
+    """Merge the counted n-grams of a few languages into one block of log2 probabilities."""
     languages = sorted(counts["lang"].unique())
     place = {x: i for i, x in enumerate(languages)}
     grams: list[HashRows] = []
     backoff: list[HashRows] = []
-    floor = -20.0                        # log2 of a character among about a million
     lower: HashRows | None = None
     for n in range(1, order + 1):
         own = counts[counts["n"] == n]
@@ -224,7 +246,7 @@ def kneser_ney(counts: pd.DataFrame, order: int) -> LanguageModel:
         context = own["context"].to_numpy(np.int64).view(np.uint64)[first]
         contexts, context_at = np.unique(context, return_inverse=True)
         if lower is None:
-            base = np.full((len(hashes), len(languages)), 2.0 ** floor)
+            base = np.full((len(hashes), len(languages)), 2.0 ** _FLOOR)
         else:                            # every suffix of a counted n-gram was counted as well
             base = np.exp2(lower.rows[np.searchsorted(lower.hashes, suffix)].astype(float))
         probability = np.zeros((len(hashes), len(languages)))
@@ -250,9 +272,23 @@ def kneser_ney(counts: pd.DataFrame, order: int) -> LanguageModel:
         lower = HashRows(hashes, np.log2(probability).astype(np.float32))
         grams.append(lower)
         backoff.append(HashRows(contexts, np.log2(weight).astype(np.float32)))
+    return Block(languages, grams, backoff)
+
+
+def merged_model(counted: DataFrame, languages: list[str], order: int, max_model_bytes: int) -> LanguageModel:
+    """The model of all ``languages`` from the written n-gram counts, a block of languages at a time."""
+    blocks: list[Block] = []
+    size = 0
+    for i in range(0, len(languages), BLOCK_LANGUAGES):
+        own = languages[i:i + BLOCK_LANGUAGES]
+        blocks.append(kneser_ney(counted.where(F.col("lang").isin(own)).toPandas(), order))
+        size += blocks[-1].nbytes()
+        if size > max_model_bytes:
+            raise ValueError(f"the models of {i + len(own)} of {len(languages)} languages take {size} bytes, over "
+                             f"max_model_bytes={max_model_bytes}: raise it, or lower train_docs or max_train_chars")
     # a character that no language knows takes the lowest order's back-off, too
-    floor += float(backoff[0].rows.mean()) if len(backoff[0].rows) else 0.0
-    return LanguageModel(order, languages, grams, backoff, floor)
+    floor = _FLOOR + float(np.mean(np.concatenate([b.backoff[0].rows.ravel() for b in blocks])))
+    return LanguageModel(order, languages, blocks, floor)
 
 
 def calibrate(model: LanguageModel, texts: list[str], langs: list[str], false_rejects: float) -> None:
@@ -288,38 +324,46 @@ def calibrate(model: LanguageModel, texts: list[str], langs: list[str], false_re
 
 
 def training_sample(train: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int,
-                    max_train_chars: int, max_languages: int) -> DataFrame:
-    """(lang, text, calibration): at most ``train_docs`` documents of each language, chosen by a hash of the id."""
+                    max_train_chars: int) -> DataFrame:
+    """(lang, text, calibration): at most ``train_docs`` documents of each language, chosen by a hash of the id;
+    of a longer text a span of ``max_train_chars`` characters, its place chosen by a hash, too."""
     rows = train.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")) \
-        .where("lang is not null and text is not null")
-    ids = rows.where(F.length("text").between(1, max_train_chars)).select("id", "lang") \
-        .withColumn("h", F.xxhash64("id", "lang"))
-    common = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).select("lang")
-    picked = (ids.join(F.broadcast(common), "lang")
-              .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("h", "id")))
+        .where("lang is not null and length(text) > 0").withColumn("t", F.xxhash64("text"))
+    picked = (rows.select("id", "lang", "t").withColumn("h", F.xxhash64("id", "lang"))
+              .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("h", "id", "t")))
               .where(F.col("nth") <= train_docs))
-    chosen = picked.select("id", "lang", ((F.col("nth") % CALIBRATION_SHARE) == 0).alias("calibration")).distinct()
-    return rows.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "text", "calibration")
+    chosen = (picked.groupBy(F.col("id").alias("c_id"), F.col("lang").alias("c_lang"), F.col("t").alias("c_t"))
+              .agg(F.min("nth").alias("nth")))
+    begin = F.pmod(F.xxhash64("t", "id"), F.greatest(F.length("text") - max_train_chars, F.lit(0)) + 1) + 1
+    span = F.substring(F.col("text"), begin.cast("int"), F.lit(max_train_chars))
+    return (rows.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("c_id")) & (F.col("lang") == F.col("c_lang"))
+                      & (F.col("t") == F.col("c_t")))
+            .select("id", "lang", "t", span.alias("text"), "nth")
+            .groupBy("id", "lang", "t").agg(F.first("text").alias("text"), F.first("nth").alias("nth"))
+            .select("lang", "text", ((F.col("nth") % CALIBRATION_SHARE) == 0).alias("calibration")))
 
 
 def train_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                 order: int = ORDER, train_docs: int = TRAIN_DOCS, max_train_chars: int = MAX_TRAIN_CHARS,
-                max_languages: int = MAX_LANGUAGES, false_rejects: float = 0.001) -> LanguageModel | None:
-    """The model of the labelled rows ``train``, or None if there are none.
+                max_model_bytes: int = MAX_MODEL_BYTES, false_rejects: float = 0.001) -> LanguageModel | None:
+    """The model of every language among the labelled rows ``train``, or None if there are none.
 
-    What reaches the driver is bounded by the sample: its n-gram counts and
-    its calibration texts (``train_docs / 4`` a language).
+    What reaches the driver is bounded by the sample: the n-gram counts of
+    ``BLOCK_LANGUAGES`` languages at a time, the models, up to
+    ``max_model_bytes``, and the calibration texts (``train_docs / 4`` a language).
     """
-    sample = training_sample(train, id_col, text_col, lang_col, train_docs, max_train_chars, max_languages)
+    sample = materialize(training_sample(train, id_col, text_col, lang_col, train_docs, max_train_chars),
+                         "language-sample")
     counted = (sample.where("not calibration").select("lang", "text")
                .mapInArrow(_count_batches(order),
                            "lang string, n int, gram bigint, context bigint, suffix bigint, count bigint")
                .groupBy("lang", "n", "gram").agg(F.first("context").alias("context"),
                                                  F.first("suffix").alias("suffix"), F.sum("count").alias("count")))
-    counts = counted.toPandas()
-    if not len(counts):
+    counted = materialize(counted, "language-counts")
+    languages = sorted(r.lang for r in counted.select("lang").distinct().collect())
+    if not languages:
         return None
-    model = kneser_ney(counts, order)
+    model = merged_model(counted, languages, order, max_model_bytes)
     kept = sample.where("calibration").select("lang", "text").collect()
     calibrate(model, [r.text for r in kept], [r.lang for r in kept], false_rejects)
     return model

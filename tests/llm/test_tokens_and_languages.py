@@ -186,3 +186,22 @@ def test_kneser_ney_sums_to_one_and_matches_brute_force(spark):
     bits, length, _ = model.bits(["abra drab"])
     expected = -sum(math.log2(probability(a, b)) for a, b in zip("\x01abra drab", "abra drab", strict=False))
     assert length[0] == 9 and abs(bits[0, 0] - expected) < 1e-3
+
+
+def test_every_label_is_learned(spark):
+    rnd = random.Random(5)
+    own = {f"l{k:02}": invented(rnd, [chr(0x4E00 + 30 * k + i) for i in range(12)], 12) for k in range(60)}
+    rows = [(k * 100 + i, t, lang) for k, (lang, ts) in enumerate(own.items()) for i, t in enumerate(ts)]
+    long = [(9000 + i, " ".join(invented(rnd, "fghijß", 1) * 900), "long") for i in range(8)]
+    nameless = [(None, t, "null ids") for t in invented(rnd, "абвгде", 12)]
+    train = spark.createDataFrame(rows + long + nameless, LANG)
+    model = language_id.train_model(train, max_train_chars=2000)
+    assert model.languages == sorted([*own, "long", "null ids"])  # more than 50, one of long texts alone
+    assert min(len(t) for _, t, _ in long) > 2000
+    got = {r.doc_id: r for r in language_id.identify(train.where("doc_id is not null"), model).collect()}
+    assert all(got[d].lang_pred == lang for d, _, lang in rows + long)
+    alone = language_id.train_model(train.where("lang = 'l07'"), max_train_chars=2000)
+    mine = model.bits([own["l07"][0]])[0][0, model.languages.index("l07")]
+    assert abs(mine - alone.bits([own["l07"][0]])[0][0, 0]) < 1e-3  # a block's languages do not touch each other
+    with pytest.raises(ValueError, match="languages take"):
+        language_id.train_model(train, max_train_chars=2000, max_model_bytes=10_000)

@@ -12,10 +12,14 @@ training with an error; none is left out.  A text is scored whole, letters
 lower-cased and everything else as one space; the language with the lowest
 cross-entropy per character wins.
 
-A part of the sample is kept out of the counts: on it the temperature of the
-score and the limit of rejection are fitted.  A text is rejected when its
-cross-entropy lies further above its language's usual one, in standard
-errors for its length, than the limit.
+Other documents, at most ``calibration_docs`` of every language, are kept out
+of the counts: on them the temperature of the score and the limit of rejection
+are fitted.  A text is rejected when its cross-entropy lies further above its
+language's usual one, in standard errors for its length, than the limit: the
+quantile that ``false_rejects`` of the calibration texts exceed.  Where fewer
+than ``TAIL_TEXTS`` texts would lie above it, it is carried on from the
+quantile that so many exceed (see :func:`tail_quantile`), so a few odd texts
+among the labelled ones do not set it.
 
 Defined cases: a text that is null or has no letter is ``und``, scored 0 and
 not accepted; so is every text when there is nothing to learn from; equal
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -45,6 +50,8 @@ MAX_TRAIN_CHARS = 20_000
 BLOCK_LANGUAGES = 8
 MAX_MODEL_BYTES = 512 << 20
 CALIBRATION_SHARE = 4      # every so manieth sampled document is kept out of the counts
+CALIBRATION_DOCS = 4000    # a language; those beyond the sample are all kept out
+TAIL_TEXTS = 10            # calibration texts above any quantile that is used as it stands
 UNKNOWN = "und"
 _BASE = 0x9E3779B97F4A7C15
 _SPACE, _PAD = 32, 1
@@ -291,47 +298,73 @@ def merged_model(counted: DataFrame, languages: list[str], order: int, max_model
     return LanguageModel(order, languages, blocks, floor)
 
 
-def calibrate(model: LanguageModel, texts: list[str], langs: list[str], false_rejects: float) -> None:
-    """Fit usual cross-entropies, their spread, the rejection limit and the score's temperature."""
+_TEMPERATURES = [2.0 ** e for e in range(-8, 3)]
+
+
+def tail_quantile(values: np.ndarray, share: float) -> float:
+    """What ``share`` of the values exceed, with ``TAIL_TEXTS`` values above every sample quantile used.
+
+    With fewer values than that takes, the quantile that ``TAIL_TEXTS`` of
+    them exceed (the upper quartile at most) is carried on along an
+    exponential tail through the one that five times as many exceed.
+    """
+    high = max(share, min(TAIL_TEXTS / len(values), 0.25))
+    at = float(np.quantile(values, 1 - high))
+    if high <= share:
+        return at
+    low = min(5 * high, 0.5)
+    return at + (at - float(np.quantile(values, 1 - low))) * np.log(high / share) / np.log(low / high)
+
+
+def calibration_rows(model: LanguageModel, texts: list[str | None], langs: list[str]) -> pd.DataFrame:
+    """own, right, length, bits a character in the own language and loss per temperature of each labelled text."""
     bits, length, letters = model.bits(texts)
     place = {x: i for i, x in enumerate(model.languages)}
-    own = np.array([place.get(x, -1) for x in langs])
+    own = np.array([place.get(x, -1) for x in langs], np.int64)
     use = (letters > 0) & (own >= 0)
+    own, length = own[use], length[use]
+    per_char = bits[use] / length[:, None]
+    rows = np.arange(len(own))
+    gaps = np.minimum(length, 64)[:, None] * (per_char - per_char.min(axis=1, keepdims=True))
+    loss = [np.log(np.exp(-t * gaps).sum(axis=1)) + t * gaps[rows, own] for t in _TEMPERATURES]
+    return pd.DataFrame({"own": own, "right": per_char.argmin(axis=1) == own, "length": length,
+                         "truth": per_char[rows, own], "loss": list(np.array(loss).T)})
+
+
+def calibrate(model: LanguageModel, seen: pd.DataFrame, false_rejects: float) -> None:
+    """Fit usual cross-entropies, their spread, the rejection limit and the score's temperature."""
     model.mean = np.zeros(len(model.languages))
-    if not use.any():
+    if not len(seen):
         return
-    own, length, per_char = own[use], length[use], bits[use] / length[use, None]
-    best = per_char.argmin(axis=1)
-    truth = per_char[np.arange(len(own)), own]
-    right = best == own
+    own, right, length, truth = (seen[c].to_numpy() for c in ("own", "right", "length", "truth"))
+    model.temperature = _TEMPERATURES[int(np.mean(np.stack(seen["loss"].to_list()), axis=0).argmin())]
     overall = float(np.median(truth[right] if right.any() else truth))
     for k in range(len(model.languages)):
         mine = truth[(own == k) & right]
         model.mean[k] = np.median(mine) if len(mine) else overall
-    off = truth - model.mean[own]
-    long = right & (length >= 500)
-    document = max(float(np.var(off[long])) if long.sum() > 1 else 0.0, 0.02 ** 2)
-    model.spread = (document, float(np.median(np.maximum(off[right] ** 2 - document, 0) * length[right])) * 2 + 1.0)
+    if not right.any():
+        return
+    off, length = (truth - model.mean[own])[right], length[right]
+    long = off[length >= 500]
+    if len(long) > 1:                    # odd texts do not widen the spread
+        long = long[long <= tail_quantile(long, false_rejects)]
+    document = max(float(np.var(long)) if len(long) > 1 else 0.0, 0.02 ** 2)
+    model.spread = (document, float(np.median(np.maximum(off ** 2 - document, 0) * length)) * 2 + 1.0)
     error = np.sqrt(model.spread[0] + model.spread[1] / length)
-    # wide on purpose: the limit lies well above what the quantile of the sample shows
-    model.limit = 2.0 * max(4.0, float(np.quantile(off[right] / error[right], 1 - false_rejects)))
-    gaps = np.minimum(length, 64)[:, None] * (per_char - per_char.min(axis=1, keepdims=True))
-
-    def loss(t: float) -> float:
-        logits = -t * gaps
-        return float(np.mean(np.log(np.exp(logits).sum(axis=1)) - logits[np.arange(len(own)), own]))
-    model.temperature = min((2.0 ** e for e in range(-8, 3)), key=loss)
+    # not below what errors of the normal distribution would give
+    model.limit = max(NormalDist().inv_cdf(1 - false_rejects), tail_quantile(off / error, false_rejects))
 
 
 def training_sample(train: DataFrame, id_col: str, text_col: str, lang_col: str, train_docs: int,
-                    max_train_chars: int) -> DataFrame:
-    """(lang, text, calibration): at most ``train_docs`` documents of each language, chosen by a hash of the id;
+                    max_train_chars: int, calibration_docs: int = 0) -> DataFrame:
+    """(lang, text, calibration): documents of each language, chosen by a hash of the id; of the first ``train_docs``
+    every ``CALIBRATION_SHARE``-th is for calibration, as are up to ``calibration_docs`` in all;
     of a longer text a span of ``max_train_chars`` characters, its place chosen by a hash, too."""
     rows = train.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")) \
         .where("lang is not null and length(text) > 0").withColumn("t", F.xxhash64("text"))
     picked = (rows.select("id", "lang", "t").withColumn("h", F.xxhash64("id", "lang"))
               .withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("h", "id", "t")))
-              .where(F.col("nth") <= train_docs))
+              .where(F.col("nth") <= train_docs + max(calibration_docs - train_docs // CALIBRATION_SHARE, 0)))
     chosen = (picked.groupBy(F.col("id").alias("c_id"), F.col("lang").alias("c_lang"), F.col("t").alias("c_t"))
               .agg(F.min("nth").alias("nth")))
     begin = F.pmod(F.xxhash64("t", "id"), F.greatest(F.length("text") - max_train_chars, F.lit(0)) + 1) + 1
@@ -340,20 +373,23 @@ def training_sample(train: DataFrame, id_col: str, text_col: str, lang_col: str,
                       & (F.col("t") == F.col("c_t")))
             .select("id", "lang", "t", span.alias("text"), "nth")
             .groupBy("id", "lang", "t").agg(F.first("text").alias("text"), F.first("nth").alias("nth"))
-            .select("lang", "text", ((F.col("nth") % CALIBRATION_SHARE) == 0).alias("calibration")))
+            .select("lang", "text", ((F.col("nth") > train_docs) | ((F.col("nth") % CALIBRATION_SHARE) == 0))
+                    .alias("calibration")))
 
 
 def train_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                 order: int = ORDER, train_docs: int = TRAIN_DOCS, max_train_chars: int = MAX_TRAIN_CHARS,
-                max_model_bytes: int = MAX_MODEL_BYTES, false_rejects: float = 0.001) -> LanguageModel | None:
+                max_model_bytes: int = MAX_MODEL_BYTES, false_rejects: float = 0.001,
+                calibration_docs: int = CALIBRATION_DOCS) -> LanguageModel | None:
     """The model of every language among the labelled rows ``train``, or None if there are none.
 
     What reaches the driver is bounded by the sample: the n-gram counts of
     ``BLOCK_LANGUAGES`` languages at a time, the models, up to
-    ``max_model_bytes``, and the calibration texts (``train_docs / 4`` a language).
+    ``max_model_bytes``, and a few numbers per calibration text, which the
+    tasks that hold the texts compute.
     """
-    sample = materialize(training_sample(train, id_col, text_col, lang_col, train_docs, max_train_chars),
-                         "language-sample")
+    sample = materialize(training_sample(train, id_col, text_col, lang_col, train_docs, max_train_chars,
+                                         calibration_docs), "language-sample")
     counted = (sample.where("not calibration").select("lang", "text")
                .mapInArrow(_count_batches(order),
                            "lang string, n int, gram bigint, context bigint, suffix bigint, count bigint")
@@ -364,8 +400,12 @@ def train_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if not languages:
         return None
     model = merged_model(counted, languages, order, max_model_bytes)
-    kept = sample.where("calibration").select("lang", "text").collect()
-    calibrate(model, [r.text for r in kept], [r.lang for r in kept], false_rejects)
+    def seen(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield calibration_rows(model, part["text"].tolist(), part["lang"].tolist())
+    kept = sample.where("calibration").select("lang", "text").mapInPandas(
+        seen, "own bigint, right boolean, length bigint, truth double, loss array<double>")
+    calibrate(model, kept.toPandas(), false_rejects)
     return model
 
 

@@ -205,3 +205,36 @@ def test_every_label_is_learned(spark):
     assert abs(mine - alone.bits([own["l07"][0]])[0][0, 0]) < 1e-3  # a block's languages do not touch each other
     with pytest.raises(ValueError, match="languages take"):
         language_id.train_model(train, max_train_chars=2000, max_model_bytes=10_000)
+
+
+def syllables(rnd, letters, n):
+    words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(2, 6))) for _ in range(60)]
+    return [" ".join(rnd.choice(words) for _ in range(rnd.randint(20, 150))) for _ in range(n)]
+
+
+def test_short_foreign_texts_are_rejected_despite_junk_labels(spark):
+    rnd = random.Random(6)
+    own = {"aa": syllables(rnd, ["ka", "lo", "mi", "ter", "un", "sa"], 300),
+           "bb": syllables(rnd, ["sch", "ei", "ber", "ich", "ge", "to"], 300)}
+    foreign = [t[:n] for t in syllables(rnd, ["zx", "kq", "wy", "prz", "cz", "ję"], 20) for n in (20, 30, 40)]
+    rows = [(2 * i + k, t, lang) for k, (lang, ts) in enumerate(own.items()) for i, t in enumerate(ts)]
+    train = [r for r in rows if r[0] % 4 < 2]
+    tests = [r for r in rows if r[0] % 4 >= 2]
+    junk = [(10_000 + i, "".join(rnd.choice("qxzwkjvy") for _ in range(400)), "aa") for i in range(8)]
+    limits = []
+    for labelled in (train, train + junk):
+        model = language_id.train_model(spark.createDataFrame(labelled, LANG))
+        limits.append(model.limit)
+        assert not any(model.judge(foreign)[2])
+        assert np.mean(model.judge([t for _, t, _ in tests])[2]) >= 0.99
+    assert max(limits) < 16
+
+
+def test_the_limit_is_the_quantile_of_a_large_set():
+    rng = np.random.default_rng(7)
+    values = rng.exponential(size=20_000)
+    assert language_id.tail_quantile(values, 0.001) == np.quantile(values, 0.999)
+    few = rng.exponential(size=300)
+    odd = np.concatenate([few, np.full(8, 500.0)])
+    assert 4 < language_id.tail_quantile(few, 0.001) < 14  # 6.9 for all
+    assert language_id.tail_quantile(odd, 0.001) < 20

@@ -65,6 +65,39 @@ def test_chat_rotation(spark):
     assert chat_format.chat_views(spark.createDataFrame([], CONV)).count() == 0
 
 
+def test_chat_parts_of_repeated_turns_are_cut_by_position(spark):
+    rnd = random.Random(8)
+    rows = [(None, rnd.choice([None, -3, 0, 7]), rnd.choice(["ann", "bob", "system", None]), f"{rnd.random()} " * 3)
+            for _ in range(1500)]
+    rows += [(None, 0, "ann", "again")] * 900 + [(5, 0, "ann", "small"), (5, 1, "bob", "small"), (6, None, "eve", "z")]
+    df = spark.createDataFrame(rows, CONV).repartition(5)
+    size = 30_000
+    cut = chat_format.chat_views(df, piece_size=size).collect()
+    assert max(len(r.rendered) for r in cut) < size and max(r.n_messages for r in cut) <= size // 512 + 1
+    whole = {(r.conv_id, r.perspective, r.part): r for r in chat_format.chat_views(df).collect()}
+    joined = {}
+    for r in sorted(cut, key=lambda r: r.piece):
+        joined.setdefault((r.conv_id, r.perspective, r.part), []).append(r)
+    assert joined.keys() == whole.keys() and len(joined[None, "ann", 0]) > 20
+    for key, own in joined.items():
+        assert [r.piece for r in own] == list(range(len(own)))
+        assert "".join(r.rendered for r in own) == whole[key].rendered
+        assert sum(r.n_messages for r in own) == whole[key].n_messages
+        masked = [r.rendered[int(a):int(a) + int(n)] for r in own if r.mask_spans
+                  for a, n in (x.split(":") for x in r.mask_spans.split(","))]
+        w = whole[key]
+        assert masked == [w.rendered[int(a):int(a) + int(n)] for a, n in
+                          (x.split(":") for x in w.mask_spans.split(",") if x)]
+        assert sum(map(len, masked)) == w.n_masked_chars == sum(r.n_masked_chars for r in own)
+
+
+def test_no_row_holds_all_messages_without_a_conversation(spark):
+    df = spark.range(40_000).selectExpr("cast(null as bigint) conv_id", "id % 8 turn", "concat('r', id % 2) role",
+                                        "cast(id as string) text")
+    got = chat_format.chat_views(df).select("perspective", "n_messages").collect()
+    assert sum(r.n_messages for r in got) == 80_000 and max(r.n_messages for r in got) < 20_000
+
+
 def test_line_dedup_matches_brute_force(spark):
     rnd = random.Random(3)
     lines = [f"line {i}" for i in range(30)] + ["", "  ", "very common"]

@@ -81,6 +81,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``copies`` is the number of rows with this doc_id and text.  The result
     stands on a written table of (digest, doc_id) rows in the shared folder.
     """
+    return _judged(docs, id_col, text_col, counters)[0]
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, counters: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`exact_dedup` and the winners of the heavy digests."""
     per_doc = materialize(
         docs.select(text_digest(F.col(text_col)).alias("digest"), F.col(id_col).alias("doc_id"))
             .groupBy("digest", "doc_id").agg(F.count("*").alias("n")), "dedup-digests")
@@ -90,11 +95,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = rest.groupBy("digest").agg(F.max("doc_id").alias("keep_id"),
                                         F.sum("n").alias("group_size"))
     judged = heavy.unionByName(rest.join(groups, "digest"))
-    return (judged.select("doc_id", "keep_id", "group_size", "digest", F.col("n").alias("copies"),
+    rows = (judged.select("doc_id", "keep_id", "group_size", "digest", F.col("n").alias("copies"),
                           F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy"))
             .select("doc_id", "keep_id", "group_size",
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
                     F.col("digest").alias("text_sha256"), "copies"))
+    return rows, winners
 
 
 def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -104,13 +110,18 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Copies of heavy digests are removed map-side by the broadcast winners;
     the others by an anti join with the dropped (digest, doc_id) rows.
     """
-    judged = materialize(exact_dedup(docs, id_col, text_col, counters), "dedup-judged")
+    rows, winners = _judged(docs, id_col, text_col, counters)
+    judged = materialize(rows, "dedup-judged")
+    heavy = F.broadcast(winners.select(F.col("digest").alias("w_digest"), F.col("keep_id").alias("w_keep")))
     digest = fresh(docs, "text_digest")
     keyed = docs.withColumn(digest, text_digest(F.col(text_col)))
     dropped = (judged.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-               .select(F.col("text_sha256").alias("d_digest"), F.col("doc_id").alias("d_id")).distinct())
-    kept = keyed.join(dropped, (keyed[digest] == F.col("d_digest"))
-                      & keyed[id_col].eqNullSafe(F.col("d_id")), "left_anti")
+               .select(F.col("text_sha256").alias("d_digest"), F.col("doc_id").alias("d_id"))
+               .join(heavy, F.col("d_digest") == F.col("w_digest"), "left_anti").distinct())
+    light = keyed.join(heavy, (keyed[digest] == F.col("w_digest"))
+                       & ~keyed[id_col].eqNullSafe(F.col("w_keep")), "left_anti")
+    kept = light.join(dropped, (light[digest] == F.col("d_digest"))
+                      & light[id_col].eqNullSafe(F.col("d_id")), "left_anti")
     if not judged.where("copies > 1").isEmpty():  # rows repeated with the same doc_id and text
         kept = kept.dropDuplicates([digest, id_col])
     return kept.drop(digest)

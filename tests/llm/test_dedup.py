@@ -61,6 +61,21 @@ def test_drop_duplicates_keeps_columns(spark):
     assert exact_dedup.drop_duplicates(none).count() == exact_dedup.exact_dedup(none).count() == 0
 
 
+def test_heavy_copies_are_removed_before_the_shuffle(spark):
+    rows = [(i, "hot" if i % 3 else f"t{i // 6}") for i in range(600)] + [(None, "hot"), (599, "hot")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = exact_dedup.drop_duplicates(df, counters=4)
+    last = {}
+    for d, t in rows:
+        last[t] = max(last.get(t, -1), -1 if d is None else d)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted((d, t) for t, d in last.items())
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    removed = [x for x in plan.split("\n") if "Join LeftAnti" in x and "w_keep" in x]
+    assert removed and all("strategy=broadcast" in x for x in removed)
+    judged = exact_dedup.exact_dedup(df, counters=4)
+    assert judged.where("kept").count() == len(last)
+
+
 def test_misra_gries_bound():
     rnd = random.Random(2)
     words = [rnd.choice(["a", "b"] + [str(rnd.randint(0, 500))] * 3) for _ in range(4000)]

@@ -5,10 +5,12 @@ speaker as the assistant and all others as named users; the loss mask covers
 the assistant's messages only.  A dialogue is rendered in parts of
 ``turns_per_part`` consecutive turn numbers.  Turn numbers may repeat or be
 null, so a part can hold any share of all rows: one whose messages weigh more
-than ``piece_size`` is rendered in pieces, one row each, so it never meets in
-one task.  Pieces are cut by position: the weights of the messages before,
-from ranges of the sorted messages and an offset per range.  Joined in order,
-the pieces' texts are the part's text.
+than ``piece_size`` is rendered in pieces, one row each, so no row holds it
+all.  Pieces are cut by position: the weights of the messages before, from
+ranges of the sorted messages and an offset per range.  Joined in order, the
+pieces' texts are the part's text.  Messages meet the speakers by an ordinary
+join on conv_id, where a large conversation is split only as far as the
+planner broadcasts the speakers or splits skewed joins.
 
 Defined cases: a null text is an empty message; a null role speaks as
 ``unknown``; a null conv_id is a conversation of its own; a null turn comes

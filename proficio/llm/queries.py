@@ -17,6 +17,7 @@ from proficio.llm import (
     sentencepiece_codec,
     simhash,
     substring_dedup,
+    toxicity,
     url_filters,
 )
 from proficio.llm._util import table
@@ -101,6 +102,16 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = (table(spark, sf_dir, "labels").where("crc32(cast(doc_id as string)) % 4 <> 2")
+              .select("doc_id", "toxic"))
+    scored = toxicity.score_documents(docs, toxicity.train_model(docs, labels))
+    return scored.select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 4 == 2).alias("held_out"),
+                         "score", "predicted", "n_sentences", "n_offending", "worst_begin")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_language_id, op4_chat_formatting, op5_exact_dedup, op6_simhash,
-                                    op7_packing, op8_line_dedup, op9_substring_dedup, op10_fingerprints)}
+                                    op7_packing, op8_line_dedup, op9_substring_dedup, op10_fingerprints, op13_toxicity)}

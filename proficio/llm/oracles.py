@@ -132,7 +132,83 @@ FROM paired p JOIN printed a ON a.place = p.place AND a.kind = 0 JOIN printed e
 """
 
 
+OP11 = r"""
+WITH RECURSIVE table_of AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i::BIGINT], range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations),
+harmed AS (
+    SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda x: unicode(x)::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS harm
+    FROM keyed, table_of),
+after AS (
+    SELECT conv_id, turn, CASE WHEN harm = 4 THEN 'user' ELSE role END AS role,
+        CASE harm WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN harm = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM harmed WHERE harm <> 0),
+placed AS (
+    SELECT conv_id, turn, role, text, left(role, 1) AS x, row_number() OVER c AS i, lag(left(role, 1)) OVER c AS before
+    FROM after WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+        WHEN right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) NOT IN ('.', '!', '?')
+        THEN 'truncated' END AS fault
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM placed) p),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+        count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+        count(*) FILTER (WHERE before || x NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+    FROM judged GROUP BY conv_id),
+walked AS (
+    SELECT conv_id, n AS i, {'c': 0, 'a': ''} AS g0, {'c': 10, 'a': 'II'} AS g1, {'c': 5, 'a': 'I'} AS g2, {'c': 0, 'a': ''} AS g3
+    FROM counted
+    UNION ALL
+    SELECT conv_id, i, least(h0, {'c': 5 + f2.c, 'a': 'I' || f2.a}), least(h1, {'c': 5 + f2.c, 'a': 'I' || f2.a}), f2, f3
+    FROM (SELECT *, least(h2, {'c': 5 + h3.c, 'a': 'I' || h3.a}) AS f2, least(h3, {'c': 5 + h2.c, 'a': 'I' || h2.a}) AS f3
+    FROM (SELECT w.conv_id, w.i - 1 AS i,
+            least({'c': 2 + g0.c, 'a': 'D' || g0.a}, {'c': s + 1 + g2.c, 'a': 'R' || g2.a},
+                {'c': s + g2.c + CASE x WHEN 'u' THEN 0 ELSE 999999 END, 'a': 'K' || g2.a},
+                {'c': s + g1.c + CASE x WHEN 's' THEN 0 ELSE 999999 END, 'a': 'K' || g1.a}) AS h0,
+            least({'c': 2 + g1.c, 'a': 'D' || g1.a}, {'c': s + 1 + g2.c, 'a': 'R' || g2.a},
+                {'c': s + g2.c + CASE x WHEN 'u' THEN 0 ELSE 999999 END, 'a': 'K' || g2.a}) AS h1,
+            least({'c': 2 + g2.c, 'a': 'D' || g2.a}, {'c': s + 1 + g3.c, 'a': 'R' || g3.a},
+                {'c': s + g3.c + CASE x WHEN 'a' THEN 0 ELSE 999999 END, 'a': 'K' || g3.a}) AS h2,
+            least({'c': 2 + g3.c, 'a': 'D' || g3.a}, {'c': s + 1 + g2.c, 'a': 'R' || g2.a},
+                {'c': s + g2.c + CASE x WHEN 'u' THEN 0 ELSE 999999 END, 'a': 'K' || g2.a}) AS h3
+        FROM walked w JOIN (SELECT *, CASE fault WHEN 'truncated' THEN 5 WHEN 'blank' THEN 999999 WHEN 'duplicate' THEN 999999
+                ELSE 0 END AS s FROM judged) j
+            ON w.conv_id IS NOT DISTINCT FROM j.conv_id AND w.i = j.i) q) r),
+best AS (SELECT conv_id, g0.c AS cost, g0.a AS audit FROM walked WHERE i = 0),
+letters AS (
+    SELECT conv_id, unnest(string_split(audit, '')) AS letter, generate_subscripts(string_split(audit, ''), 1) AS spot
+    FROM best WHERE audit <> ''),
+followed AS (
+    SELECT *, count(*) FILTER (WHERE letter <> 'I') OVER w AS i, count(*) FILTER (WHERE letter <> 'D') OVER w AS place
+    FROM letters WINDOW w AS (PARTITION BY conv_id ORDER BY spot ROWS UNBOUNDED PRECEDING)),
+shown AS (
+    SELECT f.conv_id, place, letter, CASE WHEN letter = 'I' THEN '' ELSE j.text END AS text, j.role, j.x,
+        max(CASE WHEN place = 1 AND letter = 'K' AND j.x = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY f.conv_id) AS n_system
+    FROM followed f LEFT JOIN judged j ON f.conv_id IS NOT DISTINCT FROM j.conv_id AND f.i = j.i
+    WHERE letter <> 'D'),
+texts AS (
+    SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - n_system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+        || ':' || text, chr(10) ORDER BY place) AS repaired
+    FROM shown GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+    coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN texts t ON o.conv_id IS NOT DISTINCT FROM t.conv_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_filters": OP1, "op4_chat_formatting": OP4, "op5_exact_dedup": OP5,
             "op8_line_dedup": OP8, "op9_substring_dedup": OP9,
-            "op10_fingerprints": OP10}
+            "op10_fingerprints": OP10, "op11_conversation_repair": OP11}

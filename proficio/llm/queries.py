@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from proficio.llm import (
     chat_format,
+    conversation_repair,
     exact_dedup,
     fingerprints,
     language_id,
@@ -102,6 +103,11 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and digest of every conversation after the test damage."""
+    return conversation_repair.damage_report(table(spark, sf_dir, "conversations"))
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -114,4 +120,5 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_language_id, op4_chat_formatting, op5_exact_dedup, op6_simhash,
-                                    op7_packing, op8_line_dedup, op9_substring_dedup, op10_fingerprints, op13_toxicity)}
+                                    op7_packing, op8_line_dedup, op9_substring_dedup, op10_fingerprints,
+                                    op11_conversation_repair, op13_toxicity)}

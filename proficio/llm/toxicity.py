@@ -4,9 +4,10 @@ A sentence's score is the logistic of a sum over its words; a word's weight
 is the sum of the weights of its features (the word, its beginnings and its
 endings).  A document is toxic unless every sentence is clean
 (noisy-or), so its label teaches the sentences which of them is to blame.
-The weights are fitted on a bounded sample of labelled documents by gradient
-descent on the documents' likelihood; a fifth of the sample, kept out of the
-fit, calibrates the documents' scores.  Scoring reads every whole text, in
+The weights are fitted on a bounded sample of labelled documents: Spark counts
+which features toxic documents have more often, and gradient descent on the
+documents' likelihood weighs these few.  A fifth of the sample, kept out of
+the fit, calibrates the documents' scores.  Scoring reads every whole text, in
 the tasks that hold it, with a memo of word weights; the sentences with the
 highest scores are the offending ones.
 
@@ -23,6 +24,7 @@ returned, whatever their names.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,6 +45,8 @@ CALIBRATION_SHARE = 5
 MIN_DOCS = 3
 LIFT = 3.0
 MEMO_WORDS = 200_000
+COUNT_FEATURES = 200_000
+SAMPLE = "toxic int, calibration boolean, t_hash bigint, text string"
 THRESHOLD = 0.3
 
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
@@ -116,42 +120,84 @@ def softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def fit(texts: list[str], toxic: np.ndarray, rounds: int = 200, rate: float = 0.1,
+def _feature_counts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(feature, bad, good): toxic and clean documents of a batch with each feature."""
+    for part in parts:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        for text, toxic in zip(part["text"], part["toxic"], strict=True):
+            words = {w for _, _, found in sentence_words(text) for w in found}
+            counts[toxic].update({f for w in words for f in word_features(w)})
+            if sum(map(len, counts)) > COUNT_FEATURES:
+                yield _counted(counts)
+                counts = (Counter(), Counter())
+        yield _counted(counts)
+
+
+def _counted(counts: tuple[Counter, Counter]) -> pd.DataFrame:
+    names = list(counts[0].keys() | counts[1].keys())
+    return pd.DataFrame({"feature": pd.Series(names, dtype=object), "bad": [counts[1][f] for f in names],
+                         "good": [counts[0][f] for f in names]})
+
+
+def screened(sample: DataFrame) -> list[str]:
+    """The features that are kept for the fit, counted over the sample's learning part.
+
+    Kept are those of at least ``MIN_DOCS`` toxic documents whose share among
+    the toxic ones is over ``LIFT`` times that among the clean ones.
+    """
+    learn = sample.where("not calibration")
+    size = {r["toxic"]: r["count"] for r in learn.groupBy("toxic").count().collect()}
+    found = (learn.select("text", "toxic").mapInPandas(_feature_counts, "feature string, bad bigint, good bigint")
+             .groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+             .where((F.col("bad") >= MIN_DOCS)
+                    & (F.col("bad") / max(size.get(1, 0), 1) > LIFT * (F.col("good") + 1) / max(size.get(0, 0), 1))))
+    return sorted(r["feature"] for r in found.select("feature").collect())
+
+
+def _hits(kept: list[str]):
+    """A function that finds the kept features of every sentence of the sample's texts."""
+    place = {f: i for i, f in enumerate(kept)}
+
+    def find(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo: dict[str, list[int]] = {}
+        for part in parts:
+            out = []
+            for text in part["text"]:
+                sent, feature, bag = [], [], sentence_words(text)
+                for i, (_, _, words) in enumerate(bag):
+                    for w in words:
+                        if w not in memo:
+                            memo[w] = [place[f] for f in word_features(w) if f in place]
+                        if memo[w]:
+                            feature += memo[w]
+                            sent += [i] * len(memo[w])
+                if len(memo) > MEMO_WORDS:
+                    memo.clear()
+                out.append((len(bag), sent, feature))
+            n, sent, feature = zip(*out, strict=True) if out else ((), (), ())
+            yield part[["toxic", "calibration", "t_hash"]].assign(n=n, sent=sent, feature=feature)
+    return find
+
+
+def fit(sample: DataFrame, rounds: int = 200, rate: float = 0.1,
         penalties: tuple[float, ...] = (0.3, 1.0, 3.0)) -> ToxicityModel:
-    """The model of labelled texts.
+    """The model of a labelled sample (toxic, calibration, t_hash, text).
 
-    Every ``CALIBRATION_SHARE``-th text is kept out of the fit: these choose
-    among the ``penalties`` (per unit of weight, divided by the number of
-    texts) and calibrate the scores.  Weights are not negative: words can
+    What reaches the driver is the kept features and where each document of
+    the sample has them.  The calibration rows are kept out of the fit: they
+    choose among the ``penalties`` (per unit of weight, divided by the number
+    of texts) and calibrate the scores.  Weights are not negative: words can
     make a sentence toxic, none makes up for another.
     """
-    y = np.asarray(toxic, float)
-    learn = np.arange(len(texts)) % CALIBRATION_SHARE != 0
-    words: dict[str, int] = {}
-    features: dict[str, int] = {}
-    of_word: list[list[int]] = []
-    tokens, sent, doc = [], [], []
-    for d, text in enumerate(texts):
-        for _, _, found in sentence_words(text):
-            for w in found:
-                if w not in words:
-                    words[w] = len(words)
-                    of_word.append([features.setdefault(f, len(features)) for f in word_features(w)])
-            tokens += map(words.get, found)
-            sent += [len(doc)] * len(found)
-            doc.append(d)
-    tokens, sent, doc = (np.array(x, np.int64) for x in (tokens, sent, doc))
-    per_word = np.array([len(x) for x in of_word], np.int64)
-    flat = np.array([f for x in of_word for f in x], np.int64)
-    keep = screened(tokens, doc[sent], per_word, flat, len(features), y, learn)
-    at, f = expand(tokens, per_word, flat)
-    place = np.cumsum(keep) - 1
-    design = Design(sent[at[keep[f]]], place[f[keep[f]]], doc, len(texts), int(keep.sum()))
-    names = [x for x, k in zip(features, keep, strict=True) if k]
+    kept = screened(sample)
+    rows = (sample.mapInPandas(_hits(kept), "toxic int, calibration boolean, t_hash bigint, n bigint, sent array<int>, feature array<int>")
+            .toPandas().sort_values(["t_hash", "n"], kind="stable"))
+    design = Design.of(rows, len(kept))
+    y, learn = rows["toxic"].to_numpy(float), ~rows["calibration"].to_numpy(bool)
     best = None
     for penalty in penalties:
         w, bias = descend(design, y, learn, rounds, rate, penalty / max(learn.sum(), 1))
-        model = ToxicityModel({n: float(x) for n, x in zip(names, w, strict=True) if x > 1e-3}, float(bias))
+        model = ToxicityModel({f: float(x) for f, x in zip(kept, w, strict=True) if x > 1e-3}, float(bias))
         clean = design.clean(w, bias)
         calibrate(model, clean[~learn], y[~learn])
         p = np.clip(model.calibrated(clean[~learn]), 1e-4, 1 - 1e-4)
@@ -161,48 +207,31 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 200, rate: float = 0.
     return best[1]
 
 
-def expand(tokens: np.ndarray, per_word: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(position in ``tokens``, feature) of every feature of every token."""
-    n = per_word[tokens]
-    begin = (np.cumsum(per_word) - per_word)[tokens]
-    at = np.repeat(np.arange(len(tokens)), n)
-    return at, flat[np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n) + begin[at]]
-
-
-def screened(tokens: np.ndarray, doc: np.ndarray, per_word: np.ndarray, flat: np.ndarray, n_features: int,
-             y: np.ndarray, learn: np.ndarray) -> np.ndarray:
-    """Whether each feature is kept for the fit.
-
-    Kept are those of at least ``MIN_DOCS`` toxic documents whose share among
-    the toxic ones is over ``LIFT`` times that among the clean ones.
-    """
-    counts = []
-    for kind in (y > 0, y <= 0):
-        use = (kind & learn)[doc]
-        pairs = np.unique(doc[use] * max(len(per_word), 1) + tokens[use])      # a document's distinct words
-        at, f = expand(pairs % max(len(per_word), 1), per_word, flat)
-        both = np.unique(pairs[at] // max(len(per_word), 1) * max(n_features, 1) + f)
-        counts.append(np.bincount(both % max(n_features, 1), minlength=n_features)[:n_features])
-    bad, good = counts
-    n_bad, n_good = max(int((y[learn] > 0).sum()), 1), max(int((y[learn] <= 0).sum()), 1)
-    return (bad >= MIN_DOCS) & (bad / n_bad > LIFT * (good + 1) / n_good)
-
-
 @dataclass
 class Design:
-    """Sentences and features of every word that has a kept feature, the documents of the sentences, and the sizes."""
+    """The sentences that have kept features, with these; ``plain`` counts each document's other sentences."""
     sent: np.ndarray
     feature: np.ndarray
     doc: np.ndarray
-    n_docs: int
+    plain: np.ndarray
     n_features: int
 
+    @classmethod
+    def of(cls, rows: pd.DataFrame, n_features: int) -> Design:
+        per_doc = rows["feature"].map(len).to_numpy(np.int64)
+        doc = np.repeat(np.arange(len(rows)), per_doc)
+        flat = lambda c: np.concatenate([np.zeros(0, np.int64), *map(np.asarray, rows[c])]).astype(np.int64)
+        key, sent = np.unique(doc << 32 | flat("sent"), return_inverse=True)
+        doc = key >> 32
+        return cls(sent, flat("feature"), doc, rows["n"].to_numpy(float) - np.bincount(doc, minlength=len(rows)), n_features)
+
     def log_odds(self, w: np.ndarray, bias: float) -> np.ndarray:
         return bias + np.bincount(self.sent, w[self.feature], minlength=len(self.doc))
 
     def clean(self, w: np.ndarray, bias: float) -> np.ndarray:
         """The log-probability that all of a document's sentences are clean."""
-        return -np.bincount(self.doc, softplus(self.log_odds(w, bias)), minlength=self.n_docs)
+        return (-np.bincount(self.doc, softplus(self.log_odds(w, bias)), minlength=len(self.plain))
+                - self.plain * softplus(np.array(bias)))
 
 
 def descend(design: Design, y: np.ndarray, learn: np.ndarray, rounds: int, rate: float,
@@ -213,10 +242,12 @@ def descend(design: Design, y: np.ndarray, learn: np.ndarray, rounds: int, rate:
     first, second = np.zeros(len(x)), np.zeros(len(x))
     for t in range(1, rounds + 1):
         z = design.log_odds(x[:-1], x[-1])
-        clean = np.minimum(-np.bincount(design.doc, softplus(z), minlength=design.n_docs), -1e-12)
+        clean = np.minimum(design.clean(x[:-1], x[-1]), -1e-12)
         odds = np.exp(clean) / -np.expm1(clean)
-        gz = (share * np.where(y > 0, -odds, 1.0))[design.doc] * logistic(z)
-        g = np.append(np.bincount(design.feature, gz[design.sent], minlength=design.n_features) + penalty, gz.sum())
+        gd = share * np.where(y > 0, -odds, 1.0)
+        gz = gd[design.doc] * logistic(z)
+        g = np.append(np.bincount(design.feature, gz[design.sent], minlength=design.n_features) + penalty,
+                      gz.sum() + (gd * design.plain).sum() * logistic(np.array(x[-1])))
         first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
         x = x - rate * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-8)
         x[:-1] = np.maximum(x[:-1], 0)
@@ -246,7 +277,7 @@ def calibrate(model: ToxicityModel, clean: np.ndarray, y: np.ndarray) -> None:
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     label_col: str = "toxic", train_docs: int = TRAIN_DOCS,
                     max_train_chars: int = MAX_TRAIN_CHARS) -> DataFrame:
-    """(toxic, text): up to ``train_docs`` labelled documents of either class, chosen by a hash of the id.
+    """(toxic, calibration, t_hash, text): up to ``train_docs`` labelled documents of either class, chosen by a hash of the id.
 
     The ids are chosen among the labels alone: the classes are counted, a
     hash threshold leaves little more than is wanted, and the smallest hashes
@@ -259,7 +290,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
              .withColumn("t_hash", F.pmod(F.xxhash64("t_id"), F.lit(1 << 30))))
     counts = {r["t_toxic"]: r["count"] for r in known.groupBy("t_toxic").count().collect() if r["t_toxic"] in (0, 1)}
     if len(counts) < 2:
-        return docs.select(F.lit(0).alias("toxic"), F.col(text_col).cast("string").alias("text")).where("false")
+        return docs.sparkSession.createDataFrame([], SAMPLE)
     parts = [known.where((F.col("t_toxic") == k) & (F.col("t_hash") <= (1 << 30) * min(1.0, 2 * train_docs / n)))
              .orderBy("t_hash", "t_id").limit(train_docs) for k, n in sorted(counts.items())]
     chosen = materialize(parts[0].unionByName(parts[1]), "toxicity-ids")
@@ -269,15 +300,15 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                        F.substring(text, begin.cast("int"), F.lit(max_train_chars)).alias("text")).where("text is not null")
     return (rows.join(F.broadcast(chosen), F.col("d_id") == F.col("t_id"))
             .groupBy("t_id", "t_hash", "t_toxic").agg(F.min("text").alias("text"))
-            .orderBy("t_hash", "t_id").select(F.col("t_toxic").alias("toxic"), "text"))
+            .select(F.col("t_toxic").alias("toxic"), (F.col("t_hash") % CALIBRATION_SHARE == 0).alias("calibration"), "t_hash", "text"))
 
 
 def train_model(docs: DataFrame, labels: DataFrame, **options) -> ToxicityModel | None:
     """The model of a bounded sample of the labelled documents (see :func:`training_sample`), or None without both classes."""
-    sample = training_sample(docs, labels, **options).toPandas()
-    if sample["toxic"].nunique() < 2:
+    sample = materialize(training_sample(docs, labels, **options), "toxicity-sample")
+    if sample.where("not calibration").select("toxic").distinct().count() < 2:
         return None
-    return fit(sample["text"].tolist(), sample["toxic"].to_numpy())
+    return fit(sample)
 
 
 def _scored(model: ToxicityModel, text: str | None, weigh) -> tuple[list[tuple[int, int, list[str]]], np.ndarray]:

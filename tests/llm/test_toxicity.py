@@ -102,8 +102,8 @@ def test_the_sample_is_bounded_and_a_label_of_toxic_wins(spark, learned):
     sample = toxicity.training_sample(docs.unionAll(docs), known, train_docs=30, max_train_chars=50).toPandas()
     assert sample["toxic"].value_counts().to_dict() == {0: 30, 1: 30}
     assert sample["text"].str.len().max() <= 50
-    whole = toxicity.training_sample(docs, known).toPandas()
-    assert len(whole) == 400 and whole["toxic"].sum() == 81
-    again = toxicity.training_sample(docs.repartition(7), known).toPandas()
-    assert whole.equals(again)
-    assert np.isfinite(toxicity.fit(whole["text"].tolist(), whole["toxic"].to_numpy()).bias)
+    whole = toxicity.training_sample(docs, known)
+    assert whole.count() == 400 and whole.where("toxic = 1").count() == 81
+    one, two = toxicity.train_model(docs, known), toxicity.train_model(docs.repartition(7), known)
+    assert one.weights == two.weights and (one.bias, one.slope, one.offset) == (two.bias, two.slope, two.offset)
+    assert one.weights and np.isfinite(one.bias)

@@ -18,6 +18,7 @@ from proficio.llm import (
     sentencepiece_codec,
     simhash,
     substring_dedup,
+    token_alignment,
     toxicity,
     url_filters,
 )
@@ -108,6 +109,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.damage_report(table(spark, sf_dir, "conversations"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token, group and link counts of every document under two tokenizers, and the digest of its groups."""
+    found = token_alignment.alignment_report(table(spark, sf_dir, "documents"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels of documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -121,4 +128,4 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_url_filters, op2_sentencepiece, op3_language_id, op4_chat_formatting, op5_exact_dedup, op6_simhash,
                                     op7_packing, op8_line_dedup, op9_substring_dedup, op10_fingerprints,
-                                    op11_conversation_repair, op13_toxicity)}
+                                    op11_conversation_repair, op12_token_alignment, op13_toxicity)}

@@ -13,8 +13,9 @@ in the same way at every size:
    each bucket's offset (a window over at most buckets + 2 rows per group),
    and a running sum inside a bucket gives the count of strictly better
    values;
-3. the ranked distinct values, written once, join back to the rows on (group,
-   value); the planner picks the join by the written table's size.
+3. the ranked distinct values, written once, meet the stacked keys of the rows
+   in one join for all measures; the planner picks the join by the written
+   table's size.
 
 Order keys must be numeric and are compared in their own type (cut points
 alone are approximate), so BIGINT and DECIMAL keys rank exactly.
@@ -134,19 +135,45 @@ def ranked_values(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024)
             for key, asc, last, own in _classes(df, specs)]
 
 
-def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024) -> DataFrame:
-    """Add one ``rank()`` column per spec (BIGINT)."""
-    out = df
-    for (key, _, _, own), ranked in zip(_classes(df, specs), ranked_values(df, specs, buckets), strict=True):
-        ranks = materialize(ranked, "ranks")
-        for i, s in own:
-            r = ranks.filter(F.col("_m") == i).select(F.col("_g").alias("_rg"), F.col("_v").alias("_rv"),
-                                                      F.col("_rank").alias(s.out))
-            cond = F.col(s.order_by).cast(key).eqNullSafe(F.col("_rv"))
-            for j, c in enumerate(s.partition_by):
-                cond = cond & F.col(c).cast("string").eqNullSafe(F.get(F.col("_rg"), j))
-            out = out.join(r, cond, "left").drop("_rv", "_rg")
-    return out.select(*df.columns, *[s.out for s in specs])
+ROW = "_row"
+
+
+def numbered(df: DataFrame, name: str = "numbered-rows") -> DataFrame:
+    """``df`` written once with a number of its own for every row (``ROW``)."""
+    return materialize(df.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
+def rank_columns(df: DataFrame, specs: Sequence[RankSpec], buckets: int = 1024, row_id: str | None = None) -> DataFrame:
+    """Add one ``rank()`` column per spec (BIGINT).
+
+    Building it runs jobs: the distinct values, then their ranks, are
+    written.  Two joins bring back the ranks of all specs, however many: the
+    rows' keys, stacked as (row, spec, group, value), meet the ranked values,
+    one aggregate folds a row's ranks into one row, and that joins the rows
+    on their number.  ``row_id``: a column of a written ``df`` that is unique;
+    without one the rows are numbered and written first.
+    """
+    kept = df.columns
+    if row_id is None:
+        df, row_id = numbered(df), ROW
+    classes = _classes(df, specs)
+    ranks, keys = None, []
+    for c, ((key, _, _, own), ranked) in enumerate(zip(classes, ranked_values(df, specs, buckets), strict=True)):
+        part = ranked.withColumnRenamed("_v", f"_v{c}")
+        ranks = part if ranks is None else ranks.unionByName(part, allowMissingColumns=True)
+        keys += [F.struct(F.lit(i).alias("_m"), _group_key(s).alias("_g"),
+                          *[(F.col(s.order_by) if k == c else F.lit(None)).cast(other[0]).alias(f"_v{k}")
+                            for k, other in enumerate(classes)]) for i, s in own]
+    ranks = materialize(ranks, "ranks")
+    stacked = df.select(F.col(row_id).alias("_id"), F.inline(F.array(*keys)))
+    found = ranks.select(*[F.col(c).alias(f"_r{c}") for c in ranks.columns])
+    same = (F.col("_m") == F.col("_r_m")) & (F.col("_g") == F.col("_r_g"))
+    for c in range(len(classes)):
+        same = same & F.col(f"_v{c}").eqNullSafe(F.col(f"_r_v{c}"))
+    wide = (stacked.join(found, same).groupBy("_id")
+            .agg(*[F.max(F.when(F.col("_m") == i, F.col("_r_rank"))).alias(s.out) for i, s in enumerate(specs)]))
+    out = df.join(wide, F.col(row_id) == F.col("_id"))
+    return out.select(*kept, *[s.out for s in specs])
 
 
 def topn_per_group(df: DataFrame, n: int, partition_by: Sequence[str], order_by: Sequence[Column],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from proficio.functions.metrics import (
@@ -14,11 +14,10 @@ from proficio.functions.metrics import (
 from proficio.operators.counts import updown_aggs
 from proficio.operators.endpoints import first_last_aggs
 from proficio.operators.normalize import minmax_normalize
-from proficio.operators.ranking import RankSpec, dedupe_precedence, latest_per_key, rank_columns
+from proficio.operators.ranking import ROW, RankSpec, dedupe_precedence, latest_per_key, numbered, rank_columns
 from proficio.operators.yoy import add_yoy
 from proficio.params import Params
 from proficio.plans.staging import ENROLLMENT_COUNTS
-from proficio.session import materialize
 
 AUDIT_COL = "updated_at"
 
@@ -87,20 +86,40 @@ def enrollment_trends(enrollment: DataFrame, dim: DataFrame, p: Params,
 
 def school_performance(dim: DataFrame, enrollment: DataFrame, attendance: DataFrame,
                        assessment: DataFrame, audit: bool = True) -> DataFrame:
-    """Scorecard, school x year; a school-year needs an attendance row."""
-    e = (enrollment.groupBy("school_id", "school_year")
-                   .agg(F.sum("total_enrolled").alias("total_enrollment")))
-    at = attendance.select("school_id", "school_year", "chronic_absenteeism_rate",
-                           "absenteeism_tier")
-    a = assessment.select("school_id", "school_year", "math_pct_proficient",
-                          "ela_pct_proficient", "math_suppressed", "ela_suppressed")
-    out = (dim.select("school_id", "school_name", "region")
-              .join(at, "school_id", "inner")
-              .join(e, ["school_id", "school_year"], "left")
-              .join(a, ["school_id", "school_year"], "left")
-              .select("school_id", "school_year", "school_name", "region", "total_enrollment",
-                      "chronic_absenteeism_rate", "absenteeism_tier", "ela_pct_proficient",
-                      "ela_suppressed", "math_pct_proficient", "math_suppressed"))
+    """Scorecard, school x year; a school-year needs an attendance row.
+
+    The three facts are stacked and dealt once, by school: the window over a
+    school-year and the join to the dimension, which comes last, both work on
+    that partitioning.  Attendance rows drive: each passes through the window
+    on its own (a repeated one stays repeated, a hot school-year is streamed,
+    not collected) and picks up the school-year's enrollment sum and its
+    assessment rows, of which the grain allows one; were there more, the row
+    is repeated for each, as a left join would.
+    """
+    scores = ["math_pct_proficient", "ela_pct_proficient", "math_suppressed", "ela_suppressed"]
+    rates = ["chronic_absenteeism_rate", "absenteeism_tier"]
+
+    def part(df: DataFrame, **kept) -> DataFrame:
+        return df.select("school_id", "school_year", *[c.alias(n) for n, c in kept.items()])
+
+    stacked = (
+        part(attendance, _drives=F.lit(True), **{c: F.col(c) for c in rates})
+        .unionByName(part(enrollment, _enrolled=F.col("total_enrolled")), allowMissingColumns=True)
+        .unionByName(part(assessment, _scores=F.struct(*scores)), allowMissingColumns=True))
+    w = Window.partitionBy("school_id", "school_year")
+    seen = (stacked.repartition("school_id")
+            .withColumns({"total_enrollment": F.sum("_enrolled").over(w), "_all": F.collect_list("_scores").over(w)})
+            # a NULL key matches nothing in a join, so neither sum nor scores are its own
+            .filter(F.col("_drives"))
+            .withColumn("_keyed", F.col("school_year").isNotNull())
+            .select("school_id", "school_year", *rates, F.when(F.col("_keyed"), F.col("total_enrollment")).alias("total_enrollment"),
+                    F.explode_outer(F.when(F.col("_keyed"), F.col("_all"))).alias("_score")))
+    out = (dim.select("school_id", "school_name", "region").join(seen, "school_id", "inner")
+              .select("school_id", "school_year", "school_name", "region", "total_enrollment", *rates,
+                      F.col("_score.ela_pct_proficient").alias("ela_pct_proficient"),
+                      F.col("_score.ela_suppressed").alias("ela_suppressed"),
+                      F.col("_score.math_pct_proficient").alias("math_pct_proficient"),
+                      F.col("_score.math_suppressed").alias("math_suppressed")))
     return _audit(out, audit)
 
 
@@ -191,16 +210,20 @@ def improvement_category(consistency: str = "consistency_score",
 
 
 def school_improvement(yoy: DataFrame, dim: DataFrame, p: Params) -> DataFrame:
-    """Summary fact, one row per school: growth, consistency, score, nine ranks."""
-    # one row per school, written once: the bounds, the score and the ranking
-    # passes all re-read it instead of recomputing the window and aggregation
-    combined = materialize(improvement_summary(yoy, dim, p), "improvement-summary")
+    """Summary fact, one row per school: growth, consistency, score, nine ranks.
+
+    Building it runs jobs: the summary, the distinct values of the measures
+    and their ranks are written (the bounds, the score and the ranking passes
+    read the summary again instead of computing it again).  Two joins follow
+    the summary, and the one-row bounds.
+    """
+    combined = numbered(improvement_summary(yoy, dim, p), "improvement-summary")
     scored = minmax_normalize(combined, "composite_overall_change", "_norm")
     scored = scored.withColumn(
         "improvement_score",
         weighted_score([("consistency_score", SCORE_WEIGHTS[0]), ("_norm", SCORE_WEIGHTS[1])],
                        3)).drop("_norm")
-    ranked = rank_columns(scored, IMPROVEMENT_RANKS)
-    cols = combined.columns + ["improvement_score"] + [s.out for s in IMPROVEMENT_RANKS[:7]]
+    ranked = rank_columns(scored, IMPROVEMENT_RANKS, row_id=ROW)
+    cols = [c for c in combined.columns if c != ROW] + ["improvement_score"] + [s.out for s in IMPROVEMENT_RANKS[:7]]
     return ranked.select(*cols, improvement_category().alias("improvement_category"),
                          "overall_improvement_rank", "regional_improvement_rank")

@@ -116,6 +116,21 @@ def lineitem_by_part_year(lineitem: DataFrame) -> DataFrame:
     return _lineitem_by_part_year(lineitem, LINEITEM_RULES)
 
 
+def lineitem_shared(lineitem: DataFrame, from_year: int) -> DataFrame:
+    """:func:`lineitem_by_part_year` from ``from_year`` on, for a plan that reads both extracts.
+
+    Year and counts travel as one array that neither column pruning nor a
+    filter on the year can take apart, so the two extracts share one exchange
+    and Spark scans the lines once; the years are cut at the scan instead.
+    """
+    kept = lineitem.filter(F.col("l_shipdate") >= F.lit(f"{from_year}-01-01").cast("timestamp_ntz"))
+    agg = _lineitem_by_part_year(kept, LINEITEM_RULES)
+    names = [c for c in agg.columns if c != "l_partkey"]
+    # an element of a literal array is simplified to the element; one of a transformed array is not
+    packed = agg.select("l_partkey", F.transform(F.array(*[F.col(c).cast("bigint") for c in names]), lambda x: x + 0).alias("_c"))
+    return packed.select("l_partkey", *[F.element_at("_c", i + 1).cast(agg.schema[n].dataType).alias(n) for i, n in enumerate(names)])
+
+
 def raw_assessment(lineitem: DataFrame, part: DataFrame, agg: DataFrame | None = None) -> DataFrame:
     """One row per (part, ship year): proficiency percentages as text."""
     agg = agg if agg is not None else lineitem_by_part_year(lineitem)

@@ -66,12 +66,15 @@ def csv_catalog(spark: SparkSession, paths: Mapping[str, str]) -> Catalog:
 
 
 def test_table_catalog(spark: SparkSession, sf_dir: str, cutoff: str | None = None,
-                       revised: int | None = None) -> Catalog:
+                       revised: int | None = None, shared_from: int | None = None) -> Catalog:
     """Raw school tables built from the driver's test tables in ``sf_dir``.
 
     ``cutoff`` ('YYYY-MM-DD') simulates an earlier extract of the
     demographic source: only orders before that day are counted; ``revised``
     (a school year) a later one, with renamed, closed and withdrawn schools.
+    ``shared_from`` (a school year): the plan reads the assessment and the
+    absenteeism extract from that year on, so the lines behind both are
+    scanned once, with the columns of both.
     """
     from proficio.sources import adaptors as A
 
@@ -84,7 +87,8 @@ def test_table_catalog(spark: SparkSession, sf_dir: str, cutoff: str | None = No
 
     def li() -> DataFrame:
         if "_li_agg" not in tables:
-            tables["_li_agg"] = A.lineitem_by_part_year(t("lineitem"))
+            tables["_li_agg"] = (A.lineitem_by_part_year(t("lineitem")) if shared_from is None else
+                                 A.lineitem_shared(t("lineitem"), shared_from))
         return tables["_li_agg"]
 
     return Catalog(spark, {

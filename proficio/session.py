@@ -60,11 +60,25 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
         d = tempfile.mkdtemp(prefix="proficio-")
         spark.conf.set("spark.checkpoint.dir", d)
+    _require_shared(spark, d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+def _require_shared(spark: SparkSession, d: str) -> None:
+    """Refuse a folder without a file system's name on a cluster: each machine would read it as its own disk.
+
+    ``file:`` named outright is taken for a mount that all machines share.
+    """
+    master = spark.sparkContext.master
+    if not master.startswith("local") and "://" not in d and not d.startswith("file:"):
+        name = spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if name.startswith("file:"):
+            raise RuntimeError(f"spark.checkpoint.dir={d} names no file system, and the default one is local: "
+                               "set it to a folder all machines share (hdfs://, s3a://, or file:// of a shared mount)")
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared folder for a written table (kept until it is dropped)."""
     base = shared_dir(spark).rstrip("/")
@@ -84,6 +98,38 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file of any Hadoop file system, or None if it does not exist."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file whole: under a name of its own first, then renamed over the old one in one step."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}")
+    stream = fs.create(part)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    full = fs.makeQualified(p)
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(full.toUri(), conf).rename(fs.makeQualified(part), full, options)
+
+
 def clean_work(spark: SparkSession, older_than_hours: float = 24.0) -> list[str]:
     """Delete this library's intermediate tables older than ``older_than_hours``.
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from proficio.operators.ranking import latest_per_key
-from proficio.operators.upsert import partition_paths, table_exists, upsert
+from proficio.operators.upsert import folders, read_table, table_exists, upsert
 from proficio.session import shared_dir
 
 
@@ -36,11 +36,10 @@ def not_older(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[
     if not table_exists(spark, target):
         return rows
     touched = [r[0] for r in rows.select(partition_col).distinct().collect()]
-    parts = partition_paths(spark, target, partition_col, touched)
+    parts = folders(spark, target, partition_col, touched)
     if not parts:
         return rows
-    stored = (spark.read.option("basePath", target).option("mergeSchema", "true").parquet(*parts)
-              .select(*keys, F.col(RELEASE_COL).alias("_stored")))
+    stored = read_table(spark, target, parts).select(*keys, F.col(RELEASE_COL).alias("_stored"))
     newer = stored.join(rows.select(*keys, RELEASE_COL), list(keys)).where(F.col("_stored") > F.col(RELEASE_COL))
     return rows.join(newer.select(*keys), list(keys), "left_anti")
 

@@ -14,14 +14,17 @@ Only current versions take part in the join (one full outer join; each
 joined row emits the old version and the one it opens); closed history is a
 plain union.
 
-``snapshot_run`` stores a run as the folder ``snapshot_run=<n>``: its open
-versions (``state=open``) and the versions that it closed (``state=closed``).
-The table is the open part of the newest run and the closed parts of all runs,
-so closed history is written once and never again: what a run writes depends
-on the open versions alone.  A run counts once its one write job has left its
-``_SUCCESS`` marker; a torn run is ignored and replaced by the next attempt.
-NULL and duplicate keys stop that job: the check is a count over PARTITION BY
-key evaluated inside it.
+``snapshot_run`` keeps a log of changes: a run is the folder
+``snapshot_run=<n>`` with the versions it opened (``state=open``) and those it
+closed (``state=closed``), and nothing of what stayed.  The current version of
+a key is the newest in the log, if that is an opened one, found by an
+aggregate on the key that the comparison's join is partitioned by as well;
+the history is these and all closed versions.  So a run writes what changed,
+and an unchanged snapshot writes no row.  ``compact`` puts down the whole
+current state of a run (``state=base``), from where later reads start.  A run
+counts once its one write job has left its ``_SUCCESS`` marker; a torn run is
+ignored and replaced by the next attempt.  NULL and duplicate keys stop that
+job: the check is a count over PARTITION BY key evaluated inside it.
 """
 
 from __future__ import annotations
@@ -89,6 +92,13 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: Sequence[st
     hist = history.select(*cols, *META)
     closed = hist.filter(F.col("valid_to").isNotNull())
     cur = hist.filter(F.col("valid_to").isNull())
+    return closed.unionByName(_versions(cur, snap, keys, check_cols, at, invalidate_hard_deletes, unchanged=True))
+
+
+def _versions(cur: DataFrame, snap: DataFrame, keys: Sequence[str], check_cols: Sequence[str], at: Column,
+              invalidate_hard_deletes: bool, unchanged: bool) -> DataFrame:
+    """The versions that the snapshot closes and opens, and with ``unchanged`` those that stay open."""
+    cols = [*keys, *check_cols]
     o = cur.select(*[F.col(c).alias(f"_o_{c}") for c in cur.columns])
     n = snap.select(*[F.col(c).alias(f"_n_{c}") for c in cols])
     # the duplicate check partitions by the join key itself: one shuffle serves both
@@ -107,7 +117,7 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: Sequence[st
     gone = old_here & ~new_here if invalidate_hard_deletes else F.lit(False)
     no_end = F.lit(None).cast("timestamp_ntz")
     # the current version: kept open, or closed at this run
-    old_row = F.when(old_here, F.struct(
+    old_row = F.when(old_here if unchanged else changed | gone, F.struct(
         *[F.col(f"_o_{c}").alias(c) for c in cols],
         F.col("_o_scd_id").alias("scd_id"), F.col("_o_updated_at").alias("updated_at"),
         F.col("_o_valid_from").alias("valid_from"),
@@ -118,9 +128,8 @@ def scd2_apply(history: DataFrame | None, snapshot: DataFrame, keys: Sequence[st
         *new_cols,
         _scd_id([f"_n_{k}" for k in keys], at).alias("scd_id"), at.alias("updated_at"),
         at.alias("valid_from"), no_end.alias("valid_to")))
-    versions = (j.select(F.explode(F.array(old_row, new_row)).alias("_r"))
-                 .filter(F.col("_r").isNotNull()).select("_r.*"))
-    return closed.unionByName(versions)
+    return (j.select(F.explode(F.array(old_row, new_row)).alias("_r"))
+             .filter(F.col("_r").isNotNull()).select("_r.*"))
 
 
 def _runs(spark: SparkSession, path: str) -> list[int]:
@@ -132,51 +141,110 @@ def _runs(spark: SparkSession, path: str) -> list[int]:
 
 def _parts(spark: SparkSession, path: str, runs: Sequence[int], state: str) -> list[str]:
     base = path.rstrip("/")
-    folders = [f"{base}/{RUN_COL}={n}" for n in runs]
-    return [f"{f}/{STATE_COL}={state}" for f in folders if f"{STATE_COL}={state}" in _children(spark, f)]
+    found = [f"{base}/{RUN_COL}={n}" for n in runs]
+    found = [f"{f}/{STATE_COL}={state}" for f in found if f"{STATE_COL}={state}" in _children(spark, f)]
+    # a base is written after its run, by a job with a marker of its own
+    return [f for f in found if is_committed(spark, f)] if state == "base" else found
+
+
+def _run_of(folder: str) -> int:
+    return int(folder.split(f"/{RUN_COL}=")[-1].split("/")[0])
 
 
-def _read(spark: SparkSession, paths: list[str]) -> DataFrame | None:
-    return spark.read.parquet(*paths) if paths else None
+def _read(spark: SparkSession, path: str, paths: list[str]) -> DataFrame | None:
+    """Versions of some folders, with ``RUN_COL`` and ``STATE_COL``."""
+    return spark.read.option("basePath", path.rstrip("/")).parquet(*paths) if paths else None
+
+
+def current(spark: SparkSession, path: str, n: int, keys: Sequence[str] | None = None) -> DataFrame | None:
+    """The open versions after run ``n``: of every key the newest version in the log, unless that is a closed one.
+
+    ``keys``: the key columns; without them (a reader that knows none) an open
+    version is one whose ``scd_id`` has not been closed since.
+    """
+    runs = [k for k in _runs(spark, path) if k <= n]
+    bases = _parts(spark, path, runs, "base")
+    since = [k for k in runs if not bases or k > _run_of(bases[-1])]
+    opened = _read(spark, path, bases[-1:] + _parts(spark, path, since, "open"))
+    closed = _read(spark, path, _parts(spark, path, since, "closed"))
+    if opened is None:
+        return None
+    rows = opened.drop(RUN_COL, STATE_COL)
+    if closed is None:
+        return rows
+    if keys is None:
+        return rows.join(closed.select("scd_id"), "scd_id", "left_anti").select(*rows.columns)
+    log = opened.unionByName(closed)
+    newest = F.max_by(F.struct(*rows.columns), F.struct(F.col(RUN_COL), F.col("valid_to").isNull()))
+    return (log.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(newest.alias("_v")).select("_v.*")
+            .where("valid_to is null"))
 
 
 def read_run(spark: SparkSession, path: str, n: int) -> DataFrame:
     """The state after run ``n``: its open versions and all versions closed up to it."""
     runs = [k for k in _runs(spark, path) if k <= n]
-    both = [d for d in (_read(spark, _parts(spark, path, [n], "open")),
-                        _read(spark, _parts(spark, path, runs, "closed"))) if d is not None]
+    closed = _read(spark, path, _parts(spark, path, runs, "closed"))
+    both = [d for d in (current(spark, path, n), closed.drop(RUN_COL, STATE_COL) if closed is not None else None)
+            if d is not None]
     if not both:
         raise ValueError(f"run {n} of {path} holds no version")
     return both[0] if len(both) == 1 else both[0].unionByName(both[1])
 
 
+def _is_empty(spark: SparkSession, path: str, runs: Sequence[int]) -> bool:
+    return not any(_parts(spark, path, runs, s) for s in ("open", "closed", "base"))
+
+
 def latest(spark: SparkSession, path: str) -> tuple[int, DataFrame | None]:
     """(run number, state) of the newest committed run stored at ``path``."""
     runs = _runs(spark, path)
-    if not _parts(spark, path, runs, "open") and not _parts(spark, path, runs, "closed"):
+    if _is_empty(spark, path, runs):
         return (runs[-1] if runs else 0), None
     return runs[-1], read_run(spark, path, runs[-1])
 
 
+def compact(spark: SparkSession, path: str, keys: Sequence[str], keep_runs: int = 1) -> None:
+    """Write the open versions of the oldest of the newest ``keep_runs`` runs as its base, then drop what it replaces.
+
+    Runs before it can no longer be read as they were; closed history stays.
+    A base counts once its job has left its marker, and only then are the
+    older open versions dropped.
+    """
+    runs = _runs(spark, path)
+    if len(runs) <= keep_runs:
+        return
+    first = runs[-keep_runs]
+    base = path.rstrip("/")
+    if not _parts(spark, path, [first], "base"):
+        rows = current(spark, path, first, keys)
+        if rows is None:
+            return
+        rows.write.mode("overwrite").parquet(f"{base}/{RUN_COL}={first}/{STATE_COL}=base")
+    for state in ("open", "base"):
+        for folder in _parts(spark, path, [n for n in runs if n < first], state):
+            drop_path(spark, folder)
+
+
 def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequence[str],
                  check_cols: Sequence[str], run_at: Column,
                  invalidate_hard_deletes: bool = True, keep_runs: int | None = None) -> DataFrame:
     """Apply one snapshot run to the history stored at ``path``; return the new state.
 
-    One write action: the comparison and the key checks run inside it; a bad
-    key aborts the job, so the run is not committed.  ``keep_runs`` (optional)
-    removes the open versions of all but the newest runs after the commit;
-    closed history stays.
+    One write action, of the changes alone: the comparison and the key checks
+    run inside it; a bad key aborts the job, so the run is not committed.
+    ``keep_runs`` (optional) compacts the log after the commit, so that the
+    newest runs alone can be read as they were; closed history stays.
     """
     runs = _runs(spark, path)
     n = runs[-1] if runs else 0
     at = run_at.cast("timestamp_ntz")
-    open_before = _read(spark, _parts(spark, path, [n], "open")) if runs else None
-    state = (_first(snapshot, keys, check_cols, at) if open_before is None else
-             scd2_apply(open_before, snapshot, keys, check_cols, at, invalidate_hard_deletes))
+    open_before = current(spark, path, n, keys) if runs else None
+    changes = (_first(snapshot, keys, check_cols, at) if open_before is None else
+               _versions(open_before, snapshot.select(*keys, *check_cols), keys, check_cols, at, invalidate_hard_deletes,
+                         unchanged=False))
     base = path.rstrip("/")
     try:
-        (state.withColumn(STATE_COL, F.when(F.col("valid_to").isNull(), "open").otherwise("closed"))
+        (changes.withColumn(STATE_COL, F.when(F.col("valid_to").isNull(), "open").otherwise("closed"))
          .write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(STATE_COL).parquet(f"{base}/{RUN_COL}={n + 1}"))
     except Exception as e:  # the in-job key checks surface as a job failure
@@ -185,10 +253,8 @@ def snapshot_run(spark: SparkSession, path: str, snapshot: DataFrame, keys: Sequ
         if NULL_MSG in str(e):
             raise NullKeyError(f"{NULL_MSG} for {path}") from e
         raise
-    now = _runs(spark, path)
-    if not _parts(spark, path, now, "open") and not _parts(spark, path, now, "closed"):
-        return spark.createDataFrame([], state.schema)
+    if _is_empty(spark, path, _runs(spark, path)):
+        return spark.createDataFrame([], changes.schema)
     if keep_runs:
-        for old in now[:-keep_runs]:
-            drop_path(spark, f"{base}/{RUN_COL}={old}/{STATE_COL}=open")
+        compact(spark, path, keys, keep_runs)
     return read_run(spark, path, n + 1)

@@ -224,7 +224,8 @@ def test_a_run_does_not_write_closed_history_again(spark):
     for i in range(5):
         st = run(spark, path, [("1", f"A{i}"), ("2", "B")], f"{2020 + i}-01-01 00:00:00")
     sizes = [spark.read.parquet(f"{path}/snapshot_run={n}").count() for n in scd2._runs(spark, path)]
-    assert sizes == [2, 3, 3, 3, 3] and st.count() == 6
+    # each later run closes one version and opens one; what stays open is not written again
+    assert sizes == [2, 2, 2, 2, 2] and st.count() == 6
 
 
 def test_scd_ids_tell_keys_and_times_apart(spark):
@@ -235,3 +236,114 @@ def test_scd_ids_tell_keys_and_times_apart(spark):
         st = scd2.scd2_apply(None, spark.createDataFrame(data, sch), ["a", "b"], ["v"], F.lit(at))
         ids |= {r.scd_id for r in st.collect()}
     assert len(ids) == 4
+
+
+def _files(spark, path):
+    """Data files below a local table folder, with their times."""
+    import os
+    found = {}
+    for base, _, names in os.walk(path.removeprefix("file:")):
+        found.update({os.path.join(base, n): os.stat(os.path.join(base, n)).st_mtime_ns for n in names if n.endswith(".parquet")})
+    return found
+
+
+def test_a_merge_rewrites_only_the_buckets_that_change(spark):
+    path = new_table_path(spark, "t-buckets")
+    keys = ["school_id", "school_year"]
+    all_rows = [(str(i), y, i) for i in range(400) for y in (2022, 2023)]
+    upsert.upsert(spark, path, spark.createDataFrame(all_rows, S), keys, "school_year", buckets=16)
+    before = _files(spark, path)
+    assert len(before) == 32                                    # one file a (year, bucket)
+    # the whole year comes again, three rows differ and one is new
+    later = [(k, y, -1 if k in ("7", "70", "170") else v) for k, y, v in all_rows if y == 2023] + [("new", 2023, 1)]
+    upsert.upsert(spark, path, spark.createDataFrame(later, S), keys, "school_year")
+    after = _files(spark, path)
+    new, gone = set(after) - set(before), set(before) - set(after)
+    assert len(new) == len(gone) <= 4 and all("school_year=2023" in f for f in new)
+    assert all(after[f] == before[f] for f in set(after) & set(before))
+    got = {(r.school_id, r.school_year): r.total for r in upsert.read_table(spark, path).collect()}
+    assert got == {**{(k, y): v for k, y, v in all_rows}, **{(k, y): v for k, y, v in later}}
+    # the same slice once more writes no file
+    upsert.upsert(spark, path, spark.createDataFrame(later, S), keys, "school_year")
+    assert _files(spark, path) == after
+
+
+def test_the_schema_lies_beside_the_table(spark):
+    path = new_table_path(spark, "t-meta")
+    keys = ["school_id", "school_year"]
+    upsert.upsert(spark, path, spark.createDataFrame([("a", 2022, 1)], S), keys, "school_year")
+    upsert.upsert(spark, path, spark.createDataFrame([("b", 2023, 2, "x")], S + ", note string"), keys, "school_year")
+    t = upsert.read_table(spark, path)
+    assert t.columns == ["school_id", "school_year", "total", "note"] and dict(t.dtypes)["school_year"] == "int"
+    assert {r.school_id: (r.total, r.note) for r in t.collect()} == {"a": (1, None), "b": (2, "x")}
+    assert "mergeSchema" not in open(upsert.__file__).read().split("def _adopted")[0]
+    # a table of another writer is put in buckets by its first merge
+    plain = new_table_path(spark, "t-plain")
+    spark.createDataFrame([("a", 2022, 1), ("b", 2022, 2)], S).write.partitionBy("school_year").parquet(plain)
+    assert upsert.read_table(spark, plain).count() == 2
+    upsert.upsert(spark, plain, spark.createDataFrame([("b", 2022, 5)], S), keys, "school_year")
+    assert {r.school_id: r.total for r in upsert.read_table(spark, plain).collect()} == {"a": 1, "b": 5}
+
+
+def test_audit_times_are_those_of_the_last_change(spark):
+    path = new_table_path(spark, "t-audit")
+    keys, kind = ["school_id", "school_year"], S + ", updated_at string"
+    for at, total in (("t1", 1), ("t2", 1), ("t3", 2)):
+        upsert.upsert(spark, path, spark.createDataFrame([("a", 2022, total, at), ("b", 2022, 9, at)], kind), keys, "school_year",
+                      audit=["updated_at"])
+        got = {r.school_id: r.updated_at for r in upsert.read_table(spark, path).collect()}
+        assert got == {"a": "t1" if total == 1 else "t3", "b": "t1"}
+
+
+def test_an_unchanged_snapshot_writes_no_version(spark):
+    path = new_table_path(spark, "t-log")
+    run(spark, path, [("1", "A"), ("2", None)], "2020-01-01 00:00:00")
+    st = run(spark, path, [("1", "A"), ("2", None)], "2021-01-01 00:00:00")
+    assert scd2._runs(spark, path) == [1, 2]
+    assert not any(scd2._parts(spark, path, [2], s) for s in ("open", "closed"))
+    assert rows(st) == rows(scd2.read_run(spark, path, 1)) and st.count() == 2
+
+
+def test_compaction_keeps_the_kept_runs_readable(spark):
+    path = new_table_path(spark, "t-compact")
+    states = {}
+    for i, data in enumerate(([("1", "A"), ("2", "B")], [("1", "A2"), ("2", "B")], [("2", "B")], [("1", "A3"), ("2", "B"), ("3", "C")],
+                              [("1", "A3"), ("3", "C")])):
+        states[i + 1] = rows(run(spark, path, data, f"{2020 + i}-01-01 00:00:00"))
+    scd2.compact(spark, path, ["school_id"], keep_runs=2)
+    assert [n for n in (1, 2, 3, 4, 5) if scd2._parts(spark, path, [n], "open")] == [4]
+    assert {n: rows(scd2.read_run(spark, path, n)) for n in (4, 5)} == {n: states[n] for n in (4, 5)}
+    assert rows(scd2.current(spark, path, 5, ["school_id"])) == rows(scd2.current(spark, path, 5))
+    st = run(spark, path, [("1", "A3"), ("3", "C2")], "2030-01-01 00:00:00")
+    assert sorted(r.school_name for r in st.where("valid_to is null").collect()) == ["A3", "C2"]
+    whole = rows(st)
+    scd2.compact(spark, path, ["school_id"])
+    assert rows(scd2.latest(spark, path)[1]) == whole
+
+
+def test_a_clustered_table_keeps_its_cut_points(spark):
+    """Later writes to the table compute their input once; the slices are about even, also for keys with one beginning."""
+    from proficio.sources import sinks
+    path = new_table_path(spark, "t-cuts")
+    computed = spark.sparkContext.accumulator(0)
+
+    def tally(parts):
+        for part in parts:
+            computed.add(part.num_rows)
+            yield part
+
+    df = spark.range(8000).selectExpr("cast(id % 2 as int) as year", "concat('school-00000000', lpad(id, 6, '0')) as school")
+    df = df.mapInArrow(tally, df.schema)
+    for _ in range(2):
+        computed.value = 0
+        sinks.write_clustered(df, path, "year", ["school"], files_per_partition=4)
+        assert computed.value == 8000
+        files = _files(spark, path)
+        assert 2 <= len(files) <= 8 and spark.read.parquet(path).distinct().count() == 8000
+    import json
+    from proficio.session import read_text
+    points = json.loads(read_text(spark, f"{path}/{sinks.CUTS}"))["points"]
+    assert len(points) == 3
+    sizes = [df.where(sinks._slice_of("school", df.schema["school"].dataType, points) == i).count() for i in range(4)]
+    assert min(sizes) > 1500
+    sinks.write_clustered(df.limit(0), new_table_path(spark, "t-cuts-empty"), "year", ["school"])

@@ -4,7 +4,9 @@ NULL rules follow the usual test semantics: ``accepted_values`` and
 ``accepted_range`` let NULL pass, ``unique`` ignores NULL keys,
 ``orphans`` fails a NULL key (it can never match a parent).
 ``check_summary`` evaluates many row-level checks of one table in a single
-aggregation pass and reports the failing count of each.
+aggregation pass and reports the failing count of each; a ``Watcher`` counts
+them as metrics of the job that writes the table anyway, without a pass of
+their own.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -102,3 +104,41 @@ def check_summary(df: DataFrame, model: str, checks: Sequence[RowCheck]) -> Data
                               F.col(f"_c{i}").cast("long").alias("failures"))
                      for i, c in enumerate(checks)])
     return counts.select(F.lit(model).alias("model"), F.inline(rows))
+
+
+SUMMARY = "model string, test_name string, column_name string, failures bigint"
+
+
+class Watcher:
+    """Row checks counted while tables are written.
+
+    ``watch`` returns the table with its failing rows counted on the way, as
+    observed metrics: one number a check reaches the driver when the first
+    job over the returned DataFrame has ended.  Watch a table right where it
+    is written, above every shuffle of its plan: metrics of a result stage
+    count each partition once, however often its tasks were run; those below
+    a shuffle may count a lost and repeated task twice.
+    """
+
+    def __init__(self):
+        self._watched: list[tuple[str, Sequence[RowCheck], Observation]] = []
+
+    def watch(self, df: DataFrame, model: str, checks: Sequence[RowCheck]) -> DataFrame:
+        if not checks:
+            return df
+        seen = Observation()
+        self._watched.append((model, checks, seen))
+        return df.observe(seen, *[F.count_if(F.coalesce(c.fails, F.lit(False))).alias(f"c{i}") for i, c in enumerate(checks)])
+
+    def rows(self) -> list[tuple[str, str, str, int]]:
+        """(model, test_name, column_name, failures) of every watched check; each table must have been written."""
+        return [(model, c.name, c.column, int(seen.get[f"c{i}"]))
+                for model, checks, seen in self._watched for i, c in enumerate(checks)]
+
+    def summary(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.rows(), SUMMARY)
+
+
+def run_through(df: DataFrame) -> None:
+    """Compute every row of ``df`` and keep none (for a watched table that nobody reads)."""
+    df.write.format("noop").mode("overwrite").save()

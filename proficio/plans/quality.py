@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from proficio.operators import checks as C
+from proficio.plans import marts, staging
 from proficio.plans.build import Models
+from proficio.session import materialize
 
 # Accepted labels of the declared tests.
 TIERS = ["Low", "Moderate", "High", "Critical"]
@@ -77,30 +79,89 @@ def model_table(m: Models, name: str, tables: dict[str, DataFrame] | None = None
     return getattr(m, name)
 
 
+# extract -> (staging model, its plan)
+STAGED = {
+    "demographic": ("stg_enrollment", staging.stg_enrollment),
+    "absenteeism": ("stg_attendance", staging.stg_attendance),
+    "assessment": ("stg_assessment_scores", staging.stg_assessment_scores),
+}
+
+
+class TestRun:
+    """The declared tests of a build, counted by the jobs that write its tables.
+
+    Every extract is scanned once: its staging rows are written to the shared
+    folder, with the tests of the source and of the staging model counted on
+    the way, and all models read them there.
+    """
+
+    def __init__(self, m: Models, select: str | None = None):
+        self.m, self.select = m, select
+        self.checks = declared_row_checks()
+        self.watcher = C.Watcher()
+        if select and select not in self.checks:
+            raise ValueError(f"no declared tests for {select!r}; one of {sorted(DECLARED)}")
+
+    def watch(self, df: DataFrame, model: str) -> DataFrame:
+        """``df`` with the model's row tests counted when it is written."""
+        return self.watcher.watch(df, model, self.checks.get(model, ()) if self.select in (None, model) else ())
+
+    def stage_extracts(self, tables: dict[str, DataFrame] | None = None) -> None:
+        """Write the staging models once, counting the tests of sources and staging; the models read them from now on.
+
+        ``tables`` stand for their models as they are, and are only counted.
+        """
+        for extract, (model, plan) in STAGED.items():
+            raw = self.watch(self.m.catalog.table(extract), f"source_{extract}")
+            if tables and model in tables:
+                C.run_through(raw)
+                C.run_through(self.watch(tables[model], model))
+            else:
+                setattr(self.m, model, materialize(self.watch(plan(raw, self.m.p), model), model))
+
+    def summary(self, dim: DataFrame | None, child: DataFrame | None) -> DataFrame:
+        """(model, test_name, column_name, failures) of every test; all watched tables have been written.
+
+        The two tests across rows, unique and orphans, read the written dimension and fact.
+        """
+        def counted(bad: DataFrame, model: str, test: str, column: str) -> DataFrame:
+            return (bad.agg(F.count(F.lit(1)).cast("long").alias("failures"))
+                    .select(F.lit(model).alias("model"), F.lit(test).alias("test_name"),
+                            F.lit(column).alias("column_name"), "failures"))
+
+        out = self.watcher.summary(self.m.catalog.spark)
+        if self.select in (None, PARENT):
+            out = out.unionByName(counted(C.unique(dim, "school_id"), PARENT, "unique_school_id", "school_id"))
+        if self.select in (None, CHILD):
+            bad = C.orphans(child.select(CHILD_KEY), dim, CHILD_KEY)
+            out = out.unionByName(counted(bad, CHILD, f"orphans_{CHILD_KEY}", CHILD_KEY))
+        return out
+
+
 def test_summary(m: Models, tables: dict[str, DataFrame] | None = None,
                  select: str | None = None) -> DataFrame:
-    """(model, test_name, column_name, failures) for every declared test.
+    """(model, test_name, column_name, failures) for every declared test, without building anything.
 
-    Row-level tests of a model share one aggregation pass over it.
+    Runs jobs: each extract is scanned once and its staging rows are written
+    to the shared folder; the other models are computed from these (or read
+    where ``tables`` or the models already stand for built tables) and only
+    counted.  ``select``: the tests of one model alone.
     """
-    out = None
-    for model, cks in declared_row_checks().items():
-        if select and model != select:
-            continue
-        part = C.check_summary(model_table(m, model, tables), model, cks)
-        out = part if out is None else out.unionByName(part)
-    if select and out is None:
-        raise ValueError(f"no declared tests for {select!r}; one of {sorted(DECLARED)}")
-
-    def counted(bad: DataFrame, model: str, test: str, column: str) -> DataFrame:
-        return (bad.agg(F.count(F.lit(1)).cast("long").alias("failures"))
-                .select(F.lit(model).alias("model"), F.lit(test).alias("test_name"),
-                        F.lit(column).alias("column_name"), "failures"))
-
-    dim = model_table(m, PARENT, tables)
-    if select in (None, PARENT):
-        out = out.unionByName(counted(C.unique(dim, "school_id"), PARENT, "unique_school_id", "school_id"))
-    if select in (None, CHILD):
-        bad = C.orphans(model_table(m, CHILD, tables).select(CHILD_KEY), dim, CHILD_KEY)
-        out = out.unionByName(counted(bad, CHILD, f"orphans_{CHILD_KEY}", CHILD_KEY))
-    return out
+    run = TestRun(m, select)
+    given = set(tables or ())
+    if select is None:
+        run.stage_extracts(tables)
+        m.assessment_yoy = materialize(marts.assessment_yoy(m.stg_assessment_scores), "assessment-yoy")
+        dim = materialize(run.watch(model_table(m, PARENT, tables), PARENT), PARENT)
+        tables = {**(tables or {}), PARENT: dim}
+        if PARENT not in given:
+            m.dim_schools = dim
+        done = {"dim_schools"} | {model for model, _ in STAGED.values()} | {f"source_{x}" for x in STAGED}
+    else:
+        done = set()
+    for model in run.checks:
+        if model not in done and select in (None, model):
+            C.run_through(run.watch(model_table(m, model, tables), model))
+    dim = model_table(m, PARENT, tables) if select in (None, PARENT, CHILD) else None
+    child = model_table(m, CHILD, tables) if select in (None, CHILD) else None
+    return run.summary(dim, child)

@@ -58,9 +58,11 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def models(spark: SparkSession, sf_dir: str, cutoff: str | None = None, revised: bool = False) -> Models:
+def models(spark: SparkSession, sf_dir: str, cutoff: str | None = None, revised: bool = False,
+           shared: bool = False) -> Models:
     year = TEST_PARAMS.current_year if revised else None
-    return Models(test_table_catalog(spark, sf_dir, cutoff, year), TEST_PARAMS, audit=False)
+    shared_from = TEST_PARAMS.start_year if shared else None
+    return Models(test_table_catalog(spark, sf_dir, cutoff, year, shared_from), TEST_PARAMS, audit=False)
 
 
 def query(name: str):
@@ -105,7 +107,7 @@ def _trends(spark, d):
 @query("school_performance")
 def _perf(spark, d):
     """Scorecard; attendance drives, enrollment and assessment optional."""
-    return models(spark, d).school_performance
+    return models(spark, d, shared=True).school_performance
 
 
 @query("school_improvement")
@@ -418,7 +420,7 @@ def _typed_key(spark, d):
 @query("scorecard_extract")
 def _extract(spark, d):
     """Scorecard published as CSV without the audit column; read back typed."""
-    m = Models(test_table_catalog(spark, d), TEST_PARAMS, audit=True)
+    m = Models(test_table_catalog(spark, d, shared_from=TEST_PARAMS.start_year), TEST_PARAMS, audit=True)
     df = m.school_performance
     path = new_table_path(spark, "scorecard_extract")
     write_csv_extract(df, path, drop=[AUDIT_COL])

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +41,23 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def worker_store() -> dict:
     """Values kept between the tasks of one Python worker."""
     return sys.modules.setdefault("proficio_worker_store", types.ModuleType("proficio_worker_store")).__dict__
+
+
+def give_back() -> None:
+    """Return memory that this worker has freed to the system: workers live on from one stage to the next."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over a task's batches that gives back what it no longer needs when the task ends."""
+    def wrapped(parts: Iterator) -> Iterator:
+        try:
+            yield from run(parts)
+        finally:
+            give_back()
+    return wrapped

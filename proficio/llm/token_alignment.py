@@ -34,6 +34,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -43,14 +44,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from proficio.llm._util import worker_store
+from proficio.llm._util import trimmed, worker_store
 from proficio.llm.packing import byte_characters
 from proficio.session import materialize
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 8 << 20
 KNOW_BYTES = 1 << 20
-MEMO_SEGMENTS = 120_000
+MEMO_SEGMENTS = 200_000
 ENCODE_AT_ONCE = 20_000
 PRODUCT_ROWS = 1 << 20
 SPACE = "▁"
@@ -131,7 +132,8 @@ class Alignment:
     @classmethod
     def of(cls, a: np.ndarray, b: np.ndarray, a_lengths: np.ndarray, b_lengths: np.ndarray) -> Alignment:
         a_bytes, b_bytes = Csr.runs(a_lengths), Csr.runs(b_lengths)
-        ends = np.intersect1d(a_bytes.begin[1:], b_bytes.begin[1:])
+        ends_a, ends_b = a_bytes.begin[1:], b_bytes.begin[1:]
+        ends = ends_a[ends_b[np.minimum(np.searchsorted(ends_b, ends_a), max(len(ends_b) - 1, 0))] == ends_a]
         return cls(a, b, np.searchsorted(ends, a_bytes.begin[1:]), np.searchsorted(ends, b_bytes.begin[1:]), len(ends),
                    a_bytes, b_bytes)
 
@@ -176,6 +178,10 @@ class Pair:
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
         self.b = sentencepiece.SentencePieceProcessor(model_file=vocabulary_path(b_file))
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.shown = list(map(str, range(max(len(self.a_sizes), len(self.b_sizes)))))
         self.mark = self.b.piece_to_id(SPACE)
         # every token's white space comes before its other characters, so no token crosses a segment's begin
         self.cut = (all(_no_inner_space(x) for x in self.a_bytes.values())
@@ -208,33 +214,46 @@ class Pair:
         return (b"".join(map(self.a_bytes.__getitem__, a)) == raw
                 and b"".join(map(self.b_bytes.__getitem__, b)) == raw)
 
+    def _good(self, segments: list[str], a: list[list[int]], b: list[list[int] | None]) -> list[int]:
+        """The places of the segments whose bytes both give back: mostly all, so they are compared at once first."""
+        if None not in b and all(a) and all(b):
+            raw = "".join(segments).encode()
+            sizes = np.fromiter((len(s.encode()) for s in segments), np.int64, len(segments))
+            for ids, names, size in ((a, self.a_bytes, self.a_sizes), (b, self.b_bytes, self.b_sizes)):
+                flat = list(chain.from_iterable(ids))
+                begin = np.cumsum([0, *map(len, ids)])[:-1]
+                if b"".join(map(names.__getitem__, flat)) != raw or (np.add.reduceat(size[flat], begin) != sizes).any():
+                    break
+            else:
+                return list(range(len(segments)))
+        return [i for i, s in enumerate(segments) if b[i] is not None and self._same(s, a[i], b[i])]
+
     def learn(self, segments: list[str], whole: bool = False) -> dict[str, tuple | None]:
         """What is to be known of the segments, by one product for all of them."""
         a, b = self.tokens(segments, whole)
         found: dict[str, tuple | None] = dict.fromkeys(segments)
-        good = [i for i, s in enumerate(segments) if b[i] is not None and self._same(s, a[i], b[i])]
+        good = self._good(segments, a, b)
         if not good:
             return found
-        flat = [np.fromiter((x for i in good for x in ids[i]), np.int64) for ids in (a, b)]
-        lengths = [np.array([len(names[x]) for x in ids], np.int64)
-                   for ids, names in zip(flat, (self.a_bytes, self.b_bytes), strict=True)]
-        both = Alignment.of(*flat, *lengths)
+        if len(good) < len(segments):
+            a, b = [a[i] for i in good], [b[i] for i in good]
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (a, b))
+        both = Alignment.of(ids_a, ids_b, self.a_sizes[ids_a], self.b_sizes[ids_b])
         links = both.overlaps()
-        pairs = ((both.a[links.rows()] << 32) | both.b[links.columns]).astype("<u8")
-        in_a, in_b = both.members()
-        text_a, text_b = ([str(x) for x in ids.tolist()] for ids in flat)
-        a_to, b_to = in_a.begin.tolist(), in_b.begin.tolist()
-        link_to = links.begin
-        at_a = at_b = group = 0
-        for i in good:
-            n_a, n_b = len(a[i]), len(b[i])
-            shown, end = [], at_a + n_a
-            while group < both.n_groups and a_to[group] < end:     # tokens are in the order of their groups
-                shown.append(f"{','.join(text_a[a_to[group]:a_to[group + 1]])}|{','.join(text_b[b_to[group]:b_to[group + 1]])}")
-                group += 1
-            found[segments[i]] = (n_a, n_b, len(shown), ";".join(shown),
-                                  pairs[link_to[at_a]:link_to[end]].tobytes())
-            at_a, at_b = end, at_b + n_b
+        pairs = ((ids_a[links.rows()] << 32) | ids_b[links.columns]).astype("<u8").tobytes()
+        in_a, in_b = both.members()            # tokens are in the order of their groups
+        text_a, text_b = (list(map(self.shown.__getitem__, ids.tolist())) for ids in (ids_a, ids_b))
+        groups = [",".join(text_a[i:j]) + "|" + ",".join(text_b[k:m])
+                  for i, j, k, m in zip(*(x for m in (in_a, in_b) for x in (m.begin[:-1].tolist(), m.begin[1:].tolist())),
+                                        strict=True)]
+        n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a, b))
+        ends = np.cumsum(n_a)
+        g_to = (both.a_group[ends - 1] + 1).tolist()
+        l_to = (links.begin[ends] * 8).tolist()
+        g = at = 0
+        for i, x, y, to, end in zip(good, n_a.tolist(), n_b.tolist(), g_to, l_to, strict=True):
+            found[segments[i]] = (x, y, to - g, groups[g] if to == g + 1 else ";".join(groups[g:to]), pairs[at:end])
+            g, at = to, end
         return found
 
     def know(self, texts: list[str]) -> list[list[tuple] | None]:
@@ -242,11 +261,14 @@ class Pair:
         if len(self.memo) > MEMO_SEGMENTS:
             self.older, self.memo = self.memo, {}
         cut = [_SEGMENT.findall(" " + t) if t and self.cut else None for t in texts]
-        missing = dict.fromkeys(s for segments in cut if segments for s in segments if s not in self.memo)
-        for s in [s for s in missing if s in self.older]:
-            self.memo[s] = self.older[s]
-            del missing[s]
-        new = list(missing)
+        memo, older = self.memo, self.older
+        new = []
+        for s in set(chain.from_iterable(filter(None, cut))) - memo.keys():
+            if s in older:
+                memo[s] = older[s]
+            else:
+                new.append(s)
+        new.sort()
         for i in range(0, len(new), ENCODE_AT_ONCE):
             self.memo.update(self.learn(new[i:i + ENCODE_AT_ONCE]))
         out = []
@@ -359,7 +381,7 @@ def aligned_blocks(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE,
                     number, block = number + 1, Block()
         if block.rows:
             yield from block.finished(number, schema)
-    return rows.mapInArrow(align, kind)
+    return rows.mapInArrow(trimmed(align), kind)
 
 
 def pair_rows(blocks: DataFrame) -> DataFrame:

@@ -4,12 +4,14 @@ Every line becomes a 128-bit key.  A HyperLogLog sketch of the sites is built
 per key and merged by aggregation, so a line that is in a third of all
 documents costs one small sketch a task.  Keys whose estimate is near the
 threshold get an exact distinct count.  Lines on at least ``min_sites`` sites
-are removed everywhere.
+are removed everywhere.  The lines are cut from the texts anew for each of
+these steps; only the few keys near or over the threshold are written.
 
 Defined cases: a null text has no lines and stays null; blank lines are never
 removed; a null site is no site; documents repeated under one doc_id are each
 cleaned; lines are compared exactly, without their leading and trailing
-blanks.  A document whose lines all go keeps an empty text.
+blanks.  A document whose lines all go keeps an empty text.  Columns that the
+input has may not be named like those that are added: that raises an error.
 """
 
 from __future__ import annotations
@@ -42,7 +44,7 @@ def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
-    """The keys on at least ``min_sites`` sites; ``lines`` should be a written table.
+    """The keys on at least ``min_sites`` sites.
 
     Estimates further than four standard errors (and one site) from the
     threshold decide by themselves, the others are counted exactly.
@@ -68,8 +70,12 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG
     Only each document's own boilerplate keys are gathered (a set no larger
     than the document), then joined back on the document's id.
     """
-    lines = materialize(line_table(docs, id_col, text_col, site_col), "line-keys")
-    hits = (lines.join(boilerplate(lines, min_sites, lg_k), "key", "left_semi")
+    clash = {c.lower() for c in docs.columns} & {c.lower() for c in (kept_col, "n_lines", "n_removed")}
+    if clash:
+        raise ValueError(f"the documents have columns named like results: {sorted(clash)}")
+    lines = line_table(docs, id_col, text_col, site_col)
+    spread = materialize(boilerplate(lines, min_sites, lg_k), "boilerplate-keys")
+    hits = (lines.join(spread, "key", "left_semi")
             .groupBy("doc_id").agg(F.collect_set("key").alias("gone")))
     gone, hit_id = fresh(docs, "gone_keys"), fresh(docs, "hit_doc_id")
     hits = hits.select(F.col("doc_id").alias(hit_id), F.col("gone").alias(gone))

@@ -202,13 +202,13 @@ FOLDS = {"merge": fold_merge, "viterbi": fold_viterbi}
 
 
 def _segment_batches(pairs: frozenset[str], max_segment: int):
-    """mapInArrow (text): the partition's distinct segments, for the lattice."""
+    """mapInArrow (doc_id, text): the partition's distinct segments, for the lattice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, cut = TaskContext.get().partitionId(), Segmenter(pairs)
         sent: set[str] = set()
         for batch in batches:
             words: set[str] = set()
-            for text in batch.column(0):
+            for text in batch.column(1):
                 words.update(_WORD.findall(marked(text.as_py())))
             new = {s for w in words for s in cut.word(w) if len(s) <= max_segment} - sent
             sent = new if len(sent) > 200_000 else sent | new  # segments sent twice are grouped later
@@ -225,14 +225,13 @@ def piece_table(spark, pieces: Pieces) -> DataFrame:
          "score": [s for _, s in pieces.normal.values()]}))
 
 
-def lattice(segments: DataFrame, pieces: Pieces, how: str = "viterbi", held_by: int = 1) -> DataFrame:
+def lattice(segments: DataFrame, pieces: Pieces, how: str = "viterbi") -> DataFrame:
     """(segment, parts, edges): for each segment the (start, end, id, score) of all its substrings that are pieces.
 
-    Only segments that at least ``held_by`` parts hold.  Single characters
-    without a piece are edges without an id, which merging has no use for.
+    Single characters without a piece are edges without an id, which merging
+    has no use for; a segment without a piece has no edges then.
     """
-    grouped = (segments.groupBy("segment").agg(F.collect_set("part").alias("parts"))
-               .where(F.size("parts") >= held_by))
+    grouped = segments.groupBy("segment").agg(F.collect_set("part").alias("parts"))
     n = F.length("segment")
     exploded = (grouped.withColumn("start", F.explode(F.sequence(F.lit(0), n - 1)))
                 .withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), n - F.col("start")))))
@@ -311,9 +310,12 @@ def _pack_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _encode_part(pieces: Pieces, how: str):
-    """The ids of the texts of one partition, from its own blocks of folded segments."""
-    pairs = pieces.pairs
+def _encode_part(pieces: Pieces, how: str, max_segment: int):
+    """The ids of the texts of one partition, from its own blocks of folded segments.
+
+    Segments over ``max_segment`` characters are folded here, and so are those without an edge: their ids are bytes.
+    """
+    pairs, normal = pieces.pairs, pieces.normal
 
     def run(pair):
         rows, blocks = pair
@@ -326,6 +328,8 @@ def _encode_part(pieces: Pieces, how: str):
         def of_segment(s: str) -> bytes:
             got = known.get(s)
             if got is None:
+                if len(s) <= max_segment and any(c in normal for c in s):
+                    raise KeyError(f"the lattice has not folded {s!r}")
                 got = np.array(FOLDS[how](s, pieces), "<u4").tobytes()
                 if len(known) < keep:
                     known[s] = got
@@ -354,8 +358,9 @@ def encode(docs: DataFrame, pieces: Pieces, how: str = "merge", id_col: str = "d
         raise ValueError(f"how must be one of {sorted(FOLDS)}")
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    segments = rows.select("text").mapInArrow(_segment_batches(pieces.pairs, max_segment), "segment string, part int")
-    folded = fold(lattice(segments, pieces, how, held_by=2), pieces, how)
+    # of the same columns as the rows it is put together with below, so that both have the same partitions
+    segments = rows.mapInArrow(_segment_batches(pieces.pairs, max_segment), "segment string, part int")
+    folded = fold(lattice(segments, pieces, how), pieces, how)
     packed = (folded.select(F.explode("parts").alias("part"), "segment", "ids")
               .mapInArrow(_pack_parts, "part int, block binary"))
     texts = rows.rdd.map(tuple).mapPartitions(lambda it: [list(it)])
@@ -364,7 +369,7 @@ def encode(docs: DataFrame, pieces: Pieces, how: str = "merge", id_col: str = "d
     if more:
         texts = texts.union(spark.sparkContext.parallelize([[]] * more, more))
     blocks = blocks.values().mapPartitions(lambda it: [list(it)])
-    encoded = texts.zip(blocks).flatMap(_encode_part(pieces, how))
+    encoded = texts.zip(blocks).flatMap(_encode_part(pieces, how, max_segment))
     return spark.createDataFrame(encoded, T.StructType([
         T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
         T.StructField("ids", T.BinaryType())]), verifySchema=False)

@@ -40,6 +40,19 @@ def test_encode_equals_the_library_and_decodes(spark, pieces, max_segment):
     assert sentencepiece_codec.encode(df.limit(0), pieces).count() == 0
 
 
+def test_every_segment_goes_through_the_lattice(spark, pieces):
+    """Also in one partition: the lattice holds all distinct segments that have a piece, and nothing is folded beside it."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS) if t], DOCS).coalesce(1)
+    assert df.rdd.getNumPartitions() == 1
+    segments = df.mapInArrow(sentencepiece_codec._segment_batches(pieces.pairs, 64), "segment string, part int")
+    distinct = {r.segment for r in segments.collect()}
+    held = {r.segment for r in sentencepiece_codec.lattice(segments, pieces, "merge").select("segment").collect()}
+    assert held == {s for s in distinct if any(c in pieces.normal for c in s)} and len(held) > 50
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in sentencepiece_codec.encode(df, pieces).collect()}
+    assert got == {i: library.encode(t) for i, t in enumerate(TEXTS) if t}
+
+
 @pytest.mark.parametrize("how", ["merge", "viterbi"])
 def test_spark_folds_equal_brute_force(spark, pieces, how):
     rnd = random.Random(1)

@@ -112,16 +112,17 @@ def drop_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows, winners = _judged(docs, id_col, text_col, counters)
     judged = materialize(rows, "dedup-judged")
-    heavy = F.broadcast(winners.select(F.col("digest").alias("w_digest"), F.col("keep_id").alias("w_keep")))
-    digest = fresh(docs, "text_digest")
+    digest, w_digest, w_keep, d_digest, d_id = (
+        fresh(docs, c) for c in ("text_digest", "w_digest", "w_keep", "d_digest", "d_id"))
+    heavy = F.broadcast(winners.select(F.col("digest").alias(w_digest), F.col("keep_id").alias(w_keep)))
     keyed = docs.withColumn(digest, text_digest(F.col(text_col)))
     dropped = (judged.where(~F.col("kept") & ~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-               .select(F.col("text_sha256").alias("d_digest"), F.col("doc_id").alias("d_id"))
-               .join(heavy, F.col("d_digest") == F.col("w_digest"), "left_anti").distinct())
-    light = keyed.join(heavy, (keyed[digest] == F.col("w_digest"))
-                       & ~keyed[id_col].eqNullSafe(F.col("w_keep")), "left_anti")
-    kept = light.join(dropped, (light[digest] == F.col("d_digest"))
-                      & light[id_col].eqNullSafe(F.col("d_id")), "left_anti")
+               .select(F.col("text_sha256").alias(d_digest), F.col("doc_id").alias(d_id))
+               .join(heavy, F.col(d_digest) == F.col(w_digest), "left_anti").distinct())
+    light = keyed.join(heavy, (keyed[digest] == F.col(w_digest))
+                       & ~keyed[id_col].eqNullSafe(F.col(w_keep)), "left_anti")
+    kept = light.join(dropped, (light[digest] == F.col(d_digest))
+                      & light[id_col].eqNullSafe(F.col(d_id)), "left_anti")
     if not judged.where("copies > 1").isEmpty():  # rows repeated with the same doc_id and text
         kept = kept.dropDuplicates([digest, id_col])
     return kept.drop(digest)

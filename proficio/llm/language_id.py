@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from proficio.llm._util import worker_store
+from proficio.llm._util import give_back, trimmed, worker_store
 from proficio.llm.windows import gram_hashes
 from proficio.session import materialize
 
@@ -391,7 +391,7 @@ def train_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sample = materialize(training_sample(train, id_col, text_col, lang_col, train_docs, max_train_chars,
                                          calibration_docs), "language-sample")
     counted = (sample.where("not calibration").select("lang", "text")
-               .mapInArrow(_count_batches(order),
+               .mapInArrow(trimmed(_count_batches(order)),
                            "lang string, n int, gram bigint, context bigint, suffix bigint, count bigint")
                .groupBy("lang", "n", "gram").agg(F.first("context").alias("context"),
                                                  F.first("suffix").alias("suffix"), F.sum("count").alias("count")))
@@ -420,6 +420,7 @@ def judged(text: Column, model: LanguageModel | None) -> Column:
         for part in texts:
             lang, score, accepted = model.judge([t if isinstance(t, str) else None for t in part])
             yield pd.DataFrame({"lang": lang, "score": score, "accepted": accepted})
+        give_back()
     return judge(text)
 
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from proficio.llm._util import fresh
+from proficio.llm._util import fresh, trimmed
 from proficio.llm.components import components
 from proficio.session import materialize
 
@@ -74,7 +74,7 @@ def fingerprint_table(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "do
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                        F.col(text_col).alias("text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return rows.mapInArrow(_fingerprint_batches(shingle), f"doc_id {kind}, text_hash bigint, fp bigint")
+    return rows.mapInArrow(trimmed(_fingerprint_batches(shingle)), f"doc_id {kind}, text_hash bigint, fp bigint")
 
 
 def block_masks(blocks: int = BLOCKS) -> list[int]:
@@ -211,7 +211,7 @@ def fingerprint_links(fps: DataFrame, blocks: int = BLOCKS, max_bits: int = MAX_
     keyed = key_rows(fps, blocks, max_bits)
     ran = materialize(
         keyed.repartition("choice", "key").sortWithinPartitions("choice", "key")
-        .mapInArrow(_link_runs(blocks, max_bits, run_rows), "choice int, key bigint, a bigint, b bigint"),
+        .mapInArrow(trimmed(_link_runs(blocks, max_bits, run_rows)), "choice int, key bigint, a bigint, b bigint"),
         "simhash-runs")
     links = ran.where("choice < 0").select("a", "b")
     long = ran.where("choice >= 0").select("choice", "key", "a")
@@ -257,10 +257,10 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int
     """The rows of ``docs`` that stay, one document of each component, with all their columns."""
     kept = materialize(simhash_groups(docs, shingle, max_bits, id_col=id_col, text_col=text_col)
                        .where("kept").groupBy("doc_id", "text_hash").agg(F.count("*").alias("copies")), "simhash-kept")
-    hashed = fresh(docs, "text_hash_64")
+    hashed, k_id, k_hash = (fresh(docs, c) for c in ("text_hash_64", "k_id", "k_hash"))
     keyed = docs.withColumn(hashed, F.xxhash64(text_col))
-    left = keyed.join(kept.select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash")),
-                      keyed[id_col].eqNullSafe(F.col("k_id")) & (keyed[hashed] == F.col("k_hash")), "left_semi")
+    left = keyed.join(kept.select(F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_hash)),
+                      keyed[id_col].eqNullSafe(F.col(k_id)) & (keyed[hashed] == F.col(k_hash)), "left_semi")
     if not kept.where("copies > 1").isEmpty():  # rows repeated with the same doc_id and text
         left = left.dropDuplicates([id_col, hashed])
     return left.drop(hashed)

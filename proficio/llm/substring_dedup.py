@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from proficio.llm._util import fresh
+from proficio.llm._util import fresh, give_back, trimmed
 from proficio.llm.windows import gram_hashes, sliding_argmin, split_words, word_hashes
 from proficio.session import materialize
 
@@ -211,6 +211,8 @@ def _locate(window: int, shard_words: int):
                                                       strict=True):
             if marks.any():
                 out.append((key, text_hash, int(marks.sum()), *_kept(text, words, marks)))
+        del split, gone
+        give_back()
         return pd.DataFrame(out, columns=["key", "text_hash", "n_removed", "kept_sha", "kept_text"])
     return run
 
@@ -238,7 +240,7 @@ def _removals(keyed: DataFrame, scan: DataFrame, window: int, gram: int, shard_w
     texts = texts.withColumn("block", F.pmod(F.xxhash64("key", "text_hash"), F.lit(blocks)).cast("int"))
 
     windows = texts.select("key", "row32", "text", "anchors").mapInArrow(
-        _candidate_windows(window, gram), "h1 bigint, h2 int, key bigint, place bigint")
+        trimmed(_candidate_windows(window, gram)), "h1 bigint, h2 int, key bigint, place bigint")
     owned = (windows.groupBy("h1", "h2")
              .agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.min_by("place", "key").alias("place"))
              .where("lo < hi"))
@@ -246,7 +248,7 @@ def _removals(keyed: DataFrame, scan: DataFrame, window: int, gram: int, shard_w
               .groupBy("key", "row32").agg(F.collect_list("place").alias("places")))
     passages = materialize(
         texts.join(starts, ["key", "row32"]).select("key", "row32", "text", "places")
-        .mapInArrow(_cut_passages(window, gram), "owner bigint, place bigint, words string, anchors array<bigint>"),
+        .mapInArrow(trimmed(_cut_passages(window, gram)), "owner bigint, place bigint, words string, anchors array<bigint>"),
         "passages")
 
     in_block = (texts.select("block", "key", F.explode("anchors").alias("anchor"))
@@ -263,7 +265,7 @@ def _removals(keyed: DataFrame, scan: DataFrame, window: int, gram: int, shard_w
 
 def _scanned(keyed: DataFrame, window: int, gram: int) -> DataFrame:
     return materialize(keyed.mapInArrow(
-        _scan(window, gram), "key bigint, text_hash bigint, n_words bigint, sha string, anchors array<bigint>"),
+        trimmed(_scan(window, gram)), "key bigint, text_hash bigint, n_words bigint, sha string, anchors array<bigint>"),
         "passages-scan")
 
 

@@ -7,8 +7,9 @@ the assistant's messages only.  A dialogue is rendered in parts of
 null, so a part can hold any share of all rows: one whose messages weigh more
 than ``piece_size`` is rendered in pieces, one row each, so no row holds it
 all.  Pieces are cut by position: the weights of the messages before, from
-ranges of the sorted messages and an offset per range.  Joined in order, the
-pieces' texts are the part's text.  Messages meet the speakers by an ordinary
+ranges of the sorted messages and an offset per range; the tables of full
+parts and offsets grow with the data, so how they are joined is left to the
+planner.  Joined in order, the pieces' texts are the part's text.  Messages meet the speakers by an ordinary
 join on conv_id, where a large conversation is split only as far as the
 planner broadcasts the speakers or splits skewed joins.
 
@@ -50,7 +51,7 @@ def _pieces(said: DataFrame, messages: DataFrame, piece_size: int) -> DataFrame:
         return whole
     is_full = F.col("conv_id").eqNullSafe(F.col("f_conv")) & (F.col("part") == F.col("f_part"))
     order = ["turn", "role", "text"]
-    ranged = materialize(messages.join(F.broadcast(full), is_full, "left_semi").withColumn("w", weight)
+    ranged = materialize(messages.join(full, is_full, "left_semi").withColumn("w", weight)
                          .repartitionByRange(shuffle_partitions(said.sparkSession), "conv_id", "part", *order)
                          .withColumn("range", F.spark_partition_id()), "chat-ranges")
     size = F.sum(F.col("n") * F.col("w"))
@@ -61,7 +62,7 @@ def _pieces(said: DataFrame, messages: DataFrame, piece_size: int) -> DataFrame:
     inside = (Window.partitionBy("conv_id", "part", "range").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, -1))
     at = (ranged.withColumn("inside", F.coalesce(size.over(inside), F.lit(0)))
-          .join(F.broadcast(offsets), F.col("conv_id").eqNullSafe(F.col("r_conv"))
+          .join(offsets, F.col("conv_id").eqNullSafe(F.col("r_conv"))
                 & (F.col("part") == F.col("r_part")) & (F.col("range") == F.col("r_range")))
           .withColumn("at", F.col("inside") + F.col("offset")))
     # copy j begins at + j * w; a piece has the copies that begin in it
@@ -69,7 +70,7 @@ def _pieces(said: DataFrame, messages: DataFrame, piece_size: int) -> DataFrame:
                     .alias("piece"))
     before = "greatest(0, least(n, ({} * {} - at + w - 1) div w))"
     copies = F.expr(f"{before.format('(piece + 1)', piece_size)} - {before.format('piece', piece_size)}")
-    return (whole.join(F.broadcast(full), is_full, "left_anti")
+    return (whole.join(full, is_full, "left_anti")
             .unionByName(cut.withColumn("n", copies).where("n > 0").select(whole.columns)))
 
 

@@ -39,7 +39,7 @@ placed AS (
     SELECT *, sum(length(segment)) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role, text
         ROWS UNBOUNDED PRECEDING) - length(segment) AS begin_at
     FROM segments)
-SELECT conv_id, perspective, part, count(*) AS n_messages,
+SELECT conv_id, perspective, part, 0::BIGINT AS piece, count(*) AS n_messages,
     string_agg(segment, '' ORDER BY turn NULLS FIRST, role, text) AS rendered,
     coalesce(string_agg((begin_at + 22)::BIGINT || ':' || (length(segment) - 22)::BIGINT, ','
         ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE own), '') AS mask_spans,

@@ -63,12 +63,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation rendered from every speaker's perspective, with loss masks.
-
-    The columns are those of the SQL, so the pieces of a part too large for
-    one row share its number; ``chat_views`` numbers them.
-    """
-    return chat_format.chat_views(table(spark, sf_dir, "conversations")).drop("piece")
+    """Every conversation rendered from every speaker's perspective, with loss masks; large parts in numbered pieces."""
+    return chat_format.chat_views(table(spark, sf_dir, "conversations"))
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

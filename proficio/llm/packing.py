@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from proficio.llm._util import worker_store
+from proficio.llm._util import trimmed, worker_store
 from proficio.session import materialize
 
 CAPACITY = 2048
 SEPARATOR = 0
 VOCABULARY = "word_bpe_49k.json"
-MEMO_WORDS = 150_000
+MEMO_WORDS = 200_000
 
 
 def byte_characters() -> list[str]:
@@ -76,6 +76,7 @@ class WordTokenizer:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.ends: dict[bytes, bytes] = {}
         self.mapped = dict(enumerate(byte_characters()))
         self.tokenize = self.tokenizer.model.tokenize
         plain = list(self._PROBES)
@@ -89,37 +90,39 @@ class WordTokenizer:
 
     def _model_ids(self, letters: str) -> bytes:
         shown = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.mapped)
-        return struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in self.tokenize(shown)]) else b""
+        ids = [t.id for t in self.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _known(self, word: bytes) -> bytes | None:
-        ids = self.memo.get(word)
+    def _end(self, tail: bytes) -> bytes:
+        ids = self.ends.get(tail)
         if ids is None:
-            ids = self.older.get(word)
-            if ids is not None:
-                self.memo[word] = ids
+            ids = self._whole([tail.decode()])[0]
+            if len(tail) <= 2:
+                self.ends[tail] = ids
         return ids
 
     def _learn(self, words: set[bytes]) -> None:
-        hard = []
+        memo, older, hard = self.memo, self.older, []
         for word in words:
-            if self._known(word) is not None:
-                continue
-            core = word.lower().rstrip(self._TAIL)  # bytes: A-Z only
-            # letters below U+0180: composed already, lower-cased one by one
-            text = core.decode().lower()
-            if not (self.direct and text.isalpha() and max(text) < "\u0180"):
-                hard.append(word)
-                continue
-            ids = self._known(core)
+            ids = older.get(word)
             if ids is None:
-                ids = self.memo[core] = self._model_ids(text)
-            if len(core) < len(word):
-                tail = word[len(core):]
-                end = self._known(tail)
-                if end is None:
-                    end = self.memo[tail] = self._whole([tail.decode()])[0]
-                ids += end
-            self.memo[word] = ids
+                core = word.lower().rstrip(self._TAIL)  # bytes: A-Z only
+                ids = memo.get(core) or older.get(core)
+                if ids is None:
+                    if not self.direct:
+                        hard.append(word)
+                        continue
+                    text = core.decode()
+                    if not core.isalpha():              # bytes: not only ASCII letters
+                        # letters below U+0180: composed already, lower-cased one by one
+                        text = text.lower()
+                        if not text.isalpha() or max(text) >= "\u0180":
+                            hard.append(word)
+                            continue
+                    ids = memo[core] = self._model_ids(text)
+                if len(core) < len(word):
+                    ids += self._end(word[len(core):])
+            memo[word] = ids
         for i in range(0, len(hard), 1000):
             part = hard[i:i + 1000]
             self.memo.update(zip(part, self._whole([w.decode() for w in part]), strict=True))
@@ -308,7 +311,7 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int
     kind = docs.schema[id_col].dataType.simpleString()
     pieces = materialize(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-        .mapInArrow(_pieces(vocabulary, capacity, separator),
+        .mapInArrow(trimmed(_pieces(vocabulary, capacity, separator)),
                     f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"),
         "pieces")
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
@@ -319,7 +322,12 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int
     for r in bases.groupBy("length").agg(F.sum("n").alias("n")).collect():  # at most ``capacity`` rows
         hist[r.length] = r.n
     plan = plan_table(pack_histogram(hist))
-    ranked = (pieces.join(bases.select("length", "part", "base"), ["length", "part"])
-              .select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("nth") + F.col("base")).alias("rank")))
+    # a row a task, of at most ``capacity`` + 1 numbers; there are as many as input splits, so it is no table to broadcast
+    of_part = (bases.groupBy("part").agg(F.map_from_entries(F.collect_list(F.struct("length", "base"))).alias("m"))
+               .select("part", F.transform(F.sequence(F.lit(0), F.lit(capacity)),
+                                           lambda n: F.try_element_at("m", n.cast("bigint"))).alias("bases")))
+    ranked = (pieces.join(of_part.hint("merge"), "part")
+              .select("doc_id", "piece", "start", "length", "ids_crc32",
+                      (F.col("nth") + F.get("bases", F.col("length").cast("int"))).alias("rank")))
     return ranked.mapInArrow(_place(plan), f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, "
                                            "sequence_id bigint, offset bigint")

@@ -43,10 +43,11 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for checkpoints and written tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Without one, executors of their own share the configured warehouse, and
-    a local session gets a fresh temporary folder; a cluster session without
-    either is a configuration error, because a machine-local folder is not
-    visible to other executors.
+    Without one, executors of their own share the warehouse (on a cluster of
+    several machines only a configured one), and a local session gets a fresh
+    temporary folder, by its real path; a cluster session without either is a
+    configuration error, because a machine-local folder is not visible to
+    other executors.
     The folder that the setting names is taken as shared: a path without a
     file system's name may be a mount that all machines see, and Spark itself
     warns when it lies on a local disk of a cluster.
@@ -61,10 +62,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         master, warehouse = spark.sparkContext.master, spark.conf.get("spark.sql.warehouse.dir")
         configured = warehouse.removeprefix("file:").rstrip("/") != os.path.abspath("spark-warehouse")
-        if configured and master != "local" and not master.startswith("local["):
+        if master == "local" or master.startswith("local["):
+            d = os.path.realpath(tempfile.mkdtemp(prefix="proficio-"))
+        elif configured or master.startswith("local-cluster["):
             d = warehouse
-        elif master.startswith("local"):
-            d = tempfile.mkdtemp(prefix="proficio-")
         else:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...)")
     if spark.sparkContext.getCheckpointDir() is None:

@@ -21,6 +21,7 @@ import __spark_entry__ as E
 REPO = Path(E.__file__).parent
 QUERIES = [
     "clustered_write_readback",
+    "global_rank",
 ]
 
 

@@ -22,6 +22,7 @@ REPO = Path(E.__file__).parent
 QUERIES = [
     "clustered_write_readback",
     "global_rank",
+    "global_rank_bucketed",
 ]
 
 

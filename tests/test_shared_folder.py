@@ -23,6 +23,7 @@ QUERIES = [
     "clustered_write_readback",
     "global_rank",
     "global_rank_bucketed",
+    "incremental_full_refresh",
 ]
 
 

@@ -24,6 +24,7 @@ QUERIES = [
     "global_rank",
     "global_rank_bucketed",
     "incremental_full_refresh",
+    "incremental_upsert",
 ]
 
 

@@ -25,6 +25,7 @@ QUERIES = [
     "global_rank_bucketed",
     "incremental_full_refresh",
     "incremental_upsert",
+    "project_build",
 ]
 
 

@@ -26,6 +26,7 @@ QUERIES = [
     "incremental_full_refresh",
     "incremental_upsert",
     "project_build",
+    "regional_rank",
 ]
 
 

@@ -27,6 +27,7 @@ QUERIES = [
     "incremental_upsert",
     "project_build",
     "regional_rank",
+    "regional_rank_bucketed",
 ]
 
 

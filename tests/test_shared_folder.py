@@ -28,6 +28,7 @@ QUERIES = [
     "project_build",
     "regional_rank",
     "regional_rank_bucketed",
+    "scd2_check_snapshot",
 ]
 
 

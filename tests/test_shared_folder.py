@@ -29,6 +29,7 @@ QUERIES = [
     "regional_rank",
     "regional_rank_bucketed",
     "scd2_check_snapshot",
+    "scd_school_directory",
 ]
 
 

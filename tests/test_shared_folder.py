@@ -30,6 +30,7 @@ QUERIES = [
     "regional_rank_bucketed",
     "scd2_check_snapshot",
     "scd_school_directory",
+    "school_improvement",
 ]
 
 

@@ -31,6 +31,7 @@ QUERIES = [
     "scd2_check_snapshot",
     "scd_school_directory",
     "school_improvement",
+    "scorecard_extract",
 ]
 
 

@@ -32,6 +32,7 @@ QUERIES = [
     "scd_school_directory",
     "school_improvement",
     "scorecard_extract",
+    "seed_csv_roundtrip",
 ]
 
 

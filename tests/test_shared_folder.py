@@ -33,6 +33,7 @@ QUERIES = [
     "school_improvement",
     "scorecard_extract",
     "seed_csv_roundtrip",
+    "stream_release_upsert",
 ]
 
 

@@ -34,6 +34,7 @@ QUERIES = [
     "scorecard_extract",
     "seed_csv_roundtrip",
     "stream_release_upsert",
+    "typed_key_load",
 ]
 
 

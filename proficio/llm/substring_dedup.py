@@ -28,7 +28,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import compress
+from math import isqrt
+from operator import itemgetter
 
 import ahocorasick
 import numpy as np
@@ -49,6 +53,8 @@ BLOCK_BYTES = 3 << 20
 _NO_ID = (1 << 63) - 1
 _GRAM_BASE, _WINDOW_BASE, _SECOND_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
 _FLUSH = 200_000
+_CODES = 900_000  # words a block's passages put into characters before the documents are streamed; fewer than there are characters
+_WORD = re.compile(r"[^\x20\x09-\x0D]+\s?", re.ASCII)
 
 
 def _anchors(words: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,42 +140,57 @@ def _cut_passages(window: int, gram: int):
     return run
 
 
-def _char(code: int) -> str:
-    return chr(code if code < 0xD800 else code + 0x800)  # no surrogates
+def _code(number: int) -> int:
+    return number if number < 0xD800 else number + 0x800  # no surrogates
+
+
+def _char(number: int) -> str:
+    return chr(_code(number))
+
+
+def _new_codes() -> dict[bytes, str]:
+    """word -> its character; a word that is looked up for the first time gets the next one."""
+    codes: defaultdict[bytes, str] = defaultdict(lambda: _char(len(codes) + 1))
+    return codes
+
+
+def _spelled(text: str, base: int) -> str:
+    """Each character of ``text`` as two, the digits of its code; second digits differ from all first ones."""
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return np.column_stack([codes // base, codes % base + base]).astype("<u2").tobytes().decode("utf-16-le")
 
 
 class PassageAutomaton:
-    """An Aho-Corasick automaton over passages given as (owner, words).
+    """An Aho-Corasick automaton over passages given as (owner, words as characters).
 
     It locates where a passage may go on; the windows around a hit are then
-    confirmed, word by word, against the passages' own windows.
+    confirmed, word by word, against the passages' own windows.  The automaton
+    reads words as two digits to ``base``: the library searches the branches of
+    a state one by one, and the first one would have a branch for most words.
     """
 
-    def __init__(self, passages: list[tuple[int, list[bytes]]], window: int):
+    def __init__(self, passages: list[tuple[int, str]], window: int, base: int):
         self.window = window
         self.size = (window + 1) // 2          # words of a phrase
         stride = window - self.size + 1        # any window holds a phrase that starts at a multiple of this
-        self.codes: dict[bytes, str] = {}
         self.owners: dict[str, int] = {}       # window -> smallest owner
         self.automaton = ahocorasick.Automaton()
-        for owner, words in passages:
-            text = "".join([self.codes.setdefault(w, _char(len(self.codes) + 1)) for w in words])
-            for at in range(len(text) - window + 1):
-                own = text[at:at + window]
-                self.owners[own] = min(owner, self.owners.get(own, owner))
+        for owner, text in sorted(passages, key=itemgetter(0), reverse=True):
+            self.owners.update(dict.fromkeys([text[at:at + window] for at in range(len(text) - window + 1)], owner))
+            spelled = _spelled(text, base)
             for at in range(0, len(text) - self.size + 1, stride):
-                self.automaton.add_word(text[at:at + self.size], True)
+                self.automaton.add_word(spelled[2 * at:2 * (at + self.size)], True)
         if len(self.automaton):
             self.automaton.make_automaton()
 
-    def mark(self, key: int, words: list[bytes], gone: np.ndarray) -> None:
+    def mark(self, key: int, text: str, spelled: str, gone: np.ndarray) -> None:
         """Set ``gone`` for every word in a window that a smaller owner's passage has, too."""
-        if not len(self.automaton) or len(words) < self.window:
+        if not len(self.automaton) or len(text) < self.window:
             return
-        code, owner_of, window = self.codes.get, self.owners.get, self.window
-        text = "".join([code(w, "\0") for w in words])
-        found, looked, last = [], 0, len(words) - window
-        for end, _ in self.automaton.iter(text):
+        owner_of, window = self.owners.get, self.window
+        found, looked, last = [], 0, len(text) - window
+        for digit, _ in self.automaton.iter(spelled):
+            end = digit // 2
             start = end - self.size + 1
             for at in range(max(looked, end - window + 1), min(start, last) + 1):
                 owner = owner_of(text[at:at + window])
@@ -177,18 +198,33 @@ class PassageAutomaton:
                     found.append(at)
             looked = max(looked, start + 1)
         if found:
-            edges = np.zeros(len(words) + 1, np.int64)
+            edges = np.zeros(len(text) + 1, np.int64)
             edges[found] += 1
             edges[np.array(found) + window] -= 1
             gone |= np.cumsum(edges[:-1]) > 0
 
 
+def _mark_all(keys: list[int], split: list[list[bytes]], gone: list[np.ndarray], codes: dict[bytes, str],
+              shards: list[list[tuple[int, str]]], window: int) -> None:
+    """Stream the documents, put into characters once, through the automaton of each shard."""
+    if not codes:
+        return
+    base, code = isqrt(_code(len(codes))) + 1, codes.get
+    texts = ["".join([code(w, "\0") for w in words]) for words in split]
+    spelled = [_spelled(text, base) for text in texts]
+    for shard in shards:
+        automaton = PassageAutomaton(shard, window, base)
+        for key, text, digits, marks in zip(keys, texts, spelled, gone, strict=True):
+            automaton.mark(key, text, digits, marks)
+
+
 def _kept(text: str, words: list[bytes], gone: np.ndarray) -> tuple[str, str]:
     """(digest of the kept words joined by one space, the text with the removed words cut out)."""
-    kept = [w for w, g in zip(words, gone, strict=True) if not g]
-    spans = [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+\s?", text, re.ASCII)]
-    left = "".join(text[a:b] for (a, b), g in zip(spans, gone, strict=True) if not g)
-    return hashlib.sha256(b" ".join(kept)).hexdigest(), left
+    stays = (~gone).tolist()
+    parts = _WORD.findall(text)
+    if not len(parts) == len(words) == len(stays):
+        raise ValueError("the words of a text and their marks differ in number")
+    return hashlib.sha256(b" ".join(compress(words, stays))).hexdigest(), "".join(compress(parts, stays))
 
 
 def _locate(window: int, shard_words: int):
@@ -196,16 +232,21 @@ def _locate(window: int, shard_words: int):
     def run(docs: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
         split = [split_words(t) for t in docs["text"]]
         gone = [np.zeros(len(w), bool) for w in split]
-        shard: list[tuple[int, list[bytes]]] = []
+        keys = [int(key) for key in docs["key"]]
+        codes = _new_codes()
+        shards: list[list[tuple[int, str]]] = [[]]
         held = 0
-        for i, (owner, text) in enumerate(zip(passages["owner"], passages["words"], strict=True)):
-            shard.append((int(owner), split_words(text)))
-            held += len(shard[-1][1])
-            if held >= shard_words or i == len(passages) - 1:
-                automaton = PassageAutomaton(shard, window)
-                for key, words, marks in zip(docs["key"], split, gone, strict=True):
-                    automaton.mark(int(key), words, marks)
-                shard, held = [], 0
+        for owner, text in zip(passages["owner"], passages["words"], strict=True):
+            coded = "".join([codes[w] for w in split_words(text)])
+            shards[-1].append((int(owner), coded))
+            held += len(coded)
+            if len(codes) >= _CODES:
+                _mark_all(keys, split, gone, codes, shards, window)
+                codes, shards, held = _new_codes(), [[]], 0
+            elif held >= shard_words:
+                shards.append([])
+                held = 0
+        _mark_all(keys, split, gone, codes, shards, window)
         out = []
         for key, text_hash, text, words, marks in zip(docs["key"], docs["text_hash"], docs["text"], split, gone,
                                                       strict=True):

@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -219,6 +220,41 @@ def test_substring_dedup_matches_brute_force(spark):
     assert {r.text for r in cut.where("doc_id = 502 or doc_id = 500").collect()} == {"short text", None}
 
 
+@pytest.mark.parametrize(("shard_words", "codes"), [(1_000_000, 900_000), (40, 900_000), (40, 7)])
+def test_documents_of_a_block_are_put_into_characters_once(monkeypatch, shard_words, codes):
+    rnd = random.Random(11)
+    rows = [(i, [f"w{rnd.randint(0, 400)}" for _ in range(60)]) for i in range(40)]
+    rows += [(100 + i, sum((rnd.choice(rows)[1][a:a + 14] for a in (0, 20, 40)), ["own"])) for i in range(40)]
+    docs = pd.DataFrame([(k, k, " ".join(w)) for k, w in rows], columns=["key", "text_hash", "text"])
+    passages = pd.DataFrame([(k, " ".join(w[a:a + 16])) for k, w in rows[:40] for a in (0, 20, 40)], columns=["owner", "words"])
+    made, streamed = [], substring_dedup._mark_all
+    monkeypatch.setattr(substring_dedup, "_CODES", codes)
+    monkeypatch.setattr(substring_dedup, "_mark_all", lambda *a: made.append(len(a[4])) or streamed(*a))
+    got = substring_dedup._locate(10, shard_words)(docs, passages)
+    expected = {}
+    for key, words in rows:
+        gone = {p for owner, text in passages.itertuples(index=False) for at in range(len(words) - 9)
+                if owner < key and any(text.split()[b:b + 10] == words[at:at + 10] for b in range(7)) for p in range(at, at + 10)}
+        if gone:
+            expected[key] = (len(gone), hashlib.sha256(" ".join(w for i, w in enumerate(words) if i not in gone).encode()).hexdigest())
+    assert expected and {r.key: (r.n_removed, r.kept_sha) for r in got.itertuples()} == expected
+    assert (len(made) == 1) == (codes > 400) and sum(made) >= (1 if shard_words > 40 else 40)
+
+
+def test_no_state_of_a_passage_automaton_has_a_branch_for_most_words():
+    words = [substring_dedup._char(i + 1) for i in range(4000)]
+    passages = [(1, "".join(words[at:at + 20])) for at in range(0, 4000, 20)]
+    automaton = substring_dedup.PassageAutomaton(passages, 10, 64)
+    assert len({k[0] for k in automaton.automaton.keys()}) <= 64
+    text = "".join(words[5:17] + words[:9])
+    gone = np.zeros(len(text), bool)
+    automaton.mark(2, text, substring_dedup._spelled(text, 64), gone)
+    assert gone.tolist() == [True] * 12 + [False] * 9
+    gone[:] = False
+    automaton.mark(1, text, substring_dedup._spelled(text, 64), gone)
+    assert not gone.any()
+
+
 def test_substring_dedup_of_nothing(spark):
     none = spark.createDataFrame([], DOCS)
     assert substring_dedup.repeated_words(none).count() == substring_dedup.drop_repeated_passages(none).count() == 0

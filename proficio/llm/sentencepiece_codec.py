@@ -38,11 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from proficio.llm._util import give_back, trimmed
+
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
 MAX_PIECES = 1_000_000
 MAX_SEGMENT = 64
 UNKNOWN_PENALTY = 10.0
+PACK_ROWS = 20_000  # folded segments that a task holds before it sends them on
 
 
 @dataclass
@@ -303,13 +306,18 @@ def _pack_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             a.append(segment)
             b.append(values[offsets[i]:offsets[i + 1]].tobytes())
         rows += batch.num_rows
-        if rows > 200_000:
+        if rows > PACK_ROWS:
             yield flush()
             held, rows = {}, 0
     if held:
         yield flush()
 
 
+def _gathered(rows: Iterator) -> Iterator[list]:
+    """A partition's rows as one list."""
+    yield list(rows)
+
+
 def _encode_part(pieces: Pieces, how: str, max_segment: int):
     """The ids of the texts of one partition, from its own blocks of folded segments.
 
@@ -345,6 +353,9 @@ def _encode_part(pieces: Pieces, how: str, max_segment: int):
                 out.append(ids)
             ids = b"".join(out)
             yield doc_id, len(ids) // 4, ids
+        for held in (rows, blocks, known, words):
+            held.clear()
+        give_back()
     return run
 
 
@@ -359,16 +370,16 @@ def encode(docs: DataFrame, pieces: Pieces, how: str = "merge", id_col: str = "d
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # of the same columns as the rows it is put together with below, so that both have the same partitions
-    segments = rows.mapInArrow(_segment_batches(pieces.pairs, max_segment), "segment string, part int")
+    segments = rows.mapInArrow(trimmed(_segment_batches(pieces.pairs, max_segment)), "segment string, part int")
     folded = fold(lattice(segments, pieces, how), pieces, how)
     packed = (folded.select(F.explode("parts").alias("part"), "segment", "ids")
-              .mapInArrow(_pack_parts, "part int, block binary"))
-    texts = rows.rdd.map(tuple).mapPartitions(lambda it: [list(it)])
+              .mapInArrow(trimmed(_pack_parts), "part int, block binary"))
+    texts = rows.rdd.map(tuple).mapPartitions(trimmed(_gathered))
     blocks = packed.rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(texts.getNumPartitions(), lambda part: part)
     more = blocks.getNumPartitions() - texts.getNumPartitions()
     if more:
         texts = texts.union(spark.sparkContext.parallelize([[]] * more, more))
-    blocks = blocks.values().mapPartitions(lambda it: [list(it)])
+    blocks = blocks.values().mapPartitions(trimmed(_gathered))
     encoded = texts.zip(blocks).flatMap(_encode_part(pieces, how, max_segment))
     return spark.createDataFrame(encoded, T.StructType([
         T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),

@@ -1,5 +1,6 @@
 """SentencePiece encoding, packing and language identification against libraries and brute force."""
 
+import marshal
 import math
 import random
 import zlib
@@ -7,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -251,3 +253,34 @@ def test_the_limit_is_the_quantile_of_a_large_set():
     odd = np.concatenate([few, np.full(8, 500.0)])
     assert 4 < language_id.tail_quantile(few, 0.001) < 14  # 6.9 for all
     assert language_id.tail_quantile(odd, 0.001) < 20
+
+
+def test_folded_segments_are_sent_on_before_a_task_holds_many():
+    """Blocks leave while rows still come in, and together hold every row once."""
+    taken = []
+
+    def batches():
+        for b in range(8):
+            taken.append(b)
+            names = [f"s{b}-{i}" for i in range(10_000)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i % 3 for i in range(10_000)], pa.int32()), pa.array(names, pa.string()),
+                 pa.array([[b, i] for i in range(10_000)], pa.list_(pa.int32()))], ["part", "segment", "ids"])
+    sent = sentencepiece_codec._pack_parts(batches())
+    out = [next(sent)]
+    assert len(taken) < 8
+    out += sent
+    got = {}
+    for block in out:
+        for part, packed in zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True):
+            for segment, ids in zip(*marshal.loads(zlib.decompress(packed)), strict=True):
+                assert segment not in got
+                got[segment] = part, np.frombuffer(ids, "<u4").tolist()
+    assert got == {f"s{b}-{i}": (i % 3, [b, i]) for b in range(8) for i in range(10_000)}
+
+
+def test_what_a_task_held_for_encoding_is_let_go_when_its_partition_ends(pieces):
+    """The texts and blocks of a partition are not kept beside the next one's."""
+    pair = ([(1, "1" * 70), (2, None)], [])
+    encoded = list(sentencepiece_codec._encode_part(pieces, "merge", 0)(pair))
+    assert [(d, n) for d, n, _ in encoded] == [(1, 71), (2, 0)] and pair == ([], [])

@@ -1,15 +1,15 @@
 """SentencePiece encoding and decoding by a relational lattice.
 
 Texts are cut where no piece can cross (before a run of word marks, and
-between two characters that stand side by side in no piece).  The distinct
-segments are numbered by the input partitions that hold them, and Spark builds
-the lattice: every substring of a segment up to the longest piece is exploded
-and joined to the piece table, the edges are grouped by segment and folded by
-a higher-order function (segments of one partition alone stay there and are
-folded by its task, by the same rule): ``viterbi`` takes the path with the highest sum of
-scores (unigram models), ``merge`` joins the best-scored neighbours until none
-is left (models whose scores are merge ranks).  The folded segments go back to
-the partitions that hold them, so texts are never shuffled.
+between two characters that stand side by side in no piece).  Every input
+partition is cut into parts of ``PART_CHARS`` characters; the distinct segments
+carry the numbers of the parts that hold them, and Spark builds the lattice:
+every substring of a segment up to the longest piece is exploded and joined to
+the piece table, the edges are grouped by segment and folded by a higher-order
+function: ``viterbi`` takes the path with the highest sum of scores (unigram
+models), ``merge`` joins the best-scored neighbours until none is left (models
+whose scores are merge ranks).  The folded segments meet the texts of the parts
+that hold them, which are shuffled in compressed chunks.
 
 The piece table has a model's size, not the data's; a table over
 ``MAX_PIECES`` rows is refused.  Segments over ``max_segment`` characters are
@@ -29,16 +29,18 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import islice
 from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from proficio.llm._util import give_back, trimmed
+from proficio.llm._util import give_back, shuffle_partitions, trimmed
 
 MARK = "▁"
 MODEL = "piece_bpe_32k.model"
@@ -46,6 +48,10 @@ MAX_PIECES = 1_000_000
 MAX_SEGMENT = 64
 UNKNOWN_PENALTY = 10.0
 PACK_ROWS = 20_000  # folded segments that a task holds before it sends them on
+PART_CHARS = 32_000_000  # characters after which a partition's texts go on in another part
+SLICE_CHARS = 2_000_000  # characters that are cut at a time
+LATTICE_TASKS = 128  # of the lattice at least
+PARTS = 4096  # numbers for the parts of a partition
 
 
 @dataclass
@@ -204,86 +210,245 @@ def _ids_of(symbol: str, pieces: Pieces) -> list[int]:
 FOLDS = {"merge": fold_merge, "viterbi": fold_viterbi}
 
 
+class Cutter:
+    """Cuts texts into words and words into segments, as ``_WORD`` and :class:`Segmenter` do, many at a time."""
+
+    def __init__(self, pairs: frozenset[str]):
+        letters = sorted({c for pair in pairs for c in pair})
+        self.number = np.zeros(0x110000, np.int32)  # 0: in no pair
+        self.number[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.width = len(letters) + 1
+        self.joined = np.array(sorted(int(self.number[ord(a)]) * self.width + int(self.number[ord(b)])
+                                      for a, b in pairs), np.int64)
+        self.table = None
+        if self.width <= 4096:
+            self.table = np.zeros(self.width ** 2, bool)
+            self.table[self.joined] = True
+
+    def beside(self, chars: np.ndarray) -> np.ndarray:
+        """Whether each character but the first stands side by side with the one before it in some piece."""
+        of = self.number[chars]
+        if self.table is not None:
+            return self.table[of[:-1] * self.width + of[1:]]
+        pair = of[:-1].astype(np.int64) * self.width + of[1:]
+        at = np.searchsorted(self.joined, pair)
+        return np.append(self.joined, -1)[at] == pair
+
+    def words(self, texts: list[str | None]) -> tuple[pa.StringArray, np.ndarray]:
+        """The words of all texts one after the other, and the first word's number of each text and of the end."""
+        own = [marked(t) for t in texts]
+        joined = "".join(own)
+        chars = _characters(joined)
+        begin = np.cumsum([0, *map(len, own)])
+        mark = chars == ord(MARK)
+        first = mark.copy()
+        first[1:] &= ~mark[:-1]
+        first[begin[:-1][np.diff(begin) > 0]] = True  # a text may end in a mark
+        at = np.flatnonzero(first)
+        return _parts(joined.encode(), chars, at), np.searchsorted(at, begin)
+
+    def segments(self, words: pa.StringArray) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+        """The segments of all words, their lengths, and the first segment's number of each word and of the end."""
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+        joined = words.buffers()[2][offsets[0]:offsets[-1]].to_pybytes() if len(words) else b""
+        chars = _characters(joined.decode())
+        begin = np.append(0, np.cumsum(pc.utf8_length(words).to_numpy(zero_copy_only=False), dtype=np.int64))
+        first = np.zeros(len(chars), bool)
+        first[1:] = ~self.beside(chars) if len(chars) else False
+        first[begin[:-1]] = True  # no word is empty
+        at = np.flatnonzero(first)
+        return _parts(joined, chars, at), np.diff(np.append(at, len(chars))), np.searchsorted(at, begin)
+
+
+def _characters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+def _parts(joined: bytes, chars: np.ndarray, at: np.ndarray) -> pa.StringArray:
+    """``joined``, whose characters are ``chars``, cut at the characters numbered ``at`` (0 is one of them)."""
+    if len(joined) > len(chars):
+        size = np.ones(len(chars), np.int8)
+        for least in (0x80, 0x800, 0x10000):
+            size += chars >= least
+        at = (np.cumsum(size, dtype=np.int32) - size)[at]
+    return pa.StringArray.from_buffers(len(at), pa.py_buffer(np.append(at, len(joined)).astype(np.int32)),
+                                       pa.py_buffer(joined))
+
+
+def _slices(rows: Iterator, chars: int) -> Iterator[list]:
+    """Lists of (id, text) rows of about ``chars`` characters."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[1] or "")
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array, list]]:
+    """(part, ids, rows) of a partition's rows (id, text) in order; a part has ``PART_CHARS`` characters or a row more.
+
+    Parts do not depend on where batches begin, so that they are the same whenever a partition is read.
+    """
+    part, size = TaskContext.get().partitionId() * PARTS, 0
+    for batch in batches:
+        ids, at = batch.column(0), 0
+        for rows in _slices(zip(range(batch.num_rows), batch.column(1).to_pylist(), strict=True), SLICE_CHARS):
+            while rows:
+                n = 0
+                for n, (_, text) in enumerate(rows, 1):  # noqa: B007
+                    size += len(text or "")
+                    if size >= PART_CHARS:
+                        break
+                yield part, ids.slice(at, n), rows[:n]
+                at, rows = at + n, rows[n:]
+                if size >= PART_CHARS:
+                    part, size = part + 1, 0
+
+
 def _segment_batches(pairs: frozenset[str], max_segment: int):
-    """mapInArrow (doc_id, text): the partition's distinct segments, for the lattice."""
+    """mapInArrow (doc_id, text): the distinct segments of each of the partition's parts, for the lattice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, cut = TaskContext.get().partitionId(), Segmenter(pairs)
-        sent: set[str] = set()
-        for batch in batches:
-            words: set[str] = set()
-            for text in batch.column(1):
-                words.update(_WORD.findall(marked(text.as_py())))
-            new = {s for w in words for s in cut.word(w) if len(s) <= max_segment} - sent
-            sent = new if len(sent) > 200_000 else sent | new  # segments sent twice are grouped later
-            if new:
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(new), pa.string()),
-                                                  pa.array(np.full(len(new), part, np.int32))], ["segment", "part"])
+        cut = Cutter(pairs)
+        held: list[pa.Array] = []
+
+        def distinct(part: int) -> Iterator[pa.RecordBatch]:
+            found, sizes, _ = cut.segments(pa.concat_arrays(held).unique())
+            found = found.filter(pa.array(sizes <= max_segment)).unique()
+            found = found.take(pc.sort_indices(found))
+            for at in range(0, len(found), 10_000):
+                some = found.slice(at, 10_000)
+                yield pa.RecordBatch.from_arrays([some, pa.array(np.full(len(some), part, np.int32))],
+                                                 ["segment", "part"])
+        last = None
+        for part, _, rows in _numbered(batches):
+            if held and part != last:
+                yield from distinct(last)
+                held.clear()
+            last = part
+            held.append(cut.words([t for _, t in rows])[0].unique())
+        if held:
+            yield from distinct(last)
     return run
 
 
+def _text_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow (doc_id, text): the rows of each part in compressed chunks."""
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+    for part, ids, rows in _numbered(batches):
+        chunk = pa.RecordBatch.from_arrays([ids, pa.array([t for _, t in rows], pa.string())], ["doc_id", "text"])
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, chunk.schema, options=options) as out:
+            out.write_batch(chunk)
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([sink.getvalue().to_pybytes()],
+                                                                                 pa.binary())], ["part", "chunk"])
+
+
 def piece_table(spark, pieces: Pieces) -> DataFrame:
+    """piece, id, score, and ``code``: the score's rank (highest first) and the id, as edges for merging hold them."""
     import pandas as pd
+    scores = np.array([s for _, s in pieces.normal.values()], np.float64)
+    ids = np.array([i for i, _ in pieces.normal.values()], np.int32)
+    rank = np.unique(-scores, return_inverse=True)[1].astype(np.int64)
     return spark.createDataFrame(pd.DataFrame(
-        {"piece": list(pieces.normal), "id": np.array([i for i, _ in pieces.normal.values()], np.int32),
-         "score": [s for _, s in pieces.normal.values()]}))
+        {"piece": list(pieces.normal), "id": ids, "score": scores, "code": (rank - 2 ** 19) * 2 ** 44 + ids}))
 
 
 def lattice(segments: DataFrame, pieces: Pieces, how: str = "viterbi") -> DataFrame:
     """(segment, parts, edges): for each segment the (start, end, id, score) of all its substrings that are pieces.
 
-    Single characters without a piece are edges without an id, which merging
-    has no use for; a segment without a piece has no edges then.
+    For merging an edge is one number that sorts by score, highest first, and
+    by start: 20 bits of the score's rank, 12 of the start, 12 of the end, 20
+    of the id.  Single characters without a piece are edges without an id,
+    which merging has no use for; a segment without a piece has no edges then.
     """
-    grouped = segments.groupBy("segment").agg(F.collect_set("part").alias("parts"))
+    spark = segments.sparkSession
+    # a fixed number of partitions: a segment becomes many edges, more than its bytes tell adaptive execution
+    grouped = (segments.repartition(max(LATTICE_TASKS, shuffle_partitions(spark)), "segment")
+               .groupBy("segment").agg(F.collect_set("part").alias("parts"))
+               .withColumn("number", F.monotonically_increasing_id()))  # edges come in its order: cheap to sort
     n = F.length("segment")
     exploded = (grouped.withColumn("start", F.explode(F.sequence(F.lit(0), n - 1)))
                 .withColumn("size", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), n - F.col("start")))))
                 .withColumn("piece", F.substring(F.col("segment"), F.col("start") + 1, F.col("size"))))
-    table = piece_table(segments.sparkSession, pieces)  # at most MAX_PIECES rows
+    table = piece_table(spark, pieces)  # at most MAX_PIECES rows
     if how == "merge":
-        edges = exploded.join(F.broadcast(table), "piece")
+        edges = exploded.join(F.broadcast(table.select("piece", "code")), "piece")
+        edge = F.expr(f"code + start * {2 ** 32}L + (start + size) * {2 ** 20}L")
     else:
-        edges = exploded.join(F.broadcast(table), "piece", "left").where("id is not null or size = 1")
-    edge = F.struct("start", (F.col("start") + F.col("size")).alias("end"), "id", "score")
-    return edges.groupBy("segment").agg(F.first("parts").alias("parts"), F.collect_list(edge).alias("edges"))
+        edges = exploded.join(F.broadcast(table.drop("code")), "piece", "left").where("id is not null or size = 1")
+        edge = F.struct("start", (F.col("start") + F.col("size")).alias("end"), "id", "score")
+    return (edges.groupBy("number", "segment").agg(F.first("parts").alias("parts"), F.collect_list(edge).alias("edges"))
+            .drop("number"))
 
 
 def _byte_ids(pieces: Pieces) -> str:
     return "array(" + ",".join(map(str, pieces.bytes_at)) + ")"
 
 
-def fold(edges: DataFrame, pieces: Pieces, how: str) -> DataFrame:
-    """(segment, parts, ids): each segment's ids by a higher-order fold over its edges.
+def _byte_fallback(pieces: Pieces, at: str) -> str:
+    """SQL of the byte ids of the character at place ``at`` (from 0) of ``segment``."""
+    char = f"substring(segment, {at} + 1, 1)"
+    return f"""transform(sequence(0, octet_length({char}) - 1), k ->
+        {_byte_ids(pieces)}[cast(conv(substring(hex(encode({char}, 'UTF-8')), k * 2 + 1, 2), 16, 10) as int)])"""
+
+
+def _merge_ids(pieces: Pieces) -> str:
+    """SQL of the ids after merging.
 
-    Both folds give the array of cuts between pieces.  The maps from a
-    substring's ends to its score and id are bound as a lambda's variable, so
-    they are built once a segment.
+    The state: for every place the place of the next cut (-1: no cut here),
+    and the edges that can still be taken, best first.  Each step takes the
+    first edge with one cut inside, and drops those that begin or end there.
     """
+    start, end = "cast(shiftright({0}, 32) & 4095 as int)", "cast(shiftright({0}, 20) & 4095 as int)"
+    step = f"""
+        transform(array(get(filter(x.open, e -> get(x.next, get(x.next, {start.format("e")})) = {end.format("e")}), 0)), best ->
+            if(best is null, named_struct('next', x.next, 'open', slice(x.open, 1, 0)),
+               transform(array(named_struct('a', {start.format("best")}, 'b', {end.format("best")},
+                                            'cut', get(x.next, {start.format("best")}))), t -> named_struct(
+                   'next', transform(x.next, (v, i) -> if(i = t.a, t.b, if(i = t.cut, -1, v))),
+                   'open', filter(x.open, e -> e <> best and {start.format("e")} <> t.cut and {end.format("e")} <> t.cut)))[0]
+            ))[0]"""
+    joined = f"""
+        aggregate(sequence(1, n), named_struct(
+                'next', transform(sequence(1, n + 1), i -> if(i > n, -1, i)),
+                'open', filter(array_sort(edges), e -> {end.format("e")} - {start.format("e")} > 1)),
+            (x, step) -> if(size(x.open) = 0, x, {step}), x -> x.next)"""
+    # tokens hold start and id; a cut without a token is a character without a piece
+    tokens = f"""array_sort(transform(filter(edges, e -> get(next, {start.format("e")}) = {end.format("e")}),
+        e -> (shiftright(e, 32) & 4095) * {2 ** 20} + (e & {2 ** 20 - 1})))"""
+    return f"""
+        transform(array({joined}), next -> transform(array({tokens}), tokens ->
+            if(size(tokens) = size(filter(next, v -> v > 0)), transform(tokens, t -> cast(t & {2 ** 20 - 1} as int)),
+               flatten(transform(filter(sequence(0, n - 1), i -> get(next, i) > 0), i ->
+                   transform(array(get(filter(tokens, t -> shiftright(t, 20) = i), 0)), t -> if(t is not null,
+                       array(cast(t & {2 ** 20 - 1} as int)), {_byte_fallback(pieces, "i")}))[0]))))[0])[0]"""
+
+
+def _viterbi_ids(pieces: Pieces) -> str:
+    """SQL of the ids on the best path: the maps from a substring's ends are bound as a lambda's variable, once a segment."""
     by_ends = "map_from_entries(transform(filter(edges, e -> e.id is not null), " \
               "e -> named_struct('k', e.start * 4096 + e.end, 'v', e.{})))"
-    if how == "merge":
-        # the state is the array of cuts; each step drops the one inside the best-scored pair
-        cuts = """
-            aggregate(if(n > 1, sequence(2, n), array()), sequence(0, n), (b, step) ->
-                if(size(b) < 3, b, aggregate(
-                    array(array_max(transform(sequence(0, size(b) - 3), i -> named_struct(
-                        's', m.scores[b[i] * 4096 + b[i + 2]], 'left', -i)))),
-                    b, (x, best) -> if(best.s is null, x, filter(x, (v, j) -> j <> 1 - best.left)))))"""
-    else:
-        # the ways hold the best score and start of every end so far, of equals the longest last piece
-        cuts = f"""
-            transform(array(aggregate(sequence(1, n), array(named_struct('s', 0.0D, 'at', 0)), (w, stop) ->
-                array_append(w, array_max(transform(filter(edges, e -> e.end = stop), e -> named_struct(
-                    's', w[e.start].s + coalesce(e.score, {pieces.floor!r}D), 'at', -e.start)))))),
-              ways -> reverse(aggregate(sequence(1, n), array(n), (c, step) -> if(element_at(c, -1) = 0, c,
-                array_append(c, -ways[element_at(c, -1)].at)))))[0]"""
-    ids = f"""
-        transform(array(named_struct('scores', {by_ends.format("score")}, 'ids', {by_ends.format("id")})), m ->
+    # the ways hold the best score and start of every end so far, of equals the longest last piece
+    cuts = f"""
+        transform(array(aggregate(sequence(1, n), array(named_struct('s', 0.0D, 'at', 0)), (w, stop) ->
+            array_append(w, array_max(transform(filter(edges, e -> e.end = stop), e -> named_struct(
+                's', w[e.start].s + coalesce(e.score, {pieces.floor!r}D), 'at', -e.start)))))),
+          ways -> reverse(aggregate(sequence(1, n), array(n), (c, step) -> if(element_at(c, -1) = 0, c,
+            array_append(c, -ways[element_at(c, -1)].at)))))[0]"""
+    return f"""
+        transform(array(named_struct('ids', {by_ends.format("id")})), m ->
             transform(array({cuts}), cuts -> flatten(transform(sequence(0, size(cuts) - 2), i ->
                 transform(array(m.ids[cuts[i] * 4096 + cuts[i + 1]]), id -> if(id is not null, array(id),
-                    transform(sequence(0, octet_length(substring(segment, cuts[i] + 1, 1)) - 1), k ->
-                        {_byte_ids(pieces)}[cast(conv(substring(hex(encode(substring(segment, cuts[i] + 1, 1),
-                            'UTF-8')), k * 2 + 1, 2), 16, 10) as int)])))[0])))[0])[0]"""
+                    {_byte_fallback(pieces, "cuts[i]")}))[0])))[0])[0]"""
+
+
+def fold(edges: DataFrame, pieces: Pieces, how: str) -> DataFrame:
+    """(segment, parts, ids): each segment's ids by a higher-order fold over its edges."""
+    ids = _merge_ids(pieces) if how == "merge" else _viterbi_ids(pieces)
     return (edges.withColumn("n", F.length("segment")).withColumn("ids", F.expr(ids))
             .select("segment", "parts", "ids"))
 
@@ -313,52 +478,96 @@ def _pack_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _gathered(rows: Iterator) -> Iterator[list]:
-    """A partition's rows as one list."""
-    yield list(rows)
+def _runs(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``values`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
 
 
 def _encode_part(pieces: Pieces, how: str, max_segment: int):
-    """The ids of the texts of one partition, from its own blocks of folded segments.
+    """The ids of the texts of one part, from its own blocks of folded segments.
 
     Segments over ``max_segment`` characters are folded here, and so are those without an edge: their ids are bytes.
     """
-    pairs, normal = pieces.pairs, pieces.normal
+    normal = pieces.normal
+    cut = Cutter(pieces.pairs)
+
+    def folded_here(s: str) -> np.ndarray:
+        if len(s) <= max_segment and any(c in normal for c in s):
+            raise KeyError(f"the lattice has not folded {s!r}")
+        return np.array(FOLDS[how](s, pieces), "<u4")
 
     def run(pair):
         rows, blocks = pair
-        known: dict[str, bytes] = {}
+        names: list[str] = []
+        packed: list[bytes] = []
         for block in blocks:
-            known.update(zip(*marshal.loads(zlib.decompress(block)), strict=True))
-        cut, words = Segmenter(pairs, keep=1), {}
-        keep = len(known) + 300_000
-
-        def of_segment(s: str) -> bytes:
-            got = known.get(s)
-            if got is None:
-                if len(s) <= max_segment and any(c in normal for c in s):
-                    raise KeyError(f"the lattice has not folded {s!r}")
-                got = np.array(FOLDS[how](s, pieces), "<u4").tobytes()
-                if len(known) < keep:
-                    known[s] = got
-            return got
-        for doc_id, text in rows:
-            out = []
-            for w in _WORD.findall(marked(text)):
-                ids = words.get(w)
-                if ids is None:
-                    if len(words) > 200_000:
-                        words.clear()
-                    ids = words[w] = b"".join(map(of_segment, cut.word(w)))
-                out.append(ids)
-            ids = b"".join(out)
-            yield doc_id, len(ids) // 4, ids
-        for held in (rows, blocks, known, words):
+            segments, ids = marshal.loads(zlib.decompress(block))
+            names += segments
+            packed += ids
+        known = pa.array(names, pa.string())
+        own = [np.frombuffer(b"".join(packed), "<u4")]
+        sizes = np.array([len(x) // 4 for x in packed], np.int64)
+        names.clear()
+        packed.clear()
+        for some in _slices(iter(rows), SLICE_CHARS):
+            words, first_word = cut.words([t for _, t in some])
+            coded = words.dictionary_encode()
+            segments, _, first = cut.segments(coded.dictionary)
+            at = pc.index_in(segments, value_set=known)
+            if at.null_count:
+                others = segments.filter(pc.is_null(at)).unique()
+                own += [folded_here(s) for s in others.to_pylist()]
+                sizes = np.append(sizes, [len(x) for x in own[1:]]).astype(np.int64)
+                known, own = pa.concat_arrays([known, others]), [np.concatenate(own)]
+                at = pc.index_in(segments, value_set=known)
+            at = at.to_numpy()
+            # first the ids of each distinct word, then those of all words
+            ends = np.append(0, np.cumsum(sizes[at]))
+            ids = _runs(own[0], (np.cumsum(sizes) - sizes)[at], sizes[at])
+            begin, length = ends[first[:-1]], np.diff(ends[first])
+            which = coded.indices.to_numpy()
+            ids = _runs(ids, begin[which], length[which])
+            ends = np.append(0, np.cumsum(length[which]))[first_word].tolist()
+            for (doc_id, _), a, b in zip(some, ends, ends[1:], strict=False):
+                yield doc_id, b - a, ids[a:b].tobytes()
+        for held in (rows, blocks):
             held.clear()
         give_back()
     return run
 
 
+class _ChunkRows:
+    """The texts of chunks with their places; a chunk is read when its turn comes."""
+
+    def __init__(self, chunks: list[pa.Buffer]):
+        self.chunks, self.ids = chunks, []
+
+    def __iter__(self) -> Iterator[tuple[int, str | None]]:
+        while self.chunks:
+            read = pa.ipc.open_stream(self.chunks.pop(0)).read_all()
+            self.ids += read["doc_id"].chunks
+            yield from enumerate(read["text"].to_pylist())
+
+    def clear(self) -> None:
+        self.chunks.clear()
+
+
+def _encode_chunks(pieces: Pieces, how: str, max_segment: int):
+    """cogroup by part: doc_id, n_tokens and ids of the rows in a part's chunks, by its blocks."""
+    def run(chunks: pa.Table, blocks: pa.Table) -> pa.Table:
+        rows = _ChunkRows([c.as_buffer() for c in chunks["chunk"]])
+        encoded = _encode_part(pieces, how, max_segment)((rows, blocks["block"].to_pylist()))
+        counts, ids = [], []
+        while some := list(islice(encoded, 1_000)):
+            counts.append(pa.array([n for _, n, _ in some], pa.int64()))
+            ids.append(pa.array([x for _, _, x in some], pa.binary()))
+        return pa.table([pa.chunked_array(rows.ids), pa.chunked_array(counts), pa.chunked_array(ids)],
+                        ["doc_id", "n_tokens", "ids"])
+    return run
+
+
 def encode(docs: DataFrame, pieces: Pieces, how: str = "merge", id_col: str = "doc_id", text_col: str = "text",
            max_segment: int = MAX_SEGMENT) -> DataFrame:
     """doc_id, n_tokens and ids (little-endian unsigned 32-bit numbers) of every row of ``docs``.
@@ -367,23 +576,18 @@ def encode(docs: DataFrame, pieces: Pieces, how: str = "merge", id_col: str = "d
     """
     if how not in FOLDS:
         raise ValueError(f"how must be one of {sorted(FOLDS)}")
-    spark = docs.sparkSession
+    max_segment = min(max_segment, 4095)  # an edge has 12 bits for a place
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # of the same columns as the rows it is put together with below, so that both have the same partitions
+    # both read the same rows, and so find the same parts
     segments = rows.mapInArrow(trimmed(_segment_batches(pieces.pairs, max_segment)), "segment string, part int")
+    chunks = rows.mapInArrow(trimmed(_text_chunks), "part int, chunk binary")
     folded = fold(lattice(segments, pieces, how), pieces, how)
     packed = (folded.select(F.explode("parts").alias("part"), "segment", "ids")
               .mapInArrow(trimmed(_pack_parts), "part int, block binary"))
-    texts = rows.rdd.map(tuple).mapPartitions(trimmed(_gathered))
-    blocks = packed.rdd.map(lambda r: (r[0], bytes(r[1]))).partitionBy(texts.getNumPartitions(), lambda part: part)
-    more = blocks.getNumPartitions() - texts.getNumPartitions()
-    if more:
-        texts = texts.union(spark.sparkContext.parallelize([[]] * more, more))
-    blocks = blocks.values().mapPartitions(trimmed(_gathered))
-    encoded = texts.zip(blocks).flatMap(_encode_part(pieces, how, max_segment))
-    return spark.createDataFrame(encoded, T.StructType([
-        T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
-        T.StructField("ids", T.BinaryType())]), verifySchema=False)
+    return chunks.groupBy("part").cogroup(packed.groupBy("part")).applyInArrow(
+        _encode_chunks(pieces, how, max_segment), T.StructType([
+            T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
+            T.StructField("ids", T.BinaryType())]))
 
 
 def decoder(pieces: Pieces):

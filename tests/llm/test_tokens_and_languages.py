@@ -284,3 +284,69 @@ def test_what_a_task_held_for_encoding_is_let_go_when_its_partition_ends(pieces)
     pair = ([(1, "1" * 70), (2, None)], [])
     encoded = list(sentencepiece_codec._encode_part(pieces, "merge", 0)(pair))
     assert [(d, n) for d, n, _ in encoded] == [(1, 71), (2, 0)] and pair == ([], [])
+
+
+@pytest.mark.parametrize("table", [True, False])
+def test_words_and_segments_are_cut_many_at_a_time(pieces, table):
+    cut, plain = sentencepiece_codec.Cutter(pieces.pairs), sentencepiece_codec.Segmenter(pieces.pairs)
+    if not table:
+        cut.table = None
+    texts = [*TEXTS, "ends in a mark ", " begins", "▁", "a▁", None]
+    words, first = cut.words(texts)
+    words = words.to_pylist()
+    own = [sentencepiece_codec._WORD.findall(sentencepiece_codec.marked(t)) for t in texts]
+    assert [words[a:b] for a, b in zip(first, first[1:], strict=False)] == own
+    distinct = pa.array(words).unique()
+    segments, sizes, first = cut.segments(distinct.slice(3))
+    segments = segments.to_pylist()
+    assert sizes.tolist() == [len(s) for s in segments]
+    assert [segments[a:b] for a, b in zip(first, first[1:], strict=False)] == \
+        [plain.word(w) for w in distinct.to_pylist()[3:]]
+    assert [len(x) for x in cut.words([None, ""])] == [0, 3] and len(cut.segments(pa.array([], pa.string()))[0]) == 0
+
+
+def test_merging_takes_the_best_left_neighbours_whatever_the_scores(spark):
+    """Pieces in no order of training, many of one score: better neighbours may come up after worse ones were joined."""
+    rnd = random.Random(8)
+    names = [*"abcé", *{"".join(rnd.choice("abcé") for _ in range(rnd.randint(2, 6))) for _ in range(200)}]
+    invented_pieces = sentencepiece_codec.Pieces(
+        {p: (1000 + i, float(rnd.randint(-6, 0))) for i, p in enumerate(names)}, list(range(256)), 0, [])
+    segments = sorted({"".join(rnd.choice("abcabcabcabcéz") for _ in range(rnd.randint(1, 64))) for _ in range(150)})
+    df = spark.createDataFrame([(s, 0) for s in segments], "segment string, part int")
+    folded = sentencepiece_codec.fold(sentencepiece_codec.lattice(df, invented_pieces, "merge"), invented_pieces, "merge")
+    assert {r.segment: list(r.ids) for r in folded.collect()} == \
+        {s: sentencepiece_codec.fold_merge(s, invented_pieces) for s in segments if set(s) & set("abcé")}
+
+
+def test_the_lattice_has_tasks_enough_and_the_table_is_in_the_plan(spark, pieces, tmp_path):
+    """Few bytes of segments become many edges: adaptive execution must not put them into one task."""
+    spark.createDataFrame(list(enumerate(TEXTS)), DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    segments = docs.mapInArrow(sentencepiece_codec._segment_batches(pieces.pairs, 64), "segment string, part int")
+    lattice = sentencepiece_codec.lattice(segments, pieces, "merge")
+    assert lattice.rdd.getNumPartitions() >= sentencepiece_codec.LATTICE_TASKS
+    assert sentencepiece_codec.encode(docs, pieces).inputFiles()
+
+
+def test_parts_of_a_partition_do_not_depend_on_its_batches(monkeypatch):
+    class Context:
+        get = staticmethod(lambda: Context)
+        partitionId = staticmethod(lambda: 2)
+    monkeypatch.setattr(sentencepiece_codec, "TaskContext", Context)
+    monkeypatch.setattr(sentencepiece_codec, "PART_CHARS", 50)
+    monkeypatch.setattr(sentencepiece_codec, "SLICE_CHARS", 20)
+    rnd = random.Random(9)
+    rows = [(i, None if i % 9 == 0 else "x" * rnd.randint(0, 30)) for i in range(200)]
+    found = []
+    for size in (1, 7, 200):
+        batches = [pa.RecordBatch.from_arrays([pa.array([i for i, _ in some]), pa.array([t for _, t in some], pa.string())],
+                                              ["doc_id", "text"]) for some in (rows[k:k + size] for k in range(0, 200, size))]
+        found.append([(part, i, t) for part, ids, some in sentencepiece_codec._numbered(iter(batches))
+                      for i, (_, t) in zip(ids.to_pylist(), some, strict=True)])
+    assert found[0] == found[1] == found[2] and [(i, t) for _, i, t in found[0]] == rows
+    chars = Counter()
+    for part, _, t in found[0]:
+        chars[part] += len(t or "")
+    first = 2 * sentencepiece_codec.PARTS
+    assert sorted(chars) == list(range(first, first + len(chars))) and len(chars) > 20
+    assert all(50 <= chars[part] < 80 for part in sorted(chars)[:-1])

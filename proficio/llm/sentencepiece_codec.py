@@ -50,7 +50,7 @@ UNKNOWN_PENALTY = 10.0
 PACK_ROWS = 20_000  # folded segments that a task holds before it sends them on
 PART_CHARS = 32_000_000  # characters after which a partition's texts go on in another part
 SLICE_CHARS = 2_000_000  # characters that are cut at a time
-LATTICE_TASKS = 128  # of the lattice at least
+LATTICE_TASKS = 256  # of the lattice at least
 PARTS = 4096  # numbers for the parts of a partition
 
 
@@ -367,7 +367,7 @@ def lattice(segments: DataFrame, pieces: Pieces, how: str = "viterbi") -> DataFr
     """
     spark = segments.sparkSession
     # a fixed number of partitions: a segment becomes many edges, more than its bytes tell adaptive execution
-    grouped = (segments.repartition(max(LATTICE_TASKS, shuffle_partitions(spark)), "segment")
+    grouped = (segments.repartition(max(LATTICE_TASKS, 2 * shuffle_partitions(spark)), "segment")
                .groupBy("segment").agg(F.collect_set("part").alias("parts"))
                .withColumn("number", F.monotonically_increasing_id()))  # edges come in its order: cheap to sort
     n = F.length("segment")
@@ -557,6 +557,7 @@ class _ChunkRows:
 def _encode_chunks(pieces: Pieces, how: str, max_segment: int):
     """cogroup by part: doc_id, n_tokens and ids of the rows in a part's chunks, by its blocks."""
     def run(chunks: pa.Table, blocks: pa.Table) -> pa.Table:
+        give_back()  # what the part before has returned
         rows = _ChunkRows([c.as_buffer() for c in chunks["chunk"]])
         encoded = _encode_part(pieces, how, max_segment)((rows, blocks["block"].to_pylist()))
         counts, ids = [], []
@@ -592,10 +593,10 @@ def encode(docs: DataFrame, pieces: Pieces, how: str = "merge", id_col: str = "d
 
 def decoder(pieces: Pieces):
     """A function from ids (as bytes) to text: the pieces' bytes one after the other, without the first mark."""
-    surface = pieces.surface
+    surface = np.array(pieces.surface, object)
 
     def text(ids: bytes) -> str:
-        joined = b"".join([surface[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        joined = b"".join(surface[np.frombuffer(ids, "<u4")].tolist())
         return (joined[1:] if joined.startswith(b" ") else joined).decode("utf-8", "replace")
     return text
 
@@ -611,4 +612,4 @@ def decode(encoded: DataFrame, pieces: Pieces, id_col: str = "doc_id", ids_col:
                 [*batch.schema.names[:-1], "text"])
     others = [c for c in encoded.columns if c != ids_col]
     schema = T.StructType([encoded.schema[c] for c in others] + [T.StructField("text", T.StringType())])
-    return encoded.select(*others, ids_col).mapInArrow(run, schema)
+    return encoded.select(*others, ids_col).mapInArrow(trimmed(run), schema)
